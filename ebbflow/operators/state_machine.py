@@ -5,13 +5,19 @@ key's rows in event-time order, and a fold over a *finite* state set
 composes: a run of rows is a function ``state -> state``. That gives a
 three-pass plan in which no task ever holds more than one chunk of one key:
 
-1. ``groupBy(key, chunk).applyInPandas``: for each possible entry state, the
-   state at the end of the chunk (a tiny int array per chunk).
-2. ``groupBy(key).applyInPandas`` over those summaries only (one row per
-   non-empty chunk of the key): compose them in chunk order to get each
-   chunk's true entry state.
-3. ``groupBy(key, chunk).applyInPandas`` again: run the chunk from its entry
-   state and emit the alert rows.
+1. Per ``(key, chunk)``: for each possible entry state, the state at the end
+   of the chunk (a tiny int array per chunk).
+2. Per key, over those summaries only (one row per non-empty chunk of the
+   key): compose them in chunk order to get each chunk's true entry state.
+3. Per ``(key, chunk)`` again: run the chunk from its entry state and emit
+   the alert rows.
+
+Each pass is ``repartition`` on the group columns, ``sortWithinPartitions``
+and one ``mapInPandas`` over the sorted partition: Arrow batches, no
+per-group Python call. Inside a batch the fold is a vectorised segmented
+scan (Hillis-Steele doubling over the rows' transition arrays), and a group
+that spans batches carries its composed function (or its state) into the
+next batch, so memory per task is one batch, never one group.
 
 Chunks are ranges of the order column sized from the row count (see
 :mod:`ebbflow.operators.running`).
@@ -19,6 +25,7 @@ Chunks are ranges of the order column sized from the row count (see
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -87,6 +94,45 @@ def _tables(sm: StateMachine, events: list[str]):
     return states, nxt, emit
 
 
+def _segments(keys: list[np.ndarray]) -> np.ndarray:
+    """Segment id per row for rows sorted by ``keys`` (a new id at each change)."""
+    n = len(keys[0])
+    change = np.zeros(n, dtype=bool)
+    if n:
+        change[0] = True
+    for k in keys:
+        change[1:] |= k[1:] != k[:-1]
+    return np.cumsum(change) - 1
+
+
+def _compose_scan(seg: np.ndarray, f: np.ndarray) -> np.ndarray:
+    """Inclusive segmented prefix composition of row functions.
+
+    ``f[i]`` maps state -> state (an int array). Row ``i`` of the result is
+    ``f[i] o f[i-1] o ... o f[start of its segment]``.
+    """
+    cur = f.copy()
+    n, d = len(seg), 1
+    while d < n:
+        same = seg[d:] == seg[:-d]
+        if not same.any():
+            break
+        comp = np.take_along_axis(cur[d:], cur[:-d], axis=1)
+        idx = np.nonzero(same)[0] + d
+        cur[idx] = comp[same]
+        d *= 2
+    return cur
+
+
+def _exclusive(seg: np.ndarray, incl: np.ndarray, identity: np.ndarray) -> np.ndarray:
+    excl = np.empty_like(incl)
+    excl[:] = identity
+    if len(seg) > 1:
+        same = seg[1:] == seg[:-1]
+        excl[1:][same] = incl[:-1][same]
+    return excl
+
+
 def run_state_machine(df: DataFrame, sm: StateMachine, key: str, order: list[str],
                       event: str, emit_cols: list[str], *,
                       rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
@@ -94,53 +140,99 @@ def run_state_machine(df: DataFrame, sm: StateMachine, key: str, order: list[str
     events = sorted({e for (_s, e) in sm.transitions})
     states, nxt, emit = _tables(sm, events)
     n_states = len(states)
+    identity = np.arange(n_states, dtype=np.int32)
     code = F.lit(len(events))
     for i, e in reversed(list(enumerate(events))):
         code = F.when(F.col(event) == F.lit(e), F.lit(i)).otherwise(code)
 
-    chunk_src = F.col(order[0])
-    num = _numeric(chunk_src, df.schema[order[0]].dataType)
+    num = _numeric(F.col(order[0]), df.schema[order[0]].dataType)
     origin, width = chunk_width(df, num, rows_per_chunk)
+    out_cols = list(dict.fromkeys([key, *emit_cols]))
     cols = list(dict.fromkeys([key, *order, *emit_cols]))
     data = df.select(*cols, code.cast("int").alias("_ev"),
                      F.floor((num - F.lit(origin)) / F.lit(width)).cast("long").alias("_chunk"))
     key_type = df.schema[key].dataType.simpleString()
 
-    def summarize(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        cur = np.arange(n_states, dtype=np.int32)
-        for ev in pdf["_ev"].to_numpy():
-            cur = nxt[ev, cur]
-        return pd.DataFrame({key: [pdf[key].iloc[0]], "_chunk": [int(pdf["_chunk"].iloc[0])],
-                             "_map": [cur.tolist()]})
-
-    summary = data.groupBy(key, "_chunk").applyInPandas(
+    def sorted_by(frame: DataFrame, group: list[str], within: list[str]) -> DataFrame:
+        return frame.repartition(*[F.col(g) for g in group]).sortWithinPartitions(*group, *within)
+
+    # pass 1: function of each (key, chunk)
+    def summarize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        carry = None  # (key, chunk, composed map)
+        for pdf in batches:
+            k = pdf[key].to_numpy()
+            c = pdf["_chunk"].to_numpy()
+            f = nxt[pdf["_ev"].to_numpy()]
+            if carry is not None and len(k) and k[0] == carry[0] and c[0] == carry[1]:
+                k = np.concatenate([[carry[0]], k])
+                c = np.concatenate([[carry[1]], c])
+                f = np.concatenate([carry[2][None, :], f])
+            elif carry is not None and len(k):
+                yield pd.DataFrame({key: [carry[0]], "_chunk": [carry[1]], "_map": [carry[2].tolist()]})
+                carry = None
+            if not len(k):
+                continue
+            seg = _segments([k, c])
+            incl = _compose_scan(seg, f)
+            ends = np.nonzero(np.r_[seg[1:] != seg[:-1], True])[0]
+            done, last = ends[:-1], ends[-1]
+            if len(done):
+                yield pd.DataFrame({key: k[done], "_chunk": c[done],
+                                    "_map": [m.tolist() for m in incl[done]]})
+            carry = (k[last], c[last], incl[last])
+        if carry is not None:
+            yield pd.DataFrame({key: [carry[0]], "_chunk": [carry[1]], "_map": [carry[2].tolist()]})
+
+    summary = sorted_by(data, [key, "_chunk"], order).mapInPandas(
         summarize, f"{key} {key_type}, _chunk long, _map array<int>")
 
-    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_chunk")
-        state, entries = 0, []   # state 0 is the initial state
-        for m in pdf["_map"]:
-            entries.append(state)
-            state = int(m[state])
-        return pd.DataFrame({key: pdf[key].to_numpy(), "_chunk": pdf["_chunk"].to_numpy(),
-                             "_entry": np.asarray(entries, dtype=np.int32)})
-
-    entry = summary.groupBy(key).applyInPandas(
-        compose, f"{key} {key_type}, _chunk long, _entry int")
-
+    # pass 2: entry state of each chunk = composition of the key's earlier chunks
+    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        carry = None  # (key, composition of all chunks seen so far)
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            k = pdf[key].to_numpy()
+            c = pdf["_chunk"].to_numpy()
+            f = np.array(pdf["_map"].tolist(), dtype=np.int32).reshape(len(pdf), n_states)
+            pad = carry is not None and k[0] == carry[0]
+            if pad:
+                k = np.concatenate([[carry[0]], k])
+                c = np.concatenate([[-1], c])
+                f = np.concatenate([carry[1][None, :], f])
+            seg = _segments([k])
+            incl = _compose_scan(seg, f)
+            entry = _exclusive(seg, incl, identity)[:, 0]
+            carry = (k[-1], incl[-1])
+            sl = slice(1, None) if pad else slice(None)
+            yield pd.DataFrame({key: k[sl], "_chunk": c[sl], "_entry": entry[sl].astype(np.int32)})
+
+    entry = sorted_by(summary, [key], ["_chunk"]).mapInPandas(
+        entries, f"{key} {key_type}, _chunk long, _entry int")
+
+    # pass 3: run each chunk from its entry state, keep the emitting rows
     joined = data.join(entry, [key, "_chunk"], "inner")
-    out_schema = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in
-                           dict.fromkeys([key, *emit_cols]))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        state = int(pdf["_entry"].iloc[0])
-        hits = []
-        for i, ev in enumerate(pdf["_ev"].to_numpy()):
-            if emit[ev, state]:
-                hits.append(i)
-            state = int(nxt[ev, state])
-        return pdf.iloc[hits][list(dict.fromkeys([key, *emit_cols]))]
-
-    return joined.groupBy(key, "_chunk").applyInPandas(run, out_schema)
+    out_schema = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in out_cols)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        carry = None  # (key, chunk, state after the last row seen)
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            k = pdf[key].to_numpy()
+            c = pdf["_chunk"].to_numpy()
+            ev = pdf["_ev"].to_numpy()
+            start = pdf["_entry"].to_numpy().astype(np.int32)
+            if carry is not None:
+                cont = (k == carry[0]) & (c == carry[1])
+                start = np.where(cont, carry[2], start)
+            seg = _segments([k, c])
+            incl = _compose_scan(seg, nxt[ev])
+            excl = _exclusive(seg, incl, identity)
+            before = excl[np.arange(len(k)), start]
+            hit = emit[ev, before]
+            carry = (k[-1], c[-1], int(incl[-1][start[-1]]))
+            if hit.any():
+                yield pdf.loc[hit, out_cols]
+
+    return sorted_by(joined, [key, "_chunk"], order).mapInPandas(run, out_schema)
