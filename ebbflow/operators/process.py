@@ -18,3 +18,87 @@ def distinct_timers(df: DataFrame, ts: str, delay) -> DataFrame:
     same time collapse into one (partial distinct before the shuffle)."""
     d = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(duration_ms(delay) / 1000.0))
     return df.select((F.col(ts) + d).alias("timer_ts")).distinct()
+
+
+def periodic_counts(df: DataFrame, key: str, ts: str, period, **kw) -> DataFrame:
+    """periodic PV per key.
+
+    The first record of a key starts a period and sets a timer at ``ts +
+    period``; when it fires it emits the key's *cumulative* record count
+    (records with ``ts <= timer``) and clears only the timer, so the next
+    record after the timer starts the next period.
+
+    The period starts form a chain ``s -> next(s) = first ts > s + period``.
+    Instead of walking each key's chain in one task, every distinct
+    timestamp gets its ``next`` pointer (a chunked as-of lookup), and the
+    chain from each key's first timestamp is found by pointer doubling:
+    ``J[k+1] = J[k] o J[k]`` for ``k < K``, then the marked set grows as
+    ``M |= J[k](M)`` for ``k = K-1 .. 0``. ``K = ceil(log2(chain bound))``
+    where the bound is ``span / period + 1``, so the number of joins depends
+    on the time span, not the data volume; each join is an equi-join on
+    ``(key, ts)``, which is unique. Jump tables are checkpointed to the shared
+    checkpoint folder to keep lineage flat.
+
+    Output: ``key``, ``timer_ts``, ``cnt``.
+    """
+    import math
+
+    from ebbflow.functions.time import epoch_us
+    from ebbflow.operators import running as R
+
+    p_us = duration_ms(period) * 1000
+    per = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(p_us / 1_000_000))
+
+    nodes = df.groupBy(key, ts).agg(F.count(F.lit(1)).alias("_n"))
+    nodes = R.running(nodes, [key], [ts], {"_cum": R.rsum("_n")}, **kw)
+
+    # next(t): first node strictly after t + period (probes sort before nodes at a tie
+    # when scanning backwards, so a node exactly at t + period is not "after").
+    probes = nodes.select(key, (F.col(ts) + per).alias("_t"), F.lit(1).alias("_rank"),
+                          F.col(ts).alias("_src"), F.lit(None).cast("long").alias("_n"),
+                          F.lit(None).cast("long").alias("_cum"))
+    pts = nodes.select(key, F.col(ts).alias("_t"), F.lit(0).alias("_rank"),
+                       F.lit(None).cast(df.schema[ts].dataType).alias("_src"), "_n", "_cum")
+    node_info = F.when(F.col("_rank") == 0, F.struct(F.col("_t").alias("t"),
+                                                     (F.col("_cum") - F.col("_n")).alias("before")))
+    looked = R.running(probes.unionByName(pts), [key], ["_t", "_rank"],
+                       {"_next": R.last(node_info, exclusive=True)}, descending=True,
+                       chunk_on="_t", **kw)
+    jump0 = looked.filter(F.col("_rank") == 1).select(
+        key, F.col("_src").alias("src"), F.col("_next.t").alias("dst"),
+        F.col("_next.before").alias("_before"))
+
+    totals = nodes.groupBy(key).agg(F.max("_cum").alias("_total"))
+    stats = nodes.agg(F.min(epoch_us(ts)).alias("lo"), F.max(epoch_us(ts)).alias("hi")).first()
+    if stats is None or stats["lo"] is None:
+        return df.sparkSession.createDataFrame(
+            [], f"{key} {df.schema[key].dataType.simpleString()}, timer_ts "
+                f"{df.schema[ts].dataType.simpleString()}, cnt long")
+    bound = (stats["hi"] - stats["lo"]) // p_us + 2
+    levels = max(1, math.ceil(math.log2(bound)))
+
+    j0 = jump0.checkpoint()
+    jumps = [j0.select(key, "src", "dst")]
+    for _ in range(1, levels):
+        a = jumps[-1].alias("a")
+        b = jumps[-1].alias("b")
+        nxt = (a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a.dst") == F.col("b.src")),
+                      "left")
+                .select(F.col(f"a.{key}").alias(key), F.col("a.src").alias("src"),
+                        F.col("b.dst").alias("dst")))
+        jumps.append(nxt.checkpoint())
+
+    marked = nodes.groupBy(key).agg(F.min(ts).alias("src"))
+    for j in reversed(jumps):
+        m = marked.alias("m")
+        jj = j.alias("j")
+        reached = (m.join(jj, (F.col(f"m.{key}") == F.col(f"j.{key}"))
+                          & (F.col("m.src") == F.col("j.src")), "inner")
+                    .filter(F.col("j.dst").isNotNull())
+                    .select(F.col(f"m.{key}").alias(key), F.col("j.dst").alias("src")))
+        marked = marked.unionByName(reached).distinct().checkpoint()
+
+    out = (marked.join(j0, [key, "src"], "inner").join(totals, [key], "inner")
+                 .select(key, (F.col("src") + per).alias("timer_ts"),
+                         F.coalesce(F.col("_before"), F.col("_total")).cast("long").alias("cnt")))
+    return out

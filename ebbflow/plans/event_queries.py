@@ -242,3 +242,21 @@ FROM (SELECT count(*) AS c FROM events) n,
 """)
 def repartition_modes(spark, sf_dir):
     return K.partition_report(S.events(spark, sf_dir).select("event_id", "user_id"), "user_id")
+
+
+@query("periodic_pv", covers=("F3", "G1"), oracle="""
+WITH RECURSIVE chain(user_id, s) AS (
+  SELECT user_id, min(ts) FROM events GROUP BY user_id
+  UNION ALL
+  SELECT c.user_id, min(e.ts) FROM chain c JOIN events e
+    ON e.user_id = c.user_id AND e.ts > c.s + INTERVAL '10 hours'
+  GROUP BY c.user_id
+)
+SELECT c.user_id, c.s + INTERVAL '10 hours' AS timer_ts,
+       (SELECT count(*) FROM events e
+        WHERE e.user_id = c.user_id AND e.ts <= c.s + INTERVAL '10 hours') AS cnt
+FROM chain c
+""")
+def periodic_pv(spark, sf_dir):
+    from ebbflow.operators.process import periodic_counts
+    return periodic_counts(S.events(spark, sf_dir), "user_id", "ts", "10 hours")
