@@ -7,9 +7,6 @@ def registry():
     """All registered queries, importing the modules that define them."""
     from ebbflow.plans import core_queries  # noqa: F401
     from ebbflow.plans.catalog import REGISTRY
-    try:
-        from ebbflow.plans import event_queries  # noqa: F401
-    except ImportError as e:  # pragma: no cover - surfaced by tests
-        if "event_queries" not in str(e):
-            raise
+    from ebbflow.plans import event_queries  # noqa: F401
+    from ebbflow.plans import stream_queries  # noqa: F401
     return REGISTRY
