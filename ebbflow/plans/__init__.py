@@ -9,4 +9,5 @@ def registry():
     from ebbflow.plans.catalog import REGISTRY
     from ebbflow.plans import event_queries  # noqa: F401
     from ebbflow.plans import stream_queries  # noqa: F401
+    from ebbflow.plans import state_queries  # noqa: F401
     return REGISTRY

@@ -21,14 +21,30 @@ from ebbflow.session import work_dir
 
 
 def run_append(stream: DataFrame, name: str, checkpoint: str | None = None,
-               out: str | None = None, fmt: str = "parquet") -> DataFrame:
+               out: str | None = None, fmt: str = "parquet",
+               until_caught_up: bool = False) -> DataFrame:
+    """Append-mode file sink with the ``availableNow`` trigger: every staged
+    file is read, then the query stops. ``until_caught_up`` is for queries
+    with processing-time state (TTL), which otherwise keep running
+    cleanup-only batches."""
     spark = stream.sparkSession
     out = out or work_dir(spark, "stream-out", name)
     checkpoint = checkpoint or work_dir(spark, "stream-ckpt", name)
-    q = (stream.writeStream.outputMode("append").format(fmt)
+    w = (stream.writeStream.outputMode("append").format(fmt)
          .option("path", out).option("checkpointLocation", checkpoint)
-         .queryName(f"{name}_{abs(hash(out)) % 10**8}")
-         .trigger(availableNow=True).start())
+         .queryName(f"{name}_{abs(hash(out)) % 10**8}"))
+    if until_caught_up:
+        # Processing-time state keeps asking for cleanup-only batches, so an
+        # availableNow query would never end: run it without no-data batches.
+        key = "spark.sql.streaming.noDataMicroBatches.enabled"
+        before = spark.conf.get(key, "true")
+        spark.conf.set(key, "false")
+        try:
+            q = w.trigger(availableNow=True).start()
+        finally:
+            spark.conf.set(key, before)
+    else:
+        q = w.trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception():
         raise q.exception()

@@ -14,38 +14,49 @@ real window; its own window never closes, so append outputs never show it
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ebbflow.session import work_dir
 
 SENTINEL_TS = datetime(2100, 1, 1)
 
 
+def file_number(col: str, dtype, lo: int, hi: int, n_files: int) -> F.Column:
+    """File of a row: ``(v - lo) * n // (hi - lo + 1)`` on the integer form of
+    the order column (epoch microseconds for timestamps). The same formula in
+    SQL reproduces the file boundaries exactly."""
+    v = _as_int(F.col(col), dtype)
+    num = ((v - F.lit(lo)) * F.lit(n_files)).cast("decimal(38,0)")
+    return F.floor(num / F.lit(hi - lo + 1).cast("decimal(38,0)")).cast("long")
+
+
+def _as_int(c: F.Column, dtype) -> F.Column:
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp"))
+    return c.cast("long")
+
+
 def stage_files(df: DataFrame, order_col: str, n_files: int, name: str,
                 fmt: str = "parquet") -> str:
     """Write ``df`` as ``n_files`` files, ranges of ``order_col``, oldest first."""
     spark = df.sparkSession
     path = work_dir(spark, "stream-in", name)
-    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
+    dtype = df.schema[order_col].dataType
+    v = _as_int(F.col(order_col), dtype)
+    lo, hi = df.agg(F.min(v), F.max(v)).first()
     if lo is None:
         return path
-    edges = _edges(lo, hi, n_files)
-    for a, b in zip(edges[:-1], edges[1:]):
-        part = df.filter((F.col(order_col) >= F.lit(a)) & (F.col(order_col) < F.lit(b)))
+    fno = file_number(order_col, dtype, lo, hi, n_files)
+    for i in range(n_files):
+        part = df.filter(fno == F.lit(i))
         part.coalesce(1).sortWithinPartitions(order_col).write.mode("append").format(fmt).save(path)
     return path
 
 
-def _edges(lo, hi, n: int) -> list:
-    """``n`` equal ranges covering ``[lo, hi]`` (the last edge just past ``hi``)."""
-    step = (hi - lo) / n
-    past = timedelta(microseconds=1) if isinstance(lo, datetime) else 1
-    return [lo + step * i for i in range(n)] + [hi + past]
-
-
 def append_sentinel(spark: SparkSession, path: str, row: dict, schema, fmt: str = "parquet") -> None:
     """Append the flush file: one row whose event time is far in the future."""
     spark.createDataFrame([row], schema).coalesce(1).write.mode("append").format(fmt).save(path)
