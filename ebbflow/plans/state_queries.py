@@ -110,3 +110,73 @@ def stream_buffered_sink(spark, sf_dir):
     ev = staged_events(spark, sf_dir, "buffered", cols=("event_id", "user_id", "event_type", "ts"),
                        sentinel=False)
     return run_buffered(ev.select("event_id"), "event_id", 10, "buffered")
+
+
+# ------------------------------------------------ T8/T9 on a stream (H1) ---
+LATE_FILES = 12
+DECLARED_DELAY = "3 hours"   # must exceed the worst arrival delay (90 min here)
+
+
+@query("stream_late_data", covers=("T8", "T9", "W7", "S13", "T3", "T6"), oracle=f"""
+WITH a AS (SELECT event_id, user_id, ts,
+                  ts + to_seconds(CAST((event_id * 7919) % 5400 AS BIGINT)) AS arrival
+           FROM events),
+b AS (SELECT min(epoch_us(arrival)) AS lo, max(epoch_us(arrival)) AS hi FROM a),
+f AS (SELECT a.*, ((epoch_us(arrival) - lo) * {LATE_FILES}) // (hi - lo + 1) AS file_no,
+             time_bucket(INTERVAL '10 minutes', ts, TIMESTAMP '1970-01-01') AS window_start
+      FROM a, b),
+w AS (SELECT file_no, max(mts) OVER (ORDER BY file_no ROWS BETWEEN UNBOUNDED PRECEDING
+                                     AND 1 PRECEDING) - INTERVAL '10 minutes' AS wprev
+      FROM (SELECT file_no, max(ts) AS mts FROM f GROUP BY file_no)),
+t AS (SELECT f.*, window_start + INTERVAL '10 minutes' AS window_end,
+             CASE WHEN wprev IS NULL OR wprev < window_start + INTERVAL '10 minutes' THEN 'on_time'
+                  WHEN wprev < window_start + INTERVAL '40 minutes' THEN 'update'
+                  ELSE 'late' END AS status
+      FROM f JOIN w USING (file_no)),
+o AS (SELECT user_id, window_start, count(*) AS ontime FROM t WHERE status = 'on_time'
+      GROUP BY user_id, window_start)
+SELECT 'main' AS tag, user_id, window_start, window_start + INTERVAL '10 minutes' AS window_end,
+       ontime AS cnt, CAST(NULL AS BIGINT) AS event_id FROM o
+UNION ALL
+SELECT 'update', t.user_id, t.window_start, t.window_end,
+       coalesce(o.ontime, 0) + row_number() OVER (PARTITION BY t.user_id, t.window_start
+                                                  ORDER BY t.arrival, t.event_id),
+       t.event_id
+FROM t LEFT JOIN o ON o.user_id = t.user_id AND o.window_start = t.window_start
+WHERE t.status = 'update'
+UNION ALL
+SELECT 'late', user_id, window_start, window_end, CAST(NULL AS BIGINT), event_id
+FROM t WHERE status = 'late'
+""")
+def stream_late_data(spark, sf_dir):
+    """Per-user 10-minute counts with a 10-minute out-of-orderness bound, 30
+    minutes of allowed lateness and a side output, over the events replayed
+    in arrival order (arrival = ts + ((event_id * 7919) mod 5400) s) as
+    LATE_FILES files. The oracle replays the same file boundaries: a row
+    meets the watermark left by the files before its own."""
+    from ebbflow.plans.event_queries import arrivals
+    from ebbflow.streaming import sources as SS
+    from ebbflow.streaming.late import LateWindowProcessor
+
+    cache_key = ("late", sf_dir)
+    if cache_key not in _RESULTS:
+        arr = arrivals(spark, sf_dir)
+        path = SS.stage_files(arr, "arrival", LATE_FILES, "late-data")
+        SS.append_sentinel(spark, path, {"event_id": SENTINEL_ID, "user_id": SENTINEL_ID,
+                                         "ts": SS.SENTINEL_TS, "arrival": SS.SENTINEL_TS},
+                           arr.schema)
+        ev = (SS.read_stream(spark, path, arr.schema)
+                .withColumn("ts", F.col("ts").cast("timestamp"))
+                .withColumn("us", epoch_us("ts")).withColumn("arr_us", epoch_us("arrival"))
+                .withWatermark("ts", DECLARED_DELAY))
+        us = lambda spec: duration_ms(spec) * 1000
+        proc = LateWindowProcessor("us", "event_id", "arr_us", us("10 minutes"),
+                                   us("10 minutes"), us("30 minutes"), us(DECLARED_DELAY))
+        out = ev.groupBy("user_id").transformWithState(
+            proc, "tag string, key long, start_us long, end_us long, cnt long, seq long",
+            "Append", "EventTime")
+        _RESULTS[cache_key] = RUN.run_append(out, "late-data")
+    res = _RESULTS[cache_key]
+    return res.filter(F.col("key") != SENTINEL_ID).select(
+        "tag", F.col("key").alias("user_id"), _ts("start_us").alias("window_start"),
+        _ts("end_us").alias("window_end"), "cnt", F.col("seq").alias("event_id"))

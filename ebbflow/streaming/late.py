@@ -40,7 +40,8 @@ class LateWindowProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         # window start -> (rows counted before the window fired, all rows counted)
-        self.counts = handle.getMapState("counts", "start long", "ontime long, total long")
+        self.counts = handle.getMapState("counts", "start long",
+                                         "ontime long, total long, fired boolean")
 
     def _timer(self, effective_us: int) -> int:
         """Timer (ms, Spark watermark clock) firing once the effective
@@ -62,24 +63,28 @@ class LateWindowProcessor(StatefulProcessor):
                 yield self._row("late", key, start, None, r[self.seq])
                 continue
             have = self.counts.containsKey((start,))
-            ontime, total = self.counts.getValue((start,)) if have else (0, 0)
+            ontime, total, fired = self.counts.getValue((start,)) if have else (0, 0, False)
             if eff is not None and end <= eff:
                 total += 1
                 yield self._row("update", key, start, total, r[self.seq])
             else:
                 ontime, total = ontime + 1, total + 1
                 self.handle.registerTimer(self._timer(end))
-            self.counts.updateValue((start,), (ontime, total))
+            self.counts.updateValue((start,), (ontime, total, fired))
             if not have:
                 self.handle.registerTimer(self._timer(end + self.lateness))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        # Timers of one key may be delivered in any order within a batch, so
+        # every call settles all windows that are due, firing each at most once.
         due_ms = expiredTimerInfo.getExpiryTimeInMs()
         for (start,) in list(self.counts.keys()):
             end = start + self.size
-            ontime = self.counts.getValue((start,))[0]
-            if self._timer(end) == due_ms and ontime > 0:
+            ontime, total, fired = self.counts.getValue((start,))
+            if not fired and ontime > 0 and self._timer(end) <= due_ms:
                 yield self._row("main", key, start, ontime, None)
+                fired = True
+                self.counts.updateValue((start,), (ontime, total, fired))
             if self._timer(end + self.lateness) <= due_ms:
                 self.counts.removeKey((start,))
 

@@ -30,8 +30,14 @@ def file_number(col: str, dtype, lo: int, hi: int, n_files: int) -> F.Column:
     the order column (epoch microseconds for timestamps). The same formula in
     SQL reproduces the file boundaries exactly."""
     v = _as_int(F.col(col), dtype)
-    num = ((v - F.lit(lo)) * F.lit(n_files)).cast("decimal(38,0)")
-    return F.floor(num / F.lit(hi - lo + 1).cast("decimal(38,0)")).cast("long")
+    return _div((v - F.lit(lo)) * F.lit(n_files), hi - lo + 1)
+
+
+def _div(num: F.Column, den: int) -> F.Column:
+    """Exact integer floor division of a non-negative long column."""
+    q = (num / F.lit(den)).cast("long")          # close, may be off by one
+    q = F.when(q * F.lit(den) > num, q - 1).otherwise(q)
+    return F.when((q + 1) * F.lit(den) <= num, q + 1).otherwise(q)
 
 
 def _as_int(c: F.Column, dtype) -> F.Column:
