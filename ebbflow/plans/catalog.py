@@ -8,11 +8,14 @@ and types are the same on both sides (aliases everywhere, bigint counts,
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ebbflow.session import configure
+
 
 @dataclass(frozen=True)
 class Query:
@@ -32,6 +35,12 @@ def query(name: str, *, covers: tuple[str, ...], oracle: str | None = None,
     def deco(fn):
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = Query(name, fn, oracle.strip() if oracle else None, covers, headline)
+
+        @functools.wraps(fn)
+        def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+            configure(spark)
+            return fn(spark, sf_dir)
+
+        REGISTRY[name] = Query(name, build, oracle.strip() if oracle else None, covers, headline)
         return fn
     return deco

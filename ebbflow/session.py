@@ -47,6 +47,26 @@ def build_session(app: str = "ebbflow", master: str | None = None,
     return spark
 
 
+# Settings a query needs whatever session it is handed (all runtime SQL confs).
+RUNTIME_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply :data:`RUNTIME_CONF` to a session built elsewhere and make sure
+    the shared checkpoint folder is known."""
+    for k, v in RUNTIME_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset."""
     sc = spark.sparkContext

@@ -13,6 +13,8 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +22,23 @@ from pyspark.sql import types as T
 from ebbflow.session import work_dir
 
 
+@contextlib.contextmanager
+def state_partitions(spark):
+    """Start a stateful query with one state partition per core of the
+    cluster (``defaultParallelism``), not the batch default: every micro-batch
+    visits every state partition, and the count is fixed in the checkpoint at
+    the first start."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    want = max(1, spark.sparkContext.defaultParallelism)
+    if int(before) > want:
+        spark.conf.set(key, str(want))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def run_append(stream: DataFrame, name: str, checkpoint: str | None = None,
                out: str | None = None, fmt: str = "parquet",
                until_caught_up: bool = False) -> DataFrame:
@@ -33,18 +52,19 @@ def run_append(stream: DataFrame, name: str, checkpoint: str | None = None,
     w = (stream.writeStream.outputMode("append").format(fmt)
          .option("path", out).option("checkpointLocation", checkpoint)
          .queryName(f"{name}_{abs(hash(out)) % 10**8}"))
-    if until_caught_up:
-        # Processing-time state keeps asking for cleanup-only batches, so an
-        # availableNow query would never end: run it without no-data batches.
-        key = "spark.sql.streaming.noDataMicroBatches.enabled"
-        before = spark.conf.get(key, "true")
-        spark.conf.set(key, "false")
-        try:
+    with state_partitions(spark):
+        if until_caught_up:
+            # Processing-time state keeps asking for cleanup-only batches, so an
+            # availableNow query would never end: run it without no-data batches.
+            key = "spark.sql.streaming.noDataMicroBatches.enabled"
+            before = spark.conf.get(key, "true")
+            spark.conf.set(key, "false")
+            try:
+                q = w.trigger(availableNow=True).start()
+            finally:
+                spark.conf.set(key, before)
+        else:
             q = w.trigger(availableNow=True).start()
-        finally:
-            spark.conf.set(key, before)
-    else:
-        q = w.trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception():
         raise q.exception()
@@ -64,9 +84,10 @@ def run_update(stream: DataFrame, name: str, checkpoint: str | None = None,
     spark = stream.sparkSession
     out = out or work_dir(spark, "stream-out", name)
     checkpoint = checkpoint or work_dir(spark, "stream-ckpt", name)
-    q = (stream.writeStream.outputMode(mode).foreachBatch(batch_writer(out))
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+    with state_partitions(spark):
+        q = (stream.writeStream.outputMode(mode).foreachBatch(batch_writer(out))
+             .option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception():
         raise q.exception()

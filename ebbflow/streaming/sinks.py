@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from ebbflow.operators import running as R
 from ebbflow.session import work_dir
+from ebbflow.streaming.runner import state_partitions
 
 
 def buffered_writer(out: str, pending: str, seq: str, n: int, schema: T.StructType):
@@ -54,8 +55,9 @@ def run_buffered(stream: DataFrame, seq: str, n: int, name: str) -> DataFrame:
     out = work_dir(spark, "stream-out", name)
     pending = work_dir(spark, "stream-state", name)
     ckpt = work_dir(spark, "stream-ckpt", name)
-    q = (stream.writeStream.foreachBatch(buffered_writer(out, pending, seq, n, stream.schema))
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    with state_partitions(spark):
+        q = (stream.writeStream.foreachBatch(buffered_writer(out, pending, seq, n, stream.schema))
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception():
         raise q.exception()
