@@ -37,6 +37,8 @@ def broadcast_all(df: DataFrame, n: int) -> DataFrame:
 
 
 def global_one(df: DataFrame) -> DataFrame:
+    """All rows in one partition (one task). Only for inputs with a size
+    bound, such as per-category totals; never for raw events."""
     return df.repartition(1)
 
 
@@ -44,14 +46,20 @@ def custom(df: DataFrame, n: int, expr: Column) -> DataFrame:
     return df.repartitionById(n, expr)
 
 
-def partition_report(df: DataFrame, key: str, n: int = 4) -> DataFrame:
-    """Rows and non-empty partitions after each mode (one union, one job)."""
+def partition_report(df: DataFrame, key: str, category: str, n: int = 4) -> DataFrame:
+    """Rows and non-empty partitions after each mode (one union, one job).
+
+    ``global`` sends everything to one task, so it is applied to the
+    per-``category`` totals (one row per category, a bounded set), not to the
+    raw rows; every other mode moves the raw rows.
+    """
+    totals = df.groupBy(category).agg(F.count(F.lit(1)).alias("n"))
     modes = {
         "shuffle": shuffle(df, n),
         "rebalance": rebalance(df, n),
         "rescale": rescale(rebalance(df, n), n // 2),
         "broadcast": broadcast_all(df, n),
-        "global": global_one(df),
+        "global": global_one(totals),
         "custom": custom(df, 2, (F.col(key) % 2).cast("int")),
     }
     parts = None
