@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_ROWS_PER_CHUNK = 2_000_000
+# Session setting that overrides the default chunk size for a whole job.
+ROWS_PER_CHUNK_CONF = "ebbflow.running.rowsPerChunk"
 
 _CHUNK = "_rc_chunk"
 
@@ -95,6 +97,9 @@ def chunk_width(df: DataFrame, chunk_on: Column, rows_per_chunk: int) -> tuple[i
     scales with the data: 100x the rows gives 100x the chunks, never bigger
     chunks.
     """
+    conf = df.sparkSession.conf.get(ROWS_PER_CHUNK_CONF, None)
+    if conf and rows_per_chunk == DEFAULT_ROWS_PER_CHUNK:
+        rows_per_chunk = int(conf)
     row = df.agg(F.min(chunk_on).alias("lo"), F.max(chunk_on).alias("hi"),
                  F.count(F.lit(1)).alias("n")).first()
     if row is None or row["n"] == 0 or row["lo"] is None:

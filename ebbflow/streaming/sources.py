@@ -72,3 +72,15 @@ def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
                 files_per_trigger: int = 1) -> DataFrame:
     return (spark.readStream.schema(schema).format(fmt)
             .option("maxFilesPerTrigger", files_per_trigger).load(path))
+
+
+def read_text_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
+    """New text files in a folder as a stream of ``value`` lines."""
+    return spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
+
+
+def read_socket(spark: SparkSession, host: str, port: int) -> DataFrame:
+    """S4 as written in the original jobs: lines from a socket. Spark's socket
+    source is for trials only (no replay after failure); nothing here opens a
+    port, the caller provides the server."""
+    return spark.readStream.format("socket").option("host", host).option("port", port).load()
