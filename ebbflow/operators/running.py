@@ -10,8 +10,9 @@ most active user) would run on a single task outright.
 :func:`running` computes the same values in three steps that never put more
 than ``rows_per_chunk`` rows of one key in one task:
 
-1. Cut the order column into equal-width *chunks* sized from the row count,
-   so a chunk holds about ``rows_per_chunk`` rows over all keys.
+1. Cut the order column into *chunks* at approximate quantiles (sized from
+   the row count), so a chunk holds about ``rows_per_chunk`` rows over all
+   keys, however bursty the order values are.
 2. Running values inside each ``(key, chunk)`` with a window partitioned on
    both; per ``(key, chunk)`` totals with a partial+final aggregate.
 3. An exclusive prefix over the chunk totals of each key (one row per
@@ -90,16 +91,62 @@ def _numeric(c: Column, dtype: T.DataType) -> Column:
     return c.cast("long")
 
 
-def chunk_width(df: DataFrame, chunk_on: Column, rows_per_chunk: int) -> tuple[int, int]:
-    """(origin, width) so that chunks hold about ``rows_per_chunk`` rows.
+@dataclass(frozen=True)
+class ChunkPlan:
+    """How rows are cut into chunks along the (numeric) order column.
+
+    Equal width ``[origin + i*width, origin + (i+1)*width)`` when ``splits``
+    is None; otherwise quantile boundaries (``Bucketizer`` splits, a binary
+    search on the JVM), so bursty or outlying times still give chunks of
+    about ``rows_per_chunk`` rows. Either way the chunk is a non-decreasing
+    function of the order value, which is all the prefix combine needs.
+    """
+
+    origin: int = 0
+    width: int = 1
+    splits: tuple[float, ...] | None = None
+
+    def assign(self, df: DataFrame, num: Column, out: str) -> DataFrame:
+        if self.splits is None:
+            return df.withColumn(out, F.floor((num - F.lit(self.origin)) / F.lit(self.width))
+                                 .cast("long"))
+        from pyspark.ml.feature import Bucketizer
+        tmp = f"{out}_num"
+        b = Bucketizer(splits=list(self.splits), inputCol=tmp, outputCol=out)
+        staged = df.withColumn(tmp, num.cast("double"))
+        return b.transform(staged).withColumn(out, F.col(out).cast("long")).drop(tmp)
+
+
+def plan_chunks(df: DataFrame, num: Column, rows_per_chunk: int) -> ChunkPlan:
+    """Chunk plan holding about ``rows_per_chunk`` rows per chunk.
 
-    One cheap aggregate over the chunk column (min, max, count). The width
-    scales with the data: 100x the rows gives 100x the chunks, never bigger
-    chunks.
+    One aggregate job (count, min, max); when more than one chunk is needed,
+    a second one for ``n_chunks - 1`` approximate quantiles. 100x the rows
+    gives 100x the chunks, never bigger chunks.
     """
     conf = df.sparkSession.conf.get(ROWS_PER_CHUNK_CONF, None)
     if conf and rows_per_chunk == DEFAULT_ROWS_PER_CHUNK:
         rows_per_chunk = int(conf)
+    row = df.agg(F.min(num).alias("lo"), F.max(num).alias("hi"),
+                 F.count(F.lit(1)).alias("n")).first()
+    if row is None or row["n"] == 0 or row["lo"] is None:
+        return ChunkPlan()
+    lo, hi = int(row["lo"]), int(row["hi"])
+    n_chunks = max(1, math.ceil(row["n"] / max(1, rows_per_chunk)))
+    if n_chunks == 1 or lo == hi:
+        return ChunkPlan(lo, hi - lo + 1)
+    probs = [i / n_chunks for i in range(1, n_chunks)]
+    accuracy = max(10_000, 20 * n_chunks)
+    qs = df.agg(F.percentile_approx(num, probs, accuracy).alias("q")).first()["q"]
+    cuts = sorted({float(q) for q in qs if q is not None and lo < q <= hi})
+    if not cuts:
+        return ChunkPlan(lo, hi - lo + 1)
+    return ChunkPlan(splits=tuple([float("-inf"), *cuts, float("inf")]))
+
+
+def chunk_width(df: DataFrame, chunk_on: Column, rows_per_chunk: int) -> tuple[int, int]:
+    """Equal-width (origin, width) with about ``rows_per_chunk`` rows per chunk
+    on average (assumes the order values are spread evenly)."""
     row = df.agg(F.min(chunk_on).alias("lo"), F.max(chunk_on).alias("hi"),
                  F.count(F.lit(1)).alias("n")).first()
     if row is None or row["n"] == 0 or row["lo"] is None:
@@ -112,7 +159,8 @@ def chunk_width(df: DataFrame, chunk_on: Column, rows_per_chunk: int) -> tuple[i
 def running(df: DataFrame, by: list[str], order: list[str], aggs: dict[str, Run], *,
             descending: bool = False, chunk_on: str | Column | None = None,
             rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
-            width: tuple[int, int] | None = None) -> DataFrame:
+            width: tuple[int, int] | None = None,
+            plan: ChunkPlan | None = None) -> DataFrame:
     """Append running aggregates ``aggs`` (name -> :class:`Run`) to ``df``.
 
     by: key columns (empty = one global sequence).
@@ -120,16 +168,17 @@ def running(df: DataFrame, by: list[str], order: list[str], aggs: dict[str, Run]
         from the last row to the first (suffix values, "next" lookups).
     chunk_on: numeric or timestamp expression, non-decreasing in ``order``;
         defaults to the first order column.
-    width: precomputed ``(origin, width)``; skips the statistics job.
+    width: precomputed equal-width ``(origin, width)``; skips the statistics jobs.
+    plan: a precomputed :class:`ChunkPlan` (e.g. shared by several calls).
     """
     if not order:
         raise ValueError("running() needs an order")
     chunk_src = _col(chunk_on if chunk_on is not None else order[0])
     dtype = df.select(chunk_src.alias("_c")).schema[0].dataType
     chunk_num = _numeric(chunk_src, dtype)
-    origin, w = width if width is not None else chunk_width(df, chunk_num, rows_per_chunk)
-
-    data = df.withColumn(_CHUNK, F.floor((chunk_num - F.lit(origin)) / F.lit(w)).cast("long"))
+    if plan is None:
+        plan = ChunkPlan(*width) if width is not None else plan_chunks(df, chunk_num, rows_per_chunk)
+    data = plan.assign(df, chunk_num, _CHUNK)
     ord_cols = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
     order_key = F.struct(*[F.col(c) for c in order])
 

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbflow.operators.running import DEFAULT_ROWS_PER_CHUNK, _numeric, chunk_width
+from ebbflow.operators.running import DEFAULT_ROWS_PER_CHUNK, _numeric, plan_chunks
 
 
 @dataclass(frozen=True)
@@ -146,11 +146,11 @@ def run_state_machine(df: DataFrame, sm: StateMachine, key: str, order: list[str
         code = F.when(F.col(event) == F.lit(e), F.lit(i)).otherwise(code)
 
     num = _numeric(F.col(order[0]), df.schema[order[0]].dataType)
-    origin, width = chunk_width(df, num, rows_per_chunk)
+    plan = plan_chunks(df, num, rows_per_chunk)
     out_cols = list(dict.fromkeys([key, *emit_cols]))
     cols = list(dict.fromkeys([key, *order, *emit_cols]))
-    data = df.select(*cols, code.cast("int").alias("_ev"),
-                     F.floor((num - F.lit(origin)) / F.lit(width)).cast("long").alias("_chunk"))
+    data = plan.assign(df.select(*cols, num.alias("_num"), code.cast("int").alias("_ev")),
+                       F.col("_num"), "_chunk").drop("_num")
     key_type = df.schema[key].dataType.simpleString()
 
     def sorted_by(frame: DataFrame, group: list[str], within: list[str]) -> DataFrame:

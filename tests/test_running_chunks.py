@@ -62,3 +62,14 @@ def test_state_machine_chunks_equal_strict_pattern(spark, ev, rpc):
                               rows_per_chunk=rpc)
     assert rows(sm, "user_id", "event_id") == rows(strict, "user_id", "f3_event_id")
     assert sm.count() > 0
+
+
+def test_chunks_stay_balanced_with_outlier(spark):
+    """Equal-width chunks would put every row but one in chunk 0 here."""
+    data = [(i, i) for i in range(2000)] + [(2000, 10**12)]
+    df = spark.createDataFrame(data, "seq long, t long")
+    plan = R.plan_chunks(df, F.col("t"), 200)
+    sizes = [r["count"] for r in plan.assign(df, F.col("t"), "c").groupBy("c").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) <= 400
+    got = R.running(df, [], ["t"], {"n": R.count()}, rows_per_chunk=200)
+    assert rows(got, "seq", "n") == [(i, i + 1) for i in range(2001)]
