@@ -12,9 +12,25 @@ from ebbflow.operators.state_machine import LOGIN_FAILURE_MACHINE
 from ebbflow.plans.catalog import query
 from ebbflow.plans.stream_queries import SENTINEL_ID, _oracle, staged_events
 from ebbflow.streaming import processors as PR
+from ebbflow.session import work_dir
 from ebbflow.streaming import runner as RUN
 
-_RESULTS: dict[tuple[str, str], DataFrame] = {}
+# Sink folder and schema of each finished stream run, by (query, sf_dir):
+# queries that read two outputs of one run (matches and timeouts) run it once.
+# Paths, not DataFrames, so a later session can read them too.
+_RESULTS: dict[tuple[str, str], tuple[str, object]] = {}
+
+
+def _cached(spark, cache_key, run) -> DataFrame:
+    """``run(out)`` runs a stream into the sink folder ``out`` once; later
+    calls read the folder."""
+    if cache_key not in _RESULTS:
+        out = work_dir(spark, "stream-out", cache_key[0])
+        df = run(out)
+        _RESULTS[cache_key] = (out, df.schema)
+        return df
+    path, schema = _RESULTS[cache_key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def _ts(col: str):
@@ -23,8 +39,7 @@ def _ts(col: str):
 
 def _keyed(spark, sf_dir, name, key, processor, schema, time_mode="EventTime",
            extra_cols=()):
-    cache_key = (name, sf_dir)
-    if cache_key not in _RESULTS:
+    def run(sink):
         ev = staged_events(spark, sf_dir, name).withColumn("us", epoch_us("ts"))
         for c, expr in extra_cols:
             ev = ev.withColumn(c, expr)
@@ -32,9 +47,9 @@ def _keyed(spark, sf_dir, name, key, processor, schema, time_mode="EventTime",
             ev = ev.withWatermark("ts", "0 seconds")
         out = (ev.groupBy(key)
                  .transformWithState(processor, schema, "Append", time_mode))
-        _RESULTS[cache_key] = RUN.run_append(out, name,
-                                             until_caught_up=time_mode == "ProcessingTime")
-    return _RESULTS[cache_key]
+        return RUN.run_append(out, name, out=sink,
+                              until_caught_up=time_mode == "ProcessingTime")
+    return _cached(spark, (name, sf_dir), run)
 
 
 @query("stream_state_machine", covers=("C6", "G1"), oracle=_oracle("state_machine"))
@@ -158,8 +173,7 @@ def stream_late_data(spark, sf_dir):
     from ebbflow.streaming import sources as SS
     from ebbflow.streaming.late import LateWindowProcessor
 
-    cache_key = ("late", sf_dir)
-    if cache_key not in _RESULTS:
+    def run(sink):
         arr = arrivals(spark, sf_dir)
         path = SS.stage_files(arr, "arrival", LATE_FILES, "late-data")
         SS.append_sentinel(spark, path, {"event_id": SENTINEL_ID, "user_id": SENTINEL_ID,
@@ -175,8 +189,8 @@ def stream_late_data(spark, sf_dir):
         out = ev.groupBy("user_id").transformWithState(
             proc, "tag string, key long, start_us long, end_us long, cnt long, seq long",
             "Append", "EventTime")
-        _RESULTS[cache_key] = RUN.run_append(out, "late-data")
-    res = _RESULTS[cache_key]
+        return RUN.run_append(out, "late-data", out=sink)
+    res = _cached(spark, ("late", sf_dir), run)
     return res.filter(F.col("key") != SENTINEL_ID).select(
         "tag", F.col("key").alias("user_id"), _ts("start_us").alias("window_start"),
         _ts("end_us").alias("window_end"), "cnt", F.col("seq").alias("event_id"))
