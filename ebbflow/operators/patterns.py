@@ -4,10 +4,11 @@ A pattern is a small description object; it compiles to DataFrame
 operations, not to an automaton of our own:
 
 * strict contiguity (``next`` / ``times(n).consecutive()``): number the rows
-  of each key in event-time order (chunked running count), keep the rows
-  satisfying each step's condition, and equi-join step ``i`` to step ``i+1``
-  on ``(key, position + 1)``. Positions are unique per key, so the joins are
-  skew-free and every match (overlapping ones included) is found once.
+  of each key in event-time order (chunked running count); each row votes
+  for the match end positions its step conditions allow, and an end position
+  with a vote from every step is a match. Positions are unique per key, so
+  the ``(key, end)`` groups hold at most ``n`` rows and every match
+  (overlapping ones included) is found once.
 * relaxed contiguity with a time bound (``followedBy(...).within(t)``): each
   start row looks up the nearest later end row (a chunked as-of lookup in
   descending order); ``end - start < within`` is a match, anything else is a
@@ -71,33 +72,35 @@ def strict_matches(df: DataFrame, pattern: Pattern, key: str, order: list[str],
 
     Output: ``key`` and, per step ``s`` and column ``c`` in ``emit``,
     ``{s}_{c}``. Overlapping matches are all kept (no-skip strategy).
+
+    Rows are numbered per key (chunked running count). A row at position
+    ``p`` that satisfies step ``i`` votes for a match ending at ``p + n - 1 -
+    i``; a match is an end position that collects all ``n`` votes. That is
+    one aggregation on ``(key, end)`` (at most ``n`` rows per group, partial
+    aggregation before the shuffle) instead of ``n - 1`` joins.
     """
     if any(pattern.relaxed[1:]):
         raise ValueError("strict_matches handles next/consecutive steps only")
+    n = len(pattern.steps)
     cols = list(dict.fromkeys([key, *order, *emit]))
     flags = [F.coalesce(s.where, F.lit(False)).alias(f"_ok{i}")
              for i, s in enumerate(pattern.steps)]
     base = df.select(*cols, *flags)
     any_ok = F.lit(False)
-    for i in range(len(pattern.steps)):
+    for i in range(n):
         any_ok = any_ok | F.col(f"_ok{i}")
-    numbered = R.running(base, [key], order, {"_pos": R.count()}, **kw)
-    numbered = numbered.filter(any_ok)
-
-    n = len(pattern.steps)
-    out = None
-    for i, step in enumerate(pattern.steps):
-        part = numbered.filter(F.col(f"_ok{i}")).select(
-            F.col(key).alias(f"_k{i}"),
-            (F.col("_pos") + F.lit(n - 1 - i)).alias(f"_end{i}"),
-            *[F.col(c).alias(f"{step.name}_{c}") for c in emit])
-        if out is None:
-            out = part
-        else:
-            out = out.join(part, (F.col("_k0") == F.col(f"_k{i}"))
-                           & (F.col("_end0") == F.col(f"_end{i}")), "inner")
+    numbered = R.running(base, [key], order, {"_pos": R.count()}, **kw).filter(any_ok)
+
+    votes = F.array(*[F.struct(F.lit(i).alias("step"),
+                               (F.col("_pos") + F.lit(n - 1 - i)).alias("end"),
+                               F.col(f"_ok{i}").alias("ok")) for i in range(n)])
+    cast = numbered.select(key, *emit, F.explode(F.filter(votes, lambda v: v["ok"])).alias("_v"))
+    per_step = [F.max(F.when(F.col("_v.step") == F.lit(i), F.col(c))).alias(f"{s.name}_{c}")
+                for i, s in enumerate(pattern.steps) for c in emit]
+    ends = (cast.groupBy(key, F.col("_v.end").alias("_end"))
+                .agg(F.count(F.lit(1)).alias("_votes"), *per_step))
     names = [f"{s.name}_{c}" for s in pattern.steps for c in emit]
-    return out.select(F.col("_k0").alias(key), *names)
+    return ends.filter(F.col("_votes") == F.lit(n)).select(key, *names)
 
 
 def followed_by_within(df: DataFrame, pattern: Pattern, key: str, ts: str, seq: str,
