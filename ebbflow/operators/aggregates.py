@@ -47,9 +47,11 @@ def most_active(df: DataFrame, key: str, seq: str, **kw) -> DataFrame:
 
     The reduce keeps the old leader only if its count is strictly larger, so
     ties go to the newer record: the leader is ``max(struct(cnt, seq))``.
-    Both running steps are chunked; the global one has no key at all, so it
-    would otherwise run on a single task.
+    Both running steps are chunked (one chunk plan for both); the global one
+    has no key at all, so it would otherwise run on a single task.
     """
+    if "plan" not in kw and "width" not in kw:
+        kw["plan"] = R.plan_for(df, seq, kw.get("rows_per_chunk", R.DEFAULT_ROWS_PER_CHUNK))
     counts = running_count(df, key, seq, **kw)
     lead = R.running(counts, [], [seq],
                      {"_lead": R.rmax(F.struct(F.col("cnt"), F.col(seq), F.col(key)))}, **kw)

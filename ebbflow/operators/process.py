@@ -50,6 +50,9 @@ def periodic_counts(df: DataFrame, key: str, ts: str, period, **kw) -> DataFrame
     per = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(p_us / 1_000_000))
 
     nodes = df.groupBy(key, ts).agg(F.count(F.lit(1)).alias("_n"))
+    if "plan" not in kw and "width" not in kw:
+        # one chunk plan for both scans below (the second sees each time twice)
+        kw["plan"] = R.plan_for(df, ts, kw.get("rows_per_chunk", R.DEFAULT_ROWS_PER_CHUNK) // 2)
     nodes = R.running(nodes, [key], [ts], {"_cum": R.rsum("_n")}, **kw)
 
     # next(t): first node strictly after t + period (probes sort before nodes at a tie

@@ -144,6 +144,16 @@ def plan_chunks(df: DataFrame, num: Column, rows_per_chunk: int) -> ChunkPlan:
     return ChunkPlan(splits=tuple([float("-inf"), *cuts, float("inf")]))
 
 
+def plan_for(df: DataFrame, col: str | Column,
+             rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> ChunkPlan:
+    """:func:`plan_chunks` on a column of ``df`` (numeric or timestamp); the
+    plan can be passed to several :func:`running` calls over the same order
+    domain, so a pipeline pays for its statistics once."""
+    c = _col(col)
+    dtype = df.select(c.alias("_c")).schema[0].dataType
+    return plan_chunks(df, _numeric(c, dtype), rows_per_chunk)
+
+
 def chunk_width(df: DataFrame, chunk_on: Column, rows_per_chunk: int) -> tuple[int, int]:
     """Equal-width (origin, width) with about ``rows_per_chunk`` rows per chunk
     on average (assumes the order values are spread evenly)."""
