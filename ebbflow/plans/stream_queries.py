@@ -127,3 +127,12 @@ def resume_word_count(spark, sf_dir):
     all_docs.filter(F.col("doc_id") > mid).write.mode("append").parquet(live)
     RUN.run_update(counts(), "wc", checkpoint=ckpt, out=out)        # restart, same checkpoint
     return RUN.latest_per_key(spark, out, ["word"], counts().schema)
+
+
+@query("stream_sql_select", covers=("S8", "S9", "B6", "B7"), oracle=_oracle("table_select_where"))
+def stream_sql_select(spark, sf_dir):
+    """Stream -> temporary view -> SQL -> insert-only stream (append sink)."""
+    ev = staged_events(spark, sf_dir, "sql-select", sentinel=False)
+    ev.createOrReplaceTempView("click_stream")
+    sel = spark.sql("SELECT user_id, event_type, ts FROM click_stream WHERE event_type = 'view'")
+    return _ntz(RUN.run_append(sel, "sql_select"), "ts")
