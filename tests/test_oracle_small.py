@@ -54,3 +54,20 @@ def test_every_query_has_an_oracle_or_is_listed():
                          "stream_late_data", "stream_sliding_topn", "stream_order_timeout",
                          "stream_state_machine", "stream_manual_window", "stream_buffered_sink",
                          "stream_periodic_pv", "stream_connect_join", "stream_interval_join"}
+
+
+CHUNKED = ["most_active_user", "running_count", "running_keyed_max", "count_window_avg",
+           "window_sequence", "watermark_trace", "late_main", "late_side", "broadcast_rules",
+           "cep_times_consecutive", "state_machine", "cep_followed_by", "buffered_sink",
+           "periodic_pv"]
+
+
+@pytest.mark.parametrize("name", CHUNKED)
+def test_query_equals_oracle_with_small_chunks(spark, con, name):
+    """The same queries with ~100-row chunks: every running value crosses chunks."""
+    from ebbflow.operators.running import ROWS_PER_CHUNK_CONF
+    spark.conf.set(ROWS_PER_CHUNK_CONF, "97")
+    try:
+        test_query_equals_oracle(spark, con, name)
+    finally:
+        spark.conf.unset(ROWS_PER_CHUNK_CONF)
