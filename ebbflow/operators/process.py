@@ -45,6 +45,7 @@ def periodic_counts(df: DataFrame, key: str, ts: str, period, **kw) -> DataFrame
 
     from ebbflow.functions.time import epoch_us
     from ebbflow.operators import running as R
+    from ebbflow.session import checkpointed
 
     p_us = duration_ms(period) * 1000
     per = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(p_us / 1_000_000))
@@ -80,7 +81,7 @@ def periodic_counts(df: DataFrame, key: str, ts: str, period, **kw) -> DataFrame
     bound = (stats["hi"] - stats["lo"]) // p_us + 2
     levels = max(1, math.ceil(math.log2(bound)))
 
-    j0 = jump0.checkpoint()
+    j0 = checkpointed(jump0)
     jumps = [j0.select(key, "src", "dst")]
     for _ in range(1, levels):
         a = jumps[-1].alias("a")
@@ -89,7 +90,7 @@ def periodic_counts(df: DataFrame, key: str, ts: str, period, **kw) -> DataFrame
                       "left")
                 .select(F.col(f"a.{key}").alias(key), F.col("a.src").alias("src"),
                         F.col("b.dst").alias("dst")))
-        jumps.append(nxt.checkpoint())
+        jumps.append(checkpointed(nxt))
 
     marked = nodes.groupBy(key).agg(F.min(ts).alias("src"))
     for j in reversed(jumps):
@@ -99,7 +100,7 @@ def periodic_counts(df: DataFrame, key: str, ts: str, period, **kw) -> DataFrame
                           & (F.col("m.src") == F.col("j.src")), "inner")
                     .filter(F.col("j.dst").isNotNull())
                     .select(F.col(f"m.{key}").alias(key), F.col("j.dst").alias("src")))
-        marked = marked.unionByName(reached).distinct().checkpoint()
+        marked = checkpointed(marked.unionByName(reached).distinct())
 
     out = (marked.join(j0, [key, "src"], "inner").join(totals, [key], "inner")
                  .select(key, (F.col("src") + per).alias("timer_ts"),

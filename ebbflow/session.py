@@ -92,3 +92,18 @@ def work_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if "://" not in path:
         os.makedirs(path, exist_ok=True)
     return path
+
+
+def checkpointed(df):
+    """Reliable checkpoint into ``spark.checkpoint.dir`` (never a local one).
+
+    Writing a checkpoint computes the plan a second time unless it is cached,
+    so the plan is persisted for the duration of the write: one computation,
+    one write, and the lineage is cut.
+    """
+    from pyspark import StorageLevel
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
