@@ -84,6 +84,9 @@ def main() -> None:
            "functions are under `ebbflow/`.", "",
            "| ID | What | Queries | Functions |", "| --- | --- | --- | --- |"]
     for i, what in rows:
+        # keep the description only: no pointers into the original sources
+        what = re.sub(r"\s*\([^()]*`[^`]*:[0-9][^`]*`[^()]*\)", "", what)
+        what = re.sub(r"`[^`]*\.(java|csv|xml)[^`]*`", "", what)
         qs = ", ".join(f"`{q}`" for q in by_id.get(i, [])) or "—"
         out.append(f"| {i} | {what.strip()} | {qs} | {FUNCTIONS.get(i, '—')} |")
     open(os.path.join(ROOT, "COVERAGE.md"), "w").write("\n".join(out) + "\n")

@@ -21,7 +21,7 @@ def test_connect_join_pairs(spark):
 
 def actions_rules(spark):
     actions = spark.createDataFrame(
-        [(0, "xzz", "login"), (1, "xzz", "pay"), (2, "wentao", "login"), (3, "wentao", "order")],
+        [(0, "user_a", "login"), (1, "user_a", "pay"), (2, "user_b", "login"), (3, "user_b", "order")],
         "seq long, userId string, action string")
     rules = spark.createDataFrame([(0, "login", "pay"), (1, "login", "order")],
                                   "seq long, action1 string, action2 string")
@@ -31,14 +31,14 @@ def actions_rules(spark):
 def test_broadcast_rules_latest_only(spark):
     actions, rules = actions_rules(spark)
     out = J.broadcast_rules(actions, J.latest_rule(rules, "seq"), "userId", "action", "seq")
-    assert rows(out, "userId", "prev_action", "action") == [("wentao", "login", "order")]
+    assert rows(out, "userId", "prev_action", "action") == [("user_b", "login", "order")]
 
 
 def test_broadcast_rules_many(spark):
     actions, rules = actions_rules(spark)
     out = J.broadcast_rules(actions, rules, "userId", "action", "seq")
     assert rows(out, "userId", "prev_action", "action") == [
-        ("wentao", "login", "order"), ("xzz", "login", "pay")]
+        ("user_a", "login", "pay"), ("user_b", "login", "order")]
 
 
 def test_interval_join_inclusive_bounds(spark):
