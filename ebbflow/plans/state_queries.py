@@ -194,3 +194,44 @@ def stream_late_data(spark, sf_dir):
     return res.filter(F.col("key") != SENTINEL_ID).select(
         "tag", F.col("key").alias("user_id"), _ts("start_us").alias("window_start"),
         _ts("end_us").alias("window_end"), "cnt", F.col("seq").alias("event_id"))
+
+
+TRACE_FILES = 6
+
+
+@query("stream_watermark_trace", covers=("T7", "F1"), oracle=f"""
+WITH a AS (SELECT event_id, user_id, ts,
+                  ts + to_seconds(CAST((event_id * 7919) % 5400 AS BIGINT)) AS arrival
+           FROM events),
+b AS (SELECT min(epoch_us(arrival)) AS lo, max(epoch_us(arrival)) AS hi FROM a),
+f AS (SELECT a.*, ((epoch_us(arrival) - lo) * {TRACE_FILES}) // (hi - lo + 1) AS file_no
+      FROM a, b),
+w AS (SELECT file_no, max(mts) OVER (ORDER BY file_no ROWS BETWEEN UNBOUNDED PRECEDING
+                                     AND 1 PRECEDING) AS wmax
+      FROM (SELECT file_no, max(ts) AS mts FROM f GROUP BY file_no))
+SELECT f.event_id, f.user_id,
+       make_timestamp((epoch_us(w.wmax) // 1000) * 1000) - INTERVAL '10 minutes' AS watermark
+FROM f JOIN w USING (file_no)
+""")
+def stream_watermark_trace(spark, sf_dir):
+    """Each event, replayed in arrival order as TRACE_FILES files, with the
+    watermark (10-minute bound) it met in its micro-batch. Spark keeps the
+    watermark in milliseconds, so the oracle truncates the same way."""
+    from ebbflow.plans.event_queries import arrivals
+    from ebbflow.streaming import sources as SS
+    from ebbflow.streaming.late import WatermarkTraceProcessor
+
+    def run(sink):
+        arr = arrivals(spark, sf_dir)
+        path = SS.stage_files(arr, "arrival", TRACE_FILES, "wm-trace")
+        ev = (SS.read_stream(spark, path, arr.schema)
+                .withColumn("ts", F.col("ts").cast("timestamp"))
+                .withWatermark("ts", DECLARED_DELAY))
+        us = lambda spec: duration_ms(spec) * 1000
+        proc = WatermarkTraceProcessor("event_id", us("10 minutes"), us(DECLARED_DELAY))
+        out = ev.groupBy("user_id").transformWithState(
+            proc, "key long, seq long, wm_us long", "Append", "EventTime")
+        return RUN.run_append(out, "wm-trace", out=sink)
+    res = _cached(spark, ("wm-trace", sf_dir), run)
+    return res.select(F.col("seq").alias("event_id"), F.col("key").alias("user_id"),
+                      _ts("wm_us").alias("watermark"))

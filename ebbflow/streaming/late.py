@@ -90,3 +90,26 @@ class LateWindowProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class WatermarkTraceProcessor(StatefulProcessor):
+    """T7 on a stream: each row with the watermark it met (the one left by the
+    previous micro-batch), read with ``getCurrentWatermarkInMs`` and shifted
+    back from the wide declared delay to the real bound. None before the
+    first watermark."""
+
+    def __init__(self, seq: str, bound_us: int, declared_delay_us: int):
+        self.seq = seq
+        self.shift = declared_delay_us - bound_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        wm_ms = timerValues.getCurrentWatermarkInMs()
+        wm = None if wm_ms <= 0 else wm_ms * 1000 + self.shift
+        for r in rows:
+            yield Row(key=key[0], seq=r[self.seq], wm_us=wm)
+
+    def close(self) -> None:
+        pass
