@@ -60,5 +60,7 @@ def as_event_time(ts: Column | str) -> Column:
     return _c(ts).cast("timestamp")
 
 
-def plus_ms(ts: Column | str, ms: int) -> Column:
-    return _c(ts) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(ms / 1000.0))
+def interval(spec: str | int) -> Column:
+    """A day-time interval literal: '10 minutes', '3 seconds', or milliseconds."""
+    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
+                              F.lit(duration_ms(spec) / 1000.0).cast("decimal(18,6)"))

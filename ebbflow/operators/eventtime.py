@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbflow.functions.time import duration_ms, epoch_us
+from ebbflow.functions.time import duration_ms, epoch_us, interval
 from ebbflow.operators import running as R
 from ebbflow.operators.windows import window_col
 
@@ -35,8 +35,7 @@ def with_watermark_trace(df: DataFrame, ts: str, arrival: list[str], bound, **kw
     Null for the first arrival (no watermark yet). Same type as ``ts``.
     """
     run = R.running(df, [], arrival, {"_max_before": R.rmax(ts, exclusive=True)}, **kw)
-    wm = F.col("_max_before") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
-                                                   F.lit(duration_ms(bound) / 1000.0))
+    wm = F.col("_max_before") - interval(bound)
     return run.withColumn("watermark", wm.cast(df.schema[ts].dataType)).drop("_max_before")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbflow.functions.time import duration_ms
+from ebbflow.functions.time import duration_ms, interval
 
 
 def with_task_index(df: DataFrame) -> DataFrame:
@@ -16,8 +16,7 @@ def with_task_index(df: DataFrame) -> DataFrame:
 def distinct_timers(df: DataFrame, ts: str, delay) -> DataFrame:
     """one event-time timer per record at ``ts + delay``; timers with the
     same time collapse into one (partial distinct before the shuffle)."""
-    d = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(duration_ms(delay) / 1000.0))
-    return df.select((F.col(ts) + d).alias("timer_ts")).distinct()
+    return df.select((F.col(ts) + interval(delay)).alias("timer_ts")).distinct()
 
 
 def periodic_counts(df: DataFrame, key: str, ts: str, period, **kw) -> DataFrame:
@@ -48,7 +47,7 @@ def periodic_counts(df: DataFrame, key: str, ts: str, period, **kw) -> DataFrame
     from ebbflow.session import checkpointed
 
     p_us = duration_ms(period) * 1000
-    per = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(p_us / 1_000_000))
+    per = interval(period)
 
     nodes = df.groupBy(key, ts).agg(F.count(F.lit(1)).alias("_n"))
     if "plan" not in kw and "width" not in kw:
