@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ebbflow.functions.time import duration_ms, epoch_us
 from ebbflow.operators.state_machine import LOGIN_FAILURE_MACHINE
 from ebbflow.plans.catalog import query
-from ebbflow.plans.stream_queries import SENTINEL_ID, _oracle, staged_events
+from ebbflow.plans.stream_queries import SENTINEL_ID, _oracle, event_stream, replayed_events
 from ebbflow.streaming import processors as PR
 from ebbflow.session import work_dir
 from ebbflow.streaming import runner as RUN
@@ -40,15 +40,16 @@ def _ts(col: str):
 def _keyed(spark, sf_dir, name, key, processor, schema, time_mode="EventTime",
            extra_cols=()):
     def run(sink):
-        ev = staged_events(spark, sf_dir, name).withColumn("us", epoch_us("ts"))
+        rep = replayed_events(spark, sf_dir, name)
+        ev = event_stream(rep).withColumn("us", epoch_us("ts"))
         for c, expr in extra_cols:
             ev = ev.withColumn(c, expr)
         if time_mode == "EventTime":
             ev = ev.withWatermark("ts", "0 seconds")
         out = (ev.groupBy(key)
                  .transformWithState(processor, schema, "Append", time_mode))
-        return RUN.run_append(out, name, out=sink,
-                              until_caught_up=time_mode == "ProcessingTime")
+        return RUN.replay_append([rep], out, name, out=sink,
+                                 until_caught_up=time_mode == "ProcessingTime")
     return _cached(spark, (name, sf_dir), run)
 
 
@@ -122,13 +123,12 @@ def state_ttl(spark, sf_dir):
 @query("stream_buffered_sink", covers=("S12", "G7"), oracle=_oracle("buffered_sink"))
 def stream_buffered_sink(spark, sf_dir):
     from ebbflow.streaming.sinks import run_buffered
-    ev = staged_events(spark, sf_dir, "buffered", cols=("event_id", "user_id", "event_type", "ts"),
-                       sentinel=False)
-    return run_buffered(ev.select("event_id"), "event_id", 10, "buffered")
+    rep = replayed_events(spark, sf_dir, "buffered", cols=("event_id",), sentinel=False)
+    return run_buffered(rep, "event_id", 10, "buffered")
 
 
 # ------------------------------------------------ T8/T9 on a stream (H1) ---
-LATE_FILES = 12
+LATE_FILES = 8
 DECLARED_DELAY = "3 hours"   # must exceed the worst arrival delay (90 min here)
 
 
@@ -175,11 +175,12 @@ def stream_late_data(spark, sf_dir):
 
     def run(sink):
         arr = arrivals(spark, sf_dir)
-        path = SS.stage_files(arr, "arrival", LATE_FILES, "late-data")
-        SS.append_sentinel(spark, path, {"event_id": SENTINEL_ID, "user_id": SENTINEL_ID,
-                                         "ts": SS.SENTINEL_TS, "arrival": SS.SENTINEL_TS},
-                           arr.schema)
-        ev = (SS.read_stream(spark, path, arr.schema)
+        frames = SS.arrival_ranges(arr, "arrival", LATE_FILES)
+        frames.append(SS.sentinel_frame(spark, {"event_id": SENTINEL_ID, "user_id": SENTINEL_ID,
+                                                "ts": SS.SENTINEL_TS, "arrival": SS.SENTINEL_TS},
+                                        arr.schema))
+        rep = SS.Replay(spark, "late-data", arr.schema, frames)
+        ev = (rep.stream()
                 .withColumn("ts", F.col("ts").cast("timestamp"))
                 .withColumn("us", epoch_us("ts")).withColumn("arr_us", epoch_us("arrival"))
                 .withWatermark("ts", DECLARED_DELAY))
@@ -189,7 +190,7 @@ def stream_late_data(spark, sf_dir):
         out = ev.groupBy("user_id").transformWithState(
             proc, "tag string, key long, start_us long, end_us long, cnt long, seq long",
             "Append", "EventTime")
-        return RUN.run_append(out, "late-data", out=sink)
+        return RUN.replay_append([rep], out, "late-data", out=sink)
     res = _cached(spark, ("late", sf_dir), run)
     return res.filter(F.col("key") != SENTINEL_ID).select(
         "tag", F.col("key").alias("user_id"), _ts("start_us").alias("window_start"),
@@ -223,15 +224,16 @@ def stream_watermark_trace(spark, sf_dir):
 
     def run(sink):
         arr = arrivals(spark, sf_dir)
-        path = SS.stage_files(arr, "arrival", TRACE_FILES, "wm-trace")
-        ev = (SS.read_stream(spark, path, arr.schema)
+        rep = SS.Replay(spark, "wm-trace", arr.schema,
+                        SS.arrival_ranges(arr, "arrival", TRACE_FILES))
+        ev = (rep.stream()
                 .withColumn("ts", F.col("ts").cast("timestamp"))
                 .withWatermark("ts", DECLARED_DELAY))
         us = lambda spec: duration_ms(spec) * 1000
         proc = WatermarkTraceProcessor("event_id", us("10 minutes"), us(DECLARED_DELAY))
         out = ev.groupBy("user_id").transformWithState(
             proc, "key long, seq long, wm_us long", "Append", "EventTime")
-        return RUN.run_append(out, "wm-trace", out=sink)
+        return RUN.replay_append([rep], out, "wm-trace", out=sink)
     res = _cached(spark, ("wm-trace", sf_dir), run)
     return res.select(F.col("seq").alias("event_id"), F.col("key").alias("user_id"),
                       _ts("wm_us").alias("watermark"))

@@ -1,8 +1,8 @@
 """Streaming twins of batch queries.
 
-Each query replays a driver table as files in the shared scratch folder,
-runs a Structured Streaming query to completion and returns what the sink
-wrote. Where the streaming result must equal the batch result, the query
+Each query feeds a driver table to a file stream in arrival ranges (one
+micro-batch per range, the query restarted on its checkpoint after each),
+and returns what the sink wrote. Where the streaming result must equal the batch result, the query
 carries the batch query's DuckDB oracle, so the driver checks stream = batch.
 """
 
@@ -26,18 +26,21 @@ def _oracle(name: str) -> str:
     return REGISTRY[name].oracle
 
 
-def staged_events(spark, sf_dir, name, cols=("event_id", "user_id", "event_type", "ts"),
-                  sentinel=True):
-    """Events as N_FILES arrival files (+ a flush sentinel) and the stream over them."""
+def replayed_events(spark, sf_dir, name, cols=("event_id", "user_id", "event_type", "ts"),
+                    sentinel=True) -> SS.Replay:
+    """Events fed in N_FILES arrival ranges (by event_id), then a flush sentinel."""
     ev = S.events(spark, sf_dir).select(*cols)
-    path = SS.stage_files(ev, "event_id", N_FILES, name)
+    frames = SS.arrival_ranges(ev, "event_id", N_FILES)
     if sentinel:
         row = {c: None for c in cols}
         row.update(event_id=SENTINEL_ID, user_id=SENTINEL_ID, event_type="flush",
                    ts=SS.SENTINEL_TS)
-        SS.append_sentinel(spark, path, {c: row[c] for c in cols}, ev.schema)
-    stream = SS.read_stream(spark, path, ev.schema)
-    return stream.withColumn("ts", as_event_time("ts"))
+        frames.append(SS.sentinel_frame(spark, {c: row[c] for c in cols}, ev.schema))
+    return SS.Replay(spark, name, ev.schema, frames)
+
+
+def event_stream(rep: SS.Replay):
+    return rep.stream().withColumn("ts", as_event_time("ts"))
 
 
 def _ntz(df, *cols):
@@ -48,22 +51,26 @@ def _ntz(df, *cols):
 
 @query("stream_tumbling_uv", covers=("W4", "A12", "S4", "T3"), oracle=_oracle("tumbling_uv"))
 def stream_tumbling_uv(spark, sf_dir):
-    ev = staged_events(spark, sf_dir, "tumbling-uv").withWatermark("ts", "0 seconds")
-    out = RUN.run_append(SO.stream_window_uv(ev, "ts", "10 hours", "user_id"), "tumbling_uv")
+    rep = replayed_events(spark, sf_dir, "tumbling-uv")
+    ev = event_stream(rep).withWatermark("ts", "0 seconds")
+    out = RUN.replay_append([rep], SO.stream_window_uv(ev, "ts", "10 hours", "user_id"),
+                            "tumbling_uv")
     return _ntz(out, "window_start", "window_end")
 
 
 @query("stream_sliding_topn", covers=("W6", "A14"), oracle=_oracle("sliding_topn"))
 def stream_sliding_topn(spark, sf_dir):
-    ev = staged_events(spark, sf_dir, "sliding-topn").withWatermark("ts", "0 seconds")
+    rep = replayed_events(spark, sf_dir, "sliding-topn")
+    ev = event_stream(rep).withWatermark("ts", "0 seconds")
     top = SO.stream_sliding_top_n(ev, "ts", "10 hours", "5 hours", "event_type", 2)
-    out = RUN.run_append(top, "sliding_topn")
+    out = RUN.replay_append([rep], top, "sliding_topn")
     return _ntz(out, "window_start", "window_end")
 
 
 @query("stream_interval_join", covers=("J2",), oracle=_oracle("interval_join"))
 def stream_interval_join(spark, sf_dir):
-    ev = staged_events(spark, sf_dir, "interval-join", sentinel=False)
+    rep = replayed_events(spark, sf_dir, "interval-join", sentinel=False)
+    ev = event_stream(rep)
     views = (ev.filter(F.col("event_type") == "view")
                .select(F.col("user_id").alias("v_user"), F.col("event_id").alias("view_id"),
                        F.col("ts").alias("view_ts"))
@@ -74,8 +81,9 @@ def stream_interval_join(spark, sf_dir):
               .withWatermark("purchase_ts", "6 hours"))
     j = views.join(buys, F.expr("v_user = p_user AND purchase_ts BETWEEN "
                                 "view_ts - INTERVAL 6 HOURS AND view_ts + INTERVAL 6 HOURS"))
-    out = RUN.run_append(j.select(F.col("v_user").alias("user_id"), "view_id", "view_ts",
-                                  "purchase_id", "purchase_ts"), "interval_join")
+    out = RUN.replay_append([rep], j.select(F.col("v_user").alias("user_id"), "view_id",
+                                            "view_ts", "purchase_id", "purchase_ts"),
+                            "interval_join")
     return _ntz(out, "view_ts", "purchase_ts")
 
 
@@ -85,10 +93,11 @@ def stream_connect_join(spark, sf_dir):
     # (the original keeps both list states forever as well).
     orders = S.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     items = S.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate", "l_linenumber")
-    o_path = SS.stage_files(orders, "o_orderkey", N_FILES, "connect-orders")
-    l_path = SS.stage_files(items, "l_orderkey", N_FILES, "connect-items")
-    o = SS.read_stream(spark, o_path, orders.schema)
-    li = SS.read_stream(spark, l_path, items.schema)
+    o_rep = SS.Replay(spark, "connect-orders", orders.schema,
+                      SS.arrival_ranges(orders, "o_orderkey", N_FILES))
+    l_rep = SS.Replay(spark, "connect-items", items.schema,
+                      SS.arrival_ranges(items, "l_orderkey", N_FILES))
+    o, li = o_rep.stream(), l_rep.stream()
     j = o.join(li, F.col("o_orderkey") == F.col("l_orderkey"), "inner")
     later = F.col("l_shipdate") >= F.col("o_orderdate")
     out = j.select(F.col("o_orderkey").alias("key"),
@@ -96,7 +105,7 @@ def stream_connect_join(spark, sf_dir):
                    F.when(later, F.col("l_shipdate")).otherwise(F.col("o_orderdate")).alias("arriving_ts"),
                    F.when(later, F.col("o_orderdate")).otherwise(F.col("l_shipdate")).alias("stored_ts"),
                    "l_linenumber")
-    return RUN.run_append(out, "connect_join")
+    return RUN.replay_append([o_rep, l_rep], out, "connect_join")
 
 
 @query("resume_word_count", covers=("X1", "X2", "X3", "A4", "B5"), oracle=_oracle("word_count"))
@@ -105,34 +114,22 @@ def resume_word_count(spark, sf_dir):
     is stopped after the first half of the files and restarted on the same
     checkpoint with the rest. Final totals equal one uninterrupted run."""
     from ebbflow.functions.text import split_lines, split_words
-    from ebbflow.session import work_dir
 
     docs = S.table(spark, sf_dir, "documents").select("doc_id", "text")
-    staged = SS.stage_files(docs, "doc_id", N_FILES, "wc-all")
-    live = work_dir(spark, "stream-in", "wc-live")
-    ckpt = work_dir(spark, "stream-ckpt", "wc")
-    out = work_dir(spark, "stream-out", "wc")
-
-    def counts():
-        src = SS.read_stream(spark, live, docs.schema)
-        words = (src.select(F.explode(split_lines("text")).alias("line"))
-                    .select(F.explode(split_words("line")).alias("word")))
-        return words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
-
-    all_docs = spark.read.parquet(staged)
-    lo, hi = all_docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    mid = lo + (hi - lo) // 2
-    all_docs.filter(F.col("doc_id") <= mid).write.mode("append").parquet(live)
-    RUN.run_update(counts(), "wc", checkpoint=ckpt, out=out)        # first run, then stop
-    all_docs.filter(F.col("doc_id") > mid).write.mode("append").parquet(live)
-    RUN.run_update(counts(), "wc", checkpoint=ckpt, out=out)        # restart, same checkpoint
-    return RUN.latest_per_key(spark, out, ["word"], counts().schema)
+    halves = SS.arrival_ranges(docs, "doc_id", 2)
+    rep = SS.Replay(spark, "wc", docs.schema, halves)
+    words = (rep.stream().select(F.explode(split_lines("text")).alias("line"))
+                .select(F.explode(split_words("line")).alias("word")))
+    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+    # first half, stop; second half, restart on the same checkpoint
+    out = RUN.replay_update([rep], counts, "wc")
+    return RUN.latest_per_key(spark, out, ["word"], counts.schema)
 
 
 @query("stream_sql_select", covers=("S8", "S9", "B6", "B7"), oracle=_oracle("table_select_where"))
 def stream_sql_select(spark, sf_dir):
     """Stream -> temporary view -> SQL -> insert-only stream (append sink)."""
-    ev = staged_events(spark, sf_dir, "sql-select", sentinel=False)
-    ev.createOrReplaceTempView("click_stream")
+    rep = replayed_events(spark, sf_dir, "sql-select", sentinel=False)
+    event_stream(rep).createOrReplaceTempView("click_stream")
     sel = spark.sql("SELECT user_id, event_type, ts FROM click_stream WHERE event_type = 'view'")
-    return _ntz(RUN.run_append(sel, "sql_select"), "ts")
+    return _ntz(RUN.replay_append([rep], sel, "sql_select"), "ts")

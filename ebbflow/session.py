@@ -58,15 +58,50 @@ RUNTIME_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply :data:`RUNTIME_CONF` to a session built elsewhere and make sure
-    the shared checkpoint folder is known."""
+    """Apply :data:`RUNTIME_CONF` to a session built elsewhere, make sure the
+    shared checkpoint folder is known and ship this package to the executors."""
     for k, v in RUNTIME_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """``addPyFile`` a zip of ``ebbflow`` once per application, so Python
+    workers (``mapInPandas``, ``transformWithState``) can import it wherever
+    they run, whatever the driver's working directory."""
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    target = work_dir(spark, "pyfiles")
+    if "://" in target:   # remote shared store: build locally, Spark uploads it
+        target = tempfile.mkdtemp(prefix="ebbflow-pyfiles-")
+    zpath = os.path.join(target, "ebbflow.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    # Streaming Python runners (transformWithState) start before the shipped
+    # files are on their path; name the package root in the worker
+    # environment as well (a no-op where the folder does not exist).
+    paths = [p for p in (sc.environment.get("PYTHONPATH"), root) if p]
+    sc.environment["PYTHONPATH"] = os.pathsep.join(dict.fromkeys(paths))
+    _SHIPPED.add(app)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset."""
     sc = spark.sparkContext

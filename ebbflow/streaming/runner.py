@@ -9,6 +9,8 @@
   latest row per key.
 * Restart: pass the same ``checkpoint`` folder again; Spark resumes from the
   committed offsets and state (RocksDB state store, set in the session).
+* :func:`replay_append` / :func:`replay_update` feed :class:`Replay` inputs
+  range by range and restart the query on the same checkpoint after each.
 """
 
 from __future__ import annotations
@@ -71,6 +73,37 @@ def run_append(stream: DataFrame, name: str, checkpoint: str | None = None,
     return spark.read.schema(stream.schema).format(fmt).load(out)
 
 
+def _replayed(replays, run_once) -> None:
+    i = 0
+    while True:
+        fed = [r.feed(i) for r in replays]
+        if not any(fed):
+            return
+        run_once()
+        i += 1
+
+
+def replay_append(replays, stream: DataFrame, name: str, out: str | None = None,
+                  until_caught_up: bool = False) -> DataFrame:
+    """Append-mode run over inputs fed one range per restart."""
+    spark = stream.sparkSession
+    out = out or work_dir(spark, "stream-out", name)
+    ckpt = work_dir(spark, "stream-ckpt", name)
+    _replayed(replays, lambda: run_append(stream, name, checkpoint=ckpt, out=out,
+                                          until_caught_up=until_caught_up))
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+def replay_update(replays, stream: DataFrame, name: str, out: str | None = None) -> str:
+    """Update-mode run (``foreachBatch`` changelog) over inputs fed one range
+    per restart; returns the changelog folder."""
+    spark = stream.sparkSession
+    out = out or work_dir(spark, "stream-out", name)
+    ckpt = work_dir(spark, "stream-ckpt", name)
+    _replayed(replays, lambda: run_update(stream, name, checkpoint=ckpt, out=out))
+    return out
+
+
 def batch_writer(path: str, fmt: str = "parquet"):
     """``foreachBatch`` function: one overwritten folder per ``batch_id``."""
     def write(batch: DataFrame, batch_id: int) -> None:

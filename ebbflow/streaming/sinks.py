@@ -50,16 +50,24 @@ def buffered_writer(out: str, pending: str, seq: str, n: int, schema: T.StructTy
     return write
 
 
-def run_buffered(stream: DataFrame, seq: str, n: int, name: str) -> DataFrame:
+def run_buffered(replay, seq: str, n: int, name: str) -> DataFrame:
+    """Buffered sink over a :class:`~ebbflow.streaming.sources.Replay` input,
+    restarted on its checkpoint after each fed range (pending rows carry
+    over through the pending folder)."""
+    stream = replay.stream()
     spark = stream.sparkSession
     out = work_dir(spark, "stream-out", name)
     pending = work_dir(spark, "stream-state", name)
     ckpt = work_dir(spark, "stream-ckpt", name)
-    with state_partitions(spark):
-        q = (stream.writeStream.foreachBatch(buffered_writer(out, pending, seq, n, stream.schema))
-             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
+    i = 0
+    while replay.feed(i):
+        with state_partitions(spark):
+            q = (stream.writeStream
+                 .foreachBatch(buffered_writer(out, pending, seq, n, stream.schema))
+                 .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+        i += 1
     schema = T.StructType(list(stream.schema.fields) + [T.StructField("batch_no", T.LongType())])
     return spark.read.schema(schema).parquet(out).select(*schema.fieldNames())

@@ -1,10 +1,12 @@
 """Streaming inputs: a table replayed as a directory of files.
 
 A continuous line or socket source becomes ``readStream`` over a folder in
-the shared scratch location; each file is one arrival batch
-(``maxFilesPerTrigger=1``). Files are appended one write job at a time in
-arrival order, so modification times follow the order and the file source
-replays them in that order.
+the shared scratch location. :class:`Replay` feeds a table in arrival
+ranges: range ``i`` is appended by a normal parallel write (as many files as
+tasks), then the query runs with ``availableNow`` on its checkpoint, so each
+range is exactly one micro-batch and the watermark and state carry over from
+run to run, as after a restart. No range is ever funnelled into one file or
+one task.
 
 Bounded inputs end with a *flush* in the original jobs. Here the last file
 can be a sentinel: one row far in the future whose watermark closes every
@@ -46,32 +48,46 @@ def _as_int(c: F.Column, dtype) -> F.Column:
     return c.cast("long")
 
 
-def stage_files(df: DataFrame, order_col: str, n_files: int, name: str,
-                fmt: str = "parquet") -> str:
-    """Write ``df`` as ``n_files`` files, ranges of ``order_col``, oldest first."""
-    spark = df.sparkSession
-    path = work_dir(spark, "stream-in", name)
+def arrival_ranges(df: DataFrame, order_col: str, n: int) -> list[DataFrame]:
+    """``n`` consecutive ranges of ``order_col`` (one job for min/max)."""
     dtype = df.schema[order_col].dataType
     v = _as_int(F.col(order_col), dtype)
     lo, hi = df.agg(F.min(v), F.max(v)).first()
     if lo is None:
-        return path
-    fno = file_number(order_col, dtype, lo, hi, n_files)
-    for i in range(n_files):
-        part = df.filter(fno == F.lit(i))
-        part.coalesce(1).sortWithinPartitions(order_col).write.mode("append").format(fmt).save(path)
-    return path
+        return [df]
+    fno = file_number(order_col, dtype, lo, hi, n)
+    return [df.filter(fno == F.lit(i)) for i in range(n)]
 
 
-def append_sentinel(spark: SparkSession, path: str, row: dict, schema, fmt: str = "parquet") -> None:
-    """Append the flush file: one row whose event time is far in the future."""
-    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").format(fmt).save(path)
+class Replay:
+    """A table fed to a stream one arrival range at a time (see module doc)."""
+
+    def __init__(self, spark: SparkSession, name: str, schema: T.StructType,
+                 frames: list[DataFrame], fmt: str = "parquet"):
+        self.spark, self.schema, self.frames, self.fmt = spark, schema, list(frames), fmt
+        self.path = work_dir(spark, "stream-in", name)
+
+    def stream(self) -> DataFrame:
+        return read_stream(self.spark, self.path, self.schema, self.fmt, files_per_trigger=None)
+
+    def feed(self, i: int) -> bool:
+        if i >= len(self.frames):
+            return False
+        self.frames[i].write.mode("append").format(self.fmt).save(self.path)
+        return True
+
+
+def sentinel_frame(spark: SparkSession, row: dict, schema) -> DataFrame:
+    """The flush input: one row whose event time is far in the future."""
+    return spark.createDataFrame([row], schema)
 
 
 def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
-                files_per_trigger: int = 1) -> DataFrame:
-    return (spark.readStream.schema(schema).format(fmt)
-            .option("maxFilesPerTrigger", files_per_trigger).load(path))
+                files_per_trigger: int | None = 1) -> DataFrame:
+    r = spark.readStream.schema(schema).format(fmt)
+    if files_per_trigger:
+        r = r.option("maxFilesPerTrigger", files_per_trigger)
+    return r.load(path)
 
 
 def read_text_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
