@@ -74,7 +74,10 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """``addPyFile`` a zip of ``ebbflow`` once per application, so Python
     workers (``mapInPandas``, ``transformWithState``) can import it wherever
-    they run, whatever the driver's working directory."""
+    they run, whatever the driver's working directory. The zip is built in
+    memory and written to the shared checkpoint folder (through Hadoop's
+    FileSystem when that folder is remote)."""
+    import io
     import zipfile
 
     sc = spark.sparkContext
@@ -83,16 +86,24 @@ def ship_package(spark: SparkSession) -> None:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg_dir)
-    target = work_dir(spark, "pyfiles")
-    if "://" in target:   # remote shared store: build locally, Spark uploads it
-        target = tempfile.mkdtemp(prefix="ebbflow-pyfiles-")
-    zpath = os.path.join(target, "ebbflow.zip")
-    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         for base, _dirs, files in os.walk(pkg_dir):
             for f in files:
                 if f.endswith(".py"):
                     full = os.path.join(base, f)
                     z.write(full, os.path.relpath(full, root))
+    zpath = work_dir(spark, "pyfiles") + "/ebbflow.zip"
+    if "://" in zpath:
+        jpath = sc._jvm.org.apache.hadoop.fs.Path(zpath)
+        out = jpath.getFileSystem(sc._jsc.hadoopConfiguration()).create(jpath, True)
+        try:
+            out.write(bytearray(buf.getvalue()))
+        finally:
+            out.close()
+    else:
+        with open(zpath, "wb") as fh:
+            fh.write(buf.getvalue())
     sc.addPyFile(zpath)
     # Streaming Python runners (transformWithState) start before the shipped
     # files are on their path; name the package root in the worker
