@@ -29,14 +29,15 @@ def periodic_counts(df: DataFrame, key: str, ts: str, period, **kw) -> DataFrame
 
     The period starts form a chain ``s -> next(s) = first ts > s + period``.
     Instead of walking each key's chain in one task, every distinct
-    timestamp gets its ``next`` pointer (a chunked as-of lookup), and the
+    timestamp gets its ``next`` pointer and the count after its timer (one
+    chunked descending scan), and the
     chain from each key's first timestamp is found by pointer doubling:
     ``J[k+1] = J[k] o J[k]`` for ``k < K``, then the marked set grows as
     ``M |= J[k](M)`` for ``k = K-1 .. 0``. ``K = ceil(log2(chain bound))``
     where the bound is ``span / period + 1``, so the number of joins depends
     on the time span, not the data volume; each join is an equi-join on
-    ``(key, ts)``, which is unique. Jump tables are checkpointed to the shared
-    checkpoint folder to keep lineage flat.
+    ``(key, ts)``, which is unique. Jump tables and marked sets are checkpointed to
+    the shared checkpoint folder to keep lineage flat.
 
     Output: ``key``, ``timer_ts``, ``cnt``.
     """
@@ -51,27 +52,27 @@ def periodic_counts(df: DataFrame, key: str, ts: str, period, **kw) -> DataFrame
 
     nodes = df.groupBy(key, ts).agg(F.count(F.lit(1)).alias("_n"))
     if "plan" not in kw and "width" not in kw:
-        # one chunk plan for both scans below (the second sees each time twice)
+        # the scan below sees each time twice (node and shifted probe)
         kw["plan"] = R.plan_for(df, ts, kw.get("rows_per_chunk", R.DEFAULT_ROWS_PER_CHUNK) // 2)
-    nodes = R.running(nodes, [key], [ts], {"_cum": R.rsum("_n")}, **kw)
 
-    # next(t): first node strictly after t + period (probes sort before nodes at a tie
-    # when scanning backwards, so a node exactly at t + period is not "after").
+    # One descending scan over nodes and probes (t + period). For a probe:
+    # next(t) = the last node seen before it, i.e. the first node strictly
+    # after t + period (probes sort before nodes at a tie, so a node exactly
+    # at t + period is not "after"); and the running sum of node counts is the
+    # number of records later than the timer, so cnt = total - that sum.
     probes = nodes.select(key, (F.col(ts) + per).alias("_t"), F.lit(1).alias("_rank"),
-                          F.col(ts).alias("_src"), F.lit(None).cast("long").alias("_n"),
-                          F.lit(None).cast("long").alias("_cum"))
+                          F.col(ts).alias("_src"), F.lit(None).cast("long").alias("_n"))
     pts = nodes.select(key, F.col(ts).alias("_t"), F.lit(0).alias("_rank"),
-                       F.lit(None).cast(df.schema[ts].dataType).alias("_src"), "_n", "_cum")
-    node_info = F.when(F.col("_rank") == 0, F.struct(F.col("_t").alias("t"),
-                                                     (F.col("_cum") - F.col("_n")).alias("before")))
+                       F.lit(None).cast(df.schema[ts].dataType).alias("_src"), "_n")
     looked = R.running(probes.unionByName(pts), [key], ["_t", "_rank"],
-                       {"_next": R.last(node_info, exclusive=True)}, descending=True,
-                       chunk_on="_t", **kw)
+                       {"_next": R.last(F.when(F.col("_rank") == 0, F.col("_t")), exclusive=True),
+                        "_after": R.rsum("_n")},
+                       descending=True, chunk_on="_t", **kw)
     jump0 = looked.filter(F.col("_rank") == 1).select(
-        key, F.col("_src").alias("src"), F.col("_next.t").alias("dst"),
-        F.col("_next.before").alias("_before"))
+        key, F.col("_src").alias("src"), F.col("_next").alias("dst"),
+        F.coalesce(F.col("_after"), F.lit(0)).alias("_after"))
 
-    totals = nodes.groupBy(key).agg(F.max("_cum").alias("_total"))
+    totals = nodes.groupBy(key).agg(F.sum("_n").alias("_total"))
     stats = nodes.agg(F.min(epoch_us(ts)).alias("lo"), F.max(epoch_us(ts)).alias("hi")).first()
     if stats is None or stats["lo"] is None:
         return df.sparkSession.createDataFrame(
@@ -99,9 +100,10 @@ def periodic_counts(df: DataFrame, key: str, ts: str, period, **kw) -> DataFrame
                           & (F.col("m.src") == F.col("j.src")), "inner")
                     .filter(F.col("j.dst").isNotNull())
                     .select(F.col(f"m.{key}").alias(key), F.col("j.dst").alias("src")))
-        marked = checkpointed(marked.unionByName(reached).distinct())
+        # positions p*2^(k+1) gain p*2^(k+1) + 2^k: disjoint, so no distinct
+        marked = checkpointed(marked.unionByName(reached))
 
     out = (marked.join(j0, [key, "src"], "inner").join(totals, [key], "inner")
                  .select(key, (F.col("src") + per).alias("timer_ts"),
-                         F.coalesce(F.col("_before"), F.col("_total")).cast("long").alias("cnt")))
+                         (F.col("_total") - F.col("_after")).cast("long").alias("cnt")))
     return out
