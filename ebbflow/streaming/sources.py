@@ -2,8 +2,9 @@
 
 A continuous line or socket source becomes ``readStream`` over a folder in
 the shared scratch location. :class:`Replay` feeds a table in arrival
-ranges: range ``i`` is appended by a normal parallel write (as many files as
-tasks), then the query runs with ``availableNow`` on its checkpoint, so each
+ranges: the table is staged once, partitioned by range; range ``i`` is then
+appended to the input folder by a normal parallel write (as many files as
+tasks) of its partition, then the query runs with ``availableNow`` on its checkpoint, so each
 range is exactly one micro-batch and the watermark and state carry over from
 run to run, as after a restart. No range is ever funnelled into one file or
 one task.
@@ -48,15 +49,26 @@ def _as_int(c: F.Column, dtype) -> F.Column:
     return c.cast("long")
 
 
+_RANGE = "_arrival_range"
+
+
 def arrival_ranges(df: DataFrame, order_col: str, n: int) -> list[DataFrame]:
-    """``n`` consecutive ranges of ``order_col`` (one job for min/max)."""
+    """``n`` consecutive ranges of ``order_col``.
+
+    The table is read twice in all, whatever ``n``: one job for min/max, one
+    parallel write that stages it partitioned by range in the shared folder.
+    Each range is then a partition-pruned read of the stage."""
     dtype = df.schema[order_col].dataType
     v = _as_int(F.col(order_col), dtype)
     lo, hi = df.agg(F.min(v), F.max(v)).first()
     if lo is None:
         return [df]
-    fno = file_number(order_col, dtype, lo, hi, n)
-    return [df.filter(fno == F.lit(i)) for i in range(n)]
+    spark = df.sparkSession
+    stage = work_dir(spark, "stream-stage")
+    (df.withColumn(_RANGE, file_number(order_col, dtype, lo, hi, n))
+       .write.mode("overwrite").partitionBy(_RANGE).parquet(stage))
+    staged = spark.read.option("basePath", stage).parquet(stage)
+    return [staged.filter(F.col(_RANGE) == F.lit(i)).select(*df.columns) for i in range(n)]
 
 
 class Replay:
