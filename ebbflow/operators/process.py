@@ -83,17 +83,18 @@ def periodic_counts(df: DataFrame, key: str, ts: str, period, **kw) -> DataFrame
 
     j0 = checkpointed(jump0)
     jumps = [j0.select(key, "src", "dst")]
-    for _ in range(1, levels):
+    for lvl in range(1, levels):
         a = jumps[-1].alias("a")
         b = jumps[-1].alias("b")
         nxt = (a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a.dst") == F.col("b.src")),
                       "left")
                 .select(F.col(f"a.{key}").alias(key), F.col("a.src").alias("src"),
                         F.col("b.dst").alias("dst")))
-        jumps.append(checkpointed(nxt))
+        # the last table is read once, inside the first marking round's checkpoint
+        jumps.append(checkpointed(nxt) if lvl < levels - 1 else nxt)
 
     marked = nodes.groupBy(key).agg(F.min(ts).alias("src"))
-    for j in reversed(jumps):
+    for i, j in enumerate(reversed(jumps)):
         m = marked.alias("m")
         jj = j.alias("j")
         reached = (m.join(jj, (F.col(f"m.{key}") == F.col(f"j.{key}"))
@@ -101,7 +102,9 @@ def periodic_counts(df: DataFrame, key: str, ts: str, period, **kw) -> DataFrame
                     .filter(F.col("j.dst").isNotNull())
                     .select(F.col(f"m.{key}").alias(key), F.col("j.dst").alias("src")))
         # positions p*2^(k+1) gain p*2^(k+1) + 2^k: disjoint, so no distinct
-        marked = checkpointed(marked.unionByName(reached))
+        grown = marked.unionByName(reached)
+        # the last round is read once, by the output join
+        marked = checkpointed(grown) if i < len(jumps) - 1 else grown
 
     out = (marked.join(j0, [key, "src"], "inner").join(totals, [key], "inner")
                  .select(key, (F.col("src") + per).alias("timer_ts"),
