@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbflow.llm import bpe, mixing, quality, simhash, transducer
+from ebbflow.llm import bpe, mixing, quality, simhash, syncmers, topk, transducer
 from ebbflow.llm.common import ORACLES, QUERIES, query, table
 
 __all__ = ["QUERIES", "ORACLES", "vocabulary"]
@@ -23,6 +23,22 @@ def vocabulary() -> bpe.Vocabulary:
     return bpe.Vocabulary(public_tokenizers.path(TOKENIZER))
 
 
+@query("op1_topk_search", oracle="""
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS ints FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.ints, c.ints), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.ints) = len(q.ints) WHERE q.vec_id % 100 = 0)
+SELECT * FROM (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+    FROM pairs)
+WHERE rank <= 10
+""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024)
+
+
 @query("op2_simhash_near_dedup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, max_bits=2)
@@ -39,6 +55,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.count_tokens(table(spark, sf_dir, "documents"), vocabulary(), limit=512)
 
 
+@query("op5_document_fingerprints")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query("op9_quality_classifier")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
