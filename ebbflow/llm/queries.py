@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbflow.llm import bpe, mixing, quality, simhash, syncmers, topk, transducer
+from ebbflow.llm import bpe, mixing, quality, sharding, simhash, syncmers, topk, transducer
 from ebbflow.llm.common import ORACLES, QUERIES, query, table
 
 __all__ = ["QUERIES", "ORACLES", "vocabulary"]
@@ -16,6 +16,8 @@ __all__ = ["QUERIES", "ORACLES", "vocabulary"]
 TOKENIZER = "byte_bpe_50k.json"
 #: Scores from here on keep a document.
 QUALITY_THRESHOLD = 0.3
+#: Bytes that a shard holds at most.
+SHARD_BYTES = 1 << 20
 
 
 @functools.lru_cache(1)
@@ -60,6 +62,22 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(table(spark, sf_dir, "documents"))
 
 
+@query("op7_sharding", oracle=f"""
+WITH docs AS (
+    SELECT doc_id, CAST(coalesce(strlen(text), 0) AS BIGINT) AS n_bytes,
+           lpad(bin(CAST('0x' || md5(coalesce(CAST(doc_id AS VARCHAR), ''))[1:16] AS UBIGINT)), 64, '0') AS path
+    FROM documents),
+sums AS (
+    SELECT CAST(d.depth AS INT) AS depth, left(path, d.depth) AS shard, CAST(sum(n_bytes) AS BIGINT) AS shard_bytes
+    FROM docs, (SELECT CAST(unnest(range(0, 40)) AS INT) AS depth) d GROUP BY ALL)
+SELECT doc_id, n_bytes, shard, depth, shard_bytes, shard_bytes > {SHARD_BYTES} AS oversize FROM docs
+JOIN sums ON shard = left(path, depth) AND shard_bytes <= {SHARD_BYTES}
+QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1
+""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"), limit=SHARD_BYTES)
+
+
 @query("op9_quality_classifier")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
