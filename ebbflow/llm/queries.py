@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbflow.llm import bpe, mixing, quality, sharding, simhash, syncmers, topk, transducer
+from ebbflow.llm import bpe, licenses, mixing, quality, sharding, simhash, syncmers, topk, transducer
 from ebbflow.llm.common import ORACLES, QUERIES, query, table
 
 __all__ = ["QUERIES", "ORACLES", "vocabulary"]
@@ -78,6 +78,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), limit=SHARD_BYTES)
 
 
+@query("op8_license_scan")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("places")
+
+
 @query("op9_quality_classifier")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
