@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbflow.llm import bpe, licenses, mixing, quality, sharding, simhash, syncmers, topk, transducer
+from ebbflow.llm import bpe, licenses, linededup, mixing, quality, sharding, simhash, syncmers, topk, transducer
 from ebbflow.llm.common import ORACLES, QUERIES, query, table
 
 __all__ = ["QUERIES", "ORACLES", "vocabulary"]
@@ -62,6 +62,34 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(table(spark, sf_dir, "documents"))
 
 
+@query("op6_line_dedup", oracle="""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS no
+    FROM documents),
+worded AS (
+    SELECT row_number() OVER (ORDER BY doc_id, no) AS place, doc_id, no,
+           list_distinct(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
+    FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+classes AS (
+    SELECT min(place) AS first, any_value(words) AS words, len(any_value(words)) AS n FROM worded GROUP BY list_sort(words)),
+postings AS (SELECT first, n, unnest(words) AS word FROM classes),
+-- similar classes share at least 4/9 of both sizes together
+common AS (
+    SELECT x.first AS x, any_value(x.n) AS xn, any_value(y.n) AS yn, count(*) AS common
+    FROM postings x JOIN postings y ON x.word = y.word AND y.first < x.first AND 5 * least(x.n, y.n) >= 4 * greatest(x.n, y.n)
+    GROUP BY x.first, y.first),
+gone AS (SELECT DISTINCT x FROM common WHERE 9 * common >= 4 * (xn + yn)),
+firsts AS (SELECT first FROM classes WHERE first NOT IN (SELECT x FROM gone)),
+removed AS (SELECT doc_id, no FROM worded WHERE place NOT IN (SELECT first FROM firsts))
+SELECT d.doc_id, CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS BIGINT) AS n_lines, count(r.no) AS n_removed,
+       coalesce(string_agg(r.no, ',' ORDER BY r.no), '') AS removed
+FROM documents d LEFT JOIN removed r ON r.doc_id = d.doc_id GROUP BY ALL
+""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.report(table(spark, sf_dir, "documents"), num=4, den=5)
+    return found.withColumn("removed", F.concat_ws(",", F.transform("removed", lambda i: i.cast("string"))))
+
+
 @query("op7_sharding", oracle=f"""
 WITH docs AS (
     SELECT doc_id, CAST(coalesce(strlen(text), 0) AS BIGINT) AS n_bytes,
