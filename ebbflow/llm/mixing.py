@@ -109,3 +109,13 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
             .when(F.col("key") == F.col("cut_key"), F.expr("part * size div key_size")).otherwise(0))
     return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "size", "source_size", "target",
                       (F.col("epochs") * F.col("size") + once).cast("long").alias("taken"))
+
+
+def mixed(df: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epochs: int = 3, **names) -> DataFrame:
+    """The mix as rows: each document of ``df`` as often as whole copies of it
+    come nearest to what the mix takes (documents without words never)."""
+    got = mix(df, weights=weights, max_epochs=max_epochs, keep=tuple(df.columns), **names)
+    copies = F.when(F.col("_size") > 0, F.expr("(2 * _taken + _size) div (2 * _size)")).otherwise(F.lit(0))
+    got = got.toDF(*df.columns, "_size", "_source_size", "_target", "_taken").withColumn("_copies", copies)
+    return (got.filter("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+            .select(*df.columns))

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbflow.llm.common import ranges, slices, sorted_groups, text_buffer
+from ebbflow.llm.common import ranges, row_key, slices, sorted_groups, text_buffer
 from ebbflow.llm.components import components
 from ebbflow.session import checkpointed
 
@@ -301,18 +301,34 @@ def _edge_batch(us: list[np.ndarray], vs: list[np.ndarray]) -> pa.RecordBatch:
 
 def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 3,
                     max_bits: int = 2, seed: int = 42, extra: tuple[str, ...] = (), leaf: int = LEAF) -> DataFrame:
-    """``doc_id``, columns ``extra``, ``fp`` (long) and ``component_id`` (the
-    smallest id reachable over links) of every row."""
+    """``doc_id``, columns ``extra``, ``fp`` (long), ``component_id`` (the
+    smallest id reachable over links) and ``root`` (the component's smallest
+    fingerprint, as a long) of every row."""
     docs = checkpointed(fingerprints(df, text, (doc_id, *extra), width, seed))
     nodes = checkpointed(docs.groupBy("fp").agg(F.min(F.col(doc_id)).alias("least")))
     roots = components(links(nodes, max_bits, leaf))
     placed = (nodes.join(roots, nodes["fp"] == roots["node"], "left")
               .select("fp", "least", F.coalesce("root", "fp").alias("root")))
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = placed.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
+    named = placed.join(least, "root").select(F.col("fp").alias("_fp"), "component_id", "root")
     return docs.join(named, docs["fp"] == named["_fp"]).drop("_fp")
 
 
+def keep_one(df: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 3, max_bits: int = 2,
+             seed: int = 42) -> DataFrame:
+    """One row of each component: that of the smallest id (null ids last), of
+    rows with equal ids that of the smallest digest, of equal rows any one."""
+    last = F.lit((1 << 63) - 1)
+    rows = df.withColumns({"_d": F.coalesce(F.col(doc_id).cast("long"), last), "_rk": row_key(df)})
+    found = near_duplicates(rows, text, "_d", width, max_bits, seed, ("_rk",))
+    best = found.groupBy("root").agg(F.min(F.struct("_d", "_rk")).alias("best")).select("best.*")
+    copies = found.groupBy("_d", "_rk").agg(F.count("*").alias("_copies"))
+    chosen = checkpointed(best.join(copies, ["_d", "_rk"]))
+    met = rows.join(chosen, ["_d", "_rk"])
+    single = met.filter("_copies = 1").select(*df.columns)
+    return single.unionByName(met.filter("_copies > 1").select(*df.columns).dropDuplicates())
+
+
 def hex16(column) -> F.Column:
     """The 64 bits of a long as 16 hex digits."""
     return F.lpad(F.lower(F.hex(column)), 16, "0")
