@@ -28,6 +28,8 @@ from ebbflow.session import checkpointed
 
 #: Hex digits of a key that name its range: 16 bits.
 RANGE_DIGITS = 4
+#: Parts that a source's documents are dealt to when they meet the table of sources.
+SALTS = 64
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...], max_epochs: int) -> DataFrame:
@@ -103,7 +105,10 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
            .select(F.col("source").alias("s"), F.col("key").alias("cut_key"), "key_size",
                    (F.col("rest") - F.col("key_before")).alias("part")))
     goal = goal.join(cut, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumnRenamed("source", "s")
-    out = docs.join(goal, docs["source"].eqNullSafe(goal["s"]))
+    # one source may hold most documents: they meet SALTS copies of its row
+    goal = goal.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = docs.withColumn("part_no", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
+    out = salted.join(goal, F.col("source").eqNullSafe(F.col("s")) & (F.col("part_no") == F.col("salt")))
     # without a cut key the rest falls on the end of the source: everything or nothing is taken
     once = (F.when(F.col("cut_key").isNull(), 0).when(F.col("key") < F.col("cut_key"), F.col("size"))
             .when(F.col("key") == F.col("cut_key"), F.expr("part * size div key_size")).otherwise(0))
