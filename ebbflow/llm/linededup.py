@@ -17,6 +17,8 @@ size), the rarest first.
    word among the rarest ``n - ceil(t n) + 1`` of each. Pairs that share one are
    kept if the other stands before, and if lengths and the positions of the word
    allow the similarity; settled classes need not look themselves.
+   Candidates of either step must also pass a 64-bit signature (the parity of
+   the words on each bit): it differs in no more bits than the sets in words.
 3. Candidates are verified on the whole word sets (64 bits for each word: 16
    of its rarity, 48 of its hash).
 
@@ -96,6 +98,17 @@ def by_rarity(words: Column, steps: Column) -> Column:
                                     .bitwiseOR(F.shiftrightunsigned(w, 16))))
 
 
+def signature(words: Column) -> Column:
+    """Parity of the number of words on each of 64 bits."""
+    return F.aggregate(words, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))))
+
+
+def _close(n: str, m: str, sig: str, other: str, num: int, den: int) -> Column:
+    """Whether lengths and signatures of two sets allow the similarity."""
+    differ = F.bit_count(F.col(sig).bitwiseXOR(F.col(other)))
+    return (den * F.least(n, m) >= num * F.greatest(n, m)) & ((num + den) * differ <= (den - num) * (F.col(n) + F.col(m)))
+
+
 def _verified(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """Of ``pairs`` (x1, x2, y1, y2) the classes x that have a similar y before them."""
     side = lambda p: classes.select(*[F.col(c).alias(p + n) for c, n in
@@ -116,11 +129,10 @@ def _pivot_pairs(classes: DataFrame, num: int, den: int) -> DataFrame:
     # a key's two low bits tell its kind
     keys = F.array(F.shiftleft(F.array_min(plain), 2), F.shiftleft(F.array_max(plain), 2) + 1, F.shiftleft(F.array_min(other), 2) + 2)
     rows = classes.select(F.explode(keys).alias("key"), F.pmod("h1", F.lit(SALTS)).alias("salt"),
-                          F.col("first.d").alias("d"), F.size("words").alias("n"), "h1", "h2")
+                          F.col("first.d").alias("d"), F.size("words").alias("n"), "h1", "h2", "sig")
     w = Window.partitionBy("key", "salt").orderBy("d", "h1", "h2").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.select("n", "h1", "h2", *[F.first(c).over(w).alias("p" + c) for c in ("n", "h1", "h2")])
-    near = den * F.least("n", "pn") >= num * F.greatest("n", "pn")
-    return (rows.filter(near & ((F.col("h1") != F.col("ph1")) | (F.col("h2") != F.col("ph2"))))
+    rows = rows.select("n", "h1", "h2", "sig", *[F.first(c).over(w).alias("p" + c) for c in ("n", "h1", "h2", "sig")])
+    return (rows.filter(_close("n", "pn", "sig", "psig", num, den) & ((F.col("h1") != F.col("ph1")) | (F.col("h2") != F.col("ph2"))))
             .select(F.col("h1").alias("x1"), F.col("h2").alias("x2"), F.col("ph1").alias("y1"), F.col("ph2").alias("y2")).distinct())
 
 
@@ -129,16 +141,15 @@ def _prefix_pairs(classes: DataFrame, settled: DataFrame, num: int, den: int) ->
     size = F.size("words")
     length = size - F.floor((num * size + den - 1) / F.lit(den)).cast("int") + 1
     flagged = classes.join(settled.withColumn("settled", F.lit(True)), ["h1", "h2"], "left")
-    postings = (flagged.select("h1", "h2", F.col("first.d").alias("d"), F.coalesce("settled", F.lit(False)).alias("settled"), size.alias("n"),
+    postings = (flagged.select("h1", "h2", "sig", F.col("first.d").alias("d"), F.coalesce("settled", F.lit(False)).alias("settled"), size.alias("n"),
                                F.posexplode(F.slice("words", F.lit(1), length)).alias("at", "word"))
                 .repartition(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "word"))
     # both sides read one shuffle: the filter must not sink below it, so it is not deterministic in form
     here = F.monotonically_increasing_id() >= 0
-    x = postings.filter(here & ~F.col("settled")).select("word", *[F.col(c).alias("x" + c) for c in ("h1", "h2", "d", "n", "at")])
-    y = postings.select("word", *[F.col(c).alias("y" + c) for c in ("h1", "h2", "d", "n", "at")])
+    x = postings.filter(here & ~F.col("settled")).select("word", *[F.col(c).alias("x" + c) for c in ("h1", "h2", "d", "n", "at", "sig")])
+    y = postings.select("word", *[F.col(c).alias("y" + c) for c in ("h1", "h2", "d", "n", "at", "sig")])
     most = 1 + F.least(F.col("xn") - F.col("xat") - 1, F.col("yn") - F.col("yat") - 1)
-    fits = (den * F.least("xn", "yn") >= num * F.greatest("xn", "yn")) & \
-        ((num + den) * most >= num * (F.col("xn") + F.col("yn")))
+    fits = _close("xn", "yn", "xsig", "ysig", num, den) & ((num + den) * most >= num * (F.col("xn") + F.col("yn")))
     other = (F.col("xh1") != F.col("yh1")) | (F.col("xh2") != F.col("yh2"))
     pairs = x.join(y, (x["word"] == y["word"]) & (F.col("yd") <= F.col("xd")) & fits & other)
     return pairs.select(F.col("xh1").alias("x1"), F.col("xh2").alias("x2"), F.col("yh1").alias("y1"), F.col("yh2").alias("y2")).distinct()
@@ -154,7 +165,7 @@ def kept_lines(rows: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     with _kept_partitioning(spark):
         hashed = grouped.select("h1", "h2", "first", word_hashes(F.col("line")).alias("words")).persist(StorageLevel.MEMORY_AND_DISK)
         steps = rarity(hashed)
-        classes = hashed.withColumn("words", by_rarity(F.col("words"), steps)).persist(StorageLevel.MEMORY_AND_DISK)
+        classes = hashed.select("h1", "h2", "first", signature(F.col("words")).alias("sig"), by_rarity(F.col("words"), steps).alias("words")).persist(StorageLevel.MEMORY_AND_DISK)
         classes.count()
         hashed.unpersist()
     settled = checkpointed(_verified(_pivot_pairs(classes, num, den), classes, num, den))
