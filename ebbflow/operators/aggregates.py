@@ -47,11 +47,8 @@ def most_active(df: DataFrame, key: str, seq: str, **kw) -> DataFrame:
 
     The reduce keeps the old leader only if its count is strictly larger, so
     ties go to the newer record: the leader is ``max(struct(cnt, seq))``.
-    Both running steps are chunked (one chunk plan for both); the global one
-    has no key at all, so it would otherwise run on a single task.
+    The global step has no key at all: beyond a chunk's rows it is cut.
     """
-    if "plan" not in kw and "width" not in kw:
-        kw["plan"] = R.plan_for(df, seq, kw.get("rows_per_chunk", R.DEFAULT_ROWS_PER_CHUNK))
     counts = running_count(df, key, seq, **kw)
     lead = R.running(counts, [], [seq],
                      {"_lead": R.rmax(F.struct(F.col("cnt"), F.col(seq), F.col(key)))}, **kw)
@@ -79,15 +76,10 @@ def every_nth_mean(df: DataFrame, key: str, seq: str, value: str, n: int, **kw)
                     {"rn": R.count(), "total": R.rsum(value)}, **kw)
     return (run.filter(F.col("rn") % n == 0)
                .select(key, seq, "rn",
-                       F.expr(f"total div rn").alias(f"avg_{value}")))
+                       F.expr("total div rn").cast("long").alias(f"avg_{value}")))
 
 
 def labelled_count(df: DataFrame, key: str, seq: str, **kw) -> DataFrame:
     """Aggregating state rendered as text ``count：n`` after each record."""
     out = running_count(df, key, seq, **kw)
     return out.withColumn("label", F.concat(F.lit("count："), F.col("cnt").cast("string")))
-
-
-def events_per_user(user: str) -> F.Column:
-    """Events divided by distinct users, as a double."""
-    return (F.count(F.lit(1)) / F.count_distinct(user)).cast("double")

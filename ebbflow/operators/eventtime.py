@@ -74,10 +74,3 @@ def late_main(tagged: DataFrame, keys: list[str]) -> DataFrame:
 def late_side(tagged: DataFrame) -> DataFrame:
     """The rows that reached a purged window."""
     return tagged.filter(F.col("status") == F.lit(DROPPED)).drop("status")
-
-
-def split_outputs(tagged: DataFrame, tag_col: str = "status") -> dict[str, DataFrame]:
-    """One tagged result -> one DataFrame per tag (filters, no recompute
-    beyond what Spark caches)."""
-    tags = [ON_TIME, LATE_UPDATE, DROPPED]
-    return {t: tagged.filter(F.col(tag_col) == F.lit(t)) for t in tags}

@@ -7,20 +7,17 @@
   bucket)`` so one busy key is spread over many buckets instead of one
   sort-merge task doing a quadratic range scan.
 * J3 rule broadcast: ``(previous action, action)`` per key matched against a
-  rule table. The rule side is broadcast only after its row count is checked
-  against a limit; above it, a shuffle join is used.
+  rule table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbflow.functions.time import duration_ms, epoch_us
 from ebbflow.operators import running as R
 
-BROADCAST_ROW_LIMIT = 100_000
-
 
 def connect_join(left: DataFrame, right: DataFrame, key_l: str, key_r: str,
                  ts_l: str, ts_r: str, tag_l: str = "stream-1",
@@ -73,11 +70,6 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, ts_l: str, ts_r:
     return j.select(*keep_l, *keep_r)
 
 
-def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``limit`` rows (one count job)."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
-
 def latest_rule(rules: DataFrame, seq: str) -> DataFrame:
     """Single-rule mode: only the most recently read rule is in force."""
     cols = [c for c in rules.columns if c != seq]
@@ -91,19 +83,11 @@ def broadcast_rules(actions: DataFrame, rules: DataFrame, key: str, action: str,
     and this action equal a rule ``(first_col, second_col)``.
 
     The previous action per key is a chunked ``lag`` (no whole key in one
-    task). Rules are joined as a checked broadcast.
+    task), null if that action was null. The rules are an ordinary join side:
+    Spark broadcasts them if it measures them small.
     """
     prev = R.running(actions.select(key, seq, action), [key], [seq],
-                     {"prev_action": R.last(action, exclusive=True)})
-    r = checked_broadcast(rules.select(F.col(first_col).alias("_a1"),
-                                       F.col(second_col).alias("_a2")).distinct())
+                     {"prev_action": R.lag(action)})
+    r = rules.select(F.col(first_col).alias("_a1"), F.col(second_col).alias("_a2")).distinct()
     j = prev.join(r, (prev["prev_action"] == r["_a1"]) & (prev[action] == r["_a2"]), "inner")
     return j.select(key, seq, "prev_action", action)
-
-
-def as_of_next(df: DataFrame, by: list[str], order: list[str], value: Column,
-               name: str, **kw) -> DataFrame:
-    """For each row, ``value`` of the nearest *later* row where it is not null
-    (an as-of lookup forward), without a whole key in one task."""
-    return R.running(df, by, order, {name: R.last(value, exclusive=True)},
-                     descending=True, **kw)

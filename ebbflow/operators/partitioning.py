@@ -9,7 +9,7 @@ rescale    local round robin: ``coalesce`` when narrowing
 broadcast  every record to every task: replicate ``n`` times with
            ``explode(sequence)`` and place copy ``i`` in partition ``i``
 global     all records in one partition: ``repartition(1)``
-custom     ``repartitionById(n, expr)``: partition = expr (key % 2)
+custom     ``repartitionById(n, expr)``: partition = expr (key % n)
 =========  ==========================================================
 """
 
@@ -27,8 +27,9 @@ def rebalance(df: DataFrame, n: int) -> DataFrame:
     return df.repartition(n)
 
 
-def rescale(df: DataFrame, n: int) -> DataFrame:
-    return df.coalesce(n) if df.rdd.getNumPartitions() >= n else df.repartition(n)
+def rescale(df: DataFrame, n: int, wider: bool = False) -> DataFrame:
+    """To ``n`` partitions, by joining neighbours unless ``wider``."""
+    return df.repartition(n) if wider else df.coalesce(n)
 
 
 def broadcast_all(df: DataFrame, n: int) -> DataFrame:
@@ -46,27 +47,29 @@ def custom(df: DataFrame, n: int, expr: Column) -> DataFrame:
     return df.repartitionById(n, expr)
 
 
-def partition_report(df: DataFrame, key: str, category: str, n: int = 4) -> DataFrame:
-    """Rows and non-empty partitions after each mode (one union, one job).
+def partition_report(df: DataFrame, key: str, category: str, n: int | None = None) -> DataFrame:
+    """Rows after each mode. ``n`` partitions, the session's number by default.
 
-    ``global`` sends everything to one task, so it is applied to the
-    per-``category`` totals (one row per category, a bounded set), not to the
-    raw rows; every other mode moves the raw rows.
+    ``global`` and ``broadcast`` give one task, or every task, all rows. Both
+    are for small tables, so they move the per-``category`` totals; the other
+    modes move the raw rows.
     """
+    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     totals = df.groupBy(category).agg(F.count(F.lit(1)).alias("n"))
     modes = {
-        "shuffle": shuffle(df, n),
-        "rebalance": rebalance(df, n),
-        "rescale": rescale(rebalance(df, n), n // 2),
-        "broadcast": broadcast_all(df, n),
-        "global": global_one(totals),
-        "custom": custom(df, 2, (F.col(key) % 2).cast("int")),
+        "shuffle": (shuffle(df, n), 1),
+        "rebalance": (rebalance(df, n), 1),
+        "rescale": (rescale(rebalance(df, n), max(1, n // 2)), 1),
+        "broadcast": (broadcast_all(totals, n), n),
+        "global": (global_one(totals), 1),
+        "custom": (custom(df, n, (F.pmod(F.col(key), F.lit(n))).cast("int")), 1),
     }
     parts = None
-    for mode, d in modes.items():
+    for mode, (d, copies) in modes.items():
         per = (d.select(F.spark_partition_id().alias("p"))
                 .groupBy("p").agg(F.count(F.lit(1)).alias("n"))
-                .select(F.lit(mode).alias("mode"), "p", "n"))
+                .select(F.lit(mode).alias("mode"), F.lit(copies).alias("copies"), "n"))
         parts = per if parts is None else parts.unionByName(per)
-    return parts.groupBy("mode").agg(F.sum("n").cast("long").alias("rows"),
-                                     F.count(F.lit(1)).cast("long").alias("partitions"))
+    # every task of the broadcast has all totals
+    return parts.groupBy("mode", "copies").agg(F.sum("n").alias("n")).select(
+        "mode", (F.col("n") / F.col("copies")).cast("long").alias("rows"))

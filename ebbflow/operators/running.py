@@ -2,25 +2,25 @@
 
 A streaming job that keeps keyed state emits one running value per record
 (running count, running max, previous record, ...). In batch the textbook
-form is ``agg(...).over(Window.partitionBy(key).orderBy(seq))``, which sends
-every row of a key to one task. A key that holds a third of the data would
-then be sorted by one task, and a keyless running value (global watermark,
-most active user) would run on a single task outright.
-
-:func:`running` computes the same values in three steps that never put more
-than ``rows_per_chunk`` rows of one key in one task:
-
-1. Cut the order column into *chunks* at approximate quantiles (sized from
-   the row count), so a chunk holds about ``rows_per_chunk`` rows over all
-   keys, however bursty the order values are.
+form is ``agg(...).over(Window.partitionBy(key).orderBy(seq))``. That is what
+:func:`running` plans as long as no key has more than ``rows_per_chunk`` rows.
+A key beyond that - or a keyless running value (global watermark, most active
+user) over a large table - would be sorted by one task, so its rows are cut:
+
+1. One count per key finds the hot keys. Only their rows get a *chunk*: the
+   order column is cut at approximate quantiles of the hot rows. Rows of all
+   other keys stay in chunk 0 and are never looked at again. The driver holds
+   at most :data:`MAX_CUTS` cuts and the executors a broadcast of at most
+   :data:`MAX_HOT` keys, whatever the input: beyond that chunks grow instead.
 2. Running values inside each ``(key, chunk)`` with a window partitioned on
-   both; per ``(key, chunk)`` totals with a partial+final aggregate.
+   both, and per ``(key, chunk)`` totals, both from one exchange of the rows:
+   the key is held in one never-null struct, so window, totals and the join
+   below agree on the partitioning.
 3. An exclusive prefix over the chunk totals of each key (one row per
-   non-empty chunk, so a hot key has at most ``n_chunks`` rows here), joined
-   back on ``(key, chunk)`` and combined with the in-chunk value.
+   non-empty chunk), joined back on ``(key, chunk)`` and combined.
 
-Every aggregate offered is associative, which is what makes the combine in
-step 3 exact.
+Every aggregate offered is associative, which makes the combination exact:
+both plans give the same rows, for every chunk size.
 """
 
 from __future__ import annotations
@@ -32,22 +32,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ebbflow.session import checkpointed
+
 DEFAULT_ROWS_PER_CHUNK = 2_000_000
 # Session setting that overrides the default chunk size for a whole job.
 ROWS_PER_CHUNK_CONF = "ebbflow.running.rowsPerChunk"
+#: Keys that are broadcast as hot, and cuts of the order column, at most.
+MAX_HOT, MAX_CUTS = 100_000, 4096
 
 _CHUNK = "_rc_chunk"
+_KEY = "_rc_key"
+HOT = "_rc_hot"
 
 
 @dataclass(frozen=True)
 class Run:
     """One running aggregate.
 
-    kind: ``count`` | ``sum`` | ``max`` | ``min`` | ``first`` | ``last``.
-    ``last`` is the most recent non-null value (with ``exclusive=True`` and a
-    never-null column it is ``lag(col, 1)``; on a column that is only set on
-    some rows it is an as-of lookup). ``first`` is the key's first value.
-    exclusive: the frame ends at the previous row instead of the current one.
+    kind: ``count`` | ``sum`` | ``max`` | ``min`` | ``first`` | ``last`` | ``lag``.
+    ``first`` is the value of the key's first row, null or not; ``lag`` that of
+    the row before, null or not (null for the first row); ``last`` the most
+    recent value that is not null (on a column that is only set on some rows,
+    an as-of lookup). Sums of integers are ``decimal(38,0)``, so they do not
+    overflow. exclusive: the frame ends at the row before the current one.
     """
 
     kind: str
@@ -79,6 +86,10 @@ def last(col, exclusive: bool = False) -> Run:
     return Run("last", col, exclusive)
 
 
+def lag(col) -> Run:
+    return Run("lag", col, True)
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -91,86 +102,128 @@ def _numeric(c: Column, dtype: T.DataType) -> Column:
     return c.cast("long")
 
 
-@dataclass(frozen=True)
-class ChunkPlan:
-    """How rows are cut into chunks along the (numeric) order column.
-
-    Equal width ``[origin + i*width, origin + (i+1)*width)`` when ``splits``
-    is None; otherwise quantile boundaries (``Bucketizer`` splits, a binary
-    search on the JVM), so bursty or outlying times still give chunks of
-    about ``rows_per_chunk`` rows. Either way the chunk is a non-decreasing
-    function of the order value, which is all the prefix combine needs.
-    """
-
-    origin: int = 0
-    width: int = 1
-    splits: tuple[float, ...] | None = None
-
-    def assign(self, df: DataFrame, num: Column, out: str) -> DataFrame:
-        if self.splits is None:
-            return df.withColumn(out, F.floor((num - F.lit(self.origin)) / F.lit(self.width))
-                                 .cast("long"))
-        from pyspark.ml.feature import Bucketizer
-        tmp = f"{out}_num"
-        b = Bucketizer(splits=list(self.splits), inputCol=tmp, outputCol=out)
-        staged = df.withColumn(tmp, num.cast("double"))
-        return b.transform(staged).withColumn(out, F.col(out).cast("long")).drop(tmp)
-
-
-def plan_chunks(df: DataFrame, num: Column, rows_per_chunk: int) -> ChunkPlan:
-    """Chunk plan holding about ``rows_per_chunk`` rows per chunk.
-
-    One aggregate job (count, min, max); when more than one chunk is needed,
-    a second one for ``n_chunks - 1`` approximate quantiles. 100x the rows
-    gives 100x the chunks, never bigger chunks.
-    """
+def _chunk_size(df: DataFrame, rows_per_chunk: int) -> int:
     conf = df.sparkSession.conf.get(ROWS_PER_CHUNK_CONF, None)
-    if conf and rows_per_chunk == DEFAULT_ROWS_PER_CHUNK:
-        rows_per_chunk = int(conf)
-    row = df.agg(F.min(num).alias("lo"), F.max(num).alias("hi"),
-                 F.count(F.lit(1)).alias("n")).first()
-    if row is None or row["n"] == 0 or row["lo"] is None:
-        return ChunkPlan()
-    lo, hi = int(row["lo"]), int(row["hi"])
-    n_chunks = max(1, math.ceil(row["n"] / max(1, rows_per_chunk)))
-    if n_chunks == 1 or lo == hi:
-        return ChunkPlan(lo, hi - lo + 1)
-    probs = [i / n_chunks for i in range(1, n_chunks)]
-    accuracy = max(10_000, 20 * n_chunks)
-    qs = df.agg(F.percentile_approx(num, probs, accuracy).alias("q")).first()["q"]
-    cuts = sorted({float(q) for q in qs if q is not None and lo < q <= hi})
-    if not cuts:
-        return ChunkPlan(lo, hi - lo + 1)
-    return ChunkPlan(splits=tuple([float("-inf"), *cuts, float("inf")]))
+    return int(conf) if conf and rows_per_chunk == DEFAULT_ROWS_PER_CHUNK else max(1, rows_per_chunk)
 
 
-def plan_for(df: DataFrame, col: str | Column,
-             rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> ChunkPlan:
-    """:func:`plan_chunks` on a column of ``df`` (numeric or timestamp); the
-    plan can be passed to several :func:`running` calls over the same order
-    domain, so a pipeline pays for its statistics once."""
-    c = _col(col)
-    dtype = df.select(c.alias("_c")).schema[0].dataType
-    return plan_chunks(df, _numeric(c, dtype), rows_per_chunk)
-
-
-def chunk_width(df: DataFrame, chunk_on: Column, rows_per_chunk: int) -> tuple[int, int]:
-    """Equal-width (origin, width) with about ``rows_per_chunk`` rows per chunk
-    on average (assumes the order values are spread evenly)."""
-    row = df.agg(F.min(chunk_on).alias("lo"), F.max(chunk_on).alias("hi"),
-                 F.count(F.lit(1)).alias("n")).first()
-    if row is None or row["n"] == 0 or row["lo"] is None:
-        return 0, 1
-    n_chunks = max(1, math.ceil(row["n"] / max(1, rows_per_chunk)))
-    span = int(row["hi"]) - int(row["lo"]) + 1
-    return int(row["lo"]), max(1, math.ceil(span / n_chunks))
+def _cut(num: Column, cuts: list[float]) -> Column:
+    """Number of cuts at or below ``num``, -1 for null (nulls sort first)."""
+    if not cuts:
+        return F.when(num.isNull(), -1).otherwise(0)
+    # a balanced tree of comparisons: as many as a binary search makes
+    def branch(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(num < F.lit(cuts[mid]), branch(lo, mid)).otherwise(branch(mid + 1, hi))
+    if len(cuts) <= 64:
+        return F.when(num.isNull(), -1).otherwise(branch(0, len(cuts)))
+    # more cuts: find the group of 64 first, then the place in it
+    table = F.array(*[F.array(*map(F.lit, cuts[i:i + 64])) for i in range(0, len(cuts), 64)])
+    group = F.size(F.filter(F.array(*map(F.lit, cuts[::64])), lambda c: c <= num)) - 1
+    place = F.size(F.filter(F.get(table, F.greatest(group, F.lit(0))), lambda c: c <= num))
+    return F.when(num.isNull(), -1).when(group < 0, 0).otherwise(group * 64 + place)
+
+
+def chunked(df: DataFrame, by: list[str], num: Column, rows_per_chunk: int,
+            out: str = _CHUNK) -> tuple[DataFrame, bool]:
+    """``df`` with the chunk of each row (0 unless its key is hot) and a flag
+    for rows of hot keys, and whether any key is hot. ``num`` orders the rows
+    of a key, as a number."""
+    size = _chunk_size(df, rows_per_chunk)
+    if by:
+        counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rc_n"))
+        got = counts.agg(F.sum("_rc_n").alias("total"), F.max("_rc_n").alias("most")).first()
+        if not got["total"] or got["most"] <= size:
+            return df.withColumns({out: F.lit(0), HOT: F.lit(False)}), False
+        size = max(size, math.ceil(got["total"] / MAX_HOT))
+        keys = counts.filter(F.col("_rc_n") > size).select(*[F.col(k).alias(f"_rc_h{i}") for i, k in enumerate(by)])
+        keys = F.broadcast(checkpointed(keys).withColumn(HOT, F.lit(True)))  # MAX_HOT rows at most
+        same = [df[k].eqNullSafe(keys[f"_rc_h{i}"]) for i, k in enumerate(by)]
+        marked = df.join(keys, on=same, how="left").drop(*[f"_rc_h{i}" for i in range(len(by))])
+    else:
+        marked = df.withColumn(HOT, F.lit(True))
+    hot = marked.filter(F.col(HOT))
+    n_hot = hot.count()
+    n_chunks = min(MAX_CUTS, math.ceil(n_hot / size))
+    if n_chunks <= 1:
+        return df.withColumns({out: F.lit(0), HOT: F.lit(False)}), False
+    probs = [i / n_chunks for i in range(1, n_chunks)]
+    qs = hot.agg(F.percentile_approx(num, probs, 10 * MAX_CUTS).alias("q")).first()["q"] or []
+    cuts = sorted({q for q in qs if q is not None})
+    chunk = F.when(F.col(HOT), _cut(num, cuts)).otherwise(0).cast("int")
+    return marked.withColumns({out: chunk, HOT: F.coalesce(HOT, F.lit(False))}), True
+
+
+def _over(r: Run, c: Column | None, is_long: bool, window) -> Column:
+    """The running aggregate over one window, as the plain plan has it."""
+    incl = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    frame = window.rowsBetween(Window.unboundedPreceding, -1) if r.exclusive else incl
+    if r.kind == "count":
+        return F.count(F.lit(1)).over(frame)
+    if r.kind == "sum":
+        return F.sum(c.cast("decimal(38,0)") if is_long else c).over(frame)
+    if r.kind in ("max", "min"):
+        return (F.max if r.kind == "max" else F.min)(c).over(frame)
+    if r.kind == "first":
+        return F.first(F.struct(c.alias("v"))).over(incl)
+    if r.kind == "lag":
+        return F.lag(F.struct(c.alias("v")), 1).over(window)
+    if r.kind == "last":
+        return F.last(c, ignorenulls=True).over(frame)
+    raise ValueError(f"unknown running aggregate {r.kind!r}")
+
+
+def _total(r: Run, c: Column | None, is_long: bool, order_key: Column, descending: bool) -> Column:
+    """What a chunk leaves to the chunks after it."""
+    earliest, latest = (F.max_by, F.min_by) if descending else (F.min_by, F.max_by)
+    if r.kind == "count":
+        return F.count(F.lit(1))
+    if r.kind == "sum":
+        return F.sum(c.cast("decimal(38,0)") if is_long else c)
+    if r.kind in ("max", "min"):
+        return (F.max if r.kind == "max" else F.min)(c)
+    if r.kind == "first":
+        return earliest(F.struct(c.alias("v")), order_key)
+    if r.kind == "lag":
+        return latest(F.struct(c.alias("v")), order_key)
+    return latest(c, F.when(c.isNotNull(), order_key))
+
+
+def _prefix(r: Run, s: Column, before) -> Column:
+    """The totals of all chunks before."""
+    if r.kind in ("count", "sum"):
+        return F.sum(s).over(before)
+    if r.kind in ("max", "min"):
+        return (F.max if r.kind == "max" else F.min)(s).over(before)
+    if r.kind == "first":
+        return F.first(s).over(before)
+    return F.last(s, ignorenulls=True).over(before)
+
+
+def _combined(r: Run, inner: Column, prefix: Column) -> Column:
+    if r.kind == "count":
+        return F.coalesce(prefix, F.lit(0)) + inner
+    if r.kind == "sum":
+        return F.when(prefix.isNull(), inner).when(inner.isNull(), prefix).otherwise(prefix + inner)
+    if r.kind == "max":
+        return F.greatest(prefix, inner)
+    if r.kind == "min":
+        return F.least(prefix, inner)
+    if r.kind == "first":  # an earlier chunk's first row comes before this chunk's
+        return F.coalesce(prefix, inner)["v"]
+    if r.kind == "lag":    # null in here only on a chunk's first row
+        return F.coalesce(inner, prefix)["v"]
+    return F.coalesce(inner, prefix)
+
+
+_LONGS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def running(df: DataFrame, by: list[str], order: list[str], aggs: dict[str, Run], *,
             descending: bool = False, chunk_on: str | Column | None = None,
-            rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
-            width: tuple[int, int] | None = None,
-            plan: ChunkPlan | None = None) -> DataFrame:
+            rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
     """Append running aggregates ``aggs`` (name -> :class:`Run`) to ``df``.
 
     by: key columns (empty = one global sequence).
@@ -178,96 +231,32 @@ def running(df: DataFrame, by: list[str], order: list[str], aggs: dict[str, Run]
         from the last row to the first (suffix values, "next" lookups).
     chunk_on: numeric or timestamp expression, non-decreasing in ``order``;
         defaults to the first order column.
-    width: precomputed equal-width ``(origin, width)``; skips the statistics jobs.
-    plan: a precomputed :class:`ChunkPlan` (e.g. shared by several calls).
     """
     if not order:
         raise ValueError("running() needs an order")
     chunk_src = _col(chunk_on if chunk_on is not None else order[0])
-    dtype = df.select(chunk_src.alias("_c")).schema[0].dataType
-    chunk_num = _numeric(chunk_src, dtype)
-    if plan is None:
-        plan = ChunkPlan(*width) if width is not None else plan_chunks(df, chunk_num, rows_per_chunk)
-    data = plan.assign(df, chunk_num, _CHUNK)
-    ord_cols = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
+    num = _numeric(chunk_src, df.select(chunk_src.alias("_c")).schema[0].dataType)
+    data, split = chunked(df, by, num, rows_per_chunk)
+    direction = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
+    cols = {n: _col(r.col) if r.col is not None else None for n, r in aggs.items()}
+    longs = {n: r.kind == "sum" and isinstance(df.select(cols[n].alias("_c")).schema[0].dataType, _LONGS)
+             for n, r in aggs.items()}
+    if not split:
+        w = Window.partitionBy(*by).orderBy(*direction)
+        plain = [(_over(r, cols[n], longs[n], w)["v"] if r.kind in ("first", "lag") else _over(r, cols[n], longs[n], w)).alias(n)
+                 for n, r in aggs.items()]
+        return df.select("*", *plain)
+
+    # one never-null key, so that windows, totals and the join share a partitioning
+    data = data.withColumn(_KEY, F.struct(*[F.col(k) for k in by]) if by else F.struct(F.lit(0)))
+    w = Window.partitionBy(_KEY, _CHUNK).orderBy(*direction)
+    inner = data.select("*", *[_over(r, cols[n], longs[n], w).alias(f"_in_{n}") for n, r in aggs.items()])
     order_key = F.struct(*[F.col(c) for c in order])
-
-    w_in = Window.partitionBy(*by, _CHUNK).orderBy(*ord_cols)
-    incl = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    excl = w_in.rowsBetween(Window.unboundedPreceding, -1)
-
-    inner_cols = []
-    summary_cols = []
-    for name, r in aggs.items():
-        frame = excl if r.exclusive else incl
-        c = _col(r.col) if r.col is not None else None
-        if r.kind == "count":
-            inner_cols.append(F.count(F.lit(1)).over(frame).alias(f"_in_{name}"))
-            summary_cols.append(F.count(F.lit(1)).alias(f"_s_{name}"))
-        elif r.kind == "sum":
-            inner_cols.append(F.sum(c).over(frame).alias(f"_in_{name}"))
-            summary_cols.append(F.sum(c).alias(f"_s_{name}"))
-        elif r.kind in ("max", "min"):
-            fn = F.max if r.kind == "max" else F.min
-            inner_cols.append(fn(c).over(frame).alias(f"_in_{name}"))
-            summary_cols.append(fn(c).alias(f"_s_{name}"))
-        elif r.kind == "first":
-            inner_cols.append(F.first(c).over(incl).alias(f"_in_{name}"))
-            pick = F.max_by if descending else F.min_by
-            summary_cols.append(pick(c, order_key).alias(f"_s_{name}"))
-        elif r.kind == "last":
-            inner_cols.append(F.last(c, ignorenulls=True).over(frame).alias(f"_in_{name}"))
-            pick = F.min_by if descending else F.max_by
-            summary_cols.append(pick(c, F.when(c.isNotNull(), order_key)).alias(f"_s_{name}"))
-        else:
-            raise ValueError(f"unknown running aggregate {r.kind!r}")
-
-    inner = data.select("*", *inner_cols)
-
-    # Exclusive prefix over the chunk totals of each key.
-    summary = data.groupBy(*by, _CHUNK).agg(*summary_cols)
-    chunk_order = F.col(_CHUNK).desc() if descending else F.col(_CHUNK).asc()
-    wc = Window.partitionBy(*by).orderBy(chunk_order)
+    totals = data.filter(HOT).groupBy(_KEY, _CHUNK).agg(*[_total(r, cols[n], longs[n], order_key, descending).alias(f"_s_{n}")
+                                              for n, r in aggs.items()])
+    wc = Window.partitionBy(_KEY).orderBy(F.col(_CHUNK).desc() if descending else F.col(_CHUNK).asc())
     before = wc.rowsBetween(Window.unboundedPreceding, -1)
-    prefix_cols = []
-    for name, r in aggs.items():
-        s = F.col(f"_s_{name}")
-        if r.kind in ("count", "sum"):
-            expr = F.sum(s).over(before)
-        elif r.kind == "max":
-            expr = F.max(s).over(before)
-        elif r.kind == "min":
-            expr = F.min(s).over(before)
-        elif r.kind == "first":
-            expr = F.first(s).over(before)
-        else:  # last
-            expr = F.last(s, ignorenulls=True).over(before)
-        prefix_cols.append(expr.alias(f"_p_{name}"))
-    renamed = [F.col(k).alias(f"_pk_{i}") for i, k in enumerate(by)]
-    prefix = summary.select(*renamed, F.col(_CHUNK).alias("_pk_chunk"), *prefix_cols)
-
-    cond = [inner[_CHUNK] == prefix["_pk_chunk"]]
-    cond += [inner[k].eqNullSafe(prefix[f"_pk_{i}"]) for i, k in enumerate(by)]
-    joined = inner.join(prefix, on=cond, how="left")
-
-    out_cols = []
-    for name, r in aggs.items():
-        i, p = F.col(f"_in_{name}"), F.col(f"_p_{name}")
-        if r.kind == "count":
-            v = F.coalesce(p, F.lit(0)) + i
-        elif r.kind == "sum":
-            v = F.when(p.isNull(), i).when(i.isNull(), p).otherwise(p + i)
-        elif r.kind == "max":
-            v = F.when(p.isNull(), i).when(i.isNull(), p).otherwise(F.greatest(p, i))
-        elif r.kind == "min":
-            v = F.when(p.isNull(), i).when(i.isNull(), p).otherwise(F.least(p, i))
-        elif r.kind == "first":
-            # the key's first row lives in its first chunk: any earlier chunk wins
-            v = F.when(p.isNotNull(), p).otherwise(i)
-            if r.exclusive:
-                raise ValueError("first() is always inclusive")
-        else:
-            v = F.coalesce(i, p)
-        out_cols.append(v.alias(name))
-    keep = [c for c in df.columns]
-    return joined.select(*[inner[c] for c in keep], *out_cols)
+    prefix = totals.select(
+        F.col(_KEY).alias("_pk"), F.col(_CHUNK).alias("_pc"), *[_prefix(r, F.col(f"_s_{n}"), before).alias(f"_p_{n}") for n, r in aggs.items()])
+    joined = inner.join(prefix, (F.col(_KEY) == F.col("_pk")) & (F.col(_CHUNK) == F.col("_pc")), "left")
+    return joined.select(*df.columns, *[_combined(r, F.col(f"_in_{n}"), F.col(f"_p_{n}")).alias(n) for n, r in aggs.items()])

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbflow.operators.running import DEFAULT_ROWS_PER_CHUNK, _numeric, plan_chunks
+from ebbflow.operators.running import DEFAULT_ROWS_PER_CHUNK, HOT, _numeric, chunked
 
 
 @dataclass(frozen=True)
@@ -146,12 +146,12 @@ def run_state_machine(df: DataFrame, sm: StateMachine, key: str, order: list[str
         code = F.when(F.col(event) == F.lit(e), F.lit(i)).otherwise(code)
 
     num = _numeric(F.col(order[0]), df.schema[order[0]].dataType)
-    plan = plan_chunks(df, num, rows_per_chunk)
     out_cols = list(dict.fromkeys([key, *emit_cols]))
     cols = list(dict.fromkeys([key, *order, *emit_cols]))
-    data = plan.assign(df.select(*cols, num.alias("_num"), code.cast("int").alias("_ev")),
-                       F.col("_num"), "_chunk").drop("_num")
-    key_type = df.schema[key].dataType.simpleString()
+    # a null key is a key like others: "n", while values have a "v" in front
+    name = F.coalesce(F.concat(F.lit("v"), F.col(key).cast("string")), F.lit("n"))
+    data, split = chunked(df.select(*cols, code.cast("int").alias("_ev")), [key], num, rows_per_chunk, "_chunk")
+    data = data.withColumn("_k", name)
 
     def sorted_by(frame: DataFrame, group: list[str], within: list[str]) -> DataFrame:
         return frame.repartition(*[F.col(g) for g in group]).sortWithinPartitions(*group, *within)
@@ -160,7 +160,7 @@ def run_state_machine(df: DataFrame, sm: StateMachine, key: str, order: list[str
     def summarize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         carry = None  # (key, chunk, composed map)
         for pdf in batches:
-            k = pdf[key].to_numpy()
+            k = pdf["_k"].to_numpy()
             c = pdf["_chunk"].to_numpy()
             f = nxt[pdf["_ev"].to_numpy()]
             if carry is not None and len(k) and k[0] == carry[0] and c[0] == carry[1]:
@@ -168,7 +168,7 @@ def run_state_machine(df: DataFrame, sm: StateMachine, key: str, order: list[str
                 c = np.concatenate([[carry[1]], c])
                 f = np.concatenate([carry[2][None, :], f])
             elif carry is not None and len(k):
-                yield pd.DataFrame({key: [carry[0]], "_chunk": [carry[1]], "_map": [carry[2].tolist()]})
+                yield pd.DataFrame({"_k": [carry[0]], "_chunk": [carry[1]], "_map": [carry[2].tolist()]})
                 carry = None
             if not len(k):
                 continue
@@ -177,14 +177,14 @@ def run_state_machine(df: DataFrame, sm: StateMachine, key: str, order: list[str
             ends = np.nonzero(np.r_[seg[1:] != seg[:-1], True])[0]
             done, last = ends[:-1], ends[-1]
             if len(done):
-                yield pd.DataFrame({key: k[done], "_chunk": c[done],
+                yield pd.DataFrame({"_k": k[done], "_chunk": c[done],
                                     "_map": [m.tolist() for m in incl[done]]})
             carry = (k[last], c[last], incl[last])
         if carry is not None:
-            yield pd.DataFrame({key: [carry[0]], "_chunk": [carry[1]], "_map": [carry[2].tolist()]})
+            yield pd.DataFrame({"_k": [carry[0]], "_chunk": [carry[1]], "_map": [carry[2].tolist()]})
 
-    summary = sorted_by(data, [key, "_chunk"], order).mapInPandas(
-        summarize, f"{key} {key_type}, _chunk long, _map array<int>")
+    summary = sorted_by(data.filter(HOT), ["_k", "_chunk"], order).mapInPandas(
+        summarize, "_k string, _chunk int, _map array<int>")
 
     # pass 2: entry state of each chunk = composition of the key's earlier chunks
     def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -192,7 +192,7 @@ def run_state_machine(df: DataFrame, sm: StateMachine, key: str, order: list[str
         for pdf in batches:
             if not len(pdf):
                 continue
-            k = pdf[key].to_numpy()
+            k = pdf["_k"].to_numpy()
             c = pdf["_chunk"].to_numpy()
             f = np.array(pdf["_map"].tolist(), dtype=np.int32).reshape(len(pdf), n_states)
             pad = carry is not None and k[0] == carry[0]
@@ -205,13 +205,18 @@ def run_state_machine(df: DataFrame, sm: StateMachine, key: str, order: list[str
             entry = _exclusive(seg, incl, identity)[:, 0]
             carry = (k[-1], incl[-1])
             sl = slice(1, None) if pad else slice(None)
-            yield pd.DataFrame({key: k[sl], "_chunk": c[sl], "_entry": entry[sl].astype(np.int32)})
+            yield pd.DataFrame({"_k": k[sl], "_chunk": c[sl], "_entry": entry[sl].astype(np.int32)})
 
-    entry = sorted_by(summary, [key], ["_chunk"]).mapInPandas(
-        entries, f"{key} {key_type}, _chunk long, _entry int")
+    entry = sorted_by(summary, ["_k"], ["_chunk"]).mapInPandas(
+        entries, "_k string, _chunk int, _entry int")
 
     # pass 3: run each chunk from its entry state, keep the emitting rows
-    joined = data.join(entry, [key, "_chunk"], "inner")
+    # (rows of keys that are not hot start in the initial state: no other pass sees them)
+    start_state = states.index(sm.initial)
+    if split:
+        joined = data.join(entry, ["_k", "_chunk"], "left").withColumn("_entry", F.coalesce("_entry", F.lit(start_state)))
+    else:
+        joined = data.withColumn("_entry", F.lit(start_state))
     out_schema = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in out_cols)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -219,7 +224,7 @@ def run_state_machine(df: DataFrame, sm: StateMachine, key: str, order: list[str
         for pdf in batches:
             if not len(pdf):
                 continue
-            k = pdf[key].to_numpy()
+            k = pdf["_k"].to_numpy()
             c = pdf["_chunk"].to_numpy()
             ev = pdf["_ev"].to_numpy()
             start = pdf["_entry"].to_numpy().astype(np.int32)
@@ -235,4 +240,4 @@ def run_state_machine(df: DataFrame, sm: StateMachine, key: str, order: list[str
             if hit.any():
                 yield pdf.loc[hit, out_cols]
 
-    return sorted_by(joined, [key, "_chunk"], order).mapInPandas(run, out_schema)
+    return sorted_by(joined.drop(HOT), ["_k", "_chunk"], order).mapInPandas(run, out_schema)

@@ -235,12 +235,10 @@ def buffered_sink(spark, sf_dir):
 
 
 @query("repartition_modes", covers=("K2", "K3", "K4", "K5", "K6", "K7"), oracle="""
-SELECT m.mode,
-       CAST(CASE WHEN m.mode = 'global' THEN n.types ELSE n.c * m.copies END AS BIGINT) AS rows,
-       CAST(m.parts AS BIGINT) AS partitions
-FROM (SELECT count(*) AS c, count(DISTINCT event_type) AS types FROM events) n,
-     (VALUES ('shuffle', 1, 4), ('rebalance', 1, 4), ('rescale', 1, 2), ('broadcast', 4, 4),
-             ('global', 1, 1), ('custom', 1, 2)) m(mode, copies, parts)
+SELECT m.mode, CAST(CASE WHEN m.raw THEN n.c ELSE n.types END AS BIGINT) AS rows
+FROM (SELECT count(*) AS c, count(DISTINCT event_type) + max(CASE WHEN event_type IS NULL THEN 1 ELSE 0 END) AS types FROM events) n,
+     (VALUES ('shuffle', true), ('rebalance', true), ('rescale', true), ('broadcast', false),
+             ('global', false), ('custom', true)) m(mode, raw)
 """)
 def repartition_modes(spark, sf_dir):
     return K.partition_report(S.events(spark, sf_dir).select("event_id", "user_id", "event_type"),

@@ -2,8 +2,8 @@
 
 Scratch data (staged CSV copies, sink tables, streaming checkpoints) always
 lives under the folder named by ``spark.checkpoint.dir``: on a cluster that
-is a shared filesystem every executor can reach. Only when the setting is
-missing (unit tests on a laptop) do we fall back to a fresh temp folder.
+is a shared filesystem every executor can reach. Without the setting a local
+master gets a fresh temp folder; any other master is an error.
 """
 
 from __future__ import annotations
@@ -75,8 +75,8 @@ def ship_package(spark: SparkSession) -> None:
     """``addPyFile`` a zip of ``ebbflow`` once per application, so Python
     workers (``mapInPandas``, ``transformWithState``) can import it wherever
     they run, whatever the driver's working directory. The zip is built in
-    memory and written to the shared checkpoint folder (through Hadoop's
-    FileSystem when that folder is remote)."""
+    memory and written to the shared checkpoint folder through Hadoop's
+    FileSystem."""
     import io
     import zipfile
 
@@ -94,16 +94,12 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(base, f)
                     z.write(full, os.path.relpath(full, root))
     zpath = work_dir(spark, "pyfiles") + "/ebbflow.zip"
-    if "://" in zpath:
-        jpath = sc._jvm.org.apache.hadoop.fs.Path(zpath)
-        out = jpath.getFileSystem(sc._jsc.hadoopConfiguration()).create(jpath, True)
-        try:
-            out.write(bytearray(buf.getvalue()))
-        finally:
-            out.close()
-    else:
-        with open(zpath, "wb") as fh:
-            fh.write(buf.getvalue())
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(zpath)
+    out = jpath.getFileSystem(sc._jsc.hadoopConfiguration()).create(jpath, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
     sc.addPyFile(zpath)
     # Streaming Python runners (transformWithState) start before the shipped
     # files are on their path; name the package root in the worker
@@ -122,21 +118,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Unset: only happens in local tests. A cluster always names a shared dir.
-        configured = tempfile.mkdtemp(prefix="ebbflow-ckpt-")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="ebbflow-ckpt-")  # one machine only, as in tests
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
 def work_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
-    """A fresh folder below the shared checkpoint dir for staged data and sinks."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
+    """A fresh folder below the shared checkpoint dir for staged data and
+    sinks, made through Hadoop's FileSystem whatever store it is in."""
+    sc = spark.sparkContext
     leaf = list(parts) + ([uuid.uuid4().hex[:12]] if unique else [])
-    path = os.path.join(base, "ebbflow-work", *leaf)
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
+    path = "/".join([ensure_checkpoint_dir(spark).rstrip("/"), "ebbflow-work", *leaf])
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(sc._jsc.hadoopConfiguration()).mkdirs(jpath)
     return path
 
 

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +14,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,24 +30,13 @@ CLICK_LINE_SCHEMA = T.StructType([
 ])
 
 
-def _stage_dir(spark: SparkSession, sf_dir: str, name: str) -> str:
-    tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:10]
-    return work_dir(spark, "staged", f"{tag}-{name}", unique=False)
-
-
-def _complete(path: str) -> bool:
-    if "://" in path and not path.startswith("file:"):
-        return False  # remote store: rewrite (overwrite) rather than probe
-    return os.path.exists(os.path.join(path.replace("file:", "", 1), "_SUCCESS"))
-
-
 def staged_click_csv(spark: SparkSession, sf_dir: str) -> str:
-    """Write the events as comma lines once (shared folder) and return the path."""
-    path = _stage_dir(spark, sf_dir, "clicks-csv")
-    if not _complete(path):
-        (events(spark, sf_dir)
-         .select("user_id", "event_id", "event_type", epoch_ms("ts").alias("ts_ms"))
-         .write.mode("overwrite").option("header", "false").csv(path))
+    """Write the events as comma lines and return the folder. Every call has a
+    folder of its own: results that are still lazy keep the files they read."""
+    path = work_dir(spark, "staged-clicks")
+    (events(spark, sf_dir)
+     .select("user_id", "event_id", "event_type", epoch_ms("ts").alias("ts_ms"))
+     .write.mode("overwrite").option("header", "false").csv(path))
     return path
 
 

@@ -1,6 +1,6 @@
-"""FIXTURES §5 (two keyed streams), §6 (actions and rules), §7 (timed pairs),
-§9 (custom partitioner)."""
+"""Joins and partitioners on small tables drawn by a rule, against plain Python."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -10,68 +10,67 @@ from ebbflow.operators import partitioning as K
 
 
 def test_connect_join_pairs(spark):
-    left = spark.createDataFrame([("a", "stream-1", 1000), ("b", "stream-1", 2000)],
-                                 "key string, tag string, ts long")
-    right = spark.createDataFrame([("a", "stream-2", 3000), ("b", "stream-2", 4000)],
-                                  "key string, tag string, ts long")
-    out = J.connect_join(left, right, "key", "key", "ts", "ts")
-    assert rows(out, "key", "emitted_by", "arriving_ts", "stored_ts") == [
-        ("a", "stream-2", 3000, 1000), ("b", "stream-2", 4000, 2000)]
+    """Depots and parcels: the later of each pair emits it, ties go to the right side."""
+    depots = [(k, 10 * k) for k in range(1, 5)]
+    parcels = [(k, t) for k in range(2, 7) for t in (10 * k - 3, 10 * k, 10 * k + 4)]
+    left = spark.createDataFrame(depots, "depot long, open_at long")
+    right = spark.createDataFrame(parcels, "to_depot long, sent_at long")
+    want = sorted((k, "right" if t >= o else "left", max(t, o), min(t, o)) for k, o in depots for p, t in parcels if p == k)
+    out = J.connect_join(left, right, "depot", "to_depot", "open_at", "sent_at", tag_l="left", tag_r="right")
+    assert rows(out, "key", "emitted_by", "arriving_ts", "stored_ts") == want
 
 
-def actions_rules(spark):
-    actions = spark.createDataFrame(
-        [(0, "user_a", "login"), (1, "user_a", "pay"), (2, "user_b", "login"), (3, "user_b", "order")],
-        "seq long, userId string, action string")
-    rules = spark.createDataFrame([(0, "login", "pay"), (1, "login", "order")],
-                                  "seq long, action1 string, action2 string")
-    return actions, rules
+MOVES = ["up", "down", None, "left", "up", "up", "down", "left", None, "up", "left", "down"]
 
 
-def test_broadcast_rules_latest_only(spark):
-    actions, rules = actions_rules(spark)
-    out = J.broadcast_rules(actions, J.latest_rule(rules, "seq"), "userId", "action", "seq")
-    assert rows(out, "userId", "prev_action", "action") == [("user_b", "login", "order")]
+def moves(spark):
+    """Two robots take the moves in turn, shifted against each other."""
+    data = [(n, f"bot{n % 2}", MOVES[(n * 5) % 12]) for n in range(36)]
+    return data, spark.createDataFrame(data, "seq long, bot string, move string")
 
 
-def test_broadcast_rules_many(spark):
-    actions, rules = actions_rules(spark)
-    out = J.broadcast_rules(actions, rules, "userId", "action", "seq")
-    assert rows(out, "userId", "prev_action", "action") == [
-        ("user_a", "login", "pay"), ("user_b", "login", "order")]
+def follows(data, rules):
+    before, out = {}, []
+    for seq, bot, move in data:
+        if (before.get(bot), move) in rules:
+            out.append((bot, seq, before[bot], move))
+        before[bot] = move
+    return sorted(out)
 
 
-def test_interval_join_inclusive_bounds(spark):
-    left = spark.createDataFrame([("1", "l", 100)], "id string, name string, sec long") \
-                .select("id", from_epoch_seconds("sec").alias("lts"))
-    right = spark.createDataFrame([("1", "r", s) for s in (94, 95, 105, 106)] + [("2", "r", 100)],
-                                  "id string, name string, sec long") \
-                 .select("id", F.col("sec").alias("rsec"), from_epoch_seconds("sec").alias("rts"))
-    out = J.interval_join(left, right, "id", "lts", "rts", "-5 s" if False else -5000, 5000)
-    assert rows(out, "rsec") == [(95,), (105,)]
+@pytest.mark.parametrize("rules", [[("up", "up")], [("up", "down"), ("left", "up"), ("down", "left")], []])
+def test_broadcast_rules(spark, rules):
+    data, df = moves(spark)
+    table = spark.createDataFrame([(i, *r) for i, r in enumerate(rules)], "seq long, action1 string, action2 string")
+    assert rows(J.broadcast_rules(df, table, "bot", "move", "seq")) == follows(data, rules)
+    latest = J.broadcast_rules(df, J.latest_rule(table, "seq"), "bot", "move", "seq")
+    assert rows(latest) == follows(data, rules[-1:])
 
 
-def test_interval_join_small_buckets(spark):
-    left = spark.createDataFrame([("1", 100)], "id string, s long").select(
-        "id", from_epoch_seconds("s").alias("lts"))
-    right = spark.createDataFrame([("1", s) for s in range(80, 121)], "id string, s long").select(
-        "id", "s", from_epoch_seconds("s").alias("rts"))
-    out = J.interval_join(left, right, "id", "lts", "rts", -7000, 9000, bucket=3000)
-    assert [r[0] for r in rows(out, "s")] == list(range(93, 110))
+@pytest.mark.parametrize("lower,upper,bucket", [(-5000, 5000, None), (-7000, 9000, 3000), (2000, 6000, 1000)])
+def test_interval_join_bounds_are_inclusive(spark, lower, upper, bucket):
+    lamps = [(k, 60 + 17 * i) for k in "ab" for i in range(4)]
+    ticks = [(k, s) for k in "abc" for s in range(50, 130, 3)]
+    left = spark.createDataFrame(lamps, "id string, lsec long").select("id", "lsec", from_epoch_seconds("lsec").alias("lts"))
+    right = spark.createDataFrame(ticks, "id string, rsec long").select("id", "rsec", from_epoch_seconds("rsec").alias("rts"))
+    out = J.interval_join(left, right, "id", "lts", "rts", lower, upper, bucket=bucket)
+    want = sorted((k, a, b) for k, a in lamps for q, b in ticks if q == k and lower <= 1000 * (b - a) <= upper)
+    assert rows(out, "id", "lsec", "rsec") == want and want
 
 
 def test_custom_partitioner(spark):
-    df = spark.createDataFrame([(i,) for i in range(1, 9)], "v long")
-    out = K.custom(df, 2, (F.col("v") % 2).cast("int")).select(
-        "v", F.spark_partition_id().alias("p"))
-    got = {}
-    for r in out.collect():
-        got.setdefault(r["p"], []).append(r["v"])
-    assert sorted(got[0]) == [2, 4, 6, 8] and sorted(got[1]) == [1, 3, 5, 7]
+    df = spark.createDataFrame([(i,) for i in range(3, 24)], "v long")
+    out = K.custom(df, 3, (F.col("v") % 3).cast("int")).select("v", F.spark_partition_id().alias("p"))
+    assert all(r["v"] % 3 == r["p"] for r in out.collect()) and out.count() == 21
 
 
 def test_broadcast_mode_replicates(spark):
     df = spark.createDataFrame([(i,) for i in range(10)], "v long")
     out = K.broadcast_all(df, 3).select("v", F.spark_partition_id().alias("p"))
-    per = rows(out.groupBy("p").count(), "p", "count")
-    assert per == [(0, 10), (1, 10), (2, 10)]
+    assert rows(out.groupBy("p").count(), "p", "count") == [(0, 10), (1, 10), (2, 10)]
+
+
+def test_partition_report_counts(spark):
+    df = spark.createDataFrame([(i, i % 4) for i in range(50)], "k long, c long")
+    got = dict(rows(K.partition_report(df, "k", "c", 3), "mode", "rows"))
+    assert got == {"shuffle": 50, "rebalance": 50, "rescale": 50, "custom": 50, "broadcast": 4, "global": 4}

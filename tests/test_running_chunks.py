@@ -68,8 +68,53 @@ def test_chunks_stay_balanced_with_outlier(spark):
     """Equal-width chunks would put every row but one in chunk 0 here."""
     data = [(i, i) for i in range(2000)] + [(2000, 10**12)]
     df = spark.createDataFrame(data, "seq long, t long")
-    plan = R.plan_chunks(df, F.col("t"), 200)
-    sizes = [r["count"] for r in plan.assign(df, F.col("t"), "c").groupBy("c").count().collect()]
-    assert len(sizes) >= 8 and max(sizes) <= 400
+    cut, split = R.chunked(df, [], F.col("t"), 200, "c")
+    sizes = [r["count"] for r in cut.groupBy("c").count().collect()]
+    assert split and len(sizes) >= 8 and max(sizes) <= 400
     got = R.running(df, [], ["t"], {"n": R.count()}, rows_per_chunk=200)
     assert rows(got, "seq", "n") == [(i, i + 1) for i in range(2001)]
+
+
+def test_more_cuts_than_one_group_holds(spark):
+    df = spark.range(1000).select(F.col("id").alias("t"))
+    cut, _ = R.chunked(df, [], F.col("t"), 5, "c")
+    by = rows(cut, "t", "c")
+    assert [c for _, c in by] == sorted(c for _, c in by) and len({c for _, c in by}) >= 150
+
+
+@pytest.mark.parametrize("desc", [False, True])
+@pytest.mark.parametrize("rpc", [2, 3, 9, 40, 10**9])
+def test_nulls_ties_and_a_hot_key_equal_the_plain_window(spark, rpc, desc):
+    """Null values first in a key, null keys, null order values, one hot key."""
+    data = [(i, None if i % 11 == 3 else "hot" if i % 3 else f"k{i % 5}", None if i % 13 == 5 else i // 2,
+             None if i % 4 == 0 else i * 7 % 31) for i in range(160)]
+    df = spark.createDataFrame(data, "seq long, k string, t long, v long")
+    aggs = {"fst": R.first("v"), "lst": R.last("v", exclusive=True), "prev": R.lag("v"), "s": R.rsum("v"),
+            "mx": R.rmax("v"), "n": R.count()}
+    got = R.running(df, ["k"], ["t", "seq"], aggs, descending=desc, rows_per_chunk=rpc)
+    o = [F.col("t").desc(), F.col("seq").desc()] if desc else ["t", "seq"]
+    w = Window.partitionBy("k").orderBy(*o)
+    inc, exc = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
+    want = df.select("*", F.first("v").over(inc).alias("fst"), F.last("v", True).over(exc).alias("lst"), F.lag("v").over(w).alias("prev"),
+                     F.sum("v").over(inc).alias("s"), F.max("v").over(inc).alias("mx"), F.count(F.lit(1)).over(inc).alias("n"))
+    key = lambda r: r[0]
+    cols = ["seq", *aggs]
+    assert sorted((tuple(r[c] for c in cols) for r in got.collect()), key=key) == \
+        sorted((tuple(r[c] for c in cols) for r in want.collect()), key=key)
+
+
+def test_one_exchange_of_the_rows(spark):
+    """A split plan shuffles the rows once; no array of quantiles reaches the driver's plan beyond the cuts."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(500).select(F.col("id").alias("seq"), (F.col("id") % 2).alias("k"), F.lit("payload").alias("wide"))
+        out = R.running(df, ["k"], ["seq"], {"n": R.count()}, rows_per_chunk=50)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # the rows, the chunk totals (partial sums), and the prefixes by key and to the join
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("_rc_key" in line and "_rc_chunk" in line for line in exchanges) <= 2
+    assert "wide" in plan
