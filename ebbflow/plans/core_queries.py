@@ -135,7 +135,7 @@ def reduce_count(spark, sf_dir):
     return A.reduce_count(S.events(spark, sf_dir), "user_id")
 
 
-@query("running_count", covers=("A2", "A7", "K1"), oracle="""
+@query("running_count", covers=("A2", "K1"), oracle="""
 SELECT event_id, user_id,
        count(*) OVER (PARTITION BY user_id ORDER BY event_id
                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cnt
@@ -297,3 +297,12 @@ FROM c
 """)
 def window_sequence(spark, sf_dir):
     return W.window_sequence(S.events(spark, sf_dir), "ts", "3 hours", "user_id")
+
+
+@query("labelled_count", covers=("A7",), oracle="""
+SELECT event_id, user_id, 'count：' || count(*) OVER (PARTITION BY user_id ORDER BY event_id
+       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS label
+FROM events
+""")
+def labelled_count(spark, sf_dir):
+    return A.labelled_count(S.events(spark, sf_dir), "user_id", "event_id").select("event_id", "user_id", "label")

@@ -11,13 +11,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ebbflow.functions.time import as_event_time
+from ebbflow.operators.windows import window_col
 from ebbflow.plans.catalog import REGISTRY, query
 from ebbflow.sources import tables as S
 from ebbflow.streaming import operators as SO
 from ebbflow.streaming import runner as RUN
 from ebbflow.streaming import sources as SS
 
-N_FILES = 4
 SENTINEL_ID = -1
 
 
@@ -27,10 +27,11 @@ def _oracle(name: str) -> str:
 
 
 def replayed_events(spark, sf_dir, name, cols=("event_id", "user_id", "event_type", "ts"),
-                    sentinel=True) -> SS.Replay:
-    """Events fed in N_FILES arrival ranges (by event_id), then a flush sentinel."""
+                    sentinel=True, order="ts") -> SS.Replay:
+    """Events fed in arrival ranges of ``order``, then a flush sentinel. In
+    order of event time no range has rows behind the ones before it."""
     ev = S.events(spark, sf_dir).select(*cols)
-    frames = SS.arrival_ranges(ev, "event_id", N_FILES)
+    frames = SS.arrival_ranges(ev, order)
     if sentinel:
         row = {c: None for c in cols}
         row.update(event_id=SENTINEL_ID, user_id=SENTINEL_ID, event_type="flush",
@@ -50,36 +51,60 @@ def _ntz(df, *cols):
 
 
 @query("stream_tumbling_uv", covers=("W4", "A12", "S4", "T3"), oracle=_oracle("tumbling_uv"))
-def stream_tumbling_uv(spark, sf_dir):
+def stream_tumbling_uv(spark, sf_dir, bound="0 seconds"):
     rep = replayed_events(spark, sf_dir, "tumbling-uv")
-    ev = event_stream(rep).withWatermark("ts", "0 seconds")
+    ev = event_stream(rep).withWatermark("ts", bound)
     out = RUN.replay_append([rep], SO.stream_window_uv(ev, "ts", "10 hours", "user_id"),
                             "tumbling_uv")
     return _ntz(out, "window_start", "window_end")
 
 
 @query("stream_sliding_topn", covers=("W6", "A14"), oracle=_oracle("sliding_topn"))
-def stream_sliding_topn(spark, sf_dir):
+def stream_sliding_topn(spark, sf_dir, bound="0 seconds"):
     rep = replayed_events(spark, sf_dir, "sliding-topn")
-    ev = event_stream(rep).withWatermark("ts", "0 seconds")
+    ev = event_stream(rep).withWatermark("ts", bound)
     top = SO.stream_sliding_top_n(ev, "ts", "10 hours", "5 hours", "event_type", 2)
     out = RUN.replay_append([rep], top, "sliding_topn")
     return _ntz(out, "window_start", "window_end")
 
 
+def _stream_counts(spark, sf_dir, name, size, slide, bound):
+    ev = event_stream(replay := replayed_events(spark, sf_dir, name)).withWatermark("ts", bound)
+    w = window_col("ts", size, slide).alias("w")
+    counts = ev.groupBy(w, "event_type").agg(F.count(F.lit(1)).alias("cnt")).select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "event_type", "cnt")
+    return _ntz(RUN.replay_append([replay], counts, name), "window_start", "window_end")
+
+
+@query("stream_tumbling_count", covers=("W1", "A13"), oracle=_oracle("tumbling_count"))
+def stream_tumbling_count(spark, sf_dir, bound="0 seconds"):
+    return _stream_counts(spark, sf_dir, "tumbling-count", "1 hour", None, bound)
+
+
+@query("stream_sliding_count", covers=("W5", "A13"), oracle=_oracle("sliding_count"))
+def stream_sliding_count(spark, sf_dir, bound="0 seconds"):
+    return _stream_counts(spark, sf_dir, "sliding-count", "10 hours", "5 hours", bound)
+
+
 @query("stream_interval_join", covers=("J2",), oracle=_oracle("interval_join"))
 def stream_interval_join(spark, sf_dir):
+    """Views meet purchases of the same user within 6 hours either way. Both
+    sides are dealt to 12-hour buckets besides the user, so a busy user's rows
+    are spread; a view goes to the at most two buckets its interval touches."""
     rep = replayed_events(spark, sf_dir, "interval-join", sentinel=False)
     ev = event_stream(rep)
+    us, width, reach = F.unix_micros("ts"), 12 * 3_600_000_000, 6 * 3_600_000_000
+    bucket = lambda at: F.floor(at / F.lit(width)).cast("long")
     views = (ev.filter(F.col("event_type") == "view")
                .select(F.col("user_id").alias("v_user"), F.col("event_id").alias("view_id"),
-                       F.col("ts").alias("view_ts"))
+                       F.col("ts").alias("view_ts"),
+                       F.explode(F.sequence(bucket(us - reach), bucket(us + reach))).alias("v_bucket"))
                .withWatermark("view_ts", "6 hours"))
     buys = (ev.filter(F.col("event_type") == "purchase")
               .select(F.col("user_id").alias("p_user"), F.col("event_id").alias("purchase_id"),
-                      F.col("ts").alias("purchase_ts"))
+                      F.col("ts").alias("purchase_ts"), bucket(us).alias("p_bucket"))
               .withWatermark("purchase_ts", "6 hours"))
-    j = views.join(buys, F.expr("v_user = p_user AND purchase_ts BETWEEN "
+    j = views.join(buys, F.expr("v_user = p_user AND v_bucket = p_bucket AND purchase_ts BETWEEN "
                                 "view_ts - INTERVAL 6 HOURS AND view_ts + INTERVAL 6 HOURS"))
     out = RUN.replay_append([rep], j.select(F.col("v_user").alias("user_id"), "view_id",
                                             "view_ts", "purchase_id", "purchase_ts"),
@@ -94,9 +119,9 @@ def stream_connect_join(spark, sf_dir):
     orders = S.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     items = S.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate", "l_linenumber")
     o_rep = SS.Replay(spark, "connect-orders", orders.schema,
-                      SS.arrival_ranges(orders, "o_orderkey", N_FILES))
+                      SS.arrival_ranges(orders, "o_orderkey"))
     l_rep = SS.Replay(spark, "connect-items", items.schema,
-                      SS.arrival_ranges(items, "l_orderkey", N_FILES))
+                      SS.arrival_ranges(items, "l_orderkey"))
     o, li = o_rep.stream(), l_rep.stream()
     j = o.join(li, F.col("o_orderkey") == F.col("l_orderkey"), "inner")
     later = F.col("l_shipdate") >= F.col("o_orderdate")
@@ -110,18 +135,16 @@ def stream_connect_join(spark, sf_dir):
 
 @query("resume_word_count", covers=("X1", "X2", "X3", "A4", "B5"), oracle=_oracle("word_count"))
 def resume_word_count(spark, sf_dir):
-    """Word count in update mode over documents replayed as files; the query
-    is stopped after the first half of the files and restarted on the same
-    checkpoint with the rest. Final totals equal one uninterrupted run."""
+    """Word count in update mode over documents replayed in ranges; the query
+    is stopped after each range and restarted on the same checkpoint. Final
+    totals equal one uninterrupted run."""
     from ebbflow.functions.text import split_lines, split_words
 
     docs = S.table(spark, sf_dir, "documents").select("doc_id", "text")
-    halves = SS.arrival_ranges(docs, "doc_id", 2)
-    rep = SS.Replay(spark, "wc", docs.schema, halves)
+    rep = SS.Replay(spark, "wc", docs.schema, SS.arrival_ranges(docs, "doc_id", 2))
     words = (rep.stream().select(F.explode(split_lines("text")).alias("line"))
                 .select(F.explode(split_words("line")).alias("word")))
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
-    # first half, stop; second half, restart on the same checkpoint
     out = RUN.replay_update([rep], counts, "wc")
     return RUN.latest_per_key(spark, out, ["word"], counts.schema)
 
@@ -133,3 +156,15 @@ def stream_sql_select(spark, sf_dir):
     event_stream(rep).createOrReplaceTempView("click_stream")
     sel = spark.sql("SELECT user_id, event_type, ts FROM click_stream WHERE event_type = 'view'")
     return _ntz(RUN.replay_append([rep], sel, "sql_select"), "ts")
+
+
+@query("stream_sql_group_count", covers=("A5", "S11"), oracle="""
+SELECT user_id, count(0) AS cnt FROM events GROUP BY user_id
+""")
+def stream_sql_group_count(spark, sf_dir):
+    """Stream -> temporary view -> SQL aggregate -> update-mode sink: the
+    latest row per key of the changelog is the table."""
+    rep = replayed_events(spark, sf_dir, "sql-group", sentinel=False)
+    event_stream(rep).createOrReplaceTempView("grouped_clicks")
+    counts = spark.sql("SELECT user_id, count(0) AS cnt FROM grouped_clicks GROUP BY user_id")
+    return RUN.latest_per_key(spark, RUN.replay_update([rep], counts, "sql_group"), ["user_id"], counts.schema)

@@ -4,11 +4,10 @@ Spark's own window aggregation drops rows behind the watermark silently
 and has no allowed-lateness re-firing. This processor rebuilds both with
 ``transformWithState`` (SURVEY H1, P6, P7):
 
-* The stream declares a *wide* watermark delay ``D`` (larger than any real
-  delay), so Spark never drops a row before the processor sees it. Inside,
-  the effective watermark is ``spark_wm + D - bound``, the watermark of the
-  original job. Rows later than ``D`` would still be lost: ``D`` is a
-  parameter and must cover the worst arrival delay.
+* The stream declares a *wide* watermark delay ``D``, so Spark never drops a
+  row before the processor sees it. Inside, the effective watermark is
+  ``spark_wm + D - bound``, the watermark of the original job. With ``D`` the
+  span of event times (as the replaying queries take it) no row can be later.
 * Per key, a map state holds ``window start -> (on-time count, total
   count)`` for windows not yet purged. A row meets the watermark of the previous micro-batch:
   window still open -> counted; window fired but ``end + lateness`` not yet
@@ -56,23 +55,28 @@ class LateWindowProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         wm_ms = timerValues.getCurrentWatermarkInMs()
         eff = None if wm_ms <= 0 else wm_ms * 1000 + self.shift
+        held: dict[int, list] = {}   # windows that this batch touches, read and written once
         for r in sorted(rows, key=lambda x: (x[self.order], x[self.seq])):
             start = r[self.ts] // self.size * self.size
             end = start + self.size
             if eff is not None and end + self.lateness <= eff:
                 yield self._row("late", key, start, None, r[self.seq])
                 continue
-            have = self.counts.containsKey((start,))
-            ontime, total, fired = self.counts.getValue((start,)) if have else (0, 0, False)
+            if start not in held:
+                have = self.counts.containsKey((start,))
+                held[start] = list(self.counts.getValue((start,))) if have else [0, 0, False]
+                if not have:
+                    self.handle.registerTimer(self._timer(end + self.lateness))
+                    if eff is None or end > eff:
+                        self.handle.registerTimer(self._timer(end))
             if eff is not None and end <= eff:
-                total += 1
-                yield self._row("update", key, start, total, r[self.seq])
+                held[start][1] += 1
+                yield self._row("update", key, start, held[start][1], r[self.seq])
             else:
-                ontime, total = ontime + 1, total + 1
-                self.handle.registerTimer(self._timer(end))
-            self.counts.updateValue((start,), (ontime, total, fired))
-            if not have:
-                self.handle.registerTimer(self._timer(end + self.lateness))
+                held[start][0] += 1
+                held[start][1] += 1
+        for start, counts in held.items():
+            self.counts.updateValue((start,), tuple(counts))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         # Timers of one key may be delivered in any order within a batch, so
@@ -93,13 +97,13 @@ class LateWindowProcessor(StatefulProcessor):
 
 
 class WatermarkTraceProcessor(StatefulProcessor):
-    """T7 on a stream: each row with the watermark it met (the one left by the
+    """T7 on a stream (no state; the key only spreads the rows): each row with the watermark it met (the one left by the
     previous micro-batch), read with ``getCurrentWatermarkInMs`` and shifted
     back from the wide declared delay to the real bound. None before the
     first watermark."""
 
-    def __init__(self, seq: str, bound_us: int, declared_delay_us: int):
-        self.seq = seq
+    def __init__(self, seq: str, user: str, bound_us: int, declared_delay_us: int):
+        self.seq, self.user = seq, user
         self.shift = declared_delay_us - bound_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -109,7 +113,7 @@ class WatermarkTraceProcessor(StatefulProcessor):
         wm_ms = timerValues.getCurrentWatermarkInMs()
         wm = None if wm_ms <= 0 else wm_ms * 1000 + self.shift
         for r in rows:
-            yield Row(key=key[0], seq=r[self.seq], wm_us=wm)
+            yield Row(key=r[self.user], seq=r[self.seq], wm_us=wm)
 
     def close(self) -> None:
         pass

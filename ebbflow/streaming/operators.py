@@ -5,9 +5,9 @@ outside time windows (SURVEY P3/P4), so both become chained aggregations,
 which Structured Streaming runs in append mode with one watermark:
 
 * UV: ``groupBy(window, user)`` then ``groupBy(window).count()``.
-* top-N: count per (window, key), then per window
-  ``slice(sort_array(collect_list(struct(-cnt, key))), 1, n)``.
-  The second step holds one row per (window, key), never raw events.
+* top-N: count per (window, key); the n best of each (window, hash bucket of
+  the key); the n best of these. A group holds counts of one bucket's keys, or
+  n rows of every bucket, never raw events.
 """
 
 from __future__ import annotations
@@ -26,12 +26,14 @@ def stream_window_uv(events: DataFrame, ts: str, size, user: str) -> DataFrame:
                      F.col("window.end").alias("window_end"), "uv")
 
 
-def stream_sliding_top_n(events: DataFrame, ts: str, size, slide, key: str, n: int) -> DataFrame:
+def stream_sliding_top_n(events: DataFrame, ts: str, size, slide, key: str, n: int,
+                         buckets: int = 64) -> DataFrame:
     counts = events.groupBy(window_col(ts, size, slide).alias("window"), key).agg(
         F.count(F.lit(1)).alias("cnt"))
-    ranked = counts.groupBy("window").agg(
-        F.slice(F.sort_array(F.collect_list(F.struct((-F.col("cnt")).alias("neg"),
-                                                     F.col(key).alias("k")))), 1, n).alias("top"))
+    entry = F.struct((-F.col("cnt")).alias("neg"), F.col(key).alias("k"))
+    parts = counts.groupBy("window", F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket")).agg(
+        F.slice(F.sort_array(F.collect_list(entry)), 1, n).alias("top"))
+    ranked = parts.groupBy("window").agg(F.slice(F.sort_array(F.flatten(F.collect_list("top"))), 1, n).alias("top"))
     out = ranked.select("window", F.posexplode("top").alias("pos", "e"))
     return out.select(F.col("window.start").alias("window_start"),
                       F.col("window.end").alias("window_end"),

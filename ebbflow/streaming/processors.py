@@ -1,211 +1,387 @@
 """Keyed state and timers on streams: ``transformWithState`` processors
-(G1-G6, F2, F3, W9, C4-C6).
-
-Conventions (SURVEY P5-P8, H4):
-
-* Rows of a key reach ``handleInputRows`` unsorted within a micro-batch; each
-  processor sorts them by ``(ts, seq)`` first. Across micro-batches the
-  replayed files are in event order, so the fold sees the key's rows in
-  order.
-* Timers fire after all input rows of the same micro-batch, so a processor
-  that must emit "at the timer" checks ``row.ts > timer`` while folding its
-  input and emits there; ``handleExpiredTimer`` covers timers that the
-  watermark (ultimately the flush sentinel) passes with no later row.
-* Handler parameter names are the ones Spark passes by keyword.
+(G1-G6, F2, F3, W9, C1-C7, A1, A2, A9, A10).
+
+What a job does with a key's rows is a small *logic* object (a fold over rows
+plus what happens when time passes); two processors run such a logic:
+
+* :class:`OrderedProcessor` - in order of event time (C7). Rows wait in list
+  state until the watermark has passed them; one timer per key and batch wakes
+  the key up, and everything due is folded in order. A row that is older than
+  what its key has already folded cannot be put in order any more: it goes to
+  the output with the tag ``late``. No row is lost: the stream declares a wide
+  watermark delay, so Spark drops nothing, and the processor keeps the real
+  bound (:func:`widened`).
+* :class:`ArrivalProcessor` - in order of arrival (a sequence number), with no
+  event time: running values.
+
+Conventions: event time is epoch *microseconds* (long), timers milliseconds as
+the watermark is. Input rows are ``us, seq, v`` (v: a string). Output rows are
+``tag, key, seq, us, v, a, b, status``, of which a logic fills what it needs.
+Handler parameter names are the ones Spark passes by keyword. State is read and
+written once per key and batch, not once per row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Row
-from pyspark.sql.streaming.stateful_processor import (ExpiredTimerInfo, StatefulProcessor,
-                                                      StatefulProcessorHandle, TimerValues)
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ebbflow.operators.state_machine import StateMachine
 
-# Event time enters and leaves every processor as epoch *microseconds* (a
-# long column; the Spark side converts with unix_micros / timestamp_micros),
-# so no Python datetime or time zone is involved and no precision is lost.
-# Timers are milliseconds, as the watermark is.
+OUT = "seq long, us long, v string, a long, b long, status string"
+_NONE = {"seq": None, "us": None, "v": None, "a": None, "b": None, "status": None}
 
 
-def _sorted(rows: Iterator[Row], us: str, seq: str) -> list[Row]:
-    return sorted(rows, key=lambda r: (r[us], r[seq]))
+def output_schema(key_type: str) -> str:
+    return f"tag string, key {key_type}, {OUT}"
 
 
-def _timer_ms(us: int) -> int:
-    """Smallest timer (ms) that fires only once the watermark reaches ``us``."""
-    return -((-us) // 1000)
+def widened(df: DataFrame, ts: str, delay_us: int) -> DataFrame:
+    """``df`` with a watermark ``delay_us`` behind, for a processor that keeps
+    the real bound itself. With a delay of the whole span of event times no row
+    can be behind it."""
+    return df.withWatermark(ts, f"{delay_us} microseconds")
 
 
-class StateMachineProcessor(StatefulProcessor):
-    """C6 on a stream: the machine's current state is one value state (G1)."""
+class Clock:
+    """The effective watermark of a processor behind a widened one."""
 
-    def __init__(self, sm: StateMachine, event: str, ts: str, seq: str, out: list[str]):
-        self.sm, self.event, self.ts, self.seq, self.out = sm, event, ts, seq, out
+    def __init__(self, bound_us: int, delay_us: int):
+        self.shift = delay_us - bound_us
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("state", "state string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        state = self.state.get()[0] if self.state.exists() else self.sm.initial
-        for r in _sorted(rows, self.ts, self.seq):
-            state, alert = self.sm.step(state, r[self.event])
-            if alert:
-                yield Row(**{c: r[c] for c in self.out})
-        self.state.update((state,))
+    def now(self, timer_values) -> int | None:
+        ms = timer_values.getCurrentWatermarkInMs()
+        return None if ms <= 0 else ms * 1000 + self.shift
 
-    def close(self) -> None:
-        pass
+    def timer(self, us: int) -> int:
+        """The timer (ms) that fires once the effective watermark is at ``us``."""
+        return -((self.shift - us) // 1000)
 
 
-class FollowedByWithinProcessor(StatefulProcessor):
-    """C4/C5 on a stream: pending starts in list state (G2); the first end row
-    after them completes each one (match if ``gap < within``, else timeout);
-    an event-time timer at ``start + within`` times out the rest."""
+class OrderedProcessor(StatefulProcessor):
+    """Fold each key's rows in order of (event time, sequence number)."""
 
-    def __init__(self, type_col: str, start_value: str, end_value: str, ts: str, seq: str,
-                 within_us: int):
-        self.type_col, self.start_value, self.end_value = type_col, start_value, end_value
-        self.ts, self.seq, self.within = ts, seq, within_us
+    def __init__(self, logic, bound_us: int, delay_us: int):
+        self.logic, self.clock = logic, Clock(bound_us, delay_us)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", "start_seq long, start_us long")
-
-    def _out(self, key, seq, start_us, end_us, status):
-        return Row(key=key[0], start_seq=seq, start_us=start_us, end_us=end_us, status=status)
+        self.waiting = handle.getListState("waiting", "us long, seq long, v string")
+        self.state = handle.getValueState("state", self.logic.schema)
+        self.done = handle.getValueState("done", "us long")  # folded up to here
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        pending = list(self.pending.get()) if self.pending.exists() else []
-        for r in _sorted(rows, self.ts, self.seq):
-            us = r[self.ts]
-            if r[self.type_col] == self.end_value:
-                for seq, start_us in pending:
-                    status = "matched" if us - start_us < self.within else "timeout"
-                    yield self._out(key, seq, start_us, us if status == "matched" else None, status)
-                    self.handle.deleteTimer(_timer_ms(start_us + self.within))
-                pending = []
-            if r[self.type_col] == self.start_value:
-                pending.append((r[self.seq], us))
-                self.handle.registerTimer(_timer_ms(us + self.within))
-        self._save(pending)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        due_us = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        pending = list(self.pending.get()) if self.pending.exists() else []
-        keep = []
-        for seq, start_us in pending:
-            if start_us + self.within <= due_us:
-                yield self._out(key, seq, start_us, None, "timeout")
+        done = self.done.get()[0] if self.done.exists() else None
+        fresh = []
+        for r in rows:
+            if done is not None and r.us <= done:
+                yield Row(tag="late", key=key[0], **_NONE | {"seq": r.seq, "us": r.us, "v": r.v})
             else:
-                keep.append((seq, start_us))
-        self._save(keep)
+                fresh.append((r.us, r.seq, r.v))
+        if fresh:
+            self.waiting.appendList(fresh)
+            self.handle.registerTimer(self.clock.timer(min(fresh)[0]))
 
-    def _save(self, pending):
-        if pending:
-            self.pending.put(pending)
-        else:
-            self.pending.clear()
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = self.clock.now(timerValues)
+        held = list(self.waiting.get()) if self.waiting.exists() else []
+        due = sorted(((r[0], r[1], r[2]) for r in held if r[0] <= now), key=lambda r: (r[0], r[1]))
+        rest = [(r[0], r[1], r[2]) for r in held if r[0] > now]
+        state = tuple(self.state.get()) if self.state.exists() else self.logic.start()
+        out: list[dict] = []
+        for us, seq, v in due:
+            state = self.logic.fold(state, us, seq, v, out.append)
+        state = self.logic.passed(state, now, out.append)
+        if due:
+            self.waiting.put(rest) if rest else self.waiting.clear()
+        self.state.update(state)
+        self.done.update((now,))
+        wake = [w for w in (min(rest)[0] if rest else None, self.logic.wakes(state)) if w is not None]
+        if wake:
+            self.handle.registerTimer(self.clock.timer(min(wake)))
+        for o in out:
+            yield Row(tag="main", key=key[0], **_NONE | o)
 
     def close(self) -> None:
         pass
 
 
-class ManualWindowProcessor(StatefulProcessor):
-    """W9 on a stream: map state ``window start -> count`` (G3) and one
-    event-time timer at ``end - 1`` per window."""
+class ArrivalProcessor(StatefulProcessor):
+    """Fold each key's rows in order of their sequence number within every
+    batch (batches follow the sequence). ``ttl_ms``: processing time after
+    which a key that got no row starts afresh (G6)."""
 
-    def __init__(self, ts: str, size_us: int):
-        self.ts, self.size = ts, size_us
+    def __init__(self, logic, ttl_ms: int | None = None):
+        self.logic, self.ttl = logic, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.counts = handle.getMapState("counts", "start long", "cnt long")
+        self.state = handle.getValueState("state", self.logic.schema, **({"ttlDurationMs": self.ttl} if self.ttl else {}))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        for r in rows:
-            start = r[self.ts] // self.size * self.size
-            cur = self.counts.getValue((start,))[0] if self.counts.containsKey((start,)) else 0
-            self.counts.updateValue((start,), (cur + 1,))
-            self.handle.registerTimer((start + self.size) // 1000 - 1)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        end = (expiredTimerInfo.getExpiryTimeInMs() + 1) * 1000
-        start = end - self.size
-        if self.counts.containsKey((start,)):
-            cnt = self.counts.getValue((start,))[0]
-            self.counts.removeKey((start,))
-            yield Row(start_us=start, end_us=end, key=key[0], cnt=cnt)
+        state = tuple(self.state.get()) if self.state.exists() else self.logic.start()
+        out: list[dict] = []
+        for r in sorted(rows, key=lambda r: r.seq):
+            state = self.logic.fold(state, r.us, r.seq, r.v, out.append)
+        self.state.update(state)
+        for o in out:
+            yield Row(tag="main", key=key[0], **_NONE | o)
 
     def close(self) -> None:
         pass
 
 
-class PeriodicCountProcessor(StatefulProcessor):
-    """F3 on a stream: value states for the cumulative count and the pending
-    timer (G1). Emits ``(key, timer, count of rows with ts <= timer)``."""
+class Logic:
+    """A fold: ``schema`` and ``start()`` of its state, ``fold`` for a row,
+    ``passed`` when the watermark is at ``now``, ``wakes``: when it wants that
+    next (None: not on its own account). ``emit`` takes a dict of output fields."""
+
+    schema = ""
+
+    def start(self) -> tuple:
+        raise NotImplementedError
+
+    def fold(self, state: tuple, us: int, seq: int, v: str, emit: Callable[[dict], None]) -> tuple:
+        raise NotImplementedError
+
+    def passed(self, state: tuple, now: int, emit: Callable[[dict], None]) -> tuple:
+        return state
+
+    def wakes(self, state: tuple) -> int | None:
+        return None
+
+
+class MachineLogic(Logic):
+    """A state machine; one row for each alert."""
+
+    schema = "state string"
+
+    def __init__(self, sm: StateMachine):
+        self.sm = sm
+
+    def start(self):
+        return (self.sm.initial,)
+
+    def fold(self, state, us, seq, v, emit):
+        nxt, alert = self.sm.step(state[0], v)
+        if alert:
+            emit({"seq": seq, "us": us})
+        return (nxt,)
+
+
+class StrictLogic(Logic):
+    """``len(steps)`` rows in a row with these values; overlapping
+    matches are all kept. Emits the last row, with the times of the first two
+    as ``a`` and ``b``."""
+
+    schema = "recent string"
+
+    def __init__(self, steps: list[str]):
+        self.steps = steps
+
+    def start(self):
+        return ("[]",)
+
+    def fold(self, state, us, seq, v, emit):
+        run = [*json.loads(state[0]), [v, us]][-len(self.steps):]
+        if [r[0] for r in run] == self.steps:
+            emit({"seq": seq, "us": us, "a": run[0][1], "b": run[min(1, len(run) - 1)][1]})
+        return (json.dumps(run),)
+
+
+class FollowedByLogic(Logic):
+    """Every start row takes the first end row after it (``matched`` if
+    it comes in less than ``within``), or times out."""
+
+    schema = "pending string"
+
+    def __init__(self, start_value: str, end_value: str, within_us: int):
+        self.start_value, self.end_value, self.within = start_value, end_value, within_us
+
+    def start(self):
+        return ("[]",)
+
+    def fold(self, state, us, seq, v, emit):
+        if v == self.end_value:
+            for s, at in json.loads(state[0]):
+                ok = us - at < self.within
+                emit({"seq": s, "us": at, "a": us if ok else None, "status": "matched" if ok else "timeout"})
+            return ("[]",)
+        if v == self.start_value:
+            return (json.dumps([*json.loads(state[0]), [seq, us]]),)
+        return state
+
+    def passed(self, state, now, emit):
+        pending = json.loads(state[0])
+        open_ = [p for p in pending if p[1] + self.within > now]
+        for s, at in pending[:len(pending) - len(open_)]:
+            emit({"seq": s, "us": at, "status": "timeout"})
+        return (json.dumps(open_),) if len(open_) < len(pending) else state
 
-    def __init__(self, ts: str, seq: str, period_us: int):
-        self.ts, self.seq, self.period = ts, seq, period_us
+    def wakes(self, state):
+        pending = json.loads(state[0])
+        return pending[0][1] + self.within if pending else None
+
+
+class PeriodicLogic(Logic):
+    """a timer one period after the first row sets it; it emits (timer,
+    rows so far) and the next row sets the next."""
+
+    schema = "n long, timer long"
+
+    def __init__(self, period_us: int):
+        self.period = period_us
+
+    def start(self):
+        return (0, None)
+
+    def fold(self, state, us, seq, v, emit):
+        n, timer = state
+        if timer is not None and us > timer:
+            emit({"us": timer, "a": n})
+            timer = None
+        return (n + 1, us + self.period if timer is None else timer)
+
+    def passed(self, state, now, emit):
+        n, timer = state
+        if timer is not None and timer <= now:
+            emit({"us": timer, "a": n})
+            return (n, None)
+        return state
+
+    def wakes(self, state):
+        return state[1]
+
+
+class CountLogic(Logic):
+    """The running count as ``a`` and as text."""
+
+    schema = "n long"
+
+    def start(self):
+        return (0,)
+
+    def fold(self, state, us, seq, v, emit):
+        emit({"seq": seq, "a": state[0] + 1, "status": f"count：{state[0] + 1}"})
+        return (state[0] + 1,)
+
+
+class MaxLogic(Logic):
+    """A1: the running maximum of the time with the first row's value."""
+
+    schema = "v string, us long"
+
+    def start(self):
+        return (None, None)
+
+    def fold(self, state, us, seq, v, emit):
+        new = (v, us) if state[1] is None else (state[0], max(state[1], us))
+        emit({"seq": seq, "v": new[0], "us": new[1]})
+        return new
+
+
+class MeanLogic(Logic):
+    """Every ``n``-th row emits the mean (long division) of the time in
+    milliseconds so far (G5); the sum is held as text, it may pass a long."""
+
+    schema = "n long, total string"
+
+    def __init__(self, every: int):
+        self.every = every
+
+    def start(self):
+        return (0, "0")
+
+    def fold(self, state, us, seq, v, emit):
+        n, total = state[0] + 1, int(state[1]) + us // 1000
+        if n % self.every == 0:
+            emit({"seq": seq, "a": n, "b": total // n})
+        return (n, str(total))
+
+
+class PreviousLogic(Logic):
+    """Each row's value with that of the row before (``status``)."""
+
+    schema = "v string"
+
+    def start(self):
+        return (None,)
+
+    def fold(self, state, us, seq, v, emit):
+        emit({"seq": seq, "v": v, "status": state[0]})
+        return (v,)
+
+
+class ManualWindowProcessor(StatefulProcessor):
+    """Map state ``window start -> count`` (G3) and a timer at each end.
+    Rows of a window that has fired give a further partial count, so counts of
+    a window add up to its rows."""
+
+    def __init__(self, size_us: int, bound_us: int, delay_us: int):
+        self.size, self.clock = size_us, Clock(bound_us, delay_us)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.count = handle.getValueState("count", "n long")
-        self.timer = handle.getValueState("timer", "t long")
+        self.counts = handle.getMapState("counts", "start long", "cnt long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        n = self.count.get()[0] if self.count.exists() else 0
-        t = self.timer.get()[0] if self.timer.exists() else None
-        for r in _sorted(rows, self.ts, self.seq):
-            us = r[self.ts]
-            if t is not None and us > t:          # the timer fired before this row
-                yield Row(key=key[0], timer_us=t, cnt=n)
-                self.handle.deleteTimer(_timer_ms(t))
-                t = None
-            n += 1
-            if t is None:
-                t = us + self.period
-                self.handle.registerTimer(_timer_ms(t))
-        self.count.update((n,))
-        if t is None:
-            self.timer.clear()
-        else:
-            self.timer.update((t,))
+        got: dict[int, int] = {}
+        for r in rows:
+            start = r.us // self.size * self.size
+            got[start] = got.get(start, 0) + 1
+        for start, n in got.items():
+            have = self.counts.getValue((start,))[0] if self.counts.containsKey((start,)) else 0
+            self.counts.updateValue((start,), (have + n,))
+            if not have:
+                self.handle.registerTimer(self.clock.timer(start + self.size - 1000))
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.timer.exists() and _timer_ms(self.timer.get()[0]) <= expiredTimerInfo.getExpiryTimeInMs():
-            t = self.timer.get()[0]
-            self.timer.clear()
-            yield Row(key=key[0], timer_us=t, cnt=self.count.get()[0])
+        now = self.clock.now(timerValues)
+        for (start,) in [k for k in self.counts.keys()]:
+            if start + self.size - 1000 <= now:
+                cnt = self.counts.getValue((start,))[0]
+                self.counts.removeKey((start,))
+                yield Row(start_us=start, end_us=start + self.size, key=key[0], cnt=cnt)
 
     def close(self) -> None:
         pass
 
 
-class TtlCountProcessor(StatefulProcessor):
-    """A per-key counter in value state with a processing-time TTL. The
-    state expires ``ttl_ms`` after its last write; an expired value is never
-    returned (Spark's TTL), so the count restarts at 1."""
+class EventTimerProcessor(StatefulProcessor):
+    """one event-time timer a fixed delay after every row; timers at the
+    same time collapse into one. Map state holds those that are set."""
 
-    def __init__(self, seq: str, ttl_ms: int):
-        self.seq, self.ttl = seq, ttl_ms
+    def __init__(self, after_us: int, bound_us: int, delay_us: int):
+        self.after, self.clock = after_us, Clock(bound_us, delay_us)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("count", "n long", ttlDurationMs=self.ttl)
+        self.handle = handle
+        self.due = handle.getMapState("due", "at long", "one boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        n = self.count.get()[0] if self.count.exists() else 0
-        for r in sorted(rows, key=lambda x: x[self.seq]):
-            n += 1
-            yield Row(key=key[0], seq=r[self.seq], cnt=n)
-        self.count.update((n,))
+        for at in {r.us + self.after for r in rows}:
+            if not self.due.containsKey((at,)):
+                self.due.updateValue((at,), (True,))
+                self.handle.registerTimer(self.clock.timer(at))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        due_ms = expiredTimerInfo.getExpiryTimeInMs()
+        # the timers of this millisecond
+        for (at,) in [k for k in self.due.keys()]:
+            if self.clock.timer(at) <= due_ms:
+                self.due.removeKey((at,))
+                yield Row(timer_us=at)
 
     def close(self) -> None:
         pass
 
 
-__all__ = ["StateMachineProcessor", "FollowedByWithinProcessor", "ManualWindowProcessor",
-           "PeriodicCountProcessor", "TtlCountProcessor", "ExpiredTimerInfo", "TimerValues"]
+def keyed_rows(df: DataFrame, key, ts: str, seq: str, value) -> DataFrame:
+    """``key, us, seq, v`` (and the event time) for the processors above."""
+    return df.select(key.alias("key"), F.unix_micros(F.col(ts)).alias("us"), F.col(seq).alias("seq"),
+                     value.cast("string").alias("v"), F.col(ts))

@@ -24,17 +24,18 @@ from pyspark.sql import types as T
 from ebbflow.session import work_dir
 
 
+#: Session setting: state partitions of a stream at its first start (they are
+#: fixed in the checkpoint). Unset: the session's shuffle partitions.
+STATE_PARTITIONS_CONF = "ebbflow.streaming.statePartitions"
+
+
 @contextlib.contextmanager
-def state_partitions(spark):
-    """Start a stateful query with one state partition per core of the
-    cluster (``defaultParallelism``), not the batch default: every micro-batch
-    visits every state partition, and the count is fixed in the checkpoint at
-    the first start."""
+def state_partitions(spark, partitions: int | None = None):
+    """Start a stateful query with ``partitions`` state partitions."""
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    want = max(1, spark.sparkContext.defaultParallelism)
-    if int(before) > want:
-        spark.conf.set(key, str(want))
+    want = partitions or spark.conf.get(STATE_PARTITIONS_CONF, None) or before
+    spark.conf.set(key, str(want))
     try:
         yield
     finally:
@@ -104,6 +105,30 @@ def replay_update(replays, stream: DataFrame, name: str, out: str | None = None)
     return out
 
 
+def replay_together(inputs, name: str) -> None:
+    """Several queries side by side, each with its own input and
+    ``foreachBatch`` function: range i of the first is fed and run before
+    range i of the second, and so on. ``inputs``: (replay, stream, function)."""
+    spark = inputs[0][1].sparkSession
+    ckpts = [work_dir(spark, "stream-ckpt", name, str(n)) for n in range(len(inputs))]
+    i = 0
+    while True:
+        fed = False
+        for (replay, stream, each), ckpt in zip(inputs, ckpts):
+            if not replay.feed(i):
+                continue
+            fed = True
+            with state_partitions(spark):
+                q = (stream.writeStream.foreachBatch(each).option("checkpointLocation", ckpt)
+                     .trigger(availableNow=True).start())
+            q.awaitTermination()
+            if q.exception():
+                raise q.exception()
+        if not fed:
+            return
+        i += 1
+
+
 def batch_writer(path: str, fmt: str = "parquet"):
     """``foreachBatch`` function: one overwritten folder per ``batch_id``."""
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -12,6 +12,7 @@ of the original. The tail shorter than ``n`` is never written.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,28 +33,30 @@ def buffered_writer(out: str, pending: str, seq: str, n: int, schema: T.StructTy
         else:
             prev = spark.createDataFrame([], state_schema)
             base = 0
-        carried = prev.count()
-        numbered = R.running(batch.select(*schema.fieldNames()), [], [seq], {"_n": R.count()})
-        numbered = numbered.select(*schema.fieldNames(),
-                                   (F.col("_n") + F.lit(base + carried)).alias("_pos"))
-        rows = prev.unionByName(numbered)
-        total = base + carried + batch.count()
-        full = (total // n) * n
-        (rows.filter(F.col("_pos") <= full)
-             .select(*schema.fieldNames(), ((F.col("_pos") - 1) / n).cast("long").alias("batch_no"))
-             .write.mode("overwrite").parquet(f"{out}/batch={batch_id}"))
-        rows.filter(F.col("_pos") > full).write.mode("overwrite").parquet(
-            f"{pending}/batch={batch_id}")
-        spark.createDataFrame([(full,)], "written long").write.mode("overwrite").parquet(
-            f"{pending}/meta={batch_id}")
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # counted, numbered and written
+        try:
+            carried, fresh = prev.count(), batch.count()
+            numbered = R.running(batch.select(*schema.fieldNames()), [], [seq], {"_n": R.count()})
+            numbered = numbered.select(*schema.fieldNames(),
+                                       (F.col("_n") + F.lit(base + carried)).alias("_pos"))
+            full = ((base + carried + fresh) // n) * n
+            rows = prev.unionByName(numbered)
+            (rows.filter(F.col("_pos") <= full)
+                 .select(*schema.fieldNames(), ((F.col("_pos") - 1) / n).cast("long").alias("batch_no"))
+                 .write.mode("overwrite").parquet(f"{out}/batch={batch_id}"))
+            rows.filter(F.col("_pos") > full).write.mode("overwrite").parquet(f"{pending}/batch={batch_id}")
+            spark.createDataFrame([(full,)], "written long").write.mode("overwrite").parquet(f"{pending}/meta={batch_id}")
+        finally:
+            batch.unpersist()
 
     return write
 
 
-def run_buffered(replay, seq: str, n: int, name: str) -> DataFrame:
+def run_buffered(replay, seq: str, n: int, name: str, with_pending: bool = False) -> DataFrame:
     """Buffered sink over a :class:`~ebbflow.streaming.sources.Replay` input,
     restarted on its checkpoint after each fed range (pending rows carry
-    over through the pending folder)."""
+    over through the pending folder). ``with_pending`` also returns the rows
+    that wait for a full group, without a ``batch_no``."""
     stream = replay.stream()
     spark = stream.sparkSession
     out = work_dir(spark, "stream-out", name)
@@ -70,4 +73,8 @@ def run_buffered(replay, seq: str, n: int, name: str) -> DataFrame:
             raise q.exception()
         i += 1
     schema = T.StructType(list(stream.schema.fields) + [T.StructField("batch_no", T.LongType())])
-    return spark.read.schema(schema).parquet(out).select(*schema.fieldNames())
+    done = spark.read.schema(schema).parquet(out).select(*schema.fieldNames())
+    if not with_pending or not i:
+        return done
+    rest = spark.read.schema(stream.schema).parquet(f"{pending}/batch={i - 1}")
+    return done.unionByName(rest.withColumn("batch_no", F.lit(None).cast("long")))

@@ -52,25 +52,48 @@ def _as_int(c: F.Column, dtype) -> F.Column:
 _RANGE = "_arrival_range"
 
 
-def arrival_ranges(df: DataFrame, order_col: str, n: int) -> list[DataFrame]:
-    """``n`` consecutive ranges of ``order_col``.
+#: Rows of an arrival range (a micro-batch) at most, and ranges at least.
+ROWS_PER_RANGE, LEAST_RANGES = 50_000_000, 3
 
-    The table is read twice in all, whatever ``n``: one job for min/max, one
-    parallel write that stages it partitioned by range in the shared folder.
-    Each range is then a partition-pruned read of the stage."""
+
+def range_count(rows: int, at_least: int = LEAST_RANGES) -> int:
+    return max(at_least, -(-rows // ROWS_PER_RANGE))
+
+
+def arrival_ranges(df: DataFrame, order_col: str, at_least: int = LEAST_RANGES, even_rows: bool = True) -> list[DataFrame]:
+    """Consecutive ranges of ``order_col``, as many as the rows need.
+
+    ``even_rows``: cut at approximate quantiles, so a burst is spread over
+    ranges; else at even distances (:func:`file_number`), which SQL can repeat.
+    Rows without an order value come first. The table is read twice, whatever
+    the number of ranges: one job for statistics, one parallel write that stages
+    it partitioned by range. Each range is then a partition-pruned read."""
     dtype = df.schema[order_col].dataType
     v = _as_int(F.col(order_col), dtype)
-    lo, hi = df.agg(F.min(v), F.max(v)).first()
-    if lo is None:
+    got = df.agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi")).first()
+    if got["lo"] is None:
         return [df]
+    n = range_count(got["n"], at_least)
+    if even_rows:
+        cuts = df.agg(F.percentile_approx(v, [i / n for i in range(1, n)], 10_000).alias("q")).first()["q"] or []
+        number = sum((F.when(v > F.lit(c), 1).otherwise(0) for c in sorted(set(cuts))), F.lit(0))
+    else:
+        number = file_number(order_col, dtype, got["lo"], got["hi"], n)
     spark = df.sparkSession
     stage = work_dir(spark, "stream-stage")
-    (df.withColumn(_RANGE, file_number(order_col, dtype, lo, hi, n))
+    (df.withColumn(_RANGE, F.coalesce(number, F.lit(0)).cast("long"))
        .write.mode("overwrite").partitionBy(_RANGE).parquet(stage))
     staged = spark.read.option("basePath", stage).parquet(stage)
     return [staged.filter(F.col(_RANGE) == F.lit(i)).select(*df.columns) for i in range(n)]
 
 
+def event_span_us(df: DataFrame, ts: str) -> int:
+    """Microseconds from the first to the last event time (one job)."""
+    us = _as_int(F.col(ts), df.schema[ts].dataType)
+    got = df.agg((F.max(us) - F.min(us)).alias("span")).first()["span"]
+    return got or 0
+
+
 class Replay:
     """A table fed to a stream one arrival range at a time (see module doc)."""
 
@@ -95,20 +118,8 @@ def sentinel_frame(spark: SparkSession, row: dict, schema) -> DataFrame:
 
 
 def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
-                files_per_trigger: int | None = 1) -> DataFrame:
+                files_per_trigger: int | None = None) -> DataFrame:
     r = spark.readStream.schema(schema).format(fmt)
     if files_per_trigger:
         r = r.option("maxFilesPerTrigger", files_per_trigger)
     return r.load(path)
-
-
-def read_text_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    """New text files in a folder as a stream of ``value`` lines."""
-    return spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
-
-
-def read_socket(spark: SparkSession, host: str, port: int) -> DataFrame:
-    """S4 as written in the original jobs: lines from a socket. Spark's socket
-    source is for trials only (no replay after failure); nothing here opens a
-    port, the caller provides the server."""
-    return spark.readStream.format("socket").option("host", host).option("port", port).load()

@@ -15,14 +15,14 @@ from ebbflow.plans import registry  # noqa: E402
 # Library entry points per SURVEY id (queries are read from the registry).
 FUNCTIONS = {
     "S1": "spark.createDataFrame (fixture tests)",
-    "S2": "sources.tables.read_lines, streaming.sources.read_text_stream",
+    "S2": "sources.tables.read_lines",
     "S3": "sources.tables.read_csv, parse_lines",
-    "S4": "streaming.sources.read_stream / read_text_stream / read_socket, stage_files",
+    "S4": "streaming.sources.read_stream, Replay",
     "S5": "sources.tables.register_csv_table", "S6": "sources.tables.register_csv_table",
     "S7": "operators.basic.view_chain", "S8": "operators.basic.sql_select",
     "S9": "streaming.runner.run_append", "S10": "sinks.console.print_sink, tagged",
     "S11": "sinks.tables.insert_query", "S12": "sinks.buffered.full_groups, streaming.sinks.run_buffered",
-    "S13": "operators.eventtime.split_outputs; tagged outputs of patterns.followed_by_within, streaming.late",
+    "S13": "tagged outputs of patterns.followed_by_within, eventtime.tag_lateness, streaming.late",
     "B1": "operators.basic.project", "B2": "operators.basic.filter_eq",
     "B3": "operators.basic.flatmap_fields", "B4": "operators.aggregates.reduce_count",
     "B5": "functions.text.split_words, split_lines", "B6": "operators.basic.sql_select",
@@ -49,23 +49,23 @@ FUNCTIONS = {
     "W3": "operators.windows.window_uv", "W4": "operators.windows.window_uv",
     "W5": "operators.windows.window_count", "W6": "operators.windows.sliding_top_n, top_n",
     "W7": "operators.eventtime", "W8": "operators.windows.window_sequence",
-    "W9": "operators.windows.manual_window, streaming.processors.ManualWindowProcessor",
-    "F1": "operators.process.with_task_index", "F2": "operators.process.distinct_timers",
-    "F3": "operators.process.periodic_counts, streaming.processors.PeriodicCountProcessor",
+    "W9": "operators.windows.manual_window, streaming.processors.ManualWindowProcessor (salted)",
+    "F1": "operators.process.with_task_index", "F2": "operators.process.distinct_timers, streaming.processors.EventTimerProcessor",
+    "F3": "operators.process.periodic_counts, streaming.processors.PeriodicLogic",
     "F4": "operators.joins.connect_join", "F5": "operators.joins.broadcast_rules",
     "F6": "operators.joins.interval_join", "F7": "window start/end columns",
     "F8": "operators.windows.top_n",
     "G1": "transformWithState value state", "G2": "transformWithState list state",
     "G3": "transformWithState map state", "G4": "operators.aggregates.reducing_latest",
-    "G5": "operators.aggregates.every_nth_mean", "G6": "streaming.processors.TtlCountProcessor",
-    "G7": "streaming.sinks.buffered_writer", "G8": "operators.joins.checked_broadcast",
+    "G5": "operators.aggregates.every_nth_mean", "G6": "streaming.processors.ArrivalProcessor(ttl_ms)",
+    "G7": "streaming.sinks.buffered_writer", "G8": "plans.state_queries.stream_broadcast_rules (rule stream with its latest rule)",
     "J1": "operators.joins.connect_join", "J2": "operators.joins.interval_join",
     "J3": "operators.joins.broadcast_rules, latest_rule",
-    "C1": "operators.patterns.strict_matches", "C2": "operators.patterns.Pattern.times",
+    "C1": "operators.patterns.strict_matches, streaming.processors.StrictLogic", "C2": "operators.patterns.Pattern.times",
     "C3": "operators.patterns.strict_matches", "C4": "operators.patterns.followed_by_within",
     "C5": "operators.patterns.followed_by_within (timeout tag)",
-    "C6": "operators.state_machine.run_state_machine, streaming.processors.StateMachineProcessor",
-    "C7": "order argument (ts, seq)",
+    "C6": "operators.state_machine.run_state_machine, streaming.processors.MachineLogic",
+    "C7": "order argument (ts, seq); streaming.processors.OrderedProcessor",
     "X1": "streaming.runner.run_update / run_append (checkpointLocation)",
     "X2": "same checkpointLocation on restart", "X3": "session: RocksDBStateStoreProvider",
 }

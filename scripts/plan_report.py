@@ -2,6 +2,9 @@
 
 Usage: python scripts/plan_report.py [sf_dir] > PLANS.md
 
+Plans are made as large inputs get them: no broadcast by measured size, and
+chunks of ROWS_PER_CHUNK rows, so that running values of hot keys are cut.
+
 Per query: shuffles (hash/range exchanges), single-partition exchanges (a
 whole input through one task), broadcasts, joins, windows, Python stages, and
 whether filters reach the parquet scan. Streaming queries are run, not
@@ -20,6 +23,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from ebbflow.session import build_session  # noqa: E402
 
+ROWS_PER_CHUNK = 200
 SKIP_PREFIX = ("stream_", "state_ttl", "resume_")
 
 
@@ -49,16 +53,19 @@ def summarise(text: str) -> dict:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session("ebbflow-plans", master="local[8]", shuffle_partitions=16)
-    import __spark_entry__ as E
+    from ebbflow.operators.running import ROWS_PER_CHUNK_CONF
+    from ebbflow.plans import registry
+    spark.conf.set(ROWS_PER_CHUNK_CONF, str(ROWS_PER_CHUNK))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     cols = ["shuffles", "single", "broadcast", "smj", "bhj", "window", "group_limit", "python",
             "pushed"]
-    print(f"# Physical plans at {os.path.basename(sf_dir)} (initial AQE plan)\n")
+    print(f"# Physical plans at {os.path.basename(sf_dir)} (initial AQE plan, no measured broadcasts, chunks of {ROWS_PER_CHUNK} rows)\n")
     print("| query | " + " | ".join(cols) + " |")
     print("| --- |" + " --- |" * len(cols))
-    for name, build in sorted(E.queries().items()):
+    for name, q in sorted(registry().items()):
         if name.startswith(SKIP_PREFIX):
             continue
-        s = summarise(plan_text(build(spark, sf_dir)))
+        s = summarise(plan_text(q.build(spark, sf_dir)))
         print(f"| {name} | " + " | ".join(str(s[c]) for c in cols) + " |")
     spark.stop()
 

@@ -1,31 +1,19 @@
-"""Print sink tags (S10), task index (F1), TTL stream (G6) rows-only."""
+"""Print sink tags (S10) and task index (F1)."""
 
-from pyspark.sql import functions as F
-
-from conftest import SF_SMALL
 from ebbflow.operators.process import with_task_index
 from ebbflow.sinks.console import print_sink, tagged
 
 
 def test_tagged_print_sink_memory(spark, tmp_path):
-    src = spark.readStream.format("rate").option("rowsPerSecond", 50).load()
-    q = print_sink(src.select("value"), "1", fmt="memory", query_name="tag_probe",
-                   checkpoint=str(tmp_path / "ck"))
+    spark.range(5).write.parquet(f"{tmp_path}/in")
+    src = spark.readStream.schema("id long").parquet(f"{tmp_path}/in")
+    q = print_sink(src, "1", fmt="memory", query_name="tag_probe", checkpoint=str(tmp_path / "ck"))
     q.processAllAvailable()
     q.stop()
-    rows = spark.sql("SELECT DISTINCT tag FROM tag_probe").collect()
-    assert [r.tag for r in rows] in ([], ["1"])
+    assert sorted(spark.sql("SELECT tag, id FROM tag_probe").collect()) == [("1", i) for i in range(5)]
     assert tagged(spark.range(3), "2").select("tag").distinct().first().tag == "2"
 
 
 def test_task_index(spark):
     df = with_task_index(spark.range(100).repartition(4))
     assert sorted(r.task for r in df.select("task").distinct().collect()) == [0, 1, 2, 3]
-
-
-def test_state_ttl_rows(spark):
-    import __spark_entry__ as E
-    out = E.queries()["state_ttl"](spark, SF_SMALL)
-    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    assert out.count() == ev.count()
-    assert out.agg(F.min("cnt")).first()[0] == 1
