@@ -1,10 +1,7 @@
-import os
-import sys
+"""Tables with awkward rows; the session is that of the tests around."""
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-
 SF_SMALL = "/root/testdata/sf0.001"
 
 #: Texts with the awkward cases: null, empty, blank, very long, repeated, ties.
@@ -13,15 +10,6 @@ TEXTS = [None, "", " \t\n", "one", "one two", "a b c d", "a b c d", "The  MIT Li
          "é ü ñ ß 日本語   １２ ½ 😀 é", "no\x1cbreak\x85next", "tail  ", "'s 's 'sx 'll'll '' '"]
 
 
-@pytest.fixture(scope="session")
-def spark():
-    from ebbflow.session import build_session
-    s = build_session("ebbflow-tests", master="local[4]", shuffle_partitions=4,
-                      extra={"spark.sql.execution.arrow.maxRecordsPerBatch": "64"})
-    yield s
-    s.stop()
-
-
 @pytest.fixture(scope="session")
 def awkward(spark):
     """Documents with nulls in every column, repeated rows and clashing names."""

@@ -1,7 +1,7 @@
 import random
 import re
 
-from conftest import SF_SMALL
+from .conftest import SF_SMALL
 
 from ebbflow.llm import licenses as L
 from ebbflow.llm.common import configure, table

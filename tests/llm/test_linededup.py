@@ -2,7 +2,7 @@ import random
 import re
 
 from pyspark.sql import functions as F
-from test_llm_queries import compare
+from .test_llm_queries import compare
 
 from ebbflow.llm import linededup as L
 from ebbflow.llm.common import configure, table

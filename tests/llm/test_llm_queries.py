@@ -4,7 +4,7 @@ import math
 
 import duckdb
 import pytest
-from conftest import SF_SMALL
+from .conftest import SF_SMALL
 
 from ebbflow.llm.queries import ORACLES, QUERIES
 

@@ -3,7 +3,7 @@ from collections import defaultdict
 from ebbflow.llm import mixing as M
 from ebbflow.llm.common import configure
 
-from test_llm_queries import compare
+from .test_llm_queries import compare
 
 
 def fill(sizes, weights, cap):

@@ -4,11 +4,11 @@ from collections import Counter, defaultdict
 import corpus_pipeline as C
 import public_tokenizers as P
 import pytest
-from conftest import brute_components
+from .conftest import brute_components
 from pyspark.sql import functions as F
-from test_linededup import brute
-from test_mixing import fill, order
-from test_simhash import slow_fingerprint
+from .test_linededup import brute
+from .test_mixing import fill, order
+from .test_simhash import slow_fingerprint
 from tokenizers import Tokenizer
 
 from ebbflow.llm.common import configure, table

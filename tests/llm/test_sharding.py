@@ -2,7 +2,7 @@ from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
-from test_llm_queries import compare
+from .test_llm_queries import compare
 
 from ebbflow.llm import sharding as S
 from ebbflow.llm.common import configure, table

@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 import xxhash
-from conftest import brute_components
+from .conftest import brute_components
 
 from ebbflow.llm import simhash as S
 from ebbflow.llm.common import configure, table

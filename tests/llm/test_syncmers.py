@@ -2,7 +2,7 @@ import hashlib
 import random
 
 import pytest
-from conftest import SF_SMALL
+from .conftest import SF_SMALL
 
 from ebbflow.llm import syncmers as S
 from ebbflow.llm.common import configure, table

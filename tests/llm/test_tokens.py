@@ -5,7 +5,7 @@ import numpy as np
 import public_tokenizers as P
 import pyarrow as pa
 import pytest
-from conftest import SF_SMALL, TEXTS
+from .conftest import SF_SMALL, TEXTS
 from tokenizers import Tokenizer
 
 from ebbflow.llm import bpe, transducer

@@ -2,7 +2,7 @@ import math
 import random
 
 from pyspark.sql import functions as F
-from test_llm_queries import compare
+from .test_llm_queries import compare
 
 from ebbflow.llm import topk as T
 from ebbflow.llm.common import configure
