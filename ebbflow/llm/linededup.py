@@ -19,11 +19,14 @@ size), the rarest first.
    allow the similarity; settled classes need not look themselves.
    Candidates of either step must also pass a 64-bit signature (the parity of
    the words on each bit): it differs in no more bits than the sets in words.
-3. Candidates are verified on the whole word sets (64 bits for each word: 16
-   of its rarity, 48 of its hash).
+3. Candidates are verified on the whole word sets (64-bit hashes of the words).
 
-Both joins send only word or class hashes through shuffles; word sets stay
-where the classes were grouped, and candidate pairs travel to them.
+Of a class only its place (id, row digest, line number), its signature, pivot
+keys and prefix are kept. Word sets are fetched from the documents again, for
+the lines that candidate pairs name. There a signature of 256 bits drops most
+pairs below the similarity; each class is compared with its closest candidate
+first, and with the others only if that fails. Tables of up to
+``FEW`` rows of a few numbers are broadcast, larger ones joined.
 
 Words are runs of anything but blank and tab to carriage return; lines end at
 line feeds. Null texts have no line and stay null; the empty text has one line
@@ -34,6 +37,7 @@ first has the kept lines. An empty table gives an empty result.
 from __future__ import annotations
 
 import contextlib
+import gc
 import math
 from collections.abc import Iterator
 
@@ -42,26 +46,44 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbflow.llm.common import row_key
-from ebbflow.session import checkpointed
+from ebbflow.session import checkpointed, work_dir
 
-GAP = "[\\x20\\x09-\\x0D]+"
 #: Word counts are kept for so many hash buckets.
 BUCKETS = 1 << 16
 #: Parts of a group of classes with the same pivot key.
 SALTS = 16
+#: Rows of at most four numbers (or a document's line numbers) that are broadcast.
+FEW = 1_000_000
 #: Turns the order of hashes into another one.
 OTHER_ORDER = 0x5A5A5A5A5A5A
 _LAST = (1 << 63) - 1
 
 
+PLACE = ("d", "rk", "no")
+
+
+def _words(text: Column, line_feeds: bool = False) -> Column:
+    """Words between blanks (a plain split, which is faster than a pattern);
+    some may be empty."""
+    for c in "\t\x0b\f\r" + "\n" * line_feeds:
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return F.split(text, " ")
+
+
 def word_hashes(line: Column) -> Column:
     """The set of a line's words, as 64-bit hashes."""
-    return F.array_distinct(F.transform(F.array_remove(F.split(line, GAP), ""), lambda w: F.xxhash64(w)))
+    return F.array_distinct(F.transform(F.array_remove(_words(line), ""), lambda w: F.xxhash64(w)))
+
+
+def _few(df: DataFrame) -> DataFrame:
+    """A checkpointed table, broadcast if it is small."""
+    df = checkpointed(df)
+    return F.broadcast(df) if df.count() <= FEW else df
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """``d, rk, no, line`` of every line of ``rows`` (d, rk, t)."""
-    return rows.select("d", "rk", F.posexplode(F.split("t", "\n")).alias("no", "line"))
+    """``d, rk, no, line`` of every line with words of ``rows`` (d, rk, t)."""
+    return rows.select("d", "rk", F.posexplode(F.split("t", "\n")).alias("no", "line")).filter(_with_words(F.col("line")))
 
 
 def _with_words(line: Column) -> Column:
@@ -81,10 +103,11 @@ def _kept_partitioning(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
-def rarity(classes: DataFrame) -> Column:
-    """An array: a thousandth of the binary logarithm's steps of how often
-    words of each hash bucket occur (below 2^16)."""
-    counts = classes.select(F.explode("words").alias("w")).groupBy(F.col("w").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).count()
+def rarity(rows: DataFrame) -> Column:
+    """An array: thousandths of the binary logarithm of how often words of each
+    hash bucket occur in all texts (below 2^16)."""
+    words = rows.select(F.explode(_words(F.col("t"), line_feeds=True)).alias("w")).filter("w <> ''")
+    counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).count()
     table = [0] * BUCKETS
     for r in counts.collect():  # BUCKETS rows at most
         table[r["b"]] = int(1000 * math.log2(r["count"]))
@@ -92,10 +115,14 @@ def rarity(classes: DataFrame) -> Column:
     return F.split(F.lit(",".join(map(str, table))), ",").cast("array<int>")
 
 
-def by_rarity(words: Column, steps: Column) -> Column:
-    """Words as numbers that sort by rarity, then by 48 bits of their hash."""
-    return F.array_sort(F.transform(words, lambda w: F.shiftleft(F.get(steps, w.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("long"), 48)
-                                    .bitwiseOR(F.shiftrightunsigned(w, 16))))
+def by_rarity(line: Column, steps: Column) -> Column:
+    """The set of a line's words as numbers that sort by rarity, then by 48 bits
+    of their hash (never null to Spark's eye, so sorted as plain longs)."""
+    def number(w: Column) -> Column:
+        h = F.xxhash64(w)
+        rank = F.coalesce(F.get(steps, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), F.lit(0)).cast("long")
+        return F.shiftleft(rank, 48).bitwiseOR(F.shiftrightunsigned(h, 16))
+    return F.sort_array(F.array_distinct(F.transform(F.array_remove(_words(line), ""), number)))
 
 
 def signature(words: Column) -> Column:
@@ -106,74 +133,162 @@ def signature(words: Column) -> Column:
 def _close(n: str, m: str, sig: str, other: str, num: int, den: int) -> Column:
     """Whether lengths and signatures of two sets allow the similarity."""
     differ = F.bit_count(F.col(sig).bitwiseXOR(F.col(other)))
-    return (den * F.least(n, m) >= num * F.greatest(n, m)) & ((num + den) * differ <= (den - num) * (F.col(n) + F.col(m)))
+    return ((num + den) * differ <= (den - num) * (F.col(n) + F.col(m))) & (den * F.least(n, m) >= num * F.greatest(n, m))
+
+
+def _named(df: DataFrame, prefix: str, columns=PLACE) -> DataFrame:
+    return df.withColumnsRenamed({c: prefix + c for c in columns})
+
+
+#: Longs of the wide signature.
+WIDE = 4
+
+
+def _wide(words: Column, k: int) -> Column:
+    """The k-th long of a signature of 64 * ``WIDE`` bits."""
+    return F.aggregate(words, F.lit(0).cast("long"), lambda a, w: F.when(
+        F.pmod(F.shiftright(w, 6), F.lit(WIDE)) == k,
+        a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int")))).otherwise(a))
+
 
+def _sets(places: DataFrame, rows: DataFrame) -> DataFrame:
+    """``d, rk, no, n, w0.., words`` of the lines at ``places`` (n words, a wide
+    signature), dealt by place and persisted."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = _few(places.distinct().groupBy("d", "rk").agg(F.collect_list("no").alias("nos")))
+    found = rows.join(wanted, ["d", "rk"]).select("d", "rk", "t", F.explode("nos").alias("no"))
+    found = found.select("d", "rk", "no", F.get(F.split("t", "\n"), F.col("no")).alias("line")).distinct()
+    with _kept_partitioning(rows.sparkSession):
+        words = found.repartition(parts, *PLACE).select(*PLACE, word_hashes(F.col("line")).alias("words"))
+        return (words.select(*PLACE, F.size("words").alias("n"), *[_wide(F.col("words"), k).alias(f"w{k}") for k in range(WIDE)], "words")
+                .persist(StorageLevel.MEMORY_AND_DISK))
 
-def _verified(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    """Of ``pairs`` (x1, x2, y1, y2) the classes x that have a similar y before them."""
-    side = lambda p: classes.select(*[F.col(c).alias(p + n) for c, n in
-                                      (("h1", "1"), ("h2", "2"), ("first", "first"), ("words", "words"))])
-    both = pairs.join(side("x"), ["x1", "x2"]).join(side("y"), ["y1", "y2"])
+
+def _closer(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """``pairs`` whose lengths and wide signatures allow the similarity, with
+    the bits in which these differ."""
+    held = ("n", *[f"w{k}" for k in range(WIDE)])
+    slim = sets.select(*PLACE, *held)
+    both = pairs.join(_named(slim, "x", (*PLACE, *held)), ["xd", "xrk", "xno"]).join(_named(slim, "y", (*PLACE, *held)), ["yd", "yrk", "yno"])
+    apart = sum((F.bit_count(F.col(f"xw{k}").bitwiseXOR(F.col(f"yw{k}"))) for k in range(1, WIDE)), F.bit_count(F.col("xw0").bitwiseXOR(F.col("yw0"))))
+    return both.withColumn("apart", apart).filter((num + den) * F.col("apart") <= (den - num) * (F.col("xn") + F.col("yn"))).select(
+        "xd", "xrk", "xno", "yd", "yrk", "yno", "apart")
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The x places (d, rk, no) of those ``pairs`` whose lines are similar."""
+    x, y = (_named(sets.select(*PLACE, "words"), p, (*PLACE, "words")) for p in "xy")
+    both = pairs.join(x, ["xd", "xrk", "xno"]).join(y, ["yd", "yrk", "yno"])
     common = F.size(F.array_intersect("xwords", "ywords"))
-    similar = den * common >= num * (F.size("xwords") + F.size("ywords") - common)
-    return both.filter(F.col("yfirst") < F.col("xfirst")).filter(similar).select(
-        F.col("x1").alias("h1"), F.col("x2").alias("h2")).distinct()
+    return both.filter(den * common >= num * (F.size("xwords") + F.size("ywords") - common)).select(
+        *[F.col("x" + c).alias(c) for c in PLACE]).distinct()
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Of ``pairs`` (numbers x and y of classes) the places of classes x that
+    have a similar y before them, checkpointed."""
+    ycols = ["yd", "yrk", "yno"]
+    pairs = checkpointed(pairs)
+    ids = _few(pairs.select(F.explode(F.array("x", "y")).alias("cid")).distinct())
+    held = (*PLACE, "n", "sig")
+    places = checkpointed(classes.join(ids, "cid").select("cid", *held))
+    at = lambda p: _named(places, p, held).withColumnRenamed("cid", p)
+    both = pairs.join(at("x"), "x").join(at("y"), "y").filter(_before() & _close("xn", "yn", "xsig", "ysig", num, den))
+    pairs = checkpointed(both.select("xd", "xrk", "xno", *ycols))
+    sets = _sets(pairs.select(F.explode(F.array(*[F.struct(*[F.col(p + c).alias(c) for c in PLACE]) for p in "xy"])).alias("p")).select("p.*"), rows)
+    pairs = checkpointed(_closer(pairs, sets, num, den))
+    best = pairs.groupBy("xd", "xrk", "xno").agg(F.min(F.struct("apart", *ycols)).alias("b")).select(
+        "xd", "xrk", "xno", *[F.col("b." + c).alias(c) for c in ycols])
+    first = checkpointed(_similar(best, sets, num, den))
+    rest = pairs.join(_named(first, "x"), ["xd", "xrk", "xno"], "left_anti").join(best, ["xd", "xrk", "xno", *ycols], "left_anti")
+    out = checkpointed(first.unionByName(_similar(rest, sets, num, den)))
+    sets.unpersist()
+    return out
+
+
+def _before() -> Column:
+    return F.struct("yd", "yrk", "yno") < F.struct("xd", "xrk", "xno")
+
+
+def _classes(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """``cid, d, rk, no, n, sig, keys, prefix`` of each class of equal lines, at
+    its first place. To be written before use: that fixes the numbers ``cid``."""
+    steps = rarity(rows)
+    lines = _lines(rows).withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line"),
+                                      "words": by_rarity(F.col("line"), steps)}).drop("line")
+    size = F.size("words")
+    half = F.slice("words", F.lit(1), F.floor((size + 1) / F.lit(2)).cast("int"))
+    length = size - F.floor((num * size + den - 1) / F.lit(den)).cast("int") + 1
+    low48, low32 = F.lit((1 << 48) - 1), F.lit((1 << 32) - 1)
+    lines = lines.select(
+        *PLACE, "h1", "h2", size.alias("n"), signature(F.col("words")).alias("sig"),
+        F.transform(half, lambda w: w.bitwiseAND(low48)).alias("plain"),
+        F.transform(half, lambda w: w.bitwiseAND(low48).bitwiseXOR(F.lit(OTHER_ORDER))).alias("other"),
+        # 32 bits name a word here: equal names only add candidates
+        F.transform(F.slice("words", F.lit(1), length), lambda w: (w.bitwiseAND(low32) - F.lit(1 << 31)).cast("int")).alias("prefix"))
+    # 30 bits of a hash and two that tell the key's kind
+    kind = lambda w, k: (F.shiftleft(F.shiftright(w, 18), 2).bitwiseOR(F.lit(k)) - F.lit(1 << 31)).cast("int")
+    keys = F.array(kind(F.array_min("plain"), 0), kind(F.array_max("plain"), 1), kind(F.array_min("other"), 2))
+    held = ("n", "sig", "keys", "prefix")
+    return (lines.select(*PLACE, "h1", "h2", "n", "sig", keys.alias("keys"), "prefix").groupBy("h1", "h2")
+            .agg(F.min(F.struct(*PLACE)).alias("first"), *[F.first(c).alias(c) for c in held])
+            .select(F.monotonically_increasing_id().alias("cid"), "first.*", *held))
 
 
 def _pivot_pairs(classes: DataFrame, num: int, den: int) -> DataFrame:
     """Each class with the earliest of its part of each pivot key's group."""
-    half = F.slice("words", F.lit(1), F.floor((F.size("words") + 1) / F.lit(2)).cast("int"))
-    low48 = F.lit((1 << 48) - 1)
-    plain = F.transform(half, lambda w: w.bitwiseAND(low48))
-    other = F.transform(half, lambda w: w.bitwiseAND(low48).bitwiseXOR(F.lit(OTHER_ORDER)))
-    # a key's two low bits tell its kind
-    keys = F.array(F.shiftleft(F.array_min(plain), 2), F.shiftleft(F.array_max(plain), 2) + 1, F.shiftleft(F.array_min(other), 2) + 2)
-    rows = classes.select(F.explode(keys).alias("key"), F.pmod("h1", F.lit(SALTS)).alias("salt"),
-                          F.col("first.d").alias("d"), F.size("words").alias("n"), "h1", "h2", "sig")
-    w = Window.partitionBy("key", "salt").orderBy("d", "h1", "h2").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.select("n", "h1", "h2", "sig", *[F.first(c).over(w).alias("p" + c) for c in ("n", "h1", "h2", "sig")])
-    return (rows.filter(_close("n", "pn", "sig", "psig", num, den) & ((F.col("h1") != F.col("ph1")) | (F.col("h2") != F.col("ph2"))))
-            .select(F.col("h1").alias("x1"), F.col("h2").alias("x2"), F.col("ph1").alias("y1"), F.col("ph2").alias("y2")).distinct())
+    cols = ("cid", "n", "sig")
+    rows = classes.select(F.explode("keys").alias("key"), F.pmod(F.xxhash64("cid"), F.lit(SALTS)).cast("int").alias("salt"), "d", *cols)
+    w = Window.partitionBy("key", "salt").orderBy("d", "cid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.select(*[F.col(c).alias("x" + c) for c in cols], *[F.first(c).over(w).alias("y" + c) for c in cols])
+    return (rows.filter((F.col("xcid") != F.col("ycid")) & _close("xn", "yn", "xsig", "ysig", num, den))
+            .select(F.col("xcid").alias("x"), F.col("ycid").alias("y")).distinct())
 
 
 def _prefix_pairs(classes: DataFrame, settled: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (x not settled, y not after x) that share a prefix word at fitting positions."""
-    size = F.size("words")
-    length = size - F.floor((num * size + den - 1) / F.lit(den)).cast("int") + 1
-    flagged = classes.join(settled.withColumn("settled", F.lit(True)), ["h1", "h2"], "left")
-    postings = (flagged.select("h1", "h2", "sig", F.col("first.d").alias("d"), F.coalesce("settled", F.lit(False)).alias("settled"), size.alias("n"),
-                               F.posexplode(F.slice("words", F.lit(1), length)).alias("at", "word"))
-                .repartition(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "word"))
-    # both sides read one shuffle: the filter must not sink below it, so it is not deterministic in form
-    here = F.monotonically_increasing_id() >= 0
-    x = postings.filter(here & ~F.col("settled")).select("word", *[F.col(c).alias("x" + c) for c in ("h1", "h2", "d", "n", "at", "sig")])
-    y = postings.select("word", *[F.col(c).alias("y" + c) for c in ("h1", "h2", "d", "n", "at", "sig")])
-    most = 1 + F.least(F.col("xn") - F.col("xat") - 1, F.col("yn") - F.col("yat") - 1)
-    fits = _close("xn", "yn", "xsig", "ysig", num, den) & ((num + den) * most >= num * (F.col("xn") + F.col("yn")))
-    other = (F.col("xh1") != F.col("yh1")) | (F.col("xh2") != F.col("yh2"))
-    pairs = x.join(y, (x["word"] == y["word"]) & (F.col("yd") <= F.col("xd")) & fits & other)
-    return pairs.select(F.col("xh1").alias("x1"), F.col("xh2").alias("x2"), F.col("yh1").alias("y1"), F.col("yh2").alias("y2")).distinct()
+    """Pairs (x not settled, y not in a later document) that share a prefix word at fitting positions."""
+    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    flagged = classes.join(_few(settled.withColumn("settled", F.lit(1))), list(PLACE), "left")
+    postings = flagged.select("cid", "d", "sig", "n", F.coalesce("settled", F.lit(0)).alias("settled"), F.posexplode("prefix").alias("at", "word"))
+    # place in the prefix and flag in one number: both sides need it, so both read one shuffle
+    postings = postings.select("word", "cid", "d", "sig", "n", (2 * F.col("at") + F.col("settled")).alias("mark"))
+    # nothing is null; said here, as the join would else filter one side above and one below the shuffle
+    for c in postings.columns:
+        postings = postings.filter(F.col(c).isNotNull())
+    postings = postings.repartition(parts, "word")
+    side = lambda p: postings.select("word", *[F.col(c).alias(p + c) for c in ("cid", "d", "sig", "n", "mark")])
+    # not deterministic in form, so that the filter stays above the shuffle
+    x = side("x").filter((F.monotonically_increasing_id() >= 0) == (F.col("xmark") % 2 == 0))
+    y = side("y")
+    at = lambda p: F.floor(F.col(p + "mark") / F.lit(2)).cast("int")
+    most = F.least(F.col("xn") - at("x"), F.col("yn") - at("y"))
+    fits = _close("xn", "yn", "xsig", "ysig", num, den) & (F.col("xcid") != F.col("ycid")) & \
+        ((num + den) * most >= num * (F.col("xn") + F.col("yn")))
+    pairs = x.join(y, (x["word"] == y["word"]) & (F.col("yd") <= F.col("xd")) & fits)
+    return pairs.select(F.col("xcid").alias("x"), F.col("ycid").alias("y")).distinct()
+
+
+def _tidy(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of steps whose results are checkpointed
+    (it does so once the driver's objects for them are collected)."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def kept_lines(rows: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     """``d, rk, kept`` for rows (d, rk, t) that keep a line with words: the
     numbers of these lines, from 0."""
-    spark = rows.sparkSession
-    lines = _lines(rows).filter(_with_words(F.col("line")))
-    grouped = (lines.groupBy(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
-               .agg(F.min(F.struct("d", "rk", "no")).alias("first"), F.first("line").alias("line")))
-    with _kept_partitioning(spark):
-        hashed = grouped.select("h1", "h2", "first", word_hashes(F.col("line")).alias("words")).persist(StorageLevel.MEMORY_AND_DISK)
-        steps = rarity(hashed)
-        classes = hashed.select("h1", "h2", "first", signature(F.col("words")).alias("sig"), by_rarity(F.col("words"), steps).alias("words")).persist(StorageLevel.MEMORY_AND_DISK)
-        classes.count()
-        hashed.unpersist()
-    settled = checkpointed(_verified(_pivot_pairs(classes, num, den), classes, num, den))
-    late = _verified(_prefix_pairs(classes, settled, num, den), classes, num, den)
-    removed = settled.unionByName(late)
-    kept = classes.select("h1", "h2", "first").join(removed, ["h1", "h2"], "left_anti")
-    out = checkpointed(kept.groupBy("first.d", "first.rk").agg(F.array_sort(F.collect_list("first.no")).alias("kept")))
-    classes.unpersist()
+    # a written table: it cuts the lineage, and scans of it (unlike those of a
+    # cached table) let the two sides of the prefix join share one shuffle
+    path = work_dir(rows.sparkSession, "line-classes")
+    _classes(rows, num, den).write.mode("overwrite").parquet(path)
+    classes = rows.sparkSession.read.parquet(path)
+    _tidy(rows.sparkSession)
+    settled = _verified(_pivot_pairs(classes, num, den), classes, rows, num, den)
+    _tidy(rows.sparkSession)
+    late = _verified(_prefix_pairs(classes, settled, num, den), classes, rows, num, den)
+    kept = classes.select(*PLACE).join(_few(settled.unionByName(late)), list(PLACE), "left_anti")
+    out = checkpointed(kept.groupBy("d", "rk").agg(F.array_sort(F.collect_list("no")).alias("kept")))
     return out
 
 
