@@ -10,9 +10,10 @@ Words are ordered by rarity (counts over all documents, in a table of fixed
 size), the rarest first.
 
 1. Pivots. Classes that share the least or greatest word hash of their rarer
-   half are compared with the earliest of them. In a group of near copies nearly
-   every member is settled by that comparison, so such groups never meet all
-   pairs. Large groups are dealt to ``SALTS`` parts with a pivot each.
+   half are compared with the ``PIVOTS`` earliest of them. In a group of near
+   copies nearly every member is settled by these comparisons, so such groups
+   never meet all pairs. Large groups are dealt to ``SALTS`` parts with pivots
+   of their own.
 2. Prefix join, for classes that are not settled. Two similar classes share a
    word among the rarest ``n - ceil(t n) + 1`` of each. Pairs that share one are
    kept if the other stands before, and if lengths and the positions of the word
@@ -52,6 +53,8 @@ from ebbflow.session import checkpointed, work_dir
 BUCKETS = 1 << 16
 #: Parts of a group of classes with the same pivot key.
 SALTS = 16
+#: Pivots that a class is compared with for each of its keys.
+PIVOTS = 8
 #: Rows of at most four numbers (or a document's line numbers) that are broadcast.
 FEW = 1_000_000
 #: Turns the order of hashes into another one.
@@ -236,13 +239,13 @@ def _classes(rows: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _pivot_pairs(classes: DataFrame, num: int, den: int) -> DataFrame:
-    """Each class with the earliest of its part of each pivot key's group."""
-    cols = ("cid", "n", "sig")
-    rows = classes.select(F.explode("keys").alias("key"), F.pmod(F.xxhash64("cid"), F.lit(SALTS)).cast("int").alias("salt"), "d", *cols)
+    """Each class with the ``PIVOTS`` earliest of its part of each pivot key's group."""
+    rows = classes.select(F.explode("keys").alias("key"), F.pmod(F.xxhash64("cid"), F.lit(SALTS)).cast("int").alias("salt"), "d", "cid", "n", "sig")
     w = Window.partitionBy("key", "salt").orderBy("d", "cid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.select(*[F.col(c).alias("x" + c) for c in cols], *[F.first(c).over(w).alias("y" + c) for c in cols])
-    return (rows.filter((F.col("xcid") != F.col("ycid")) & _close("xn", "yn", "xsig", "ysig", num, den))
-            .select(F.col("xcid").alias("x"), F.col("ycid").alias("y")).distinct())
+    pivots = F.array(*[F.nth_value(F.struct("cid", "n", "sig"), k + 1).over(w) for k in range(PIVOTS)])
+    pairs = rows.select("cid", "n", "sig", pivots.alias("pivots")).select("cid", "n", "sig", F.explode("pivots").alias("p")).select(
+        F.col("cid").alias("x"), "n", "sig", F.col("p.cid").alias("y"), F.col("p.n").alias("pn"), F.col("p.sig").alias("psig"))
+    return pairs.filter((F.col("x") != F.col("y")) & _close("n", "pn", "sig", "psig", num, den)).select("x", "y").distinct()
 
 
 def _prefix_pairs(classes: DataFrame, settled: DataFrame, num: int, den: int) -> DataFrame:
