@@ -324,20 +324,21 @@ def remove(df: DataFrame, doc_id: str = "doc_id", text: str = "text", num: int =
     are; a row that loses all its lines keeps an empty text)."""
     rows = _numbered(df, doc_id, text)
     kept = kept_lines(rows.select(F.col("_d").alias("d"), F.col("_rk").alias("rk"), F.col("_t").alias("t")), num, den)
-    met = rows.join(kept, (F.col("_d") == F.col("d")) & (F.col("_rk") == F.col("rk")), "left")
     none = F.array().cast("array<int>")
 
     def cut(stays: Column) -> Column:
         good = F.filter(F.split("_t", "\n"), lambda line, i: ~_with_words(line) | F.array_contains(stays, i))
         return F.array_join(good, "\n")
 
-    new = met.withColumn(text, cut(F.coalesce("kept", none)))
-    # of equal rows the first keeps lines: those that share an id and a digest are rare, and told apart here
-    twice = rows.groupBy("_d", "_rk").agg(F.count("*").alias("copies")).filter("copies > 1").select(
-        F.col("_d").alias("d2"), F.col("_rk").alias("rk2"), "copies")
-    marked = new.withColumn("_cut", cut(none)).join(twice, (F.col("_d") == F.col("d2")) & (F.col("_rk") == F.col("rk2")), "left")
-    single = marked.filter("copies is null").select(*df.columns)
-    copied = marked.filter("copies is not null").select(*df.columns, "_cut", "copies").dropDuplicates()
-    copied = copied.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    def joined(part: DataFrame) -> DataFrame:
+        met = part.join(kept, (F.col("_d") == F.col("d")) & (F.col("_rk") == F.col("rk")), "left")
+        return met.withColumn(text, cut(F.coalesce("kept", none)))
+
+    # of equal rows the first keeps lines: such rows are told apart before the join with the texts
+    twice = _few(rows.groupBy("_d", "_rk").agg(F.count("*").alias("copies")).filter("copies > 1"))
+    single = joined(rows.join(twice, ["_d", "_rk"], "left_anti")).select(*df.columns)
+    again = rows.join(twice, ["_d", "_rk"]).dropDuplicates()
+    copied = joined(again).withColumn("_cut", cut(none)).withColumn(
+        "copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     copied = copied.withColumn(text, F.when(F.col("copy") == 1, F.col(text)).otherwise(F.col("_cut"))).select(*df.columns)
     return single.unionByName(copied)
