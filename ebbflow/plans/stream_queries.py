@@ -50,7 +50,7 @@ def _ntz(df, *cols):
     return df
 
 
-@query("stream_tumbling_uv", covers=("W4", "A12", "S4", "T3"), oracle=_oracle("tumbling_uv"))
+@query("stream_tumbling_uv", covers=("W4", "A12", "S4", "T3", "T4"), oracle=_oracle("tumbling_uv"))
 def stream_tumbling_uv(spark, sf_dir, bound="0 seconds"):
     rep = replayed_events(spark, sf_dir, "tumbling-uv")
     ev = event_stream(rep).withWatermark("ts", bound)
