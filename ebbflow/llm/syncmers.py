@@ -3,14 +3,13 @@
 A k-mer of code points is a closed syncmer if the least hash among its inner
 s-mers stands first or last in it. Whether a k-mer is chosen depends on its own
 characters only, so equal passages give equal anchors wherever they stand. A
-fingerprint holds the ``SKETCH`` anchors with the least hashes (the first place
-of each), every one with its position, as 16 hex digits each: a fixed-size
-sample that is drawn the same way from the whole of every text.
+fingerprint holds every anchor of the text at all its places, in the order of
+the text, as ten hex digits each: the hash and the step from the place before
+(of any k - s neighbouring k-mers one is closed, so a step is at most k - s).
 
-Two fingerprints are compared over the least ``SKETCH`` hashes of both
-together: shared anchors count as far as they form a chain that rises in both
-texts, and the share J of the chain gives the likeness 2 J / (1 + J), an
-estimate of the part of the anchors that both texts have in place.
+Two fingerprints are compared by the longest chain of shared anchors that rises
+in both texts, L: the likeness of texts of n and m anchors is 2 L / (n + m),
+the part of the anchors that both texts have in the same order. It is exact.
 
 A text shorter than k has one anchor, its whole; null and empty texts have
 none, an empty fingerprint, likeness 1 to each other and 0 to others. Equal
@@ -23,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -31,10 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Characters of a k-mer and of its inner s-mers; anchors of a fingerprint.
-K, S, SKETCH = 16, 6, 64
+#: Characters of a k-mer and of its inner s-mers.
+K, S = 16, 6
 #: Characters worked on at once inside a task.
 BLOCK_CHARS = 2 << 20
+#: Bytes of place bits that are held while two fingerprints are compared.
+MASK_BYTES = 64 << 20
+_ANCHOR = np.dtype([("hash", ">u4"), ("step", "u1")])
 _MULT, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -83,48 +86,78 @@ def anchors(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def sketch(texts: list[str]) -> list[np.ndarray]:
-    """For each text its least anchors, rising: rows (hash, position)."""
+    """For each text all its anchors in order: rows (hash, position)."""
     value, place, offsets = anchors(texts)
-    out = []
-    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-        h, p = value[a:b], place[a:b]
-        if len(h) > 4 * SKETCH:  # only what can be among the least, copies included
-            edge = SKETCH
-            while True:
-                cut = np.partition(h, min(edge, len(h) - 1))[min(edge, len(h) - 1)]
-                keep = h <= cut
-                if edge >= len(h) or len(np.unique(h[keep])) >= SKETCH:
-                    break
-                edge *= 4
-            h, p = h[keep], p[keep]
-        u, first = np.unique(h, return_index=True)
-        out.append(np.stack([u[:SKETCH], p[first[:SKETCH]]], 1))
-    return out
+    both = np.stack([value, place], 1)
+    return [both[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+
+
+def _by_pairs(x: list[int], at: dict[int, list[int]]) -> int:
+    """Longest common chain by the pairs of equal anchors."""
+    chain: list[int] = []  # least ends of the chains of each length
+    for v in x:
+        for p in reversed(at[v]):
+            k = bisect_left(chain, p)
+            chain[k:k + 1] = [p]
+    return len(chain)
+
+
+def _by_bits(x: list[int], at: dict[int, list[int]], m: int) -> int:
+    """The same by one long addition for each anchor of ``x``."""
+    full = (1 << m) - 1
+    held, masks = MASK_BYTES, {}
+    open_ends = full
+    for v in x:
+        mask = masks.get(v)
+        if mask is None:
+            bits = np.zeros(m, np.uint8)
+            bits[at[v]] = 1
+            mask = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+            if held > m // 8:
+                masks[v] = mask
+                held -= m // 8
+        met = open_ends & mask
+        open_ends = ((open_ends + met) | (open_ends - met)) & full
+    return m - open_ends.bit_count()
+
+
+def common_chain(x: np.ndarray, y: np.ndarray) -> int:
+    """Length of the longest sequence of hashes that rises in both."""
+    least = min(len(x), len(y))
+    differ = np.flatnonzero(x[:least] != y[:least])
+    head = int(differ[0]) if len(differ) else least  # equal ends are in a longest chain
+    x, y, least = x[head:], y[head:], least - head
+    differ = np.flatnonzero(x[len(x) - least:] != y[len(y) - least:])
+    tail = least - 1 - int(differ[-1]) if len(differ) else least
+    xs, ys = x[:len(x) - tail].tolist(), y[:len(y) - tail].tolist()
+    common = set(xs).intersection(ys)
+    if not common:
+        return head + tail
+    xs, ys = [v for v in xs if v in common], [v for v in ys if v in common]
+    at = defaultdict(list)
+    for i, v in enumerate(ys):
+        at[v].append(i)
+    pairs = sum(len(at[v]) for v in xs)
+    if pairs <= len(xs) * (8 + len(ys) // 256):
+        return head + tail + _by_pairs(xs, at)
+    return head + tail + _by_bits(xs, at, len(ys))
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     if not len(a) or not len(b):
         return 1.0 if len(a) == len(b) else 0.0
-    if a.shape == b.shape and (a == b).all():
-        return 1.0
-    union = np.union1d(a[:, 0], b[:, 0])[:SKETCH]
-    both, i, j = np.intersect1d(a[:, 0], b[:, 0], assume_unique=True, return_indices=True)
-    ok = both <= union[-1]
-    i, j = i[ok], j[ok]
-    chain: list[int] = []  # ends of the longest rising chains
-    for p in b[j, 1][np.argsort(a[i, 1], kind="stable")].tolist():
-        k = bisect_left(chain, p)
-        chain[k:k + 1] = [p]
-    share = len(chain) / len(union)
-    return 2 * share / (1 + share)
+    return 2 * common_chain(a[:, 0], b[:, 0]) / (len(a) + len(b))
 
 
 def packed(s: np.ndarray) -> str:
-    return s.astype(">u4").tobytes().hex()
+    out = np.empty(len(s), _ANCHOR)
+    out["hash"], out["step"] = s[:, 0], np.diff(s[:, 1], prepend=s[:1, 1] * 0)
+    return out.tobytes().hex()
 
 
 def unpacked(fingerprint: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(fingerprint), ">u4").astype(np.uint32).reshape(-1, 2)
+    got = np.frombuffer(bytes.fromhex(fingerprint), _ANCHOR)
+    return np.stack([got["hash"].astype(np.uint32), np.cumsum(got["step"], dtype=np.uint32)], 1)
 
 
 def edited(text: str, following: str) -> str:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from .conftest import SF_SMALL
 
@@ -61,6 +62,45 @@ def test_likeness():
     assert (S.unpacked(S.packed(x)) == x).all()
 
 
+def slow_chain(x, y):
+    row = [0] * (len(y) + 1)
+    for a in x:
+        new = [0]
+        for j, b in enumerate(y):
+            new.append(row[j] + 1 if a == b else max(new[-1], row[j + 1]))
+        row = new
+    return row[-1]
+
+
+def test_common_chain():
+    rng = random.Random(4)
+    for n, kinds in ((0, 1), (5, 2), (40, 3), (40, 30), (130, 4), (300, 2)):
+        for _ in range(5):
+            x, y = (np.array(rng.choices(range(kinds), k=rng.randint(0, n)), np.uint32) for _ in range(2))
+            want = slow_chain(x.tolist(), y.tolist())
+            assert S.common_chain(x, y) == want
+            at = {v: np.flatnonzero(y == v).tolist() for v in range(kinds)}
+            assert S._by_pairs(x.tolist(), at) == S._by_bits(x.tolist(), at, len(y)) == want
+
+
+def test_long_texts_keep_all_anchors(monkeypatch):
+    """A passage that long texts share, or in which they differ, shows."""
+    rng = random.Random(5)
+    a, b = ("".join(rng.choices("etaoin shrdlu", k=100_000)) for _ in range(2))
+    shared = a[:50_000] + b[50_000:50_300] + a[50_300:]
+    x, y, z = S.sketch([a, b, shared])
+    assert len(x) == len(slow_anchors(a)) and (S.unpacked(S.packed(x)) == x).all()
+    assert S.packed(x) != S.packed(z) and 0.99 < S.likeness(x, z) < 1
+    far = S.sketch([b[:20_000] + a[70_000:70_300] + b[20_300:]])[0]  # at another place of another text
+    assert S.likeness(x, far) > S.likeness(x, y) and S.likeness(x, far) >= 2 * 40 / (len(x) + len(far))
+    once, twice = S.sketch([a[:1000], a[:1000] * 2])  # places of an anchor beyond the first
+    assert 0.6 < S.likeness(once, twice) < 0.72
+    # anchors that meet in very many pairs
+    p, q = S.sketch(["lorem ipsum dolor " * 4000, "dolor " + "lorem ipsum dolor " * 3000])
+    monkeypatch.setattr(S, "MASK_BYTES", 0)
+    assert S.likeness(p, q) > 0.85
+
+
 def order(rows):
     return sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
 
