@@ -1,16 +1,15 @@
 """Operator 8: licence scans with a positional index of rare words (native).
 
-Licence templates are short word sequences. Their words' document frequencies
-are counted over the whole table; a template's posting of a word is the place
-at which it stands in the template. In each file the licence words with the
-highest IDF are looked up: every place of such a word less its place in the
-template is where the template would have to begin. These beginnings, from up
-to ``ANCHORS`` words, are intersected with the template at all relative
-positions, weighted by IDF, and the template's mandatory key phrases must stand
-there word by word. A template that has to match as a whole is looked up by its
-rarest word alone, as that must be there, and one that may match in part also
-by the rarest word of its key phrase; so all places are found.
-
+Licence templates (``license_templates``) are word sequences. Their words'
+document frequencies are counted over the whole table. Of each template the
+word of its first mandatory phrase with the highest IDF is its posting: (word,
+template, place in the template). In each file the posted words are looked up;
+their places less the place in the template are where the template would have
+to begin. There its mandatory phrases must stand word by word, and the other
+words are compared at all relative positions, weighted by IDF. As a mandatory
+phrase must be there, its rarest word finds all places.
+
+The table of templates is one literal array, so the plan does not grow with it.
 Only DataFrame functions: two passes of one map each, an aggregate of as many
 rows as there are licence words, no shuffle of documents.
 
@@ -22,45 +21,18 @@ no rule. Extra columns are not read.
 
 from __future__ import annotations
 
+import json
 import math
 import string
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ebbflow.llm.license_templates import TEMPLATES, Template
+
 #: What separates words, where A-Z are still there.
 GAP = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
-#: Words of a file that a template is looked up by, if it may match in part.
-ANCHORS = 3
-
-
-@dataclass(frozen=True)
-class Template:
-    label: str
-    words: tuple[str, ...]
-    keys: tuple[str, ...] = ()   # phrases that must stand in place
-    share: float = 1.0           # least IDF-weighted share of words in place
-    base: bool = False
-
-
-def _t(label: str, words: str, *keys: str, share: float = 0.75, base: bool = False) -> Template:
-    return Template(label, tuple(words.split()), keys, 1.0 if base else share, base)
-
-
-# Phrases by which well-known licences are recognised.
-TEMPLATES = (
-    _t("mit", "mit license", base=True),
-    _t("apache", "apache license", base=True),
-    _t("gpl", "general public license", base=True),
-    _t("mit-grant", "permission is hereby granted free of charge to any person obtaining a copy", "hereby granted"),
-    _t("mit-notice", "released under the mit license", "mit license"),
-    _t("apache-notice", "licensed under the apache license version 2 0", "apache license"),
-    _t("gpl-notice", "work is licensed under the gnu general public license version 3", "general public license"),
-    _t("bsd", "redistribution and use in source and binary forms with or without modification", "binary forms"),
-    _t("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc"),
-    _t("all-rights-reserved", "all rights reserved", "rights reserved"),
-)
+_TABLE = ("array<struct<label string, base boolean, word string, at int, least double, total double, "
+          "must array<struct<j int, w string>>, body array<struct<j int, w string, weight double>>>>")
 
 
 def words_of(text: Column) -> Column:
@@ -88,54 +60,35 @@ def idf(df: DataFrame, text: str, templates: tuple[Template, ...]) -> dict[str,
     return {w: math.log((n + 1) / (counts.get(w, 0) + 1)) + 1e-6 for w in vocab}
 
 
-def _in_place(start: Column, j: int, word: str) -> Column:
-    return F.coalesce(F.get("words", start + j) == word, F.lit(False))
-
-
-def _places(t: Template, weight: dict[str, float]) -> Column:
-    """Array of (start, share) at which template ``t`` may stand in ``words``;
-    ``spots`` holds the places of all licence words, ``present`` the words."""
-    rare = sorted(range(len(t.words)), key=lambda j: (-weight[t.words[j]], j))
-    whole = t.share == 1.0
-    first_at = {t.words[j]: j for j in reversed(range(len(t.words)))}
-    distinct = list(dict.fromkeys(t.words[j] for j in rare))
-    posting = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(first_at[w]).alias("at")) for w in distinct])
-    if whole:
-        anchors = F.slice(posting, 1, 1)
-    else:
-        # the rarest word of the first key phrase is always one: it must be there
-        key = t.keys[0].split()
-        rarest = max(key, key=lambda w: (weight[w], w))
-        at = next(i for i in range(len(t.words)) if t.words[i:i + len(key)] == tuple(key)) + key.index(rarest)
-        anchors = F.array_distinct(F.concat(
-            F.slice(F.filter(posting, lambda p: F.array_contains("present", p["w"])), 1, ANCHORS),
-            F.array(F.struct(F.lit(rarest).alias("w"), F.lit(at).alias("at")))))
-    starts = F.array_distinct(F.flatten(F.transform(anchors, lambda p: F.transform(
-        F.filter("spots", lambda i: F.get("words", i) == p["w"]), lambda i: i - p["at"]))))
-    total = sum(weight[w] for w in t.words)
-
-    def met(s: Column) -> Column:
-        hits = [F.when(_in_place(s, j, w), F.lit(weight[w])).otherwise(0.0) for j, w in enumerate(t.words)]
-        return F.struct(s.alias("start"), (sum(hits[1:], hits[0]) / F.lit(total)).alias("share"))
-
-    def mandatory(s: Column) -> Column:
-        need = F.lit(True)
-        for key in (t.words,) if whole else map(str.split, t.keys):
-            at = next(i for i in range(len(t.words)) if t.words[i:i + len(key)] == tuple(key))
-            for j, w in enumerate(key):
-                need = need & _in_place(s, at + j, w)
-        return need
-
-    ok = F.filter(starts, mandatory)
-    if whole:
-        return F.transform(ok, lambda s: F.struct(s.alias("start"), F.lit(1.0).alias("share")))
-    return F.transform(ok, met)
-
-
-def _found(t: Template, weight: dict[str, float]) -> Column:
-    good = F.filter(_places(t, weight), lambda p: p["share"] >= t.share)
-    return F.transform(good, lambda p: F.struct(F.lit(t.label).alias("label"), p["start"].alias("start"),
-                                                p["share"].alias("share"), F.lit(t.base).alias("base")))
+def _begin(t: Template, phrase: list[str]) -> int:
+    return next(i for i in range(len(t.words)) if t.words[i:i + len(phrase)] == tuple(phrase))
+
+
+def _posting(t: Template, weight: dict[str, float]) -> dict:
+    """The template as a row of the table; one that must match as a whole has
+    no body."""
+    phrases = [list(t.words)] if t.share == 1.0 else [k.split() for k in t.keys]
+    word = max(phrases[0], key=lambda w: (weight[w], w))
+    must = {_begin(t, k) + j: w for k in phrases for j, w in enumerate(k)}
+    body = [] if t.share == 1.0 else [{"j": j, "w": w, "weight": weight[w]} for j, w in enumerate(t.words)]
+    return {"label": t.label, "base": t.base, "word": word, "at": _begin(t, phrases[0]) + phrases[0].index(word), "least": t.share,
+            "total": sum(weight[w] for w in t.words), "must": [{"j": j, "w": w} for j, w in sorted(must.items())], "body": body}
+
+
+def _places(t: Column) -> Column:
+    """Where template ``t`` stands in ``words``; ``spots`` holds the places of
+    all posted words."""
+    def in_place(start: Column, part: Column) -> Column:
+        return F.coalesce(F.get("words", start + part["j"]) == part["w"], F.lit(False))
+
+    def share(s: Column) -> Column:
+        met = F.aggregate(t["body"], F.lit(0.0), lambda sum_, part: sum_ + F.when(in_place(s, part), part["weight"]).otherwise(0.0))
+        return F.when(F.size(t["body"]) == 0, F.lit(1.0)).otherwise(met / t["total"])
+
+    starts = F.transform(F.filter("spots", lambda i: F.get("words", i) == t["word"]), lambda i: i - t["at"])
+    good = F.filter(starts, lambda s: F.forall(t["must"], lambda part: in_place(s, part)))
+    return F.filter(F.transform(good, lambda s: F.struct(t["label"].alias("label"), s.alias("start"), share(s).alias("share"),
+                                                         t["base"].alias("base"))), lambda p: p["share"] >= t["least"])
 
 
 def scan(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -144,19 +97,19 @@ def scan(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     score, places`` of every row. ``places``: (label, start, share) of every
     template found; ``score``: the best share."""
     weight = idf(df, text, templates)
-    # any place of a template holds its key phrases, so one word of each will do
-    needed = sorted({max((t.words if t.share == 1.0 else t.keys[0].split()), key=lambda w: (weight[w], w)) for t in templates})
-    vocab = F.array(*map(F.lit, sorted(weight)))
+    postings = [_posting(t, weight) for t in templates]
+    # any place of a template holds its posted word
+    needed = sorted({p["word"] for p in postings})
+    known = F.from_json(F.lit(json.dumps(postings)), _TABLE)
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = _held(df.select(F.col(doc_id).alias("id"), t.alias("t")), rough=words_of(F.lower("t")))
     likely = F.arrays_overlap("rough", F.array(*map(F.lit, needed)))
     rows = _held(rows, n_words=F.size("rough").cast("long"),
                  words=F.when(likely, words_of(lowered(F.col("t")))).otherwise(F.array().cast("array<string>"))).drop("t", "rough")
     at = F.when(F.size("words") > 0, F.sequence(F.lit(0), F.size("words") - 1)).otherwise(F.array().cast("array<int>"))
-    rows = _held(rows, spots=F.filter(at, lambda i: F.get("words", i).isin(sorted(weight))),
-                 present=F.array_intersect("words", vocab))
-    found = [_found(t, weight) for t in templates]
-    rows = _held(rows, places=F.concat(*found)).drop("words", "spots", "present")
+    rows = _held(rows, spots=F.filter(at, lambda i: F.get("words", i).isin(needed)))
+    none = F.array().cast("array<struct<label string, start int, share double, base boolean>>")
+    rows = _held(rows, places=F.when(F.size("spots") > 0, F.flatten(F.transform(known, _places))).otherwise(none)).drop("words", "spots")
     base = F.filter("places", lambda p: p["base"])
     starts = F.transform(base, lambda p: p["start"])
     labels = lambda places: F.concat_ws(",", F.array_sort(F.array_distinct(F.transform(places, lambda p: p["label"]))))

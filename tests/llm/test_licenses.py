@@ -72,3 +72,49 @@ def test_plan_is_native(spark):
     configure(spark)
     plan = L.scan(table(spark, SF_SMALL, "documents"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+NOTICES = [
+    ("""# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.""", {"gpl-3-header", "gpl-header", "gpl"}, {"gpl-2-header", "lgpl-header"}),
+    (""" * You should have received a copy of the GNU Affero General Public License
+ * along with this program.  If not, see <https://www.gnu.org/licenses/>.""", {"agpl-copy", "gpl"}, {"gpl-copy"}),
+    ("""This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.""",
+     {"lgpl-2.1-header", "lgpl-header"}, {"gpl-header", "lgpl-3-header"}),
+    ("""This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/.""", {"mpl-2-header"}, {"mpl-1.1-header"}),
+    ("""Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+provided that the above copyright notice and this permission notice appear in all copies.""", {"isc"}, {"0bsd", "mit-condition"}),
+    ("""2. Redistributions in binary form must reproduce the above copyright
+   notice, this list of conditions and the following disclaimer in the
+   documentation and/or other materials provided with the distribution.
+3. Neither the name of the University nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission.""", {"bsd-binary-clause", "bsd-3-clause"}, {"bsd-source-clause", "bsd-4-clause"}),
+    ("""each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable
+copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the
+Work and such Derivative Works in Source or Object form.""", {"apache-2-grant"}, {"mpl-2-grant"}),
+    ("This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which "
+     "accompanies this distribution, and is available at", {"epl-1-header"}, {"epl-2-header"}),
+    ("This is free and unencumbered software released into the public domain.", {"unlicense"}, {"mit"}),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+     {"cc-by-nc-sa"}, {"cc-by-nc", "cc-by"}),
+    ("https://creativecommons.org/licenses/by/4.0/", {"cc-by"}, {"cc-by-sa"}),
+    ("// SPDX-License-Identifier: BSD-3-Clause", {"spdx-bsd-3-clause"}, {"spdx-bsd-2-clause"}),
+]
+
+
+def test_standard_notices(spark):
+    """Headers and grants that do not stand in the given tables."""
+    configure(spark)
+    rows = [(i, t) for i, (t, _, _) in enumerate(NOTICES)] + [(99, "no notice at all"), (98, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: set(filter(None, r["labels"].split(","))) for r in L.scan(df).collect()}
+    for i, (text, wanted, unwanted) in enumerate(NOTICES):
+        assert wanted <= got[i] and not unwanted & got[i], (text, got[i])
+    assert got[99] == got[98] == set()
+    check(df)
