@@ -51,8 +51,13 @@ def ordered(spark, sf_dir, name, logic, key="user_id", value=None, bound=BOUND,
     return RUN.replay_append([rep], out, name)
 
 
+def _before_flush(us: str):
+    """Rows of real events, whatever their key: the flush row is told by its time."""
+    return _ts(us) < F.lit(SS.SENTINEL_TS).cast("timestamp_ntz")
+
+
 def _main(out: DataFrame) -> DataFrame:
-    return out.filter((F.col("tag") == "main") & (F.col("key") != SENTINEL_ID))
+    return out.filter((F.col("tag") == "main") & _before_flush("us"))
 
 
 def arrived(spark, sf_dir, name, logic, ttl_ms=None) -> DataFrame:
@@ -286,7 +291,7 @@ def stream_late_data(spark, sf_dir):
     out = ev.groupBy("user_id").transformWithState(
         proc, "tag string, key long, start_us long, end_us long, cnt long, seq long", "Append", "EventTime")
     res = RUN.replay_append([rep], out, "late-data")
-    return res.filter(F.col("key") != SENTINEL_ID).select(
+    return res.filter(_before_flush("start_us")).select(
         "tag", F.col("key").alias("user_id"), _ts("start_us").alias("window_start"),
         _ts("end_us").alias("window_end"), "cnt", F.col("seq").alias("event_id"))
 

@@ -80,6 +80,38 @@ def test_late_data_accounts_for_every_row(spark, disordered):
     assert per["main"] + many.get("update", 0) + many.get("late", 0) == len(data)
 
 
+@pytest.fixture(scope="module")
+def unnamed(spark, tmp_path_factory):
+    """Users null, -1 (the id of the flush row) and 5, with the same events."""
+    folder = str(tmp_path_factory.mktemp("unnamed"))
+    kinds = ["signup", "error", "error", "error", "purchase", "signup"]
+    data = [(i * 3 + j, user, kind, T0 + timedelta(hours=5 * i, minutes=j))
+            for i, kind in enumerate(kinds) for j, user in enumerate((None, -1, 5))]
+    df = spark.createDataFrame(data, "event_id long, user_id long, event_type string, ts timestamp_ntz")
+    df.coalesce(1).write.mode("overwrite").parquet(f"{folder}/events.parquet")
+    return folder, data
+
+
+@pytest.mark.parametrize("stream, batch", [
+    ("stream_state_machine", "state_machine"), ("stream_cep_times", "cep_times_consecutive"), ("stream_cep_followed_by", "cep_followed_by"),
+    ("stream_cep_timeout", "cep_timeout"), ("stream_periodic_pv", "periodic_pv")])
+def test_every_user_is_kept(spark, unnamed, stream, batch):
+    from ebbflow.plans.catalog import REGISTRY
+    folder, _ = unnamed
+    got = REGISTRY[stream].build(spark, folder)
+    want = REGISTRY[batch].build(spark, folder)
+    if stream != "stream_cep_followed_by":
+        assert {r["user_id"] for r in got.collect()} == {None, -1, 5}
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.select(*got.columns).collect())))
+
+
+def test_late_data_keeps_every_user(spark, unnamed):
+    folder, data = unnamed
+    out = Q.stream_late_data(spark, folder).collect()
+    for user in (None, -1, 5):
+        assert sum(r["cnt"] if r["tag"] == "main" else 1 for r in out if r["user_id"] == user) == len(data) // 3
+
+
 def test_a_second_call_reads_the_table_again(spark, tmp_path):
     def events(n):
         df = spark.range(n).select(F.col("id").alias("event_id"), (F.col("id") % 2).alias("user_id"), F.lit("view").alias("event_type"),
