@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbflow.llm import bpe, licenses, linededup, mixing, quality, sharding, simhash, syncmers, topk, transducer
+from ebbflow.llm import (bpe, hardneg, licenses, linededup, mixing, quality, sharding, simhash, syncmers, topk, toxicity,
+                         transducer, whitening)
 from ebbflow.llm.common import ORACLES, QUERIES, query, table
 
 __all__ = ["QUERIES", "ORACLES", "vocabulary"]
@@ -16,6 +17,7 @@ __all__ = ["QUERIES", "ORACLES", "vocabulary"]
 TOKENIZER = "byte_bpe_50k.json"
 #: Scores from here on keep a document.
 QUALITY_THRESHOLD = 0.3
+TOXIC_THRESHOLD = 0.5
 #: Bytes that a shard holds at most.
 SHARD_BYTES = 1 << 20
 
@@ -153,3 +155,42 @@ FROM placed
 """)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), max_epochs=3)
+
+
+@query("op11_hard_negatives", oracle="""
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS ints
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+           CAST(list_sum(list_transform(list_zip(a.ints, c.ints), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v a JOIN v c ON c.vec_id <> a.vec_id AND len(c.ints) = len(a.ints) WHERE a.vec_id % 100 = 0),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label, scale=256,
+                        positives=5, negatives=10, low=(3, 10), high=(9, 10))
+
+
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), k=8, scale=1024, offset=100_000)
+
+
+@query("op13_toxicity")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= TOXIC_THRESHOLD).cast("int").alias("predicted"))
