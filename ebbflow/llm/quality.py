@@ -8,8 +8,9 @@ features, and a softmax layer over that average gives the class. Table and
 layer are learned together by stochastic gradient descent in numpy.
 
 Learning uses at most ``SAMPLE`` labelled documents, chosen by the hash of
-their id (a documented bound; features are extracted by Spark tasks, the
-driver gets their hashed counts). Scoring is a map over all documents: as the
+their id, and at most ``fitting.FIT_BYTES`` of their features (documented
+bounds); features are extracted by Spark tasks and learned from in one, the
+driver gets the model. Scoring is a map over all documents: as the
 layer is linear, each feature has one number, and a document's score follows
 from the mean of its features' numbers.
 
@@ -34,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbflow.llm.common import ranges, slices, text_buffer
+from ebbflow.llm.fitting import fit_in_task, sample_of
 
 #: Most labelled documents that are learned from.
 SAMPLE = 6000
@@ -103,7 +105,7 @@ def _block_words(raw: bytes, offsets: np.ndarray) -> Iterator[list[bytes]]:
 
 
 def features(df: DataFrame, s: Settings) -> DataFrame:
-    """``label`` and each distinct feature of ``text`` with its share, packed."""
+    """``doc_id, label`` and each distinct feature of ``text`` with its share, packed."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = text_buffer(batch.column("text"))
@@ -120,10 +122,12 @@ def features(df: DataFrame, s: Settings) -> DataFrame:
                     c = c[f] / c.sum()
                 idx.append(f.astype(np.int32).tobytes())
                 val.append(c.astype(np.float32).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(idx, pa.binary()), pa.array(val, pa.binary())],
-                                             ["label", "idx", "val"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("label"), pa.array(idx, pa.binary()), pa.array(val, pa.binary())],
+                ["doc_id", "label", "idx", "val"])
 
-    return df.mapInArrow(run, "label int, idx binary, val binary")
+    return df.select("doc_id", "label", "text").mapInArrow(
+        run, f"doc_id {df.schema['doc_id'].dataType.simpleString()}, label int, idx binary, val binary")
 
 
 def learn(idx: list[np.ndarray], val: list[np.ndarray], label: np.ndarray, s: Settings) -> Model:
@@ -162,20 +166,8 @@ def learn(idx: list[np.ndarray], val: list[np.ndarray], label: np.ndarray, s: Se
 
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), sample: int = SAMPLE) -> Model:
     """Learn ``labels.quality`` (doc_id, quality) from the texts of ``docs``."""
-    known = (labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
-             .groupBy("doc_id").agg(F.min("quality").cast("int").alias("label")))
-    # chosen among the labels of documents that are there
-    known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = (docs.select("doc_id", F.col("text").cast("string").alias("text"))
-             .join(F.broadcast(chosen), "doc_id")  # at most ``sample`` rows of two numbers
-             .select("doc_id", "label", "text"))
-    one = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
-    rows = features(one.select("label", "text"), settings).collect()
-    rows.sort(key=lambda r: (r["label"], r["idx"], r["val"]))  # the order of arrival is not fixed
-    return learn([np.frombuffer(r["idx"], np.int32) for r in rows],
-                 [np.frombuffer(r["val"], np.float32) for r in rows],
-                 np.array([r["label"] for r in rows], np.int64), settings)
+    rows = features(sample_of(docs, labels, "quality", held_out("doc_id"), sample), settings)
+    return fit_in_task(rows, lambda idx, val, label: learn(idx, val, label, settings))
 
 
 class Scorer:
