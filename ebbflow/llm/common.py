@@ -78,7 +78,7 @@ def text_buffer(column: pa.Array) -> tuple[bytes, np.ndarray]:
     n = len(column)
     off = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + n + 1]
     data = column.buffers()[2]
-    raw = data.to_pybytes()[int(off[0]):int(off[-1])] if data is not None and n else b""
+    raw = data.slice(int(off[0]), int(off[-1] - off[0])).to_pybytes() if data is not None and n else b""  # this slice's bytes only
     return raw, off - off[0] if n else np.zeros(1, np.int64)
 
 

@@ -40,8 +40,8 @@ from ebbflow.llm.fitting import fit_in_task, sample_of
 #: Most labelled documents that are learned from.
 SAMPLE = 6000
 FOLDS = 5
-BLOCK_BYTES = 4 << 20
-MEMORY_BYTES = 64 << 20
+BLOCK_BYTES = 1 << 20
+MEMORY_BYTES = 24 << 20
 #: The feature of a word that repeats the one before, and how often it counts.
 REPEAT, REPEAT_WEIGHT = 0, 8
 
