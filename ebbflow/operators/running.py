@@ -8,10 +8,12 @@ A key beyond that - or a keyless running value (global watermark, most active
 user) over a large table - would be sorted by one task, so its rows are cut:
 
 1. One count per key finds the hot keys. Only their rows get a *chunk*: the
-   order column is cut at approximate quantiles of the hot rows. Rows of all
-   other keys stay in chunk 0 and are never looked at again. The driver holds
-   at most :data:`MAX_CUTS` cuts and the executors a broadcast of at most
-   :data:`MAX_HOT` keys, whatever the input: beyond that chunks grow instead.
+   order column is cut at approximate quantiles of the hot rows; a value of it
+   (or null) that alone has more rows than a chunk is cut by the next order
+   column. Rows of all other keys stay in chunk 0 and are never looked at again.
+   The driver holds at most :data:`MAX_CUTS` cuts of a column and the executors
+   a broadcast of at most :data:`MAX_HOT` keys, whatever the input: beyond that
+   chunks grow instead.
 2. Running values inside each ``(key, chunk)`` with a window partitioned on
    both, and per ``(key, chunk)`` totals, both from one exchange of the rows:
    the key is held in one never-null struct, so window, totals and the join
@@ -126,11 +128,31 @@ def _cut(num: Column, cuts: list[float]) -> Column:
     return F.when(num.isNull(), -1).when(group < 0, 0).otherwise(group * 64 + place)
 
 
+def _tied(hot: DataFrame, num: Column, tie: Column, cuts: list, size: int) -> tuple[list, DataFrame | None]:
+    """Cuts that set apart each value of ``num`` that alone has more than
+    ``size`` hot rows, and for each such value (null too) its cuts of ``tie``."""
+    filled = hot.groupBy(_cut(num, cuts).alias("c")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 2 * size)
+    large = [r["c"] for r in filled.select("c").collect()]  # no more than there are cuts
+    if not large:
+        return cuts, None
+    rows = hot.filter(_cut(num, cuts).isin(large)).select(num.alias("v"), tie.alias("t"))
+    heavy = {r["v"]: r["n"] for r in rows.groupBy("v").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > size).collect()}
+    if not heavy:
+        return cuts, None
+    most = max(heavy.values())
+    probs = [i / math.ceil(most / size) for i in range(1, math.ceil(most / size))][:MAX_CUTS]
+    kept = [v for v in heavy if v is not None]
+    here = F.col("v").isin(kept) | (F.col("v").isNull() if None in heavy else F.lit(False))
+    found = rows.filter(here).groupBy("v").agg(F.percentile_approx("t", probs, 10 * MAX_CUTS).alias("q"))
+    table = checkpointed(found.select(F.col("v").alias("_rc_v"), F.array_distinct("q").alias("_rc_q")))
+    return sorted({*cuts, *kept, *(v + 1 for v in kept)}), table
+
+
 def chunked(df: DataFrame, by: list[str], num: Column, rows_per_chunk: int,
-            out: str = _CHUNK) -> tuple[DataFrame, bool]:
+            out: str = _CHUNK, tie: Column | None = None) -> tuple[DataFrame, bool]:
     """``df`` with the chunk of each row (0 unless its key is hot) and a flag
     for rows of hot keys, and whether any key is hot. ``num`` orders the rows
-    of a key, as a number."""
+    of a key, as a number, and ``tie`` those of equal ``num``."""
     size = _chunk_size(df, rows_per_chunk)
     if by:
         counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rc_n"))
@@ -152,8 +174,17 @@ def chunked(df: DataFrame, by: list[str], num: Column, rows_per_chunk: int,
     probs = [i / n_chunks for i in range(1, n_chunks)]
     qs = hot.agg(F.percentile_approx(num, probs, 10 * MAX_CUTS).alias("q")).first()["q"] or []
     cuts = sorted({q for q in qs if q is not None})
-    chunk = F.when(F.col(HOT), _cut(num, cuts)).otherwise(0).cast("int")
-    return marked.withColumns({out: chunk, HOT: F.coalesce(HOT, F.lit(False))}), True
+    heavy = None
+    if tie is not None:
+        cuts, heavy = _tied(hot, num, tie, cuts, size)
+    chunk = _cut(num, cuts).cast("long")
+    if heavy is not None:  # a few rows: no more values than chunks
+        marked = marked.withColumn("_rc_num", num)
+        marked = marked.join(F.broadcast(heavy), F.col("_rc_num").eqNullSafe(F.col("_rc_v")), "left")
+        below = F.size(F.filter("_rc_q", lambda c: c <= tie))
+        chunk = chunk * F.lit(2 * MAX_CUTS) + F.when(F.col("_rc_q").isNull() | tie.isNull(), 0).otherwise(below)
+    chunk = F.when(F.col(HOT), chunk).otherwise(F.lit(0).cast("long"))
+    return marked.withColumns({out: chunk, HOT: F.coalesce(HOT, F.lit(False))}).drop("_rc_num", "_rc_v", "_rc_q"), True
 
 
 def _over(r: Run, c: Column | None, is_long: bool, window) -> Column:
@@ -230,13 +261,18 @@ def running(df: DataFrame, by: list[str], order: list[str], aggs: dict[str, Run]
     order: columns giving a total order inside a key; ``descending`` runs
         from the last row to the first (suffix values, "next" lookups).
     chunk_on: numeric or timestamp expression, non-decreasing in ``order``;
-        defaults to the first order column.
+        defaults to the first order column. Rows equal in it are cut by the
+        next order column if that is a whole number, time or date.
     """
     if not order:
         raise ValueError("running() needs an order")
     chunk_src = _col(chunk_on if chunk_on is not None else order[0])
     num = _numeric(chunk_src, df.select(chunk_src.alias("_c")).schema[0].dataType)
-    data, split = chunked(df, by, num, rows_per_chunk)
+    after = order[0] if chunk_on is not None else order[1] if len(order) > 1 else None
+    tie = None
+    if after is not None and isinstance(dtype := df.schema[after].dataType, (*_LONGS, T.TimestampType, T.TimestampNTZType, T.DateType)):
+        tie = _numeric(F.col(after), dtype)
+    data, split = chunked(df, by, num, rows_per_chunk, tie=tie)
     direction = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
     cols = {n: _col(r.col) if r.col is not None else None for n, r in aggs.items()}
     longs = {n: r.kind == "sum" and isinstance(df.select(cols[n].alias("_c")).schema[0].dataType, _LONGS)

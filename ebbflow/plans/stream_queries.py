@@ -1,8 +1,7 @@
 """Streaming twins of batch queries.
 
 Each query feeds a driver table to a file stream in arrival ranges (one
-micro-batch per range, the query restarted on its checkpoint after each),
-and returns what the sink wrote. Where the streaming result must equal the batch result, the query
+running query, one micro-batch per range) and returns what the sink wrote. Where the streaming result must equal the batch result, the query
 carries the batch query's DuckDB oracle, so the driver checks stream = batch.
 """
 
@@ -13,9 +12,11 @@ from pyspark.sql import functions as F
 from ebbflow.functions.time import as_event_time
 from ebbflow.operators.windows import window_col
 from ebbflow.plans.catalog import REGISTRY, query
+from ebbflow.session import work_dir
 from ebbflow.sources import tables as S
 from ebbflow.streaming import operators as SO
 from ebbflow.streaming import runner as RUN
+from ebbflow.streaming import savepoint as SP
 from ebbflow.streaming import sources as SS
 
 SENTINEL_ID = -1
@@ -133,22 +134,56 @@ def stream_connect_join(spark, sf_dir):
     return RUN.replay_append([o_rep, l_rep], out, "connect_join")
 
 
+def _word_stream(rep: SS.Replay):
+    from ebbflow.functions.text import split_lines, split_words
+
+    return (rep.stream().select(F.explode(split_lines("text")).alias("line"))
+            .select(F.explode(split_words("line")).alias("word")))
+
+
 @query("resume_word_count", covers=("X1", "X2", "X3", "A4", "B5"), oracle=_oracle("word_count"))
 def resume_word_count(spark, sf_dir):
     """Word count in update mode over documents replayed in ranges; the query
     is stopped after each range and restarted on the same checkpoint. Final
     totals equal one uninterrupted run."""
-    from ebbflow.functions.text import split_lines, split_words
-
     docs = S.table(spark, sf_dir, "documents").select("doc_id", "text")
     rep = SS.Replay(spark, "wc", docs.schema, SS.arrival_ranges(docs, "doc_id", 2))
-    words = (rep.stream().select(F.explode(split_lines("text")).alias("line"))
-                .select(F.explode(split_words("line")).alias("word")))
-    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
-    out = RUN.replay_update([rep], counts, "wc")
+    counts = _word_stream(rep).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+    out = RUN.replay_update([rep], counts, "wc", restarts=True)
     return RUN.latest_per_key(spark, out, ["word"], counts.schema)
 
 
+#: Ranges of the documents, and the batch whose state the second query starts from.
+SAVEPOINT_RANGES, SAVEPOINT_BATCH = 4, 1
+
+
+@query("savepoint_word_count", covers=("X1", "X2", "X3"), oracle=_oracle("word_count"))
+def savepoint_word_count(spark, sf_dir):
+    """A first query counts the words of all ranges. A second one, with another
+    plan (words counted within each task first, a processor in place of the
+    built-in aggregate, twice the state partitions), starts from the state that the first
+    one's checkpoint retains of an older batch and takes the ranges after it.
+    The totals, read from the second query's state, equal one count."""
+    docs = S.table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranges = SS.arrival_ranges(docs, "doc_id", SAVEPOINT_RANGES)
+    whole = SS.Replay(spark, "savepoint-all", docs.schema, ranges)
+    first = work_dir(spark, "stream-ckpt", "savepoint-first")
+    counts = _word_stream(whole).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+    RUN.feed_all([whole])
+    RUN.run_batches(counts, "savepoint-first", lambda batch, no: batch.write.format("noop").mode("overwrite").save(), first, "update")
+
+    start = SP.state_at(spark, first, SAVEPOINT_BATCH).select("key.word", F.col("value.count").alias("cnt"))
+    after = SS.Ranges(ranges[SAVEPOINT_BATCH + 1:])
+    after.files = ranges.files
+    rest = SS.Replay(spark, "savepoint-rest", docs.schema, after)
+    second = work_dir(spark, "stream-ckpt", "savepoint-second")
+    RUN.feed_all([rest])
+    with RUN.state_partitions(spark, 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))):
+        RUN.run_batches(SP.resume_counts(_word_stream(rest), start), "savepoint-second",
+                        lambda batch, no: batch.write.format("noop").mode("overwrite").save(), second, "update")
+    return SP.state_at(spark, second, variable="count").select("key.word", F.col("value.cnt").alias("cnt"))
+
+
 @query("stream_sql_select", covers=("S8", "S9", "B6", "B7"), oracle=_oracle("table_select_where"))
 def stream_sql_select(spark, sf_dir):
     """Stream -> temporary view -> SQL -> insert-only stream (append sink)."""

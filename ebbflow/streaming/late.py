@@ -8,15 +8,17 @@ and has no allowed-lateness re-firing. This processor rebuilds both with
   row before the processor sees it. Inside, the effective watermark is
   ``spark_wm + D - bound``, the watermark of the original job. With ``D`` the
   span of event times (as the replaying queries take it) no row can be later.
-* Per key, a map state holds ``window start -> (on-time count, total
-  count)`` for windows not yet purged. A row meets the watermark of the previous micro-batch:
-  window still open -> counted; window fired but ``end + lateness`` not yet
-  reached -> counted and an ``update`` row is emitted at once; otherwise the
-  row itself goes to the ``late`` side output.
-* Timers: one at ``end`` (shifted by ``D - bound``) emits the ``main`` row
-  with the on-time count (rows of a batch are handled before that batch's
-  timers, so rows already counted as updates are kept apart); one at
-  ``end + lateness`` purges the window.
+* A key is a user and a bucket of window starts; its list state holds
+  ``(window start, on-time count, total count, fired)`` for windows not yet
+  purged, read and written once a batch. A row meets the watermark of the
+  previous micro-batch: window still open -> counted; window fired but
+  ``end + lateness`` not yet reached -> counted and an ``update`` row is emitted
+  at once; otherwise the row itself goes to the ``late`` side output.
+* One timer a key, for the next thing that is due: at ``end`` (shifted by
+  ``D - bound``) a window emits the ``main`` row with its on-time count (rows of
+  a batch are handled before that batch's timers, so rows already counted as
+  updates are kept apart); at ``end + lateness`` it is purged. Waking up reads
+  the windows of its own bucket only.
 
 Output is one tagged stream: ``tag`` = ``main`` | ``update`` | ``late``.
 """
@@ -38,9 +40,8 @@ class LateWindowProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # window start -> (rows counted before the window fired, all rows counted)
-        self.counts = handle.getMapState("counts", "start long",
-                                         "ontime long, total long, fired boolean")
+        # rows counted before the window fired, all rows counted
+        self.windows = handle.getListState("windows", "start long, ontime long, total long, fired boolean")
 
     def _timer(self, effective_us: int) -> int:
         """Timer (ms, Spark watermark clock) firing once the effective
@@ -48,49 +49,56 @@ class LateWindowProcessor(StatefulProcessor):
         spark_us = effective_us - self.shift
         return -((-spark_us) // 1000)
 
+    def _now(self, timer_values) -> int | None:
+        ms = timer_values.getCurrentWatermarkInMs()
+        return None if ms <= 0 else ms * 1000 + self.shift
+
+    def _held(self) -> dict[int, list]:
+        return {w[0]: [w[1], w[2], w[3]] for w in self.windows.get()} if self.windows.exists() else {}
+
+    def _keep(self, held: dict[int, list]) -> None:
+        """Write the windows and set the timer of the next thing due."""
+        if held:
+            self.windows.put([(start, *counts) for start, counts in held.items()])
+            self.handle.registerTimer(self._timer(min(
+                start + self.size + (self.lateness if fired or not ontime else 0) for start, (ontime, _, fired) in held.items())))
+        else:
+            self.windows.clear()
+
     def _row(self, tag, key, start, cnt, seq):
         return Row(tag=tag, key=key[0], start_us=start, end_us=start + self.size, cnt=cnt,
                    seq=seq)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        wm_ms = timerValues.getCurrentWatermarkInMs()
-        eff = None if wm_ms <= 0 else wm_ms * 1000 + self.shift
-        held: dict[int, list] = {}   # windows that this batch touches, read and written once
+        eff = self._now(timerValues)
+        held, changed = None, False
         for r in sorted(rows, key=lambda x: (x[self.order], x[self.seq])):
             start = r[self.ts] // self.size * self.size
             end = start + self.size
             if eff is not None and end + self.lateness <= eff:
                 yield self._row("late", key, start, None, r[self.seq])
                 continue
-            if start not in held:
-                have = self.counts.containsKey((start,))
-                held[start] = list(self.counts.getValue((start,))) if have else [0, 0, False]
-                if not have:
-                    self.handle.registerTimer(self._timer(end + self.lateness))
-                    if eff is None or end > eff:
-                        self.handle.registerTimer(self._timer(end))
+            held = self._held() if held is None else held
+            counts, changed = held.setdefault(start, [0, 0, False]), True
+            counts[1] += 1
             if eff is not None and end <= eff:
-                held[start][1] += 1
-                yield self._row("update", key, start, held[start][1], r[self.seq])
+                yield self._row("update", key, start, counts[1], r[self.seq])
             else:
-                held[start][0] += 1
-                held[start][1] += 1
-        for start, counts in held.items():
-            self.counts.updateValue((start,), tuple(counts))
+                counts[0] += 1
+        if changed:
+            self._keep(held)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        # Timers of one key may be delivered in any order within a batch, so
-        # every call settles all windows that are due, firing each at most once.
-        due_ms = expiredTimerInfo.getExpiryTimeInMs()
-        for (start,) in list(self.counts.keys()):
+        now = self._now(timerValues)
+        held = self._held()
+        for start, counts in list(held.items()):
             end = start + self.size
-            ontime, total, fired = self.counts.getValue((start,))
-            if not fired and ontime > 0 and self._timer(end) <= due_ms:
-                yield self._row("main", key, start, ontime, None)
-                fired = True
-                self.counts.updateValue((start,), (ontime, total, fired))
-            if self._timer(end + self.lateness) <= due_ms:
-                self.counts.removeKey((start,))
+            if not counts[2] and counts[0] > 0 and end <= now:
+                yield self._row("main", key, start, counts[0], None)
+                counts[2] = True
+            if end + self.lateness <= now:
+                del held[start]
+        self._keep(held)
 
     def close(self) -> None:
         pass

@@ -14,6 +14,11 @@ plus what happens when time passes); two processors run such a logic:
 * :class:`ArrivalProcessor` - in order of arrival (a sequence number), with no
   event time: running values.
 
+Processors whose state is a set of due times (:class:`ManualWindowProcessor`,
+:class:`EventTimerProcessor`) hold it in buckets of due time: the bucket is part
+of the grouping key, a key has one timer, for its earliest due time, and waking
+up reads that bucket alone. So reads grow with the timers, not with their square.
+
 Conventions: event time is epoch *microseconds* (long), timers milliseconds as
 the watermark is. Input rows are ``us, seq, v`` (v: a string). Output rows are
 ``tag, key, seq, us, v, a, b, status``, of which a logic fills what it needs.
@@ -24,6 +29,7 @@ written once per key and batch, not once per row.
 from __future__ import annotations
 
 import json
+from collections import Counter, deque
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, Row
@@ -91,14 +97,14 @@ class OrderedProcessor(StatefulProcessor):
         held = list(self.waiting.get()) if self.waiting.exists() else []
         due = sorted(((r[0], r[1], r[2]) for r in held if r[0] <= now), key=lambda r: (r[0], r[1]))
         rest = [(r[0], r[1], r[2]) for r in held if r[0] > now]
-        state = tuple(self.state.get()) if self.state.exists() else self.logic.start()
+        state = self.logic.load(tuple(self.state.get())) if self.state.exists() else self.logic.start()
         out: list[dict] = []
         for us, seq, v in due:
             state = self.logic.fold(state, us, seq, v, out.append)
         state = self.logic.passed(state, now, out.append)
         if due:
             self.waiting.put(rest) if rest else self.waiting.clear()
-        self.state.update(state)
+        self.state.update(self.logic.dump(state))
         self.done.update((now,))
         wake = [w for w in (min(rest)[0] if rest else None, self.logic.wakes(state)) if w is not None]
         if wake:
@@ -122,11 +128,11 @@ class ArrivalProcessor(StatefulProcessor):
         self.state = handle.getValueState("state", self.logic.schema, **({"ttlDurationMs": self.ttl} if self.ttl else {}))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        state = tuple(self.state.get()) if self.state.exists() else self.logic.start()
+        state = self.logic.load(tuple(self.state.get())) if self.state.exists() else self.logic.start()
         out: list[dict] = []
         for r in sorted(rows, key=lambda r: r.seq):
             state = self.logic.fold(state, r.us, r.seq, r.v, out.append)
-        self.state.update(state)
+        self.state.update(self.logic.dump(state))
         for o in out:
             yield Row(tag="main", key=key[0], **_NONE | o)
 
@@ -137,20 +143,28 @@ class ArrivalProcessor(StatefulProcessor):
 class Logic:
     """A fold: ``schema`` and ``start()`` of its state, ``fold`` for a row,
     ``passed`` when the watermark is at ``now``, ``wakes``: when it wants that
-    next (None: not on its own account). ``emit`` takes a dict of output fields."""
+    next (None: not on its own account). ``emit`` takes a dict of output fields.
+    ``load`` and ``dump``, once a batch, turn what the state store holds into
+    what is folded and back."""
 
     schema = ""
 
-    def start(self) -> tuple:
+    def start(self):
         raise NotImplementedError
 
-    def fold(self, state: tuple, us: int, seq: int, v: str, emit: Callable[[dict], None]) -> tuple:
+    def load(self, stored: tuple):
+        return stored
+
+    def dump(self, state) -> tuple:
+        return state
+
+    def fold(self, state, us: int, seq: int, v: str, emit: Callable[[dict], None]):
         raise NotImplementedError
 
-    def passed(self, state: tuple, now: int, emit: Callable[[dict], None]) -> tuple:
+    def passed(self, state, now: int, emit: Callable[[dict], None]):
         return state
 
-    def wakes(self, state: tuple) -> int | None:
+    def wakes(self, state) -> int | None:
         return None
 
 
@@ -183,18 +197,25 @@ class StrictLogic(Logic):
         self.steps = steps
 
     def start(self):
-        return ("[]",)
+        return deque(maxlen=len(self.steps))
+
+    def load(self, stored):
+        return deque(json.loads(stored[0]), maxlen=len(self.steps))
+
+    def dump(self, state):
+        return (json.dumps(list(state)),)
 
     def fold(self, state, us, seq, v, emit):
-        run = [*json.loads(state[0]), [v, us]][-len(self.steps):]
-        if [r[0] for r in run] == self.steps:
-            emit({"seq": seq, "us": us, "a": run[0][1], "b": run[min(1, len(run) - 1)][1]})
-        return (json.dumps(run),)
+        state.append([v, us])
+        if [r[0] for r in state] == self.steps:
+            emit({"seq": seq, "us": us, "a": state[0][1], "b": state[min(1, len(state) - 1)][1]})
+        return state
 
 
 class FollowedByLogic(Logic):
     """Every start row takes the first end row after it (``matched`` if
-    it comes in less than ``within``), or times out."""
+    it comes in less than ``within``), or times out. Starts that wait stand in
+    order of their times, so each is added once and taken once."""
 
     schema = "pending string"
 
@@ -202,28 +223,32 @@ class FollowedByLogic(Logic):
         self.start_value, self.end_value, self.within = start_value, end_value, within_us
 
     def start(self):
-        return ("[]",)
+        return deque()
+
+    def load(self, stored):
+        return deque(map(tuple, json.loads(stored[0])))
+
+    def dump(self, state):
+        return (json.dumps(list(state)),)
 
     def fold(self, state, us, seq, v, emit):
         if v == self.end_value:
-            for s, at in json.loads(state[0]):
+            while state:
+                s, at = state.popleft()
                 ok = us - at < self.within
                 emit({"seq": s, "us": at, "a": us if ok else None, "status": "matched" if ok else "timeout"})
-            return ("[]",)
-        if v == self.start_value:
-            return (json.dumps([*json.loads(state[0]), [seq, us]]),)
+        elif v == self.start_value:
+            state.append((seq, us))
         return state
 
     def passed(self, state, now, emit):
-        pending = json.loads(state[0])
-        open_ = [p for p in pending if p[1] + self.within > now]
-        for s, at in pending[:len(pending) - len(open_)]:
+        while state and state[0][1] + self.within <= now:
+            s, at = state.popleft()
             emit({"seq": s, "us": at, "status": "timeout"})
-        return (json.dumps(open_),) if len(open_) < len(pending) else state
+        return state
 
     def wakes(self, state):
-        pending = json.loads(state[0])
-        return pending[0][1] + self.within if pending else None
+        return state[0][1] + self.within if state else None
 
 
 class PeriodicLogic(Logic):
@@ -316,9 +341,10 @@ class PreviousLogic(Logic):
 
 
 class ManualWindowProcessor(StatefulProcessor):
-    """Map state ``window start -> count`` (G3) and a timer at each end.
-    Rows of a window that has fired give a further partial count, so counts of
-    a window add up to its rows."""
+    """Map state ``window start -> count`` (G3) and a timer for the earliest
+    end. The grouping key ends in what the windows are counted by and holds a
+    bucket of their starts (:func:`bucket_of`). Rows of a window that has fired
+    give a further partial count, so counts of a window add up to its rows."""
 
     def __init__(self, size_us: int, bound_us: int, delay_us: int):
         self.size, self.clock = size_us, Clock(bound_us, delay_us)
@@ -327,25 +353,30 @@ class ManualWindowProcessor(StatefulProcessor):
         self.handle = handle
         self.counts = handle.getMapState("counts", "start long", "cnt long")
 
+    def _wake(self, starts) -> None:
+        self.handle.registerTimer(self.clock.timer(min(starts) + self.size - 1000))
+
+    def _held(self) -> dict[int, int]:
+        return {k[0]: v[0] for k, v in self.counts.iterator()} if self.counts.exists() else {}
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        got: dict[int, int] = {}
-        for r in rows:
-            start = r.us // self.size * self.size
-            got[start] = got.get(start, 0) + 1
+        got = Counter(r.us // self.size * self.size for r in rows)
+        held = self._held()
         for start, n in got.items():
-            have = self.counts.getValue((start,))[0] if self.counts.containsKey((start,)) else 0
-            self.counts.updateValue((start,), (have + n,))
-            if not have:
-                self.handle.registerTimer(self.clock.timer(start + self.size - 1000))
+            self.counts.updateValue((start,), (held.get(start, 0) + n,))
+        self._wake(got)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = self.clock.now(timerValues)
-        for (start,) in [k for k in self.counts.keys()]:
+        held = self._held()
+        for start, cnt in held.items():
             if start + self.size - 1000 <= now:
-                cnt = self.counts.getValue((start,))[0]
                 self.counts.removeKey((start,))
-                yield Row(start_us=start, end_us=start + self.size, key=key[0], cnt=cnt)
+                yield Row(start_us=start, end_us=start + self.size, key=key[-1], cnt=cnt)
+        rest = [start for start in held if start + self.size - 1000 > now]
+        if rest:
+            self._wake(rest)
 
     def close(self) -> None:
         pass
@@ -353,34 +384,44 @@ class ManualWindowProcessor(StatefulProcessor):
 
 class EventTimerProcessor(StatefulProcessor):
     """one event-time timer a fixed delay after every row; timers at the
-    same time collapse into one. Map state holds those that are set."""
+    same time collapse into one, as they meet in one key. List state holds those
+    that are set, of the due times of the key's bucket (:func:`bucket_of`): rows
+    of a batch are appended without reading it."""
 
     def __init__(self, after_us: int, bound_us: int, delay_us: int):
         self.after, self.clock = after_us, Clock(bound_us, delay_us)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.due = handle.getMapState("due", "at long", "one boolean")
+        self.due = handle.getListState("due", "at long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        for at in {r.us + self.after for r in rows}:
-            if not self.due.containsKey((at,)):
-                self.due.updateValue((at,), (True,))
-                self.handle.registerTimer(self.clock.timer(at))
+        fresh = sorted({r.us + self.after for r in rows})
+        self.due.appendList([(at,) for at in fresh])
+        self.handle.registerTimer(self.clock.timer(fresh[0]))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        due_ms = expiredTimerInfo.getExpiryTimeInMs()
-        # the timers of this millisecond
-        for (at,) in [k for k in self.due.keys()]:
-            if self.clock.timer(at) <= due_ms:
-                self.due.removeKey((at,))
-                yield Row(timer_us=at)
+        now = self.clock.now(timerValues)
+        held = sorted({r[0] for r in self.due.get()}) if self.due.exists() else []
+        rest = [at for at in held if at > now]
+        if rest:
+            self.due.put([(at,) for at in rest])
+            self.handle.registerTimer(self.clock.timer(rest[0]))
+        elif held:
+            self.due.clear()
+        for at in held[:len(held) - len(rest)]:
+            yield Row(timer_us=at)
 
     def close(self) -> None:
         pass
 
 
+def bucket_of(us, width_us: int):
+    """The bucket of a time (epoch microseconds) for a grouping key."""
+    return F.floor(us / F.lit(width_us)).cast("long")
+
+
 def keyed_rows(df: DataFrame, key, ts: str, seq: str, value) -> DataFrame:
     """``key, us, seq, v`` (and the event time) for the processors above."""
     return df.select(key.alias("key"), F.unix_micros(F.col(ts)).alias("us"), F.col(seq).alias("seq"),

@@ -1,16 +1,20 @@
 """Running streaming queries to completion and reading their results.
 
 * :func:`run_append` — file sink in append mode (exactly-once through the
-  sink's commit log), ``availableNow`` trigger: every staged file is read,
-  one per micro-batch, then the query stops.
-* :func:`run_update` — update mode through ``foreachBatch``: batch ``b`` is
-  written to ``<path>/batch=b`` with overwrite, so a batch replayed after a
+  sink's commit log): every staged range is read, one per micro-batch, then the
+  query stops.
+* :func:`run_batches` — ``foreachBatch``; :func:`run_update` writes batch ``b``
+  to ``<path>/batch=b`` with overwrite, so a batch replayed after a
   failure rewrites the same folder (idempotent). The final table is the
   latest row per key.
 * Restart: pass the same ``checkpoint`` folder again; Spark resumes from the
   committed offsets and state (RocksDB state store, set in the session).
-* :func:`replay_append` / :func:`replay_update` feed :class:`Replay` inputs
-  range by range and restart the query on the same checkpoint after each.
+* :func:`replay_append` / :func:`replay_update` run :class:`Replay` inputs in
+  one query; with ``restarts`` the query is stopped after every range and
+  started again on its checkpoint.
+
+The trigger is ``availableNow``, or the interval that the session setting
+:data:`TRIGGER_CONF` names (T6): the watermark then moves at most that often.
 """
 
 from __future__ import annotations
@@ -42,93 +46,96 @@ def state_partitions(spark, partitions: int | None = None):
         spark.conf.set(key, before)
 
 
+#: Session setting: time between micro-batches, as "200 milliseconds" (T6).
+TRIGGER_CONF = "ebbflow.streaming.triggerInterval"
+
+
+def finish(writer, until_caught_up: bool = False):
+    """Start a query, let it take everything that is there, return it stopped.
+    ``until_caught_up`` is for state in processing time (TTL), which otherwise
+    keeps running cleanup-only batches."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.active()
+    interval = spark.conf.get(TRIGGER_CONF, None)
+    key = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(key, "true")
+    with state_partitions(spark):
+        if until_caught_up:
+            spark.conf.set(key, "false")
+        try:
+            q = writer.trigger(**({"processingTime": interval} if interval else {"availableNow": True})).start()
+        finally:
+            spark.conf.set(key, before)
+    if interval:
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+    else:
+        q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return q
+
+
 def run_append(stream: DataFrame, name: str, checkpoint: str | None = None,
                out: str | None = None, fmt: str = "parquet",
                until_caught_up: bool = False) -> DataFrame:
-    """Append-mode file sink with the ``availableNow`` trigger: every staged
-    file is read, then the query stops. ``until_caught_up`` is for queries
-    with processing-time state (TTL), which otherwise keep running
-    cleanup-only batches."""
+    """Append-mode file sink over everything that is staged."""
     spark = stream.sparkSession
     out = out or work_dir(spark, "stream-out", name)
     checkpoint = checkpoint or work_dir(spark, "stream-ckpt", name)
-    w = (stream.writeStream.outputMode("append").format(fmt)
-         .option("path", out).option("checkpointLocation", checkpoint)
-         .queryName(f"{name}_{abs(hash(out)) % 10**8}"))
-    with state_partitions(spark):
-        if until_caught_up:
-            # Processing-time state keeps asking for cleanup-only batches, so an
-            # availableNow query would never end: run it without no-data batches.
-            key = "spark.sql.streaming.noDataMicroBatches.enabled"
-            before = spark.conf.get(key, "true")
-            spark.conf.set(key, "false")
-            try:
-                q = w.trigger(availableNow=True).start()
-            finally:
-                spark.conf.set(key, before)
-        else:
-            q = w.trigger(availableNow=True).start()
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
+    finish(stream.writeStream.outputMode("append").format(fmt)
+           .option("path", out).option("checkpointLocation", checkpoint), until_caught_up)
     return spark.read.schema(stream.schema).format(fmt).load(out)
 
 
-def _replayed(replays, run_once) -> None:
+def run_batches(stream: DataFrame, name: str, each, checkpoint: str | None = None, mode: str = "append"):
+    """``foreachBatch`` over everything that is staged; ``each`` must give the
+    same result when a batch is repeated."""
+    checkpoint = checkpoint or work_dir(stream.sparkSession, "stream-ckpt", name)
+    return finish(stream.writeStream.outputMode(mode).foreachBatch(each).option("checkpointLocation", checkpoint))
+
+
+def feed_all(replays) -> int:
+    """Stage every range of every input, range by range. Returns their number."""
+    i = 0
+    while any([r.feed(i) for r in replays]):
+        i += 1
+    return i
+
+
+def _replayed(replays, restarts: bool, run_once) -> None:
+    if not restarts:
+        feed_all(replays)
+        run_once()
+        return
     i = 0
-    while True:
-        fed = [r.feed(i) for r in replays]
-        if not any(fed):
-            return
+    while any([r.feed(i) for r in replays]):
         run_once()
         i += 1
 
 
 def replay_append(replays, stream: DataFrame, name: str, out: str | None = None,
-                  until_caught_up: bool = False) -> DataFrame:
-    """Append-mode run over inputs fed one range per restart."""
+                  until_caught_up: bool = False, restarts: bool = False) -> DataFrame:
+    """Append-mode run over inputs of one range a micro-batch."""
     spark = stream.sparkSession
     out = out or work_dir(spark, "stream-out", name)
     ckpt = work_dir(spark, "stream-ckpt", name)
-    _replayed(replays, lambda: run_append(stream, name, checkpoint=ckpt, out=out,
-                                          until_caught_up=until_caught_up))
+    _replayed(replays, restarts, lambda: run_append(stream, name, checkpoint=ckpt, out=out, until_caught_up=until_caught_up))
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def replay_update(replays, stream: DataFrame, name: str, out: str | None = None) -> str:
-    """Update-mode run (``foreachBatch`` changelog) over inputs fed one range
-    per restart; returns the changelog folder."""
+def replay_update(replays, stream: DataFrame, name: str, out: str | None = None, restarts: bool = False) -> str:
+    """Update-mode run (``foreachBatch`` changelog) over inputs of one range a
+    micro-batch; returns the changelog folder."""
     spark = stream.sparkSession
     out = out or work_dir(spark, "stream-out", name)
     ckpt = work_dir(spark, "stream-ckpt", name)
-    _replayed(replays, lambda: run_update(stream, name, checkpoint=ckpt, out=out))
+    _replayed(replays, restarts, lambda: run_update(stream, name, checkpoint=ckpt, out=out))
     return out
 
 
-def replay_together(inputs, name: str) -> None:
-    """Several queries side by side, each with its own input and
-    ``foreachBatch`` function: range i of the first is fed and run before
-    range i of the second, and so on. ``inputs``: (replay, stream, function)."""
-    spark = inputs[0][1].sparkSession
-    ckpts = [work_dir(spark, "stream-ckpt", name, str(n)) for n in range(len(inputs))]
-    i = 0
-    while True:
-        fed = False
-        for (replay, stream, each), ckpt in zip(inputs, ckpts):
-            if not replay.feed(i):
-                continue
-            fed = True
-            with state_partitions(spark):
-                q = (stream.writeStream.foreachBatch(each).option("checkpointLocation", ckpt)
-                     .trigger(availableNow=True).start())
-            q.awaitTermination()
-            if q.exception():
-                raise q.exception()
-        if not fed:
-            return
-        i += 1
-
-
 def batch_writer(path: str, fmt: str = "parquet"):
     """``foreachBatch`` function: one overwritten folder per ``batch_id``."""
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -139,16 +146,8 @@ def batch_writer(path: str, fmt: str = "parquet"):
 def run_update(stream: DataFrame, name: str, checkpoint: str | None = None,
                out: str | None = None, mode: str = "update") -> str:
     """Run to completion in update (or complete) mode; return the batch folder."""
-    spark = stream.sparkSession
-    out = out or work_dir(spark, "stream-out", name)
-    checkpoint = checkpoint or work_dir(spark, "stream-ckpt", name)
-    with state_partitions(spark):
-        q = (stream.writeStream.outputMode(mode).foreachBatch(batch_writer(out))
-             .option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
+    out = out or work_dir(stream.sparkSession, "stream-out", name)
+    run_batches(stream, name, batch_writer(out), checkpoint, mode)
     return out
 
 

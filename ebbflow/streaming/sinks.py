@@ -1,5 +1,7 @@
-"""Streaming buffered sink (S12) with operator-style list state kept in the
-shared folder (G7).
+"""Streaming sinks: the buffered sink (S12) with operator-style list state kept
+in the shared folder (G7), and several tables from one run (S13).
+
+The buffered sink:
 
 ``foreachBatch`` receives micro-batch ``b``. The rows still pending after
 batch ``b-1`` (a small table, fewer than ``n`` rows) are read back, the new
@@ -12,14 +14,16 @@ of the original. The tail shorter than ``n`` is never written.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbflow.operators import running as R
 from ebbflow.session import work_dir
-from ebbflow.streaming.runner import state_partitions
+from ebbflow.streaming.runner import feed_all, run_batches
 
 
 def buffered_writer(out: str, pending: str, seq: str, n: int, schema: T.StructType):
@@ -53,28 +57,77 @@ def buffered_writer(out: str, pending: str, seq: str, n: int, schema: T.StructTy
 
 
 def run_buffered(replay, seq: str, n: int, name: str, with_pending: bool = False) -> DataFrame:
-    """Buffered sink over a :class:`~ebbflow.streaming.sources.Replay` input,
-    restarted on its checkpoint after each fed range (pending rows carry
-    over through the pending folder). ``with_pending`` also returns the rows
-    that wait for a full group, without a ``batch_no``."""
+    """Buffered sink over a :class:`~ebbflow.streaming.sources.Replay` input, one
+    range a micro-batch (pending rows carry over through the pending folder).
+    ``with_pending`` also returns the rows that wait for a full group, without a
+    ``batch_no``."""
     stream = replay.stream()
     spark = stream.sparkSession
     out = work_dir(spark, "stream-out", name)
     pending = work_dir(spark, "stream-state", name)
-    ckpt = work_dir(spark, "stream-ckpt", name)
-    i = 0
-    while replay.feed(i):
-        with state_partitions(spark):
-            q = (stream.writeStream
-                 .foreachBatch(buffered_writer(out, pending, seq, n, stream.schema))
-                 .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-        q.awaitTermination()
-        if q.exception():
-            raise q.exception()
-        i += 1
+    batches: list[int] = []
+    write = buffered_writer(out, pending, seq, n, stream.schema)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        batches.append(batch_id)
+
+    feed_all([replay])
+    run_batches(stream, name, each)
     schema = T.StructType(list(stream.schema.fields) + [T.StructField("batch_no", T.LongType())])
     done = spark.read.schema(schema).parquet(out).select(*schema.fieldNames())
-    if not with_pending or not i:
+    if not with_pending or not batches:
         return done
-    rest = spark.read.schema(stream.schema).parquet(f"{pending}/batch={i - 1}")
+    rest = spark.read.schema(stream.schema).parquet(f"{pending}/batch={max(batches)}")
     return done.unionByName(rest.withColumn("batch_no", F.lit(None).cast("long")))
+
+
+class FanOut:
+    """One run of a stream into several tables, each a batch at a time.
+
+    ``outputs`` maps a table's name to what is taken of a micro-batch for it.
+    Batch ``b`` overwrites ``<path>/<table>/batch=b`` in every table, then a
+    marker ``<path>/_commits/b`` says that all of them are whole. A batch that
+    failed between two tables is repeated by Spark under the same number and
+    overwrites what it left; :meth:`read` sees marked batches only, so no table
+    runs ahead of another."""
+
+    def __init__(self, spark: SparkSession, path: str, outputs: dict[str, Callable[[DataFrame], DataFrame]], fmt: str = "parquet"):
+        self.spark, self.path, self.outputs, self.fmt = spark, path, outputs, fmt
+
+    def _fs(self, path: str):
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # read once, written to every table
+        try:
+            for name, pick in self.outputs.items():
+                pick(batch).write.mode("overwrite").format(self.fmt).save(f"{self.path}/{name}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+        fs, marker = self._fs(f"{self.path}/_commits/{batch_id}")
+        fs.create(marker, True).close()
+
+    def committed(self) -> list[int]:
+        fs, folder = self._fs(f"{self.path}/_commits")
+        return sorted(int(s.getPath().getName()) for s in fs.listStatus(folder)) if fs.exists(folder) else []
+
+    def read(self, name: str, schema: T.StructType) -> DataFrame:
+        """The rows of all whole batches of a table."""
+        batches = self.committed()
+        if not batches:
+            return self.spark.createDataFrame([], schema)
+        full = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+        return self.spark.read.schema(full).format(self.fmt).load(f"{self.path}/{name}").filter(F.col("batch").isin(batches)).drop("batch")
+
+
+def run_fan_out(replays, stream: DataFrame, name: str, outputs: dict[str, Callable[[DataFrame], DataFrame]],
+                fmt: str = "parquet") -> dict[str, DataFrame]:
+    """The tables of one run over inputs of one range a micro-batch."""
+    spark = stream.sparkSession
+    sink = FanOut(spark, work_dir(spark, "stream-out", name), outputs, fmt)
+    feed_all(replays)
+    run_batches(stream, name, sink)
+    empty = spark.createDataFrame([], stream.schema)
+    return {t: sink.read(t, pick(empty).schema) for t, pick in outputs.items()}

@@ -1,18 +1,22 @@
-"""Streaming inputs: a table replayed as a directory of files.
+"""Streaming inputs: a table replayed as a directory of files.
 
 A continuous line or socket source becomes ``readStream`` over a folder in
-the shared scratch location. :class:`Replay` feeds a table in arrival
-ranges: the table is staged once, partitioned by range; range ``i`` is then
-appended to the input folder by a normal parallel write (as many files as
-tasks) of its partition, then the query runs with ``availableNow`` on its checkpoint, so each
-range is exactly one micro-batch and the watermark and state carry over from
-run to run, as after a restart. No range is ever funnelled into one file or
-one task.
+the shared scratch location. :class:`Replay` feeds a table in arrival ranges:
+the table is staged once, partitioned by range, and each range is then written
+to a sub-folder of the input by a normal parallel write. Every range has the
+same number of files (a marker row in each file, dropped as the stream reads
+it, makes that so whatever the range holds), and the stream takes so many files
+a trigger: one running query meets one range in each micro-batch, in order,
+with its watermark and state carried inside. A restart on the checkpoint goes
+on with the next range. No range is ever funnelled into one file or one task.
+
+Files are taken in the order of their times of change; the names of the
+sub-folders decide where a store's clock is too coarse to tell ranges apart.
 
 Bounded inputs end with a *flush* in the original jobs. Here the last file
 can be a sentinel: one row far in the future whose watermark closes every
 real window; its own window never closes, so append outputs never show it
-(SURVEY P2). Non-window outputs must filter it by its key.
+(SURVEY P2). Non-window outputs must filter it by its time.
 """
 
 from __future__ import annotations
@@ -52,16 +56,24 @@ def _as_int(c: F.Column, dtype) -> F.Column:
 _RANGE = "_arrival_range"
 
 
-#: Rows of an arrival range (a micro-batch) at most, and ranges at least.
-ROWS_PER_RANGE, LEAST_RANGES = 50_000_000, 3
+#: Where results do not depend on the ranges: rows of a range at most, and
+#: ranges at least. Rows of a file, about.
+ROWS_PER_RANGE, LEAST_RANGES, ROWS_PER_FILE = 50_000_000, 3, 250_000
 
 
 def range_count(rows: int, at_least: int = LEAST_RANGES) -> int:
     return max(at_least, -(-rows // ROWS_PER_RANGE))
 
 
-def arrival_ranges(df: DataFrame, order_col: str, at_least: int = LEAST_RANGES, even_rows: bool = True) -> list[DataFrame]:
-    """Consecutive ranges of ``order_col``, as many as the rows need.
+class Ranges(list):
+    """The ranges of an input, and the files each of them is written to."""
+
+    files = 2
+
+
+def arrival_ranges(df: DataFrame, order_col: str, ranges: int | None = None, even_rows: bool = True) -> Ranges:
+    """Consecutive ranges of ``order_col``: ``ranges`` of them, or as many as the
+    rows need (for queries whose results do not depend on the cuts).
 
     ``even_rows``: cut at approximate quantiles, so a burst is spread over
     ranges; else at even distances (:func:`file_number`), which SQL can repeat.
@@ -72,19 +84,27 @@ def arrival_ranges(df: DataFrame, order_col: str, at_least: int = LEAST_RANGES,
     v = _as_int(F.col(order_col), dtype)
     got = df.agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi")).first()
     if got["lo"] is None:
-        return [df]
-    n = range_count(got["n"], at_least)
+        return Ranges([df])
+    n = ranges or range_count(got["n"])
     if even_rows:
-        cuts = df.agg(F.percentile_approx(v, [i / n for i in range(1, n)], 10_000).alias("q")).first()["q"] or []
+        cuts = df.agg(F.percentile_approx(v, [i / n for i in range(1, n)], 10_000).alias("q")).first()["q"] or [] if n > 1 else []
         number = sum((F.when(v > F.lit(c), 1).otherwise(0) for c in sorted(set(cuts))), F.lit(0))
     else:
         number = file_number(order_col, dtype, got["lo"], got["hi"], n)
+    out = staged_ranges(df, F.coalesce(number, F.lit(0)), n)
+    out.files = max(2, -(-got["n"] // n // ROWS_PER_FILE))
+    return out
+
+
+def staged_ranges(df: DataFrame, number, n: int) -> Ranges:
+    """``df`` staged once by the range numbers 0 to ``n`` - 1."""
     spark = df.sparkSession
     stage = work_dir(spark, "stream-stage")
-    (df.withColumn(_RANGE, F.coalesce(number, F.lit(0)).cast("long"))
+    (df.withColumn(_RANGE, number.cast("long"))
        .write.mode("overwrite").partitionBy(_RANGE).parquet(stage))
-    staged = spark.read.option("basePath", stage).parquet(stage)
-    return [staged.filter(F.col(_RANGE) == F.lit(i)).select(*df.columns) for i in range(n)]
+    schema = T.StructType([*df.schema.fields, T.StructField(_RANGE, T.LongType())])
+    staged = spark.read.schema(schema).option("basePath", stage).parquet(stage)
+    return Ranges(staged.filter(F.col(_RANGE) == F.lit(i)).select(*df.columns) for i in range(n))
 
 
 def event_span_us(df: DataFrame, ts: str) -> int:
@@ -94,21 +114,32 @@ def event_span_us(df: DataFrame, ts: str) -> int:
     return got or 0
 
 
+_MARK, _FILE = "_marker", "_file"
+
+
 class Replay:
-    """A table fed to a stream one arrival range at a time (see module doc)."""
+    """A table fed to a stream one arrival range a micro-batch (see module doc)."""
 
-    def __init__(self, spark: SparkSession, name: str, schema: T.StructType,
-                 frames: list[DataFrame], fmt: str = "parquet"):
+    def __init__(self, spark: SparkSession, name: str, schema: T.StructType, frames: list[DataFrame], fmt: str = "parquet"):
         self.spark, self.schema, self.frames, self.fmt = spark, schema, list(frames), fmt
+        self.files = getattr(frames, "files", Ranges.files)
         self.path = work_dir(spark, "stream-in", name)
 
     def stream(self) -> DataFrame:
-        return read_stream(self.spark, self.path, self.schema, self.fmt, files_per_trigger=None)
+        marked = T.StructType([*self.schema.fields, T.StructField(_MARK, T.BooleanType())])
+        rows = read_stream(self.spark, f"{self.path}/*", marked, self.fmt, files_per_trigger=self.files)
+        return rows.filter(~F.col(_MARK)).select(*self.schema.fieldNames())
 
     def feed(self, i: int) -> bool:
+        """Write range ``i`` as exactly ``files`` files. Repeating it changes nothing."""
         if i >= len(self.frames):
             return False
-        self.frames[i].write.mode("append").format(self.fmt).save(self.path)
+        frame, n = self.frames[i], self.files
+        deal = F.pmod(F.xxhash64(*frame.columns), F.lit(n)).cast("int")
+        rows = frame.withColumns({_MARK: F.lit(False), _FILE: deal})
+        marks = self.spark.range(n).select(F.lit(True).alias(_MARK), F.col("id").cast("int").alias(_FILE))
+        (rows.unionByName(marks, allowMissingColumns=True).repartitionById(n, F.col(_FILE)).drop(_FILE)
+             .write.mode("overwrite").format(self.fmt).save(f"{self.path}/r{i:06d}"))
         return True
 
 

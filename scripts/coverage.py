@@ -17,12 +17,12 @@ FUNCTIONS = {
     "S1": "spark.createDataFrame (fixture tests)",
     "S2": "sources.tables.read_lines",
     "S3": "sources.tables.read_csv, parse_lines",
-    "S4": "streaming.sources.read_stream, Replay",
+    "S4": "streaming.sources.Replay, read_stream (one range a micro-batch in one query)",
     "S5": "sources.tables.register_csv_table", "S6": "sources.tables.register_csv_table",
     "S7": "operators.basic.view_chain", "S8": "operators.basic.sql_select",
-    "S9": "streaming.runner.run_append", "S10": "sinks.console.print_sink, tagged",
+    "S9": "streaming.runner.run_append", "S10": "sinks.console.printed, lines; print_sink, tagged",
     "S11": "sinks.tables.insert_query", "S12": "sinks.buffered.full_groups, streaming.sinks.run_buffered",
-    "S13": "tagged outputs of patterns.followed_by_within, eventtime.tag_lateness, streaming.late",
+    "S13": "streaming.sinks.FanOut, run_fan_out; tagged outputs of patterns.followed_by_within, eventtime.tag_lateness, streaming.late",
     "B1": "operators.basic.project", "B2": "operators.basic.filter_eq",
     "B3": "operators.basic.flatmap_fields", "B4": "operators.aggregates.reduce_count",
     "B5": "functions.text.split_words, split_lines", "B6": "operators.basic.sql_select",
@@ -32,7 +32,7 @@ FUNCTIONS = {
     "K4": "operators.partitioning.rescale", "K5": "operators.partitioning.broadcast_all",
     "K6": "operators.partitioning.global_one", "K7": "operators.partitioning.custom",
     "A1": "operators.aggregates.keyed_max, running_keyed_max",
-    "A2": "operators.aggregates.reduce_count, running_count", "A3": "operators.aggregates.most_active",
+    "A2": "operators.aggregates.reduce_count, running_count", "A3": "operators.aggregates.most_active, streaming.chained.leader_changes",
     "A4": "operators.aggregates.reduce_count", "A5": "spark.sql count(0)",
     "A6": "operators.aggregates.reducing_latest", "A7": "operators.aggregates.labelled_count",
     "A8": "operators.aggregates.subkey_counts", "A9": "operators.aggregates.every_nth_mean",
@@ -42,32 +42,32 @@ FUNCTIONS = {
     "A15": "operators.eventtime.late_main",
     "T1": "functions.time.from_epoch_ms", "T2": "functions.time.from_epoch_seconds",
     "T3": "withWatermark; operators.eventtime (bound)", "T4": "withWatermark 0 s",
-    "T5": "withWatermark 5 s (same close rule)", "T6": "maxFilesPerTrigger / trigger",
+    "T5": "withWatermark 5 s (same close rule)", "T6": "streaming.sources.Replay (maxFilesPerTrigger); streaming.runner.TRIGGER_CONF (trigger interval)",
     "T7": "operators.eventtime.with_watermark_trace", "T8": "operators.eventtime.tag_lateness, late_main; streaming.late",
     "T9": "operators.eventtime.late_side; streaming.late",
     "W1": "operators.windows.window_count", "W2": "operators.windows.window_pv_per_uv",
     "W3": "operators.windows.window_uv", "W4": "operators.windows.window_uv",
     "W5": "operators.windows.window_count", "W6": "operators.windows.sliding_top_n, top_n",
-    "W7": "operators.eventtime", "W8": "operators.windows.window_sequence",
-    "W9": "operators.windows.manual_window, streaming.processors.ManualWindowProcessor (salted)",
+    "W7": "operators.eventtime", "W8": "operators.windows.window_sequence, streaming.chained.window_sequence",
+    "W9": "operators.windows.manual_window, streaming.processors.ManualWindowProcessor (salted, day in the key)",
     "F1": "operators.process.with_task_index", "F2": "operators.process.distinct_timers, streaming.processors.EventTimerProcessor",
     "F3": "operators.process.periodic_counts, streaming.processors.PeriodicLogic",
-    "F4": "operators.joins.connect_join", "F5": "operators.joins.broadcast_rules",
+    "F4": "streaming.connected.connect, PairProcessor; operators.joins.connect_join", "F5": "streaming.connected.with_rules, RuleProcessor; operators.joins.broadcast_rules",
     "F6": "operators.joins.interval_join", "F7": "window start/end columns",
     "F8": "operators.windows.top_n",
-    "G1": "transformWithState value state", "G2": "transformWithState list state",
+    "G1": "transformWithState value state", "G2": "transformWithState list state (streaming.connected.PairProcessor, streaming.processors.OrderedProcessor)",
     "G3": "transformWithState map state", "G4": "operators.aggregates.reducing_latest",
-    "G5": "operators.aggregates.every_nth_mean", "G6": "streaming.processors.ArrivalProcessor(ttl_ms)",
-    "G7": "streaming.sinks.buffered_writer", "G8": "plans.state_queries.stream_broadcast_rules (rule stream with its latest rule)",
-    "J1": "operators.joins.connect_join", "J2": "operators.joins.interval_join",
-    "J3": "operators.joins.broadcast_rules, latest_rule",
+    "G5": "operators.aggregates.every_nth_mean", "G6": "streaming.ttl.VisibleTtl (expired value visible until cleaned); streaming.processors.ArrivalProcessor(ttl_ms) (Spark's own)",
+    "G7": "streaming.sinks.buffered_writer", "G8": "streaming.connected.RuleProcessor (rule copied to every part of the keys)",
+    "J1": "operators.joins.connect_join, streaming.connected.connect", "J2": "operators.joins.interval_join",
+    "J3": "operators.joins.broadcast_rules, latest_rule; streaming.connected.with_rules",
     "C1": "operators.patterns.strict_matches, streaming.processors.StrictLogic", "C2": "operators.patterns.Pattern.times",
     "C3": "operators.patterns.strict_matches", "C4": "operators.patterns.followed_by_within",
     "C5": "operators.patterns.followed_by_within (timeout tag)",
     "C6": "operators.state_machine.run_state_machine, streaming.processors.MachineLogic",
     "C7": "order argument (ts, seq); streaming.processors.OrderedProcessor",
     "X1": "streaming.runner.run_update / run_append (checkpointLocation)",
-    "X2": "same checkpointLocation on restart", "X3": "session: RocksDBStateStoreProvider",
+    "X2": "streaming.savepoint.state_at, resume_counts; same checkpointLocation on restart", "X3": "session: RocksDBStateStoreProvider",
 }
 
 

@@ -118,3 +118,18 @@ def test_one_exchange_of_the_rows(spark):
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert sum("_rc_key" in line and "_rc_chunk" in line for line in exchanges) <= 2
     assert "wide" in plan
+
+
+@pytest.mark.parametrize("desc", [False, True])
+def test_rows_of_equal_order_values_are_split_too(spark, desc):
+    """A third of a hot key's rows share one time, another third have none."""
+    data = [(1, i, None if i % 3 == 0 else 5_000 if i % 3 == 1 else i, i % 17) for i in range(1500)]
+    data += [(2, 5000 + i, 5_000, i) for i in range(40)] + [(None, 6000 + i, None, i) for i in range(300)]
+    df = spark.createDataFrame(data, "k long, id long, at long, v long")
+    aggs = {"n": R.count(), "s": R.rsum("v"), "mx": R.rmax("v"), "prev": R.lag("v"), "fst": R.first("id"), "lst": R.last("v", exclusive=True)}
+    split = R.running(df, ["k"], ["at", "id"], aggs, descending=desc, rows_per_chunk=60)
+    whole = R.running(df, ["k"], ["at", "id"], aggs, descending=desc, rows_per_chunk=10**9)
+    assert rows(split.fillna(-1), "id", *aggs) == rows(whole.fillna(-1), "id", *aggs)
+    cut, found = R.chunked(df, ["k"], F.col("at"), 60, tie=F.col("id"))
+    assert found and cut.filter("_rc_hot").groupBy("k", "_rc_chunk").count().agg(F.max("count")).first()[0] <= 180
+    assert cut.count() == df.count()

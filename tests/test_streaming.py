@@ -137,7 +137,7 @@ def test_state_expires_after_a_pause(spark, tmp_path):
     table = Q._rows(rep, F.col("user_id"), F.col("event_type")).drop("ts")
     out = table.groupBy("key").transformWithState(PR.ArrivalProcessor(PR.CountLogic(), 8_000), PR.output_schema("long"),
                                                   "Append", "ProcessingTime")
-    got = rows(RUN.replay_append([rep], out, "ttl", until_caught_up=True), "seq", "a")
+    got = rows(RUN.replay_append([rep], out, "ttl", until_caught_up=True, restarts=True), "seq", "a")
     assert got[2:] == [(2, 1), (3, 2)]
 
 
