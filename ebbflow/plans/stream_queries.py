@@ -60,6 +60,14 @@ def stream_tumbling_uv(spark, sf_dir, bound="0 seconds"):
     return _ntz(out, "window_start", "window_end")
 
 
+@query("stream_sliding_pv_per_uv", covers=("W2", "A11"), oracle=_oracle("sliding_pv_per_uv"))
+def stream_sliding_pv_per_uv(spark, sf_dir, bound="0 seconds"):
+    rep = replayed_events(spark, sf_dir, "sliding-pv-per-uv")
+    ev = event_stream(rep).withWatermark("ts", bound)
+    out = RUN.replay_append([rep], SO.stream_pv_per_uv(ev, "ts", "10 hours", "2 hours", "user_id"), "sliding_pv_per_uv")
+    return _ntz(out, "window_start", "window_end")
+
+
 @query("stream_sliding_topn", covers=("W6", "A14"), oracle=_oracle("sliding_topn"))
 def stream_sliding_topn(spark, sf_dir, bound="0 seconds"):
     rep = replayed_events(spark, sf_dir, "sliding-topn")

@@ -21,11 +21,19 @@ from ebbflow.operators.windows import window_col
 def stream_window_uv(events: DataFrame, ts: str, size, user: str) -> DataFrame:
     per_user = events.groupBy(window_col(ts, size).alias("window"), user).agg(
         F.count(F.lit(1)).alias("_n"))
-    uv = per_user.groupBy("window").agg(F.count(F.lit(1)).alias("uv"))
+    uv = per_user.groupBy("window").agg(F.count(user).alias("uv"))  # a null user is none, as in a distinct count
     return uv.select(F.col("window.start").alias("window_start"),
                      F.col("window.end").alias("window_end"), "uv")
 
 
+def stream_pv_per_uv(events: DataFrame, ts: str, size, slide, user: str) -> DataFrame:
+    """Events per distinct user of each window (W2/A11): counts per (window,
+    user), then their sum over their number."""
+    per_user = events.groupBy(window_col(ts, size, slide).alias("window"), user).agg(F.count(F.lit(1)).alias("_n"))
+    got = per_user.groupBy("window").agg(F.try_divide(F.sum("_n").cast("double"), F.count(user)).alias("pv_per_uv"))
+    return got.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "pv_per_uv")
+
+
 def stream_sliding_top_n(events: DataFrame, ts: str, size, slide, key: str, n: int,
                          buckets: int = 64) -> DataFrame:
     counts = events.groupBy(window_col(ts, size, slide).alias("window"), key).agg(

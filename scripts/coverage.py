@@ -36,7 +36,7 @@ FUNCTIONS = {
     "A4": "operators.aggregates.reduce_count", "A5": "spark.sql count(0)",
     "A6": "operators.aggregates.reducing_latest", "A7": "operators.aggregates.labelled_count",
     "A8": "operators.aggregates.subkey_counts", "A9": "operators.aggregates.every_nth_mean",
-    "A10": "operators.aggregates.every_nth_mean", "A11": "operators.windows.window_pv_per_uv",
+    "A10": "operators.aggregates.every_nth_mean", "A11": "operators.windows.window_pv_per_uv, streaming.operators.stream_pv_per_uv",
     "A12": "operators.windows.window_uv, streaming.operators.stream_window_uv",
     "A13": "operators.windows.window_count", "A14": "operators.windows.sliding_top_n",
     "A15": "operators.eventtime.late_main",
@@ -45,7 +45,7 @@ FUNCTIONS = {
     "T5": "withWatermark 5 s (same close rule)", "T6": "streaming.sources.Replay (maxFilesPerTrigger); streaming.runner.TRIGGER_CONF (trigger interval)",
     "T7": "operators.eventtime.with_watermark_trace", "T8": "operators.eventtime.tag_lateness, late_main; streaming.late",
     "T9": "operators.eventtime.late_side; streaming.late",
-    "W1": "operators.windows.window_count", "W2": "operators.windows.window_pv_per_uv",
+    "W1": "operators.windows.window_count", "W2": "operators.windows.window_pv_per_uv, streaming.operators.stream_pv_per_uv",
     "W3": "operators.windows.window_uv", "W4": "operators.windows.window_uv",
     "W5": "operators.windows.window_count", "W6": "operators.windows.sliding_top_n, top_n",
     "W7": "operators.eventtime", "W8": "operators.windows.window_sequence, streaming.chained.window_sequence",
