@@ -18,7 +18,7 @@ size), the rarest first.
    word among the rarest ``n - ceil(t n) + 1`` of each. Pairs that share one are
    kept if the other stands before, and if lengths and the positions of the word
    allow the similarity; settled classes need not look themselves.
-   Candidates of either step must also pass a 64-bit signature (the parity of
+   Candidates of either step must also pass a 128-bit signature (the parity of
    the words on each bit): it differs in no more bits than the sets in words.
 3. Candidates are verified on the whole word sets (64-bit hashes of the words).
 
@@ -128,14 +128,22 @@ def by_rarity(line: Column, steps: Column) -> Column:
     return F.sort_array(F.array_distinct(F.transform(F.array_remove(_words(line), ""), number)))
 
 
-def signature(words: Column) -> Column:
-    """Parity of the number of words on each of 64 bits."""
-    return F.aggregate(words, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))))
+#: The two longs of a signature.
+SIGS = ("s0", "s1")
 
 
-def _close(n: str, m: str, sig: str, other: str, num: int, den: int) -> Column:
-    """Whether lengths and signatures of two sets allow the similarity."""
-    differ = F.bit_count(F.col(sig).bitwiseXOR(F.col(other)))
+def signature(words: Column, k: int) -> Column:
+    """Parity of the number of words on each of 64 bits, of the words whose
+    seventh bit is ``k``."""
+    mine = F.filter(words, lambda w: F.shiftright(w, 6).bitwiseAND(F.lit(1)) == k)
+    return F.aggregate(mine, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))))
+
+
+def _close(x: str, y: str, num: int, den: int) -> Column:
+    """Whether lengths and signatures of two sets (columns with these prefixes)
+    allow the similarity."""
+    n, m = x + "n", y + "n"
+    differ = sum((F.bit_count(F.col(x + s).bitwiseXOR(F.col(y + s))) for s in SIGS[1:]), F.bit_count(F.col(x + SIGS[0]).bitwiseXOR(F.col(y + SIGS[0]))))
     return ((num + den) * differ <= (den - num) * (F.col(n) + F.col(m))) & (den * F.least(n, m) >= num * F.greatest(n, m))
 
 
@@ -193,10 +201,10 @@ def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, num: int, d
     ycols = ["yd", "yrk", "yno"]
     pairs = checkpointed(pairs)
     ids = _few(pairs.select(F.explode(F.array("x", "y")).alias("cid")).distinct())
-    held = (*PLACE, "n", "sig")
+    held = (*PLACE, "n", *SIGS)
     places = checkpointed(classes.join(ids, "cid").select("cid", *held))
     at = lambda p: _named(places, p, held).withColumnRenamed("cid", p)
-    both = pairs.join(at("x"), "x").join(at("y"), "y").filter(_before() & _close("xn", "yn", "xsig", "ysig", num, den))
+    both = pairs.join(at("x"), "x").join(at("y"), "y").filter(_before() & _close("x", "y", num, den))
     pairs = checkpointed(both.select("xd", "xrk", "xno", *ycols))
     sets = _sets(pairs.select(F.explode(F.array(*[F.struct(*[F.col(p + c).alias(c) for c in PLACE]) for p in "xy"])).alias("p")).select("p.*"), rows)
     pairs = checkpointed(_closer(pairs, sets, num, den))
@@ -214,7 +222,7 @@ def _before() -> Column:
 
 
 def _classes(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """``cid, d, rk, no, n, sig, keys, prefix`` of each class of equal lines, at
+    """``cid, d, rk, no, n, s0, s1, keys, prefix`` of each class of equal lines, at
     its first place. To be written before use: that fixes the numbers ``cid``."""
     steps = rarity(rows)
     lines = _lines(rows).withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line"),
@@ -224,7 +232,7 @@ def _classes(rows: DataFrame, num: int, den: int) -> DataFrame:
     length = size - F.floor((num * size + den - 1) / F.lit(den)).cast("int") + 1
     low48, low32 = F.lit((1 << 48) - 1), F.lit((1 << 32) - 1)
     lines = lines.select(
-        *PLACE, "h1", "h2", size.alias("n"), signature(F.col("words")).alias("sig"),
+        *PLACE, "h1", "h2", size.alias("n"), *[signature(F.col("words"), k).alias(s) for k, s in enumerate(SIGS)],
         F.transform(half, lambda w: w.bitwiseAND(low48)).alias("plain"),
         F.transform(half, lambda w: w.bitwiseAND(low48).bitwiseXOR(F.lit(OTHER_ORDER))).alias("other"),
         # 32 bits name a word here: equal names only add candidates
@@ -232,40 +240,42 @@ def _classes(rows: DataFrame, num: int, den: int) -> DataFrame:
     # 30 bits of a hash and two that tell the key's kind
     kind = lambda w, k: (F.shiftleft(F.shiftright(w, 18), 2).bitwiseOR(F.lit(k)) - F.lit(1 << 31)).cast("int")
     keys = F.array(kind(F.array_min("plain"), 0), kind(F.array_max("plain"), 1), kind(F.array_min("other"), 2))
-    held = ("n", "sig", "keys", "prefix")
-    return (lines.select(*PLACE, "h1", "h2", "n", "sig", keys.alias("keys"), "prefix").groupBy("h1", "h2")
+    held = ("n", *SIGS, "keys", "prefix")
+    return (lines.select(*PLACE, "h1", "h2", "n", *SIGS, keys.alias("keys"), "prefix").groupBy("h1", "h2")
             .agg(F.min(F.struct(*PLACE)).alias("first"), *[F.first(c).alias(c) for c in held])
             .select(F.monotonically_increasing_id().alias("cid"), "first.*", *held))
 
 
 def _pivot_pairs(classes: DataFrame, num: int, den: int) -> DataFrame:
     """Each class with the ``PIVOTS`` earliest of its part of each pivot key's group."""
-    rows = classes.select(F.explode("keys").alias("key"), F.pmod(F.xxhash64("cid"), F.lit(SALTS)).cast("int").alias("salt"), "d", "cid", "n", "sig")
+    rows = classes.select(F.explode("keys").alias("key"), F.pmod(F.xxhash64("cid"), F.lit(SALTS)).cast("int").alias("salt"), "d", "cid", "n", *SIGS)
     w = Window.partitionBy("key", "salt").orderBy("d", "cid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    pivots = F.array(*[F.nth_value(F.struct("cid", "n", "sig"), k + 1).over(w) for k in range(PIVOTS)])
-    pairs = rows.select("cid", "n", "sig", pivots.alias("pivots")).select("cid", "n", "sig", F.explode("pivots").alias("p")).select(
-        F.col("cid").alias("x"), "n", "sig", F.col("p.cid").alias("y"), F.col("p.n").alias("pn"), F.col("p.sig").alias("psig"))
-    return pairs.filter((F.col("x") != F.col("y")) & _close("n", "pn", "sig", "psig", num, den)).select("x", "y").distinct()
+    pivots = F.array(*[F.nth_value(F.struct("cid", "n", *SIGS), k + 1).over(w) for k in range(PIVOTS)])
+    held = ("cid", "n", *SIGS)
+    pairs = rows.select(*held, pivots.alias("pivots")).select(*[F.col(c).alias("x" + c) for c in held], F.explode("pivots").alias("p")).select(
+        F.col("xcid").alias("x"), *["x" + c for c in held[1:]], F.col("p.cid").alias("y"), *[F.col("p." + c).alias("y" + c) for c in held[1:]])
+    return pairs.filter((F.col("x") != F.col("y")) & _close("x", "y", num, den)).select("x", "y").distinct()
 
 
 def _prefix_pairs(classes: DataFrame, settled: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (x not settled, y not in a later document) that share a prefix word at fitting positions."""
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     flagged = classes.join(_few(settled.withColumn("settled", F.lit(1))), list(PLACE), "left")
-    postings = flagged.select("cid", "d", "sig", "n", F.coalesce("settled", F.lit(0)).alias("settled"), F.posexplode("prefix").alias("at", "word"))
-    # place in the prefix and flag in one number: both sides need it, so both read one shuffle
-    postings = postings.select("word", "cid", "d", "sig", "n", (2 * F.col("at") + F.col("settled")).alias("mark"))
+    postings = flagged.select("cid", "d", *SIGS, "n", F.coalesce("settled", F.lit(0)).alias("settled"), F.posexplode("prefix").alias("at", "word"))
+    # length, place in the prefix and flag in one number; both sides need them, so both read one shuffle
+    mark = F.shiftleft(F.col("n").cast("long"), 32) + 2 * F.col("at") + F.col("settled")
+    postings = postings.select("word", "cid", "d", *SIGS, mark.alias("mark"))
     # nothing is null; said here, as the join would else filter one side above and one below the shuffle
     for c in postings.columns:
         postings = postings.filter(F.col(c).isNotNull())
     postings = postings.repartition(parts, "word")
-    side = lambda p: postings.select("word", *[F.col(c).alias(p + c) for c in ("cid", "d", "sig", "n", "mark")])
+    side = lambda p: postings.select("word", *[F.col(c).alias(p + c) for c in ("cid", "d", *SIGS, "mark")], F.shiftright("mark", 32).alias(p + "n"))
     # not deterministic in form, so that the filter stays above the shuffle
     x = side("x").filter((F.monotonically_increasing_id() >= 0) == (F.col("xmark") % 2 == 0))
     y = side("y")
-    at = lambda p: F.floor(F.col(p + "mark") / F.lit(2)).cast("int")
+    at = lambda p: F.shiftright(F.col(p + "mark").bitwiseAND(F.lit((1 << 32) - 1)), 1)
     most = F.least(F.col("xn") - at("x"), F.col("yn") - at("y"))
-    fits = _close("xn", "yn", "xsig", "ysig", num, den) & (F.col("xcid") != F.col("ycid")) & \
+    fits = _close("x", "y", num, den) & (F.col("xcid") != F.col("ycid")) & \
         ((num + den) * most >= num * (F.col("xn") + F.col("yn")))
     pairs = x.join(y, (x["word"] == y["word"]) & (F.col("yd") <= F.col("xd")) & fits)
     return pairs.select(F.col("xcid").alias("x"), F.col("ycid").alias("y")).distinct()

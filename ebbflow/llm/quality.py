@@ -206,23 +206,17 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(total / np.maximum(count, 1) + self.bias, -500, 500)))
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
 def score(df: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Columns ``keep`` and ``score``, the probability of label 1."""
     narrow = df.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)],
                        F.col(f"`{text}`").cast("string").alias("t"))
     schema = ", ".join([*(f"k{i} {narrow.schema[f'k{i}'].dataType.simpleString()}" for i in range(len(keep))), "score double"])
-    weights, bias, name = model.weights()
+    weights, bias, _ = model.weights()
     shared = df.sparkSession.sparkContext.broadcast(weights)  # 2^bits numbers
     settings = model.settings
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[name] = Scorer(shared.value, bias, settings)
-        scorer = _SCORERS[name]
+        scorer = Scorer(shared.value, bias, settings)  # its words are forgotten with the task
         for whole in batches:
             for batch in slices(whole, "t", BLOCK_BYTES):
                 got = scorer.scores(*text_buffer(batch.column("t")))
