@@ -15,6 +15,7 @@ from ebbflow.plans.stream_queries import SENTINEL_ID, _oracle, event_stream, rep
 from ebbflow.sinks.console import printed
 from ebbflow.sources import tables as S
 from ebbflow.streaming import chained as CH
+from ebbflow.streaming import chunked as CK
 from ebbflow.streaming import connected as CO
 from ebbflow.streaming import processors as PR
 from ebbflow.streaming import runner as RUN
@@ -45,15 +46,16 @@ def _rows(rep, key, value):
     return PR.keyed_rows(event_stream(rep), key, "ts", "event_id", value)
 
 
-def ordered_stream(spark, sf_dir, name, logic, key="user_id", value=None, bound=BOUND, replay=None):
+def ordered_stream(spark, sf_dir, name, logic, key="user_id", value=None, bound=BOUND, replay=None, hot=None):
     """The input, and the stream of all output, of ``logic`` over the events in
     order of event time; the tag is ``main`` or ``late`` (rows that came too
-    late to be put in order)."""
+    late to be put in order). ``hot``: keys that are folded by buckets of time
+    (None: those with a large share of all events)."""
     delay = _delay_us(spark, sf_dir, bound)
     rep = replay or replayed_events(spark, sf_dir, name)
+    hot = CO.hot_keys(S.events(spark, sf_dir), key) if hot is None else hot
     rows = PR.widened(_rows(rep, F.col(key), F.col("event_type") if value is None else value), "ts", delay)
-    return rep, rows.groupBy("key").transformWithState(PR.OrderedProcessor(logic, _us(bound), delay), PR.output_schema("long"),
-                                                       "Append", "EventTime")
+    return rep, CK.ordered_fold(rows, logic, _us(bound), delay, hot=hot)
 
 
 def ordered(spark, sf_dir, name, logic, **kw) -> DataFrame:

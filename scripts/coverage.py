@@ -62,9 +62,9 @@ FUNCTIONS = {
     "J1": "operators.joins.connect_join, streaming.connected.connect", "J2": "operators.joins.interval_join",
     "J3": "operators.joins.broadcast_rules, latest_rule; streaming.connected.with_rules",
     "C1": "operators.patterns.strict_matches, streaming.processors.StrictLogic", "C2": "operators.patterns.Pattern.times",
-    "C3": "operators.patterns.strict_matches", "C4": "operators.patterns.followed_by_within",
-    "C5": "operators.patterns.followed_by_within (timeout tag)",
-    "C6": "operators.state_machine.run_state_machine, streaming.processors.MachineLogic",
+    "C3": "operators.patterns.strict_matches", "C4": "operators.patterns.followed_by_within, streaming.processors.FollowedByLogic; streaming.chunked (busy keys)",
+    "C5": "operators.patterns.followed_by_within (timeout tag), streaming.processors.FollowedByLogic",
+    "C6": "operators.state_machine.run_state_machine, streaming.processors.MachineLogic; streaming.chunked (busy keys)",
     "C7": "order argument (ts, seq); streaming.processors.OrderedProcessor",
     "X1": "streaming.runner.run_update / run_append (checkpointLocation)",
     "X2": "streaming.savepoint.state_at, resume_counts; same checkpointLocation on restart", "X3": "session: RocksDBStateStoreProvider",
