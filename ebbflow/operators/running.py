@@ -252,6 +252,15 @@ def _combined(r: Run, inner: Column, prefix: Column) -> Column:
 _LONGS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
+def tie_of(df: DataFrame, order: list[str]) -> Column | None:
+    """The first of ``order`` as a number, if it is a whole number, time or date."""
+    if not order:
+        return None
+    dtype = df.schema[order[0]].dataType
+    whole = (*_LONGS, T.TimestampType, T.TimestampNTZType, T.DateType)
+    return _numeric(F.col(order[0]), dtype) if isinstance(dtype, whole) else None
+
+
 def running(df: DataFrame, by: list[str], order: list[str], aggs: dict[str, Run], *,
             descending: bool = False, chunk_on: str | Column | None = None,
             rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
@@ -268,10 +277,7 @@ def running(df: DataFrame, by: list[str], order: list[str], aggs: dict[str, Run]
         raise ValueError("running() needs an order")
     chunk_src = _col(chunk_on if chunk_on is not None else order[0])
     num = _numeric(chunk_src, df.select(chunk_src.alias("_c")).schema[0].dataType)
-    after = order[0] if chunk_on is not None else order[1] if len(order) > 1 else None
-    tie = None
-    if after is not None and isinstance(dtype := df.schema[after].dataType, (*_LONGS, T.TimestampType, T.TimestampNTZType, T.DateType)):
-        tie = _numeric(F.col(after), dtype)
+    tie = tie_of(df, order if chunk_on is not None else order[1:])
     data, split = chunked(df, by, num, rows_per_chunk, tie=tie)
     direction = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
     cols = {n: _col(r.col) if r.col is not None else None for n, r in aggs.items()}

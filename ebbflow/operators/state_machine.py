@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbflow.operators.running import DEFAULT_ROWS_PER_CHUNK, HOT, _numeric, chunked
+from ebbflow.operators.running import DEFAULT_ROWS_PER_CHUNK, HOT, _numeric, chunked, tie_of
 
 
 @dataclass(frozen=True)
@@ -150,8 +150,9 @@ def run_state_machine(df: DataFrame, sm: StateMachine, key: str, order: list[str
     cols = list(dict.fromkeys([key, *order, *emit_cols]))
     # a null key is a key like others: "n", while values have a "v" in front
     name = F.coalesce(F.concat(F.lit("v"), F.col(key).cast("string")), F.lit("n"))
-    data, split = chunked(df.select(*cols, code.cast("int").alias("_ev")), [key], num, rows_per_chunk, "_chunk")
-    data = data.withColumn("_k", name)
+    data, split = chunked(df.select(*cols, code.cast("int").alias("_ev")), [key], num, rows_per_chunk, "_chunk",
+                          tie_of(df, order[1:]))
+    data = data.withColumns({"_k": name, "_chunk": F.col("_chunk").cast("int")})
 
     def sorted_by(frame: DataFrame, group: list[str], within: list[str]) -> DataFrame:
         return frame.repartition(*[F.col(g) for g in group]).sortWithinPartitions(*group, *within)

@@ -133,3 +133,10 @@ def test_rows_of_equal_order_values_are_split_too(spark, desc):
     cut, found = R.chunked(df, ["k"], F.col("at"), 60, tie=F.col("id"))
     assert found and cut.filter("_rc_hot").groupBy("k", "_rc_chunk").count().agg(F.max("count")).first()[0] <= 180
     assert cut.count() == df.count()
+
+
+def test_state_machine_splits_rows_of_equal_times(spark):
+    data = [(1, i, 7 if i % 4 else None, ["fail", "fail", "success", "other"][i * 7 % 11 % 4]) for i in range(600)]
+    df = spark.createDataFrame(data, "user_id long, id long, at long, event string")
+    run = lambda rpc: rows(run_state_machine(df, LOGIN_FAILURE_MACHINE, "user_id", ["at", "id"], "event", ["id"], rows_per_chunk=rpc))
+    assert run(25) == run(10**9) != []
