@@ -1,5 +1,7 @@
 import zlib
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ebbflow.llm import quality as Q
@@ -47,3 +49,23 @@ def test_labels_of_held_out_rows_change_nothing(spark, awkward):
     flipped = labels.withColumn("quality", F.when(Q.held_out("doc_id"), 1 - F.col("quality")).otherwise(F.col("quality")))
     a, b = Q.train(awkward, labels), Q.train(awkward, flipped)
     assert a.weights()[2] == b.weights()[2]
+
+
+def slow_score(text, model):
+    """From the table, the layer and the features, one word after another."""
+    words, s = (text or "").encode().split(), model.settings
+    rows = [int(f) for w in words for f in Q.word_features([w], s)[0]]
+    rows += [Q.REPEAT] * Q.REPEAT_WEIGHT * sum(a == b for a, b in zip(words, words[1:]))
+    hidden = model.table[rows].astype(float).mean(0) if rows else np.zeros(s.dim)
+    logit = hidden @ model.layer + model.bias
+    p = np.exp(logit - logit.max())
+    return p[1] / p.sum()
+
+
+def test_scores_equal_the_slow_way(spark, awkward):
+    configure(spark)
+    docs = spark.createDataFrame([(i, f"some words of text {i} " + "again again " * (i % 3)) for i in range(80)], "doc_id long, text string")
+    model = Q.train(docs, spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(80)], "doc_id long, quality int"))
+    for df in (awkward, docs):
+        for r in Q.score(df, model, keep=("text",)).collect():
+            assert r["score"] == pytest.approx(slow_score(r["text"], model), abs=1e-5)
