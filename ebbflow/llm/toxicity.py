@@ -3,27 +3,31 @@
 A word is a run without white space, lower-cased, without punctuation at its
 ends. Its bag holds the word itself and the character n-grams of ``<word>``,
 each hashed to a row of an embedding table; the word's vector is the average of
-its bag, the document's the average of its words, and a softmax layer over that
-gives the class. Table and layer are learned jointly in numpy, with steps
+its bag, the document's the average of its distinct words, a word that occurs c
+times weighing 1 + ln c, so that stuttering cannot outweigh all else;
+``NEUTRAL`` zero vectors enter every average, so that a single word does not
+decide over a text of a few. A softmax layer over the average gives the class. Table and layer are learned jointly in numpy, with steps
 scaled by each row's past gradients, as the telling words are few. A misspelt
 word never seen shares most n-gram rows with the word it stands for.
 
 Learning uses at most ``SAMPLE`` labelled documents, chosen by the hash of
 their id, and at most ``fitting.FIT_BYTES`` of features (documented bounds); it
 runs in one task. Scoring is a map over all whole texts: as the layer is linear,
-a word has one number, and a score follows from the mean of the words' numbers.
+a word has one number, and a score follows from the average of the words' numbers.
 
 Null, empty and blank texts, and those of punctuation alone, have no word and
 get the score of the bias. Rows are scored one by one, so repeated rows get
 equal scores. A null id is neither held out nor learned from. Labels other than
 0 and 1 are not used; an id with both counts as 0. Without two classes to learn
-from every score is the smoothed share of label 1. Very long texts are scored
-whole, in pieces of bounded memory. Extra columns are not read.
+from every score is the smoothed share of label 1. Very long texts are split in
+pieces and scored whole, by the counts of their words. Extra columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
+import operator
 import re
 import zlib
 from collections import Counter
@@ -42,6 +46,8 @@ from ebbflow.llm.fitting import fit_in_task, sample_of
 SAMPLE, FOLDS = 6000, 5
 #: Bytes of texts scored at once; characters split at once; words remembered.
 BLOCK_BYTES, PIECE_CHARS, WORDS_HELD = 4 << 20, 1 << 20, 400_000
+#: Zero vectors in every average.
+NEUTRAL = 8
 _WORD = re.compile(r"\S+")
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 
@@ -89,6 +95,14 @@ def words_of(text: str | None) -> Iterator[list[str]]:
         at = end
 
 
+def weights_of(text: str | None) -> dict[str, float]:
+    """The distinct words of a text with their weights."""
+    counts: Counter[str] = Counter()
+    for piece in words_of(text):
+        counts.update(piece)
+    return {w: 1.0 if c == 1 else 1 + math.log(c) for w, c in counts.items()}
+
+
 def bags(words: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Table rows of the words' bags end to end, and the size of each bag."""
     chars = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
@@ -112,18 +126,15 @@ def bags(words: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray]:
 
 def shares(text: str | None, s: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Each distinct table row of a text with its share of the average."""
-    counts: Counter[str] = Counter()
-    for piece in words_of(text):
-        counts.update(piece)
+    weight = weights_of(text)
     total = np.zeros(1 << s.bits)
-    known = sorted(counts)
+    known = sorted(weight)
     for lo in range(0, len(known), 1 << 16):
         part = known[lo:lo + (1 << 16)]
         rows, size = bags(part, s)
-        times = np.fromiter((counts[w] for w in part), np.float64, len(part))
-        np.add.at(total, rows, np.repeat(times / size, size))
+        np.add.at(total, rows, np.repeat(np.fromiter(map(weight.__getitem__, part), np.float64, len(part)) / size, size))
     at = np.flatnonzero(total)
-    return at.astype(np.int32), (total[at] / max(1, sum(counts.values()))).astype(np.float32)
+    return at.astype(np.int32), (total[at] / (NEUTRAL + sum(weight.values()))).astype(np.float32)
 
 
 def features(df: DataFrame, s: Settings) -> DataFrame:
@@ -189,25 +200,26 @@ class Scorer:
         self.w, self.bias, self.s = weights, bias, settings
         self.known: dict[str, float] = {}
 
-    def numbers(self, words: list[str]) -> float:
-        """Sum of the words' numbers."""
+    def numbers(self, words: list[str]) -> list[float]:
+        """The numbers of distinct words."""
         known = self.known
-        fresh = [w for w in set(words) if w not in known]
+        fresh = [w for w in words if w not in known]
         if fresh:
             if len(known) > WORDS_HELD:
                 known.clear()
-                fresh = list(set(words))
-            rows, size = bags(fresh, self.s)
-            sums = np.bincount(np.repeat(np.arange(len(fresh)), size), self.w[rows], len(fresh))
-            known.update(zip(fresh, (sums / size).tolist()))
-        return sum(map(known.__getitem__, words))
+                fresh = words
+            for lo in range(0, len(fresh), 1 << 16):
+                part = fresh[lo:lo + (1 << 16)]
+                rows, size = bags(part, self.s)
+                sums = np.bincount(np.repeat(np.arange(len(part)), size), self.w[rows], len(part))
+                known.update(zip(part, (sums / size).tolist()))
+        return [known[w] for w in words]
 
     def score(self, text: str | None) -> float:
-        total, n = 0.0, 0
-        for words in words_of(text):
-            total += self.numbers(words)
-            n += len(words)
-        return float(1 / (1 + np.exp(-np.clip(total / max(n, 1) + self.bias, -500, 500))))
+        weight = weights_of(text)
+        total = math.fsum(map(operator.mul, self.numbers(list(weight)), weight.values()))
+        logit = total / (NEUTRAL + math.fsum(weight.values())) + self.bias
+        return 1 / (1 + math.exp(-min(max(logit, -500.0), 500.0)))
 
 
 def score(df: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
