@@ -1,8 +1,8 @@
 """Operator 12: embedding whitening by an exact characteristic polynomial.
 
 Everything before the last division is integer arithmetic. Tasks add up the
-rows' integer vectors, then their products about an integer centre; the driver
-gets one number for each pair of dimensions. From these follows the scatter
+rows' integer vectors, then their products about an integer centre, in two
+levels; the driver gets one number for each pair of dimensions. From these follows the scatter
 ``C = n * sum(y y') - s s'`` (y: centred rows, s: their sum), an exact integer
 matrix, n^2 times the covariance. Its characteristic polynomial is computed
 modulo enough primes, each reduced to Hessenberg form in a Spark task, and put
@@ -36,6 +36,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,31 +60,45 @@ def prepare(df: DataFrame, vec_id: str, vector: str, scale: int, offset: int) ->
             .select("id", F.transform("x", lambda c: F.floor(cut(c)) + F.lit(offset)).alias("x")))
 
 
-def _digits(value: int) -> list[int]:
-    out = []
-    for _ in range(DIGITS - 1):
-        out.append(value & ((1 << DIGIT_BITS) - 1))
-        value >>= DIGIT_BITS
-    return [*out, value]  # the last carries the sign
-
+def _digits(values: np.ndarray) -> np.ndarray:
+    """Python's integers as rows of digits, the last with the sign."""
+    out, rest = np.empty((len(values), DIGITS), np.int64), values
+    for i in range(DIGITS - 1):
+        out[:, i] = rest & ((1 << DIGIT_BITS) - 1)
+        rest = rest >> DIGIT_BITS
+    out[:, -1] = rest
+    return out
 
-def _summed(df: DataFrame, task) -> dict[int, int]:
-    """Exact sums by key of the (key, integer) pairs that ``task`` makes of each
-    partition's matrices; as many keys as there are pairs of dimensions."""
-    names = [f"d{i}" for i in range(DIGITS)]
 
+def _summed(df: DataFrame, task, size: int) -> list[int]:
+    """Exact sums of the ``size`` integers that ``task`` makes of each batch's
+    matrix. A partition sends one packed row; these are added up in groups, and
+    the groups' in one task, so the driver gets ``size`` numbers."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, int] = {}
+        held = None
         for batch in batches:
             if batch.num_rows:
-                for key, value in task(_matrix(batch.column("x"))):
-                    held[key] = held.get(key, 0) + value
-        cut = [_digits(v) for v in held.values()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(held), pa.int64()), *(pa.array([c[i] for c in cut], pa.int64()) for i in range(DIGITS))], ["key", *names])
+                got = task(_matrix(batch.column("x")))
+                held = got if held is None else held + got
+        if held is not None:
+            yield row(TaskContext.get().partitionId(), _digits(held))
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((size, DIGITS), np.int64)
+        for batch in batches:
+            for packed in batch.column("digits"):
+                total += np.frombuffer(packed.as_buffer(), np.int64).reshape(size, DIGITS)
+        yield row(0, total)
+
+    def row(part: int, digits: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([digits.tobytes()], pa.binary())], ["part", "digits"])
 
-    sums = df.mapInArrow(run, "key long, " + ", ".join(f"{n} long" for n in names)).groupBy("key").agg(*[F.sum(n).alias(n) for n in names])
-    return {r["key"]: sum(r[n] << (DIGIT_BITS * i) for i, n in enumerate(names)) for r in sums.collect()}
+    schema = "part int, digits binary"
+    groups = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sums = df.mapInArrow(run, schema).repartition(groups, "part").mapInArrow(add, schema).repartition(1).mapInArrow(add, schema)
+    got = sums.first()
+    digits = np.frombuffer(got["digits"], np.int64).reshape(size, DIGITS) if got else np.zeros((size, DIGITS), np.int64)
+    return [sum(int(v) << (DIGIT_BITS * i) for i, v in enumerate(d)) for d in digits]
 
 
 def _matrix(column) -> np.ndarray:
@@ -111,26 +126,23 @@ class Fit:
 
 def fit(rows: DataFrame, dim: int) -> Fit:
     """Exact sums and scatter of the fit list."""
-    def first(x: np.ndarray):
-        yield -1, len(x)
+    def first(x: np.ndarray) -> np.ndarray:
         high, low = (x >> 31).sum(0), (x & ((1 << 31) - 1)).sum(0)  # a batch's sums of halves fit a long
-        yield from enumerate((int(h) << 31) + int(v) for h, v in zip(high, low))
+        return np.append((high.astype(object) << 31) + low.astype(object), len(x))
 
-    got = _summed(rows, first)
-    n = got.pop(-1, 0)
+    *sums, n = _summed(rows, first, dim + 1)
     if not n:
         return Fit(0, [], [])
-    sums = [got[j] for j in range(dim)]
     centre = [(2 * s + n) // (2 * n) for s in sums]  # nearest integers to the means
 
-    def second(x: np.ndarray):
-        y = x - np.array(centre, np.int64)
-        gram = exact_gram(y)
-        yield from ((i * dim + j, int(gram[i, j])) for i in range(dim) for j in range(i, dim))
+    upper = np.triu_indices(dim)
+
+    def second(x: np.ndarray) -> np.ndarray:
+        return exact_gram(x - np.array(centre, np.int64))[upper]
 
-    grams = _summed(rows, second)
+    grams = dict(zip(zip(*(u.tolist() for u in upper)), _summed(rows, second, len(upper[0]))))
     rest = [s - n * c for s, c in zip(sums, centre)]
-    full = [[n * grams[min(i, j) * dim + max(i, j)] - rest[i] * rest[j] for j in range(dim)] for i in range(dim)]
+    full = [[n * grams[min(i, j), max(i, j)] - rest[i] * rest[j] for j in range(dim)] for i in range(dim)]
     return Fit(n, sums, full)
 
 
@@ -428,15 +440,11 @@ def whiten(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", k:
     # mean and covariance of what is returned, in units that integers add up exactly
     unit = 1 << 40
 
-    def moments(x: np.ndarray):
+    def moments(x: np.ndarray) -> np.ndarray:
         white, _ = _deviations(x, found)
-        for i, v in enumerate(white.sum(0).tolist()):
-            yield i, round(v * unit)
-        for i, row in enumerate((white.T @ white).tolist()):
-            for j, v in enumerate(row):
-                yield many + i * many + j, round(v * unit)
+        return np.array([round(v * unit) for v in (*white.sum(0), *(white.T @ white).ravel())], object)
 
-    got = _summed(rows, moments)
+    got = _summed(rows, moments, many + many * many)
     mean = [got[i] / unit / found.n for i in range(many)]
     error = max(abs(got[many + i * many + j] / unit / found.n - mean[i] * mean[j] - (i == j)) for i in range(many) for j in range(many))
 
