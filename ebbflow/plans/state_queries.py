@@ -239,7 +239,7 @@ def stream_most_active_user(spark, sf_dir):
     then takes the last of them up to itself."""
     rep = replayed_events(spark, sf_dir, "most-active", cols=("event_id", "user_id"), sentinel=False, order="event_id")
     rows = rep.stream().select(F.col("event_id").alias("seq"), F.col("user_id").alias("id"))
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 4 * RUN.state_partition_count(spark)
     changes = RUN.replay_append([rep], CH.leader_changes(rows, buckets), "most-active")
     ev = S.events(spark, sf_dir).select("event_id")
     led = ev.join(changes.select(F.col("seq").alias("event_id"), F.struct("cnt", "seq", "id").alias("lead")), "event_id", "left")
@@ -296,7 +296,7 @@ def stream_broadcast_rules(spark, sf_dir, ranges=RULE_RANGES):
     actions = SS.Replay(spark, "rule-actions", ev.schema, SS.arrival_ranges(ev, "event_id", ranges, even_rows=False))
     rules = SS.Replay(spark, "rules", numbered.schema,
                       [numbered.filter(F.least(F.col("rule_no"), F.lit(len(actions.frames) - 1)) == i) for i in range(len(actions.frames))])
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = 4 * RUN.state_partition_count(spark)
     hits = CO.with_rules(actions.stream().select(F.col("user_id").alias("id"), F.col("event_id").alias("action_no"), F.col("event_type").alias("now")),
                          rules.stream(), parts)
     done = RUN.replay_append([rules, actions], hits, "broadcast-rules")

@@ -186,9 +186,9 @@ def savepoint_word_count(spark, sf_dir):
     rest = SS.Replay(spark, "savepoint-rest", docs.schema, after)
     second = work_dir(spark, "stream-ckpt", "savepoint-second")
     RUN.feed_all([rest])
-    with RUN.state_partitions(spark, 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))):
-        RUN.run_batches(SP.resume_counts(_word_stream(rest), start), "savepoint-second",
-                        lambda batch, no: batch.write.format("noop").mode("overwrite").save(), second, "update")
+    RUN.run_batches(SP.resume_counts(_word_stream(rest), start), "savepoint-second",
+                    lambda batch, no: batch.write.format("noop").mode("overwrite").save(), second, "update",
+                    partitions=2 * RUN.state_partition_count(spark))
     return SP.state_at(spark, second, variable="count").select("key.word", F.col("value.cnt").alias("cnt"))
 
 

@@ -29,17 +29,23 @@ from ebbflow.session import work_dir
 
 
 #: Session setting: state partitions of a stream at its first start (they are
-#: fixed in the checkpoint). Unset: the session's shuffle partitions.
+#: fixed in the checkpoint). Unset: the session's shuffle partitions, but no more
+#: than four for each core there is, as each costs a task in every micro-batch.
 STATE_PARTITIONS_CONF = "ebbflow.streaming.statePartitions"
 
 
+def state_partition_count(spark) -> int:
+    """State partitions of a stream that starts now."""
+    told = spark.conf.get(STATE_PARTITIONS_CONF, None)
+    return int(told) if told else min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+
+
 @contextlib.contextmanager
 def state_partitions(spark, partitions: int | None = None):
     """Start a stateful query with ``partitions`` state partitions."""
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    want = partitions or spark.conf.get(STATE_PARTITIONS_CONF, None) or before
-    spark.conf.set(key, str(want))
+    spark.conf.set(key, str(partitions or state_partition_count(spark)))
     try:
         yield
     finally:
@@ -50,7 +56,7 @@ def state_partitions(spark, partitions: int | None = None):
 TRIGGER_CONF = "ebbflow.streaming.triggerInterval"
 
 
-def finish(writer, until_caught_up: bool = False):
+def finish(writer, until_caught_up: bool = False, partitions: int | None = None):
     """Start a query, let it take everything that is there, return it stopped.
     ``until_caught_up`` is for state in processing time (TTL), which otherwise
     keeps running cleanup-only batches."""
@@ -59,7 +65,7 @@ def finish(writer, until_caught_up: bool = False):
     interval = spark.conf.get(TRIGGER_CONF, None)
     key = "spark.sql.streaming.noDataMicroBatches.enabled"
     before = spark.conf.get(key, "true")
-    with state_partitions(spark):
+    with state_partitions(spark, partitions):
         if until_caught_up:
             spark.conf.set(key, "false")
         try:
@@ -90,11 +96,12 @@ def run_append(stream: DataFrame, name: str, checkpoint: str | None = None,
     return spark.read.schema(stream.schema).format(fmt).load(out)
 
 
-def run_batches(stream: DataFrame, name: str, each, checkpoint: str | None = None, mode: str = "append"):
+def run_batches(stream: DataFrame, name: str, each, checkpoint: str | None = None, mode: str = "append", partitions: int | None = None):
     """``foreachBatch`` over everything that is staged; ``each`` must give the
     same result when a batch is repeated."""
     checkpoint = checkpoint or work_dir(stream.sparkSession, "stream-ckpt", name)
-    return finish(stream.writeStream.outputMode(mode).foreachBatch(each).option("checkpointLocation", checkpoint))
+    return finish(stream.writeStream.outputMode(mode).foreachBatch(each).option("checkpointLocation", checkpoint),
+                  partitions=partitions)
 
 
 def feed_all(replays) -> int:

@@ -252,9 +252,8 @@ def test_another_query_starts_from_an_older_batch(spark, counted, batch, partiti
     rest = SS.Replay(spark, "sp-rest", df.schema, frames[batch + 1:])
     RUN.feed_all([rest])
     second = work_dir(spark, "sp-second")
-    with RUN.state_partitions(spark, partitions):
-        RUN.run_batches(SP.resume_counts(rest.stream().select("word"), start), "sp2",
-                        lambda b, n: b.write.format("noop").mode("overwrite").save(), second, "update")
+    RUN.run_batches(SP.resume_counts(rest.stream().select("word"), start), "sp2",
+                    lambda b, n: b.write.format("noop").mode("overwrite").save(), second, "update", partitions=partitions)
     got = SP.state_at(spark, second, variable="count").select("key.word", "value.cnt")
     assert dict(rows(got)) == Counter(w for _, w in words)
 
