@@ -5,6 +5,7 @@ Spark's keyed operators have one input, so the inputs of a connected stream
 become one: a tagged union, of which a key sees its rows of both sides. Within a
 micro-batch the first input's rows are met before the second's, and a side's
 rows in order of their sequence number; between micro-batches arrival decides.
+Keys are dealt to parts, whose state is held in blocks (:mod:`.blocks`).
 """
 
 from __future__ import annotations
@@ -15,36 +16,33 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from ebbflow.streaming import blocks as B
+
 # ---------------------------------------------------------- two inputs -----
 
 PAIR = "emitted_by string, arriving long, stored long"
 
 
 class PairProcessor(StatefulProcessor):
-    """Each row meets all rows of the other side that arrived before it, and is
-    kept for those that come after: two list states, which are appended to, and
-    read only if the other side has rows in the batch."""
+    """One of the parts that keys are dealt to. Each row meets all rows of its
+    key (and salt) on the other side that arrived before it, and is kept for
+    those that come after: two list states, which are appended to, and read a
+    block at a time if the other side has rows in the batch."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.first, self.second = (handle.getListState(n, "ref long") for n in ("first", "second"))
+        self.first, self.second = (handle.getListState(n, B.SCHEMA) for n in ("first", "second"))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        sides = ([], [])
+        sides: tuple[dict, dict] = ({}, {})  # of each key and salt, sequence numbers and refs
         for r in rows:
-            sides[r.side].append((r.seq, r.ref))
-        first, second = ([ref for _, ref in sorted(s)] for s in sides)
-        if first:
-            if self.second.exists():
-                for (stored,) in self.second.get():
-                    for ref in first:
-                        yield Row(key=key[0], emitted_by="stream-1", arriving=ref, stored=stored)
-            self.first.appendList([(ref,) for ref in first])
-        if second:
-            if self.first.exists():
-                for (stored,) in self.first.get():
-                    for ref in second:
-                        yield Row(key=key[0], emitted_by="stream-2", arriving=ref, stored=stored)
-            self.second.appendList([(ref,) for ref in second])
+            sides[r.side].setdefault((r.key, r.salt), []).append((r.seq, r.ref))
+        for side, kept, other, by in ((sides[0], self.first, self.second, "stream-1"), (sides[1], self.second, self.first, "stream-2")):
+            if side:
+                arriving = {k: [ref for _, ref in sorted(refs)] for k, refs in side.items()}
+                for k, salt, held in B.stored(other):
+                    for ref in arriving.get((k, salt), ()):
+                        yield Row(key=k, emitted_by=by, arriving=ref, stored=held)
+                B.append(kept, ((k, salt, ref) for (k, salt), refs in arriving.items() for ref in refs))
 
     def close(self) -> None:
         pass
@@ -58,18 +56,21 @@ def hot_keys(df: DataFrame, key: str, least: int = 100_000, share: int = 1000) -
     return [r[0] for r in counts.filter((F.col("n") > least) & (F.col("n") * share > total)).select(key).collect()]
 
 
-def connect(first: DataFrame, second: DataFrame, key_type: str = "long", hot: list | None = None, salts: int = 16) -> DataFrame:
+def connect(first: DataFrame, second: DataFrame, key_type: str = "long", hot: list | None = None, salts: int = 16,
+            parts: int | None = None) -> DataFrame:
     """All pairs of the rows ``key, seq, ref`` of two streams with equal keys,
     each emitted once, by the one that arrives later: ``key, emitted_by,
     arriving, stored``. Null keys meet nothing. Rows of ``hot`` keys are dealt to
-    ``salts`` keys on the second side, and copied to each on the first."""
+    ``salts`` keys on the second side, and copied to each on the first. Keys and
+    salts are dealt to ``parts`` (None: those of a small input)."""
     hot = [k for k in hot or [] if k is not None]
     busy = F.col("key").isin(hot) if hot else F.lit(False)
     one = first.withColumns({"side": F.lit(0), "salt": F.explode(
         F.when(busy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))})
     two = second.withColumns({"side": F.lit(1), "salt": F.when(busy, F.pmod(F.xxhash64("seq", "ref"), F.lit(salts)).cast("int")).otherwise(F.lit(0))})
     rows = one.unionByName(two).filter(F.col("key").isNotNull())
-    return rows.groupBy("key", "salt").transformWithState(PairProcessor(), f"key {key_type}, {PAIR}", "Append", "None")
+    dealt = rows.withColumn("part", B.part_of(parts or B.part_count(first.sparkSession), "key", "salt"))
+    return dealt.groupBy("part").transformWithState(PairProcessor(), f"key {key_type}, {PAIR}", "Append", "None")
 
 
 # ------------------------------------------------------ broadcast state ----
