@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from ebbflow.streaming import blocks as B
+
 
 def retained(spark: SparkSession, checkpoint: str) -> list[int]:
     """Batches that are committed in a checkpoint."""
@@ -29,7 +31,8 @@ def retained(spark: SparkSession, checkpoint: str) -> list[int]:
 
 def state_at(spark: SparkSession, checkpoint: str, batch: int | None = None, operator: int = 0, variable: str | None = None) -> DataFrame:
     """``key, value`` structs of a stateful operator after ``batch`` (None: the
-    last); ``variable`` names a state variable of a processor."""
+    last); ``variable`` names a state variable of a processor: a value, or a list
+    of blocks, arrays of the fields of ``key`` and ``value``."""
     r = spark.read.format("statestore").option("operatorId", operator)
     if batch is not None:
         if batch not in retained(spark, checkpoint):
@@ -37,38 +40,78 @@ def state_at(spark: SparkSession, checkpoint: str, batch: int | None = None, ope
         r = r.option("batchId", batch)
     if variable:
         r = r.option("stateVarName", variable)
-    return r.load(checkpoint).select("key", "value")
+    got = r.load(checkpoint)
+    if "list_element" in got.columns:  # keys and values of a part, in blocks
+        fields = {side: got.select(f"list_element.{side}.*").columns for side in ("key", "value")}
+        got = got.select(F.explode(F.arrays_zip(*[F.col(f"list_element.{side}.{c}").alias(f"{side}_{c}") for side, names in fields.items() for c in names])).alias("at"))
+        got = got.select(*[F.struct(*[F.col(f"at.{side}_{c}").alias(c) for c in names]).alias(side) for side, names in fields.items()])
+    return got.select("key", "value")
+
+
+#: Distinct words of a task that are counted at once.
+WORDS_AT_ONCE = 200_000
 
 
 def _partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of each word in every batch of a task."""
+    """Rows of each word in a task; a word comes out again after so many others."""
+    def added(parts: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(parts).group_by("word").aggregate([("times", "sum")]).select(["word", "times_sum"]).rename_columns(["word", "times"])
+
+    held, fresh, waiting = None, [], 0
     for batch in batches:
         found = batch.column(0).value_counts()
-        yield pa.RecordBatch.from_arrays([found.field("values").cast(pa.string()), found.field("counts")], ["word", "times"])
+        fresh.append(pa.table({"word": found.field("values").cast(pa.string()), "times": found.field("counts")}))
+        waiting += len(found)
+        if waiting >= WORDS_AT_ONCE:
+            held, fresh, waiting = added([held, *fresh] if held is not None else fresh), [], 0
+            if held.num_rows >= WORDS_AT_ONCE:
+                yield from held.to_batches()
+                held = None
+    if held is not None or fresh:
+        yield from added([held, *fresh] if held is not None else fresh).to_batches()
+
+
+#: Words of a block of state.
+WORDS_PER_BLOCK = 2_000
 
 
 class CountFrom(StatefulProcessor):
-    """Adds up a key's partial counts, beginning with the count it starts from."""
+    """Adds up the partial counts of a part's words, beginning with the counts
+    that it starts from. The list state holds words and counts in blocks, which
+    :func:`state_at` reads as rows."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("count", "cnt long")
+        self.count = handle.getListState("count", "key struct<word: array<string>>, value struct<cnt: array<bigint>>")
+
+    def _put(self, counts: dict) -> None:
+        words, ns = list(counts), list(counts.values())
+        self.count.put([((words[at:at + WORDS_PER_BLOCK],), (ns[at:at + WORDS_PER_BLOCK],)) for at in range(0, len(words), WORDS_PER_BLOCK)])
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.count.update((initialState["cnt"],))
+        self._put({w["word"]: w["cnt"] for w in initialState["words"]})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = self.count.get()[0] if self.count.exists() else 0
-        n = held + sum(r["times"] for r in rows)
-        self.count.update((n,))
-        yield Row(word=key[0], cnt=n)
+        held, fresh = {}, {}
+        if self.count.exists():
+            for (words,), (counts,) in self.count.get():
+                held.update(zip(words, counts))
+        for r in rows:
+            fresh[r["word"]] = fresh.get(r["word"], 0) + r["times"]
+        for word, times in fresh.items():
+            held[word] = n = held.get(word, 0) + times
+            yield Row(word=word, cnt=n)
+        self._put(held)
 
     def close(self) -> None:
         pass
 
 
-def resume_counts(words: DataFrame, start: DataFrame) -> DataFrame:
+def resume_counts(words: DataFrame, start: DataFrame, parts: int | None = None) -> DataFrame:
     """Running counts of the stream ``word`` that begin with the counts ``word,
-    cnt`` of ``start``. Words are counted within each task's batches first, so a
-    frequent word sends one row a batch to its key."""
-    return words.select("word").mapInArrow(_partial, "word string, times long").groupBy("word").transformWithState(
-        CountFrom(), "word string, cnt long", "Update", "None", start.select("word", F.col("cnt").cast("long")).groupBy("word"))
+    cnt`` of ``start``. Words are counted within each task first, so a frequent
+    word sends a few rows a batch; words are dealt to ``parts`` (None: those of a
+    small input)."""
+    part = B.part_of(parts or B.part_count(words.sparkSession), "word").alias("part")
+    begin = start.groupBy(part).agg(F.collect_list(F.struct("word", F.col("cnt").cast("long").alias("cnt"))).alias("words"))
+    return words.select("word").mapInArrow(_partial, "word string, times long").withColumn("part", part).groupBy("part").transformWithState(
+        CountFrom(), "word string, cnt long", "Update", "None", begin.groupBy("part"))
