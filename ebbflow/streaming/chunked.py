@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from ebbflow.streaming import blocks as B
 from ebbflow.streaming import processors as PR
 
 _NONE = {"seq": None, "us": None, "v": None, "a": None, "b": None, "status": None}
@@ -194,13 +195,15 @@ class ComposeProcessor(StatefulProcessor):
 
 
 def ordered_fold(rows: DataFrame, logic, bound_us: int, delay_us: int, key_type: str = "long", hot: list | None = None,
-                 width_us: int = 6 * 3_600_000_000) -> DataFrame:
+                 width_us: int = 6 * 3_600_000_000, parts: int | None = None) -> DataFrame:
     """All output of ``logic`` over the widened stream ``key, us, seq, v, ts``.
-    Rows of ``hot`` keys (null may be one) go by buckets of ``width_us``."""
+    Rows of ``hot`` keys (null may be one) go by buckets of ``width_us``, other
+    keys are dealt to ``parts`` (None: those of a small input)."""
     schema = PR.output_schema(key_type)
+    part = B.part_of(parts or B.part_count(rows.sparkSession), "key")
 
     def plain(df):
-        return df.groupBy("key").transformWithState(PR.OrderedProcessor(logic, bound_us, delay_us), schema, "Append", "EventTime")
+        return df.withColumn("part", part).groupBy("part").transformWithState(PR.OrderedProcessor(logic, bound_us, delay_us), schema, "Append", "EventTime")
 
     if not hot or type(logic) not in CHUNKS:
         return plain(rows)
