@@ -78,12 +78,12 @@ def connect(first: DataFrame, second: DataFrame, key_type: str = "long", hot: li
 class RuleProcessor(StatefulProcessor):
     """One of the parts that keys are dealt to. Rule rows, of which every part
     gets a copy, set its rule (broadcast state: the latest rule, written on this
-    side only); action rows read it. Below it a map state holds the previous
-    action of each of the part's keys."""
+    side only); action rows read it. Below it a list state holds the previous
+    action of each of the part's keys, read and written once a batch."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.rule = handle.getValueState("rule", "no long, before string, now string")
-        self.previous = handle.getMapState("previous", "id long, none boolean", "action string")
+        self.previous = handle.getListState("previous", B.SCHEMA)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         rules, actions = [], {}
@@ -91,22 +91,25 @@ class RuleProcessor(StatefulProcessor):
             if r.action_no is None:
                 rules.append((r.rule_no, r.before, r.now))
             else:
-                actions.setdefault((r.id or 0, r.id is None), []).append((r.action_no, r.now))
+                actions.setdefault(r.id, []).append((r.action_no, r.now))
         rule = tuple(self.rule.get()) if self.rule.exists() else None
         for new in sorted(rules, key=lambda r: r[0]):
             if rule is None or new[0] >= rule[0]:
                 rule = new
         if rules:
             self.rule.update(rule)
+        if not actions:
+            return
+        previous = dict(B.stored(self.previous))
         for who, done in actions.items():
             done.sort(key=lambda a: a[0])
-            held = self.previous.getValue(who) if self.previous.containsKey(who) else None
-            last = held[0] if held else None
+            last = previous.get(who)
             for no, action in done:
                 if rule is not None and last is not None and (last, action) == rule[1:]:
-                    yield Row(id=None if who[1] else who[0], action_no=no, before=last, now=action)
+                    yield Row(id=who, action_no=no, before=last, now=action)
                 last = action
-            self.previous.updateValue(who, (last,))
+            previous[who] = last
+        B.replace(self.previous, previous.items())
 
     def close(self) -> None:
         pass
