@@ -15,9 +15,11 @@ size), the rarest first.
    never meet all pairs. Large groups are dealt to ``SALTS`` parts with pivots
    of their own.
 2. Prefix join, for classes that are not settled. Two similar classes share a
-   word among the rarest ``n - ceil(t n) + 1`` of each. Pairs that share one are
-   kept if the other stands before, and if lengths and the positions of the word
-   allow the similarity; settled classes need not look themselves.
+   word among the rarest ``n - ceil(t n) + 1`` of the one with more words and the
+   rarest ``n - ceil(2 t / (1 + t) n) + 1`` of the other. Pairs that share one are
+   kept if lengths and the positions of the word allow the similarity, unless the
+   later class is settled. Both sides read one shuffle, whose columns are never
+   null to Spark's eye: a test for null on one side would end that.
    Candidates of either step must also pass a 128-bit signature (the parity of
    the words on each bit): it differs in no more bits than the sets in words.
 3. Candidates are verified on the whole word sets (64-bit hashes of the words).
@@ -121,11 +123,10 @@ def rarity(rows: DataFrame) -> Column:
 def by_rarity(line: Column, steps: Column) -> Column:
     """The set of a line's words as numbers that sort by rarity, then by 48 bits
     of their hash (never null to Spark's eye, so sorted as plain longs)."""
-    def number(w: Column) -> Column:
-        h = F.xxhash64(w)
+    def number(h: Column) -> Column:
         rank = F.coalesce(F.get(steps, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), F.lit(0)).cast("long")
         return F.shiftleft(rank, 48).bitwiseOR(F.shiftrightunsigned(h, 16))
-    return F.sort_array(F.array_distinct(F.transform(F.array_remove(_words(line), ""), number)))
+    return F.sort_array(F.transform(word_hashes(line), number))
 
 
 #: The two longs of a signature.
@@ -196,16 +197,19 @@ def _similar(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, num: int, den: int) -> DataFrame:
-    """Of ``pairs`` (numbers x and y of classes) the places of classes x that
-    have a similar y before them, checkpointed."""
+    """Of ``pairs`` (numbers x and y of classes, in either order) the places of
+    classes that have a similar one before them in their pair, checkpointed."""
     ycols = ["yd", "yrk", "yno"]
     pairs = checkpointed(pairs)
+    _tidy(rows.sparkSession)
     ids = _few(pairs.select(F.explode(F.array("x", "y")).alias("cid")).distinct())
     held = (*PLACE, "n", *SIGS)
     places = checkpointed(classes.join(ids, "cid").select("cid", *held))
     at = lambda p: _named(places, p, held).withColumnRenamed("cid", p)
-    both = pairs.join(at("x"), "x").join(at("y"), "y").filter(_before() & _close("x", "y", num, den))
-    pairs = checkpointed(both.select("xd", "xrk", "xno", *ycols))
+    both = pairs.join(at("x"), "x").join(at("y"), "y").filter(_close("x", "y", num, den))
+    one, other = (F.struct(*[F.col(p + c).alias(c) for c in PLACE]) for p in "xy")
+    both = both.select(F.greatest(one, other).alias("x"), F.least(one, other).alias("y"))
+    pairs = checkpointed(both.select(*[F.col(f"{p}.{c}").alias(p + c) for p in "xy" for c in PLACE]).distinct())
     sets = _sets(pairs.select(F.explode(F.array(*[F.struct(*[F.col(p + c).alias(c) for c in PLACE]) for p in "xy"])).alias("p")).select("p.*"), rows)
     pairs = checkpointed(_closer(pairs, sets, num, den))
     best = pairs.groupBy("xd", "xrk", "xno").agg(F.min(F.struct("apart", *ycols)).alias("b")).select(
@@ -217,10 +221,6 @@ def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, num: int, d
     return out
 
 
-def _before() -> Column:
-    return F.struct("yd", "yrk", "yno") < F.struct("xd", "xrk", "xno")
-
-
 def _classes(rows: DataFrame, num: int, den: int) -> DataFrame:
     """``cid, d, rk, no, n, s0, s1, keys, prefix`` of each class of equal lines, at
     its first place. To be written before use: that fixes the numbers ``cid``."""
@@ -258,26 +258,28 @@ def _pivot_pairs(classes: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _prefix_pairs(classes: DataFrame, settled: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (x not settled, y not in a later document) that share a prefix word at fitting positions."""
+    """Pairs x and y, of which x has as many words or more, that share a prefix
+    word at fitting positions; not those whose later class is settled (classes of
+    one document count as later both)."""
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     flagged = classes.join(_few(settled.withColumn("settled", F.lit(1))), list(PLACE), "left")
     postings = flagged.select("cid", "d", *SIGS, "n", F.coalesce("settled", F.lit(0)).alias("settled"), F.posexplode("prefix").alias("at", "word"))
     # length, place in the prefix and flag in one number; both sides need them, so both read one shuffle
     mark = F.shiftleft(F.col("n").cast("long"), 32) + 2 * F.col("at") + F.col("settled")
-    postings = postings.select("word", "cid", "d", *SIGS, mark.alias("mark"))
-    # nothing is null; said here, as the join would else filter one side above and one below the shuffle
-    for c in postings.columns:
-        postings = postings.filter(F.col(c).isNotNull())
-    postings = postings.repartition(parts, "word")
-    side = lambda p: postings.select("word", *[F.col(c).alias(p + c) for c in ("cid", "d", *SIGS, "mark")], F.shiftright("mark", 32).alias(p + "n"))
+    # nothing is null, and so Spark must see it: a test for null would go below the shuffle on one side only
+    known = lambda c: F.coalesce(c, F.lit(0))
+    postings = postings.select(*[known(F.col(c)).alias(c) for c in ("word", "cid", "d", *SIGS)], known(mark).alias("mark")).repartition(parts, "word")
+    length, at = F.shiftright("mark", 32), F.shiftright(F.col("mark").bitwiseAND(F.lit((1 << 32) - 1)), 1)
+    held = {"cid": F.col("cid"), "d": F.col("d"), **{s: F.col(s) for s in SIGS}, "n": known(length), "at": known(at), "settled": known(F.col("mark") % 2)}
+    side = lambda df, p: df.select("word", *[c.alias(p + k) for k, c in held.items()])
+    x = side(postings, "x")
     # not deterministic in form, so that the filter stays above the shuffle
-    x = side("x").filter((F.monotonically_increasing_id() >= 0) == (F.col("xmark") % 2 == 0))
-    y = side("y")
-    at = lambda p: F.shiftright(F.col(p + "mark").bitwiseAND(F.lit((1 << 32) - 1)), 1)
-    most = F.least(F.col("xn") - at("x"), F.col("yn") - at("y"))
-    fits = _close("x", "y", num, den) & (F.col("xcid") != F.col("ycid")) & \
-        ((num + den) * most >= num * (F.col("xn") + F.col("yn")))
-    pairs = x.join(y, (x["word"] == y["word"]) & (F.col("yd") <= F.col("xd")) & fits)
+    y = side(postings.filter((F.monotonically_increasing_id() >= 0) == ((num + den) * (length - at) >= 2 * num * length)), "y")
+    most = F.least(F.col("xn") - F.col("xat"), F.col("yn") - F.col("yat"))
+    once = (F.col("xn") > F.col("yn")) | ((F.col("xn") == F.col("yn")) & (F.col("xcid") > F.col("ycid")))
+    new = ((F.col("xd") >= F.col("yd")) & (F.col("xsettled") == 0)) | ((F.col("yd") >= F.col("xd")) & (F.col("ysettled") == 0))
+    fits = once & new & _close("x", "y", num, den) & ((num + den) * most >= num * (F.col("xn") + F.col("yn")))
+    pairs = x.join(y, (x["word"] == y["word"]) & fits)
     return pairs.select(F.col("xcid").alias("x"), F.col("ycid").alias("y")).distinct()
 
 
@@ -316,9 +318,7 @@ def report(df: DataFrame, doc_id: str = "doc_id", text: str = "text", num: int =
     rows = _numbered(df, doc_id, text)
     kept = kept_lines(rows.select(F.col("_d").alias("d"), F.col("_rk").alias("rk"), F.col("_t").alias("t")), num, den)
     lines = F.coalesce(F.split("_t", "\n"), F.array().cast("array<string>"))
-    numbers = F.when(F.size(lines) > 0, F.sequence(F.lit(0), F.size(lines) - 1)).otherwise(F.array().cast("array<int>"))
-    worded = F.filter(F.transform(F.arrays_zip(lines.alias("l"), numbers.alias("i")),
-                                  lambda z: F.when(_with_words(z["l"]), z["i"])), lambda i: i.isNotNull())
+    worded = F.filter(F.transform(lines, lambda line, i: F.when(_with_words(line), i)), lambda i: i.isNotNull())
     slim = rows.select(F.col(doc_id).alias("id"), "_d", "_rk", F.size(lines).cast("long").alias("n_lines"), worded.alias("worded"))
     # equal rows are one here, and as many again at the end: the first has the kept lines
     slim = slim.groupBy("id", "_d", "_rk", "n_lines", "worded").agg(F.count("*").alias("copies"))

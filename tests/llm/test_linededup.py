@@ -87,3 +87,27 @@ def test_plan_is_native(spark):
     configure(spark)
     plan = L.report(table(spark, "/root/testdata/sf0.001", "documents"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_prefix_join_reads_one_shuffle(spark, tmp_path):
+    configure(spark)
+    rows = spark.createDataFrame([(i, 7, " ".join(f"w{i * k % 11}" for k in range(1, 9))) for i in range(40)], "d long, rk long, t string")
+    L._classes(rows, 4, 5).write.parquet(str(tmp_path / "classes"))
+    classes = spark.read.parquet(str(tmp_path / "classes"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else the plan shows no reuse before it runs
+    try:
+        pairs = L._prefix_pairs(classes, classes.select(*L.PLACE).filter("d < 5"), 4, 5)
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        configure(spark)
+    assert plan.count("Generate") == 1
+    assert "ReusedExchange" in plan
+
+
+def test_longer_and_shorter_lines_in_either_order(spark):
+    configure(spark)
+    full = [f"u{i}" for i in range(20)]
+    texts = [" ".join(full[:16]), " ".join(full), " ".join(full[:16] + ["v"]), " ".join(full[1:17]) + "\n" + " ".join(full[:19])]
+    rows = [(g * 10 + i, t.replace("u", f"g{g}u")) for g, order in enumerate(([0, 1, 2, 3], [3, 2, 1, 0], [1, 0, 3, 2]))
+            for i, t in enumerate(texts[k] for k in order)]
+    check(spark.createDataFrame(rows, "doc_id long, text string"))
