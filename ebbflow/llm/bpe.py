@@ -30,9 +30,9 @@ from ebbflow.llm import pretoken
 from ebbflow.llm.common import code_points, ranges, slices, text_buffer
 
 #: Bytes of text worked on at once inside a task.
-BLOCK_BYTES = 4 << 20
-#: Bytes of the pieces a worker remembers; beyond that it starts afresh.
-MEMORY_BYTES = 96 << 20
+BLOCK_BYTES = 1 << 20
+#: Bytes of the pieces a task remembers; beyond that it starts afresh.
+MEMORY_BYTES = 32 << 20
 #: A piece longer than this is merged with a heap, as rounds would pass over
 #: all its symbols once for each distinct pair.
 LONG_PIECE = 4096
@@ -310,7 +310,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder(vocabulary: Vocabulary) -> Encoder:
-    """This worker's encoder, kept from task to task."""
+    """This worker's encoder, kept from task to task (without its pieces)."""
     if vocabulary.key not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[vocabulary.key] = Encoder(vocabulary)
@@ -336,27 +336,30 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: tupl
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(shared.value)
-        for whole in batches:
-            for batch in slices(whole, "t", BLOCK_BYTES):
-                raw, offsets = text_buffer(batch.column("t"))
-                ids, at = enc.encode(raw, offsets)
-                n = batch.num_rows
-                out = [batch.column(f"k{i}") for i in range(len(keep))] + [pa.array(np.diff(at))]
-                names = [*(f"k{i}" for i in range(len(keep))), "n_tokens", *outputs]
-                if any(o.startswith("decoded") for o in outputs):
-                    plain, ends = enc.decode(ids, at)
-                if "ids_sha256" in outputs:
-                    listed, stops = enc.listed(ids, at)
-                for o in outputs:
-                    if o == "ids":
-                        out.append(pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids)))
-                    elif o == "decoded":
-                        out.append(pa.array([plain[ends[i]:ends[i + 1]].decode("utf-8", "replace") for i in range(n)], pa.string()))
-                    elif o == "ids_sha256":
-                        out.append(pa.array([hashlib.sha256(listed[stops[i]:max(stops[i], stops[i + 1] - 1)]).hexdigest() for i in range(n)]))
-                    else:
-                        out.append(pa.array([_text_sha256(plain[ends[i]:ends[i + 1]]) for i in range(n)]))
-                yield pa.RecordBatch.from_arrays(out, names)
+        try:
+            for whole in batches:
+                for batch in slices(whole, "t", BLOCK_BYTES):
+                    raw, offsets = text_buffer(batch.column("t"))
+                    ids, at = enc.encode(raw, offsets)
+                    n = batch.num_rows
+                    out = [batch.column(f"k{i}") for i in range(len(keep))] + [pa.array(np.diff(at))]
+                    names = [*(f"k{i}" for i in range(len(keep))), "n_tokens", *outputs]
+                    if any(o.startswith("decoded") for o in outputs):
+                        plain, ends = enc.decode(ids, at)
+                    if "ids_sha256" in outputs:
+                        listed, stops = enc.listed(ids, at)
+                    for o in outputs:
+                        if o == "ids":
+                            out.append(pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids)))
+                        elif o == "decoded":
+                            out.append(pa.array([plain[ends[i]:ends[i + 1]].decode("utf-8", "replace") for i in range(n)], pa.string()))
+                        elif o == "ids_sha256":
+                            out.append(pa.array([hashlib.sha256(listed[stops[i]:max(stops[i], stops[i + 1] - 1)]).hexdigest() for i in range(n)]))
+                        else:
+                            out.append(pa.array([_text_sha256(plain[ends[i]:ends[i + 1]]) for i in range(n)]))
+                    yield pa.RecordBatch.from_arrays(out, names)
+        finally:
+            enc.forget()  # Spark keeps the worker, and its memory, for other operators' tasks
 
     done = narrow.mapInArrow(run, schema)
     return done.withColumnsRenamed({f"k{i}": c for i, c in enumerate(keep)})

@@ -100,3 +100,18 @@ def test_documents(spark, library):
     assert {r["doc_id"]: list(r["ids"]) for r in bpe.encode(docs, vocabulary()).collect()} == want
     assert {r["doc_id"]: r["n_tokens"] for r in transducer.count_tokens(docs, vocabulary(), 9).collect()} == \
         {k: len(v) for k, v in want.items()}
+
+
+def test_workers_keep_no_pieces_after_a_task(spark):
+    configure(spark)
+    df = spark.createDataFrame([(i, f"piece{i} word{7 * i} and more") for i in range(64)], "doc_id long, text string").repartition(4)
+    assert bpe.encode(df, vocabulary()).count() == 64
+    bpe.encode(df, vocabulary()).collect()
+
+    def held(batches):  # in the workers that Spark has kept
+        for batch in batches:
+            encoders = list(bpe._ENCODERS.values())
+            yield pa.RecordBatch.from_arrays([pa.array([len(encoders)]), pa.array([sum(len(e.index) + e.ids.n for e in encoders)])], ["encoders", "pieces"])
+
+    found = spark.range(0, 16, 1, 16).mapInArrow(held, "encoders bigint, pieces bigint").collect()
+    assert sum(r["encoders"] for r in found) and not sum(r["pieces"] for r in found)
