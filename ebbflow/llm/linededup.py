@@ -59,8 +59,11 @@ SALTS = 16
 PIVOTS = 8
 #: Rows of at most four numbers (or a document's line numbers) that are broadcast.
 FEW = 1_000_000
-#: Turns the order of hashes into another one.
-OTHER_ORDER = 0x5A5A5A5A5A5A
+#: Drops so many upper bits of hashes, which gives another order of them.
+OTHER_ORDER = 28
+#: Pairs of classes and what is looked up for them are dealt to fewer partitions
+#: than texts and words, by this factor: there are far fewer of them.
+PAIR_SHARE = 4
 _LAST = (1 << 63) - 1
 
 
@@ -69,15 +72,22 @@ PLACE = ("d", "rk", "no")
 
 def _words(text: Column, line_feeds: bool = False) -> Column:
     """Words between blanks (a plain split, which is faster than a pattern);
-    some may be empty."""
-    for c in "\t\x0b\f\r" + "\n" * line_feeds:
-        text = F.replace(text, F.lit(c), F.lit(" "))
-    return F.split(text, " ")
+    some may be empty. To look for the other blanks is faster than to replace
+    them, so only texts that hold some are rewritten."""
+    plain = F.replace(text, F.lit("\n"), F.lit(" ")) if line_feeds else text
+    blanks = [F.lit(c) for c in "\t\x0b\f\r"]
+    spaced = plain
+    for c in blanks:
+        spaced = F.replace(spaced, c, F.lit(" "))
+    held = F.contains(text, blanks[0])
+    for c in blanks[1:]:
+        held = held | F.contains(text, c)
+    return F.split(F.when(held, spaced).otherwise(plain), " ")
 
 
 def word_hashes(line: Column) -> Column:
     """The set of a line's words, as 64-bit hashes."""
-    return F.array_distinct(F.transform(F.array_remove(_words(line), ""), lambda w: F.xxhash64(w)))
+    return F.array_remove(F.array_distinct(F.transform(_words(line), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
 
 def _few(df: DataFrame) -> DataFrame:
@@ -108,24 +118,36 @@ def _kept_partitioning(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
+@contextlib.contextmanager
+def _fewer_partitions(spark: SparkSession) -> Iterator[None]:
+    """Shuffles that run inside have ``PAIR_SHARE`` times fewer partitions."""
+    name = "spark.sql.shuffle.partitions"
+    before = int(spark.conf.get(name))
+    spark.conf.set(name, str(-(-before // PAIR_SHARE)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, str(before))
+
+
 def rarity(rows: DataFrame) -> Column:
     """An array: thousandths of the binary logarithm of how often words of each
-    hash bucket occur in all texts (below 2^16)."""
+    hash bucket occur in all texts (below 2^15), as the upper 16 bits of longs."""
     words = rows.select(F.explode(_words(F.col("t"), line_feeds=True)).alias("w")).filter("w <> ''")
     counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).count()
     table = [0] * BUCKETS
     for r in counts.collect():  # BUCKETS rows at most
-        table[r["b"]] = int(1000 * math.log2(r["count"]))
+        table[r["b"]] = min(int(1000 * math.log2(r["count"])), (1 << 15) - 1) << 48
     # folds to one literal when the plan is made (a subquery cannot stand in a lambda)
-    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<int>")
+    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
 
 
 def by_rarity(line: Column, steps: Column) -> Column:
     """The set of a line's words as numbers that sort by rarity, then by 48 bits
     of their hash (never null to Spark's eye, so sorted as plain longs)."""
     def number(h: Column) -> Column:
-        rank = F.coalesce(F.get(steps, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), F.lit(0)).cast("long")
-        return F.shiftleft(rank, 48).bitwiseOR(F.shiftrightunsigned(h, 16))
+        rank = F.coalesce(F.get(steps, h.bitwiseAND(F.lit(BUCKETS - 1))), F.lit(0).cast("long"))
+        return rank.bitwiseOR(F.shiftrightunsigned(h, 16))
     return F.sort_array(F.transform(word_hashes(line), number))
 
 
@@ -199,9 +221,16 @@ def _similar(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, num: int, den: int) -> DataFrame:
     """Of ``pairs`` (numbers x and y of classes, in either order) the places of
     classes that have a similar one before them in their pair, checkpointed."""
+    spark = rows.sparkSession
+    parts = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // PAIR_SHARE)
+    pairs = checkpointed(pairs.coalesce(parts))
+    _tidy(spark)
+    with _fewer_partitions(spark):
+        return _verified_pairs(pairs, classes, rows, num, den)
+
+
+def _verified_pairs(pairs: DataFrame, classes: DataFrame, rows: DataFrame, num: int, den: int) -> DataFrame:
     ycols = ["yd", "yrk", "yno"]
-    pairs = checkpointed(pairs)
-    _tidy(rows.sparkSession)
     ids = _few(pairs.select(F.explode(F.array("x", "y")).alias("cid")).distinct())
     held = (*PLACE, "n", *SIGS)
     places = checkpointed(classes.join(ids, "cid").select("cid", *held))
@@ -230,15 +259,15 @@ def _classes(rows: DataFrame, num: int, den: int) -> DataFrame:
     size = F.size("words")
     half = F.slice("words", F.lit(1), F.floor((size + 1) / F.lit(2)).cast("int"))
     length = size - F.floor((num * size + den - 1) / F.lit(den)).cast("int") + 1
-    low48, low32 = F.lit((1 << 48) - 1), F.lit((1 << 32) - 1)
+    low32 = F.lit((1 << 32) - 1)
     lines = lines.select(
         *PLACE, "h1", "h2", size.alias("n"), *[signature(F.col("words"), k).alias(s) for k, s in enumerate(SIGS)],
-        F.transform(half, lambda w: w.bitwiseAND(low48)).alias("plain"),
-        F.transform(half, lambda w: w.bitwiseAND(low48).bitwiseXOR(F.lit(OTHER_ORDER))).alias("other"),
+        F.transform(half, lambda w: F.shiftleft(w, 16)).alias("plain"),
+        F.transform(half, lambda w: F.shiftleft(w, OTHER_ORDER)).alias("other"),
         # 32 bits name a word here: equal names only add candidates
         F.transform(F.slice("words", F.lit(1), length), lambda w: (w.bitwiseAND(low32) - F.lit(1 << 31)).cast("int")).alias("prefix"))
     # 30 bits of a hash and two that tell the key's kind
-    kind = lambda w, k: (F.shiftleft(F.shiftright(w, 18), 2).bitwiseOR(F.lit(k)) - F.lit(1 << 31)).cast("int")
+    kind = lambda w, k: (F.shiftleft(F.shiftrightunsigned(w, 34), 2).bitwiseOR(F.lit(k)) - F.lit(1 << 31)).cast("int")
     keys = F.array(kind(F.array_min("plain"), 0), kind(F.array_max("plain"), 1), kind(F.array_min("other"), 2))
     held = ("n", *SIGS, "keys", "prefix")
     return (lines.select(*PLACE, "h1", "h2", "n", *SIGS, keys.alias("keys"), "prefix").groupBy("h1", "h2")

@@ -111,3 +111,30 @@ def test_longer_and_shorter_lines_in_either_order(spark):
     rows = [(g * 10 + i, t.replace("u", f"g{g}u")) for g, order in enumerate(([0, 1, 2, 3], [3, 2, 1, 0], [1, 0, 3, 2]))
             for i, t in enumerate(texts[k] for k in order)]
     check(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def test_all_blanks_part_words(spark):
+    configure(spark)
+    words = [f"b{i}" for i in range(12)]
+    blanks = [" ", "\t", "\x0b", "\f", "\r", " \t", "\r ", "\f\x0b\t  "]
+    rows = [(2 * i, b.join(words)) for i, b in enumerate(blanks)]
+    rows += [(2 * i + 1, f"{b}c{i}{b}d{i} e{i}{b}\n{b}\n e{i} c{i}\r\n\u00a0{b}\x1c") for i, b in enumerate(blanks)]
+    check(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def test_pairs_lie_in_fewer_partitions(spark, monkeypatch):
+    configure(spark)
+    before, seen, verified = spark.conf.get("spark.sql.shuffle.partitions"), [], L._verified_pairs
+
+    def watched(pairs, *rest):
+        seen.append((pairs.rdd.getNumPartitions(), spark.conf.get("spark.sql.shuffle.partitions")))
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(L, "_verified_pairs", watched)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        check(spark.createDataFrame([(i, " ".join(f"p{(i // 3 + k) % 50}" for k in range(10 + i % 3))) for i in range(60)], "doc_id long, text string"))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(seen) == 4 and all(n <= 2 and conf == "2" for n, conf in seen)
